@@ -44,9 +44,10 @@ def keep_unseen(
     keyed = new.filter(F.col(key).isNotNull())
     seen = known.filter(F.col(key).isNotNull())
     if prune_by:
-        values = keyed.select(prune_by).distinct().limit(prune_limit + 1).collect()
-        if len(values) <= prune_limit:
-            seen = seen.filter(F.col(prune_by).isin([row[0] for row in values if row[0] is not None]))
+        rows = keyed.select(prune_by).distinct().limit(prune_limit + 1).collect()
+        values = [row[0] for row in rows]
+        if len(values) <= prune_limit and None not in values:
+            seen = seen.filter(F.col(prune_by).isin(values))
     return keyed.join(seen.select(key), key, "left_anti")
 
 
