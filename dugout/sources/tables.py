@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -14,13 +15,6 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path is there, on whatever file system it names."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return system.exists(target)
-
-
 def read_table(
     spark: SparkSession, root: str, name: str, schema: StructType | None = None
 ) -> DataFrame:
@@ -28,6 +22,18 @@ def read_table(
     return reader.parquet(table_path(root, name))
 
 
+def read_if_there(
+    spark: SparkSession, root: str, name: str, schema: StructType | None = None
+) -> DataFrame | None:
+    """A stored table, or None before its first write."""
+    try:
+        return read_table(spark, root, name, schema)
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def replace_table(df: DataFrame, root: str, name: str) -> None:
     """Store a model, replacing what was there."""
     df.write.mode("overwrite").parquet(table_path(root, name))
@@ -54,9 +60,9 @@ def raw_schema(feed: Feed) -> StructType:
 def read_raw(spark: SparkSession, root: str, feed: Feed | str, history: bool = False) -> DataFrame:
     """A raw table: the latest run's snapshot for replaced feeds, all rows for the others."""
     feed = FEEDS[feed] if isinstance(feed, str) else feed
-    if not exists(spark, table_path(root, feed.table)):
+    rows = read_if_there(spark, root, feed.table, raw_schema(feed))
+    if rows is None:
         return spark.createDataFrame([], raw_schema(feed))
-    rows = read_table(spark, root, feed.table, raw_schema(feed))
     return latest_run(rows) if feed.replace and not history else rows
 
 
