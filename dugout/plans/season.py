@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.lookups import FINISHED, LIVE
 from ..operators import quality
-from ..operators.dedup import keep_first, columns_as_order
 from ..operators.reshape import latest_day_with, union_feeds
+from ..session import settle
 from ..sources import feeds, schemas
 from ..sources.envelopes import FEEDS, to_messages
 from ..sources.tables import append_table, read_if_there, read_raw, read_table, replace_table
@@ -93,7 +93,9 @@ def feed_rows(
     today = F.lit(game_day.isoformat()).cast("date")
     all_games = feeds.games(schedule_documents)
     played = playable_games(all_games, game_day).select(F.col("game_pk").alias("gamePk"))
-    plays = documents("plays", schemas.PLAYS_DOC).join(played.distinct(), "gamePk", "left_semi")
+    # Written first, so that its size decides whether the documents must be shuffled.
+    wanted = settle(played.distinct(), "played")
+    plays = documents("plays", schemas.PLAYS_DOC).join(wanted, "gamePk", "left_semi")
     return {
         "teams": feeds.teams(documents("teams", schemas.TEAMS_DOC), season),
         "standings": feeds.standings(documents("standings", schemas.STANDINGS_DOC), season),
@@ -195,8 +197,8 @@ def run(
     strict: bool = True,
     whole_files: bool = False,
 ) -> dict[str, DataFrame]:
-    """One scheduled run. Run ids must sort by time; everything else is a parameter too,
-    so a run can be repeated: its messages land again and change no model."""
+    """One scheduled run. Every run, also a repeated one, needs a run id that sorts after
+    the ones before it: the snapshot tables show the messages of the greatest id."""
     publish(feed_rows(spark, paths, season, game_day, whole_files), paths.messages, run_id, as_of)
     stream = read_messages(spark, paths.messages)
     land_stream(stream, paths.tables, f"{paths.checkpoints}/land").awaitTermination()

@@ -12,6 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.monitor import topic_counts
 from ..operators.quality import CheckFailed
 from ..sources.envelopes import FEEDS, Feed, bad_rows, decode, good_rows
 from ..sources.schemas import ENVELOPE
@@ -55,7 +56,7 @@ def land_batch(
     subscribed = messages.filter(F.col("topic").isin([f.name for f in feeds])).persist()
     try:
         # One line per subscribed topic.
-        counts = {r["topic"]: r["n"] for r in subscribed.groupBy("topic").agg(F.count("*").alias("n")).collect()}
+        counts = {r["topic"]: r["n_messages"] for r in topic_counts(subscribed).collect()}
         broken = 0
         rejected = None
         for feed in (f for f in feeds if f.name in counts):
@@ -75,7 +76,12 @@ def land_batch(
 
 
 def land_stream(
-    messages: DataFrame, root: str, checkpoint: str, source: str = "feed", strict: bool = False
+    messages: DataFrame,
+    root: str,
+    checkpoint: str,
+    source: str = "feed",
+    feeds: Iterable[Feed] = tuple(FEEDS.values()),
+    strict: bool = False,
 ) -> StreamingQuery:
     """Drain what has arrived since the last run, then stop.
 
@@ -84,7 +90,7 @@ def land_stream(
     """
 
     def route(batch: DataFrame, batch_id: int) -> None:
-        land_batch(batch, root, source, f"{batch_id:012d}", strict=strict)
+        land_batch(batch, root, source, f"{batch_id:012d}", feeds, strict)
 
     return (
         messages.writeStream.foreachBatch(route)

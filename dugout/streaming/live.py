@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ..operators.dedup import columns_as_order, keep_first, keep_unseen
 from ..operators.monitor import message_rate
@@ -64,9 +65,7 @@ def rate_stream(
     return message_rate(stream.withWatermark(time, delay), time, topic, width, slide)
 
 
-def keep_latest_windows(
-    rates: DataFrame, path: str, checkpoint: str, keys: list[str]
-) -> StreamingQuery:
+def store_windows(rates: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Write windows as they change; ``latest_windows`` reads the last state of each.
 
     Update mode also delivers windows that are still open, which append mode holds back.
@@ -84,7 +83,10 @@ def keep_latest_windows(
     )
 
 
-def latest_windows(spark: SparkSession, path: str, schema, keys: list[str]) -> DataFrame:
+def latest_windows(
+    spark: SparkSession, path: str, schema: StructType, keys: list[str]
+) -> DataFrame:
     """The newest stored state of every window."""
-    stored = spark.read.schema(schema.add("batch", "string")).parquet(path)
+    with_batch = StructType(list(schema.fields)).add("batch", "string")
+    stored = spark.read.schema(with_batch).parquet(path)
     return keep_first(stored, keys, [F.col("batch").desc()]).drop("batch")
