@@ -276,7 +276,7 @@ EVENT_FEED = Feed(
     "events",
     lambda: F.col("event_id").cast("string"),
     False,
-    schemas._raw("event_id ts:s user_id event_type:s value props:s"),
+    schemas.flat("event_id ts:s user_id event_type:s value props:s"),
 )
 
 
@@ -321,7 +321,7 @@ def bad_message_quarantine(spark, folder):
         kind.alias("topic"), F.col("event_id").cast("string").alias("key"), sent.alias("value"),
         F.col("ts").cast("timestamp").alias("ts"), F.lit("r1").alias("run_id"),
     )
-    schema = schemas._raw("k")
+    schema = schemas.flat("k")
     decoded = decode(messages, schema)
     kept = decoded.filter(~F.col("is_bad")).select("topic", F.col("row.k").alias("k"), F.lit(0).alias("bad"))
     aside = bad_rows(decoded).select("topic", F.lit(None).cast("double").alias("k"), F.lit(1).alias("bad"))

@@ -232,7 +232,7 @@ LEADERBOARD_SQL = f"""
         LEFT JOIN r ON pitcher_id = r.player_id),
     t AS (SELECT *, least(batter_rate * pitcher_rate / 0.034::DOUBLE * park_factor, 0.25) AS prob FROM s)
     SELECT batter_name, team, pitcher, matchup, venue, park_factor,
-           round(prob, 4) AS hr_prob, printf('%.1f%%', prob * 100) AS hr_prob_pct,
+           round(prob, 4) AS hr_prob, printf('%.1f%%', round(prob * 100, 1)) AS hr_prob_pct,
            season_hr, season_pa, batting_avg, ops, game_pk
     FROM t
 """
