@@ -51,11 +51,11 @@ def innings(value: Column | str) -> Column:
 
     Missing or unreadable text counts as 0. Parts beyond the second are ignored.
     """
-    parts = F.split(_col(value).cast("string"), r"\.")
-    outs = F.when(
-        F.size(parts) > 1, F.try_element_at(parts, F.lit(2)).try_cast("int") / F.lit(3)
-    ).otherwise(F.lit(0.0))
-    return F.coalesce(F.try_element_at(parts, F.lit(1)).try_cast("int") + outs, F.lit(0.0))
+    shown = _col(value).cast("string")
+    full = F.substring_index(shown, ".", 1).try_cast("int")
+    outs = F.substring_index(F.substring_index(shown, ".", 2), ".", -1).try_cast("int")
+    thirds = F.when(F.contains(shown, F.lit(".")), outs / F.lit(3)).otherwise(F.lit(0.0))
+    return F.coalesce(full + thirds, F.lit(0.0))
 
 
 def or_default(value: Column | str, default) -> Column:

@@ -30,9 +30,18 @@ def parse_documents(documents: DataFrame, column: str, schema: StructType) -> Da
     return documents.select(F.from_json(column, schema).alias("doc")).select("doc.*")
 
 
+def each(df: DataFrame, items: Column | str, name: str, *carry: Column | str) -> DataFrame:
+    """One row per array element, as struct column ``name`` next to the ``carry`` columns.
+
+    Outer explode and a filter on the element, because a plain explode makes the optimizer
+    test the array for emptiness first, which parses a JSON document several times.
+    """
+    return df.select(*carry, F.explode_outer(items).alias(name)).filter(F.col(name).isNotNull())
+
+
 def teams(documents: DataFrame, season: int) -> DataFrame:
     """One row per team; missing division, league or venue objects give NULLs."""
-    return documents.select(F.explode("teams").alias("t")).select(
+    return each(documents, "teams", "t").select(
         F.col("t.id").alias("team_id"),
         F.col("t.name").alias("team_name"),
         F.col("t.abbreviation").alias("abbreviation"),
@@ -49,11 +58,12 @@ def teams(documents: DataFrame, season: int) -> DataFrame:
 
 def standings(documents: DataFrame, season: int) -> DataFrame:
     """One row per team record, with division and league of the enclosing record."""
-    records = documents.select(F.explode("records").alias("r"))
-    rows = records.select(
+    rows = each(
+        each(documents, "records", "r"),
+        "r.teamRecords",
+        "t",
         F.col("r.division.id").alias("division_id"),
         F.col("r.league.id").alias("league_id"),
-        F.explode("r.teamRecords").alias("t"),
     )
     return rows.select(
         F.col("t.team.id").alias("team_id"),
@@ -73,8 +83,8 @@ def standings(documents: DataFrame, season: int) -> DataFrame:
 
 def games(documents: DataFrame) -> DataFrame:
     """One row per game of the schedule feed, with its day, type and probable pitchers."""
-    dates = documents.select(F.explode("dates").alias("d"))
-    rows = dates.select(F.col("d.date").alias("date"), F.explode("d.games").alias("g"))
+    dates = each(documents, "dates", "d")
+    rows = each(dates, "d.games", "g", F.col("d.date").alias("date"))
     return rows.select(
         F.to_date(F.coalesce(F.col("date"), F.substring("g.gameDate", 1, 10))).alias("game_day"),
         F.col("g.gameType").alias("game_type"),
@@ -118,7 +128,7 @@ def season_schedule(
 
 def _splits(documents: DataFrame) -> DataFrame:
     first = F.get(F.col("stats"), F.lit(0))
-    return documents.select(F.explode(first["splits"]).alias("s"))
+    return each(documents, first["splits"], "s")
 
 
 def _stat_columns(fields: dict[str, str], season: int) -> list[Column]:
@@ -158,7 +168,7 @@ def pitching_stats(documents: DataFrame, season: int) -> DataFrame:
 
 def game_events(documents: DataFrame) -> DataFrame:
     """One row per play; missing completion and scoring flags count as false."""
-    plays = documents.select("gamePk", F.explode("liveData.plays.allPlays").alias("p"))
+    plays = each(documents, "liveData.plays.allPlays", "p", "gamePk")
     return plays.select(
         F.col("gamePk").alias("game_pk"),
         F.col("p.about.atBatIndex").alias("at_bat_index"),

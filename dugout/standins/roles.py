@@ -162,7 +162,7 @@ def pitchers(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(
             F.floor(games / 3).cast("string"), F.lit("."), (games % 3).cast("string")
         ).alias("innings_pitched"),
-        F.round(F.try_divide(F.col("home_runs_allowed") * 9, games), 2).cast("decimal(6,2)").alias("era"),
+        (F.floor(F.col("home_runs_allowed") * 900 / games) / 100).cast("decimal(6,2)").alias("era"),
     )
 
 
@@ -171,7 +171,7 @@ PITCHERS_SQL = """
            saves, strikeouts, walks_allowed, home_runs_allowed,
            (games // 3) || '.' || (games % 3) AS innings_pitched,
            games // 3 + (games % 3) / 3 AS innings,
-           round(home_runs_allowed * 9 / games, 2) AS era,
+           (home_runs_allowed * 900 // games) / 100 AS era,
            CASE WHEN games_started / games >= 0.5 THEN 'Starter' ELSE 'Reliever' END AS role
     FROM supplier JOIN (
         SELECT l_suppkey, count(*) AS games,

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.monitor import topic_counts
@@ -49,8 +49,9 @@ def land_batch(
 ) -> dict[str, int]:
     """Route one batch of envelopes to its tables; returns messages per topic.
 
-    Unreadable messages go to the quarantine table. With ``strict`` they raise, after
-    the readable ones are stored.
+    The bad messages of a topic are counted while its good ones are written, and only
+    read again, for the quarantine table, if there are any. With ``strict`` they raise,
+    after everything is stored.
     """
     feeds = tuple(feeds)
     subscribed = messages.filter(F.col("topic").isin([f.name for f in feeds])).persist()
@@ -58,16 +59,15 @@ def land_batch(
         # One line per subscribed topic.
         counts = {r["topic"]: r["n_messages"] for r in topic_counts(subscribed).collect()}
         broken = 0
-        rejected = None
         for feed in (f for f in feeds if f.name in counts):
-            decoded = decode(subscribed.filter(F.col("topic") == feed.name), feed.schema)
+            seen = Observation()
+            decoded = decode(subscribed.filter(F.col("topic") == feed.name), feed.schema).observe(
+                seen, F.count_if("is_bad").alias("bad")
+            )
             _store(good_rows(decoded, feed.schema), root, feed.table, source, batch)
-            bad = bad_rows(decoded)
-            rejected = bad if rejected is None else rejected.unionByName(bad)
-        if rejected is not None:
-            broken = rejected.count()
-            if broken:
-                _store(rejected, root, QUARANTINE, source, batch)
+            if seen.get["bad"]:
+                broken += seen.get["bad"]
+                _store(bad_rows(decoded), root, QUARANTINE, f"{source}-{feed.name}", batch)
         if broken and strict:
             raise CheckFailed(f"batch {batch} of {source}: {broken} unreadable messages")
         return counts
