@@ -48,7 +48,8 @@ def keep_unseen(
         values = [row[0] for row in rows]
         if len(values) <= prune_limit and None not in values:
             seen = seen.filter(F.col(prune_by).isin(values))
-    return keyed.join(seen.select(key), key, "left_anti")
+    # Distinct before the shuffle: many stored copies of one key travel as one.
+    return keyed.join(seen.select(key).distinct(), key, "left_anti")
 
 
 def latest_run(df: DataFrame, run: str = "run_id") -> DataFrame:

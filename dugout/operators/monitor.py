@@ -33,7 +33,7 @@ def backlog(landed: DataFrame, processed: DataFrame, key: str, topic: str) -> Da
     """Landed messages that were not processed yet, by topic."""
     return (
         landed.select(key, topic)
-        .join(processed.select(key), key, "left_anti")
+        .join(processed.select(key).distinct(), key, "left_anti")
         .groupBy(topic)
         .agg(F.count("*").alias("backlog"))
     )

@@ -25,8 +25,10 @@ def nulls_last(name: str, desc: bool = False) -> Column:
     return column.desc_nulls_last() if desc else column.asc_nulls_last()
 
 
-def _join_same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join on equal keys where NULL equals NULL; key columns come from the left."""
+def _join_same(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Join on equal keys where NULL equals NULL; key columns come from the left."""
     renamed = right.select(
         *[F.col(k).alias(f"__right_{k}") for k in keys],
         *[c for c in right.columns if c not in keys],
@@ -34,7 +36,7 @@ def _join_same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFr
     same = reduce(
         lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__right_{k}")) for k in keys]
     )
-    return left.join(renamed, same, "inner").drop(*[f"__right_{k}" for k in keys])
+    return left.join(renamed, same, how).drop(*[f"__right_{k}" for k in keys])
 
 
 def _rows_ahead(
@@ -87,7 +89,7 @@ def rank_within(
         ahead = _rows_ahead(tally, list(part), order)
         places = ahead.select(*part, *names, (F.col(_AHEAD) + 1).cast("bigint").alias(new))
         table = _join_same(table, places, [*part, *names])
-    return _join_same(df, settle(table, "ranks"), keys)
+    return _join_same(df, settle(table, "ranks"), keys, "left")
 
 
 def with_position(df: DataFrame, order: Sequence[Column], name: str = "position") -> DataFrame:
