@@ -11,20 +11,31 @@ def message_rate(
     messages: DataFrame,
     time: str = "ts",
     topic: str = "topic",
-    width: str = "5 minutes",
-    slide: str | None = None,
-    seconds: int = 300,
+    width: int = 300,
+    slide: int | None = None,
 ) -> DataFrame:
-    """Messages per second by topic and window; ``slide`` makes the windows overlap."""
-    frame = F.window(time, width, slide) if slide else F.window(time, width)
+    """Messages per second by topic and window of ``width`` seconds.
+
+    ``slide`` starts a window every so many seconds, so that they overlap. In batch, the
+    messages are then counted per slide first and only these counts are spread over the
+    windows, where a direct sliding window would copy every message into each of them.
+    """
+    amount = F.lit(1)
+    if slide and not messages.isStreaming and width % slide == 0:
+        step = F.window(time, f"{slide} seconds")
+        messages = messages.groupBy(step.alias("w"), F.col(topic)).agg(
+            F.count("*").alias("__n")
+        ).select(F.col("w.start").alias(time), topic, "__n")
+        amount = F.col("__n")
+    frame = F.window(time, f"{width} seconds", f"{slide or width} seconds")
     return (
         messages.groupBy(frame.alias("w"), F.col(topic))
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum(amount).alias("n"))
         .select(
             F.col("w.start").alias("window_start"),
             topic,
             "n",
-            (F.col("n") / F.lit(float(seconds))).alias("per_second"),
+            (F.col("n") / F.lit(float(width))).alias("per_second"),
         )
     )
 

@@ -13,9 +13,12 @@ from ..operators.reshape import latest_day_with, union_feeds
 from ..session import settle
 from ..sources import feeds, schemas
 from ..sources.envelopes import FEEDS, to_messages
-from ..sources.tables import append_table, read_if_there, read_raw, read_table, replace_table
+from ..sources.tables import (
+    append_table, game_results_in_order, pitching_leaders_in_order, player_stats_in_order,
+    read_if_there, read_raw, read_table, replace_table, standings_in_order,
+)
 from ..streaming.land import land_rows, land_stream, read_messages, write_messages
-from . import marts, staging
+from . import marts, predictions, staging, summaries
 
 EVENT_BLOCK = "game_block"
 EVENT_TIME = "end_time"
@@ -111,29 +114,44 @@ def feed_rows(
     }
 
 
-def publish(rows: dict[str, DataFrame], path: str, run_id: str, as_of: datetime) -> None:
-    """Write all feeds as keyed messages."""
+def publish(
+    rows: dict[str, DataFrame], path: str, run_id: str, as_of: datetime
+) -> dict[str, int]:
+    """Write all feeds as keyed messages; returns messages per feed."""
     moment = F.lit(as_of)
-    for name, df in rows.items():
-        write_messages(to_messages(df, FEEDS[name], run_id, moment), path)
+    return {
+        name: write_messages(to_messages(df, FEEDS[name], run_id, moment), path)
+        for name, df in rows.items()
+    }
 
 
 def build_staging(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Staging tables; all but the plays are evaluated when read. Plays are appended."""
+    """Staging tables, stored and read back: the marts and every check read them, and a
+    stored table is deduplicated once. Plays are appended, the others replaced."""
     raw = {name: read_raw(spark, root, feed) for name, feed in FEEDS.items()}
     known = read_if_there(spark, root, "stg_game_events")
     fresh = staging.stg_game_events(raw["game_events"], known, EVENT_BLOCK)
     if EVENT_BLOCK not in fresh.columns:
         fresh = fresh.withColumn(EVENT_BLOCK, staging.game_block())
     append_table(fresh, root, "stg_game_events", EVENT_BLOCK)
-    return {
+    models = {
         "stg_teams": staging.stg_teams(raw["teams"]),
         "stg_standings": staging.stg_standings(raw["standings"]),
         "stg_schedule": staging.stg_schedule(raw["schedule"]),
         "stg_hitting_stats": staging.stg_hitting_stats(raw["hitting_stats"]),
         "stg_pitching_stats": staging.stg_pitching_stats(raw["pitching_stats"]),
-        "stg_game_events": read_table(spark, root, "stg_game_events"),
     }
+    stored = store_models(spark, root, models)
+    return {**stored, "stg_game_events": read_table(spark, root, "stg_game_events")}
+
+
+def store_models(
+    spark: SparkSession, root: str, models: dict[str, DataFrame]
+) -> dict[str, DataFrame]:
+    """Replace the tables of the given models and read them back."""
+    for name, df in models.items():
+        replace_table(df, root, name)
+    return {name: read_table(spark, root, name, df.schema) for name, df in models.items()}
 
 
 def build_marts(spark: SparkSession, root: str, staged: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -144,9 +162,7 @@ def build_marts(spark: SparkSession, root: str, staged: dict[str, DataFrame]) ->
         "mart_player_stats": marts.mart_player_stats(staged["stg_hitting_stats"]),
         "mart_pitching_leaders": marts.mart_pitching_leaders(staged["stg_pitching_stats"]),
     }
-    for name, df in models.items():
-        replace_table(df, root, name)
-    return {name: read_table(spark, root, name) for name in models}
+    return store_models(spark, root, models)
 
 
 def all_tables(
@@ -156,6 +172,39 @@ def all_tables(
     return {**raw, **staged, **stored}
 
 
+def reports(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """What the report pages show, apart from the predictions of a day."""
+    standings, players = tables["mart_standings"], tables["mart_player_stats"]
+    pitching, results = tables["mart_pitching_leaders"], tables["mart_game_results"]
+    return {
+        "standings_summary": summaries.standings_summary(standings),
+        "standings": standings_in_order(standings),
+        "batting_summary": summaries.batting_summary(players),
+        "top_batters": summaries.top_batters(players),
+        "players": player_stats_in_order(players),
+        "pitching_summary": summaries.pitching_summary(pitching),
+        "top_starters": summaries.top_starters(pitching),
+        "pitchers": pitching_leaders_in_order(pitching),
+        "games_summary": summaries.games_summary(results),
+        "wins_by_team": summaries.wins_by_team(results).orderBy("wins", "team"),
+        "game_log": summaries.game_log(game_results_in_order(results)),
+    }
+
+
+def predict_day(
+    spark: SparkSession, paths: Paths, tables: dict[str, DataFrame], game_day: date,
+    whole_files: bool = False,
+) -> DataFrame:
+    """Home-run leaderboard of one day's games."""
+    documents = feeds.read_documents(
+        spark, paths.feed("schedule"), schemas.SCHEDULE_DOC, whole_files
+    )
+    sides = feeds.probable_pitchers(documents, F.lit(game_day.isoformat()).cast("date"))
+    return predictions.hr_leaderboard(
+        sides, tables["mart_player_stats"], tables["mart_pitching_leaders"]
+    )
+
+
 def run_checks(
     tables: dict[str, DataFrame], as_of: datetime, strict: bool = True
 ) -> dict[str, DataFrame]:

@@ -171,7 +171,7 @@ def rate_tumbling_5m(spark, folder):
 def rate_sliding_5m(spark, folder):
     """Messages per second in five-minute windows that start every minute."""
     rates = monitor.message_rate(
-        table(spark, folder, "events"), "ts", "event_type", slide="1 minute"
+        table(spark, folder, "events"), "ts", "event_type", slide=60
     )
     return rates.withColumn("per_second", F.round("per_second", 6))
 

@@ -29,9 +29,15 @@ def read_messages(spark: SparkSession, path: str, max_files: int | None = None)
     return reader.json(path)
 
 
-def write_messages(messages: DataFrame, path: str) -> None:
-    """Append envelopes as JSON lines, where no connector to a message log is at hand."""
-    messages.write.mode("append").option("ignoreNullFields", "false").json(path)
+def write_messages(messages: DataFrame, path: str) -> int:
+    """Append envelopes as JSON lines, where no connector to a message log is at hand.
+
+    Returns how many, counted while they are written.
+    """
+    sent = Observation()
+    counted = messages.observe(sent, F.count("*").alias("n"))
+    counted.write.mode("append").option("ignoreNullFields", "false").json(path)
+    return sent.get["n"]
 
 
 def _store(rows: DataFrame, root: str, name: str, source: str, batch: str) -> None:

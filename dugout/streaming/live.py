@@ -57,8 +57,8 @@ def rate_stream(
     stream: DataFrame,
     time: str = "ts",
     topic: str = "topic",
-    width: str = "5 minutes",
-    slide: str | None = None,
+    width: int = 300,
+    slide: int | None = None,
     delay: str = "10 minutes",
 ) -> DataFrame:
     """Windowed message rate on a stream; the watermark bounds the open windows."""

@@ -15,6 +15,7 @@ def spark(tmp_path_factory):
         "tests",
         "local[8]",
         spark__sql__shuffle__partitions="4",
+        spark__sql__maxMetadataStringLength="10000",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="4g",

@@ -137,7 +137,7 @@ def test_message_rate_and_backlog(spark, values):
     df = df.withColumn("ts", F.col("ts").cast("timestamp"))
     tumbling = monitor.message_rate(df)
     assert listed(tumbling, F.date_format("window_start", "HH:mm"), "n") == [("00:00", 2), ("00:05", 1)]
-    assert monitor.message_rate(df, slide="1 minute").agg(F.sum("n")).first()[0] == 15
+    assert monitor.message_rate(df, slide=60).agg(F.sum("n")).first()[0] == 15
     assert listed(monitor.backlog(df, df.filter("id = 1"), "id", "topic")) == [("a", 2)]
 
 

@@ -2,12 +2,10 @@ from datetime import date, datetime
 
 import pytest
 from conftest import listed, season_documents
-from pyspark.sql import functions as F
 
 from dugout.operators.quality import CheckFailed
-from dugout.plans import predictions, season, summaries
+from dugout.plans import season, summaries
 from dugout.plans.season import CONTRACTS, Paths
-from dugout.sources import feeds, schemas
 from dugout.sources.tables import read_raw
 
 DAY = date(2026, 4, 10)
@@ -27,8 +25,7 @@ def run(spark, paths, run_id, hours=20, strict=True):
 def test_whole_run_twice(spark, paths):
     assert sum(len(r.get("not_null", [])) + len(r.get("unique", [])) for r in CONTRACTS.values()) == 52
     tables = run(spark, paths, "2026-04-10T01")
-    assert tables["contracts"].count() == 52
-    assert tables["contracts"].filter("status = 'fail'").count() == 0
+    assert [r["status"] for r in tables["contracts"].collect()] == ["pass"] * 52
     counts = {
         "raw_teams": 30, "raw_schedule": 8, "stg_schedule": 6, "raw_hitting_stats": 91, "stg_hitting_stats": 90,
         "mart_standings": 30, "mart_game_results": 3, "mart_player_stats": 85, "mart_pitching_leaders": 30,
@@ -49,15 +46,17 @@ def test_whole_run_twice(spark, paths):
     with pytest.raises(CheckFailed, match="Freshness"):
         season.run_checks(again, datetime(2026, 4, 12))
 
-    documents = feeds.read_documents(spark, paths.feed("schedule"), schemas.SCHEDULE_DOC)
-    matchups = feeds.probable_pitchers(documents, F.lit(DAY.isoformat()).cast("date"))
-    board = predictions.hr_leaderboard(matchups, again["mart_player_stats"], again["mart_pitching_leaders"])
+    board = season.predict_day(spark, paths, again, DAY)
     # Teams 0 to 2 bat against known pitchers; the pitcher of team 3 is not announced.
     assert listed(board.select("team").distinct()) == [("Team 0",), ("Team 1",), ("Team 3",)]
     assert board.filter("venue = 'Coors Field'").select("park_factor").distinct().collect()[0][0] == 1.35
     assert summaries.leaderboard_summary(board).count() == 4
-    leagues = summaries.standings_summary(again["mart_standings"])
-    assert listed(leagues, "figure")[0] == ("AL Leader",) and leagues.count() == 4
+    pages = season.reports(again)
+    assert listed(pages["standings_summary"], "figure")[0] == ("AL Leader",)
+    assert pages["standings_summary"].count() == 4
+    assert [r["wins"] for r in pages["wins_by_team"].collect()] == [1, 1, 1]
+    assert [r["score"] for r in pages["game_log"].collect()].count("2 – 4") == 1
+    assert pages["players"].first()["player_id"] == 1050
 
 
 def test_direct_run(spark, paths, tmp_path):
