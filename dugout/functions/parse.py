@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+# A failed try_cast costs an exception per value, so text is matched before it is cast.
+_DECIMAL = r"^([0-9]+\.?[0-9]*|\.[0-9]+)\z"
+_INTEGER = r"^\s*[+-]?[0-9]+\s*\z"
+
+
 def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
@@ -26,14 +31,12 @@ def wall_time(value: Column | str) -> Column:
 def guarded_decimal(value: Column | str, precision: int, scale: int) -> Column:
     """Digits-and-dots text as decimal; anything else, or an overflow, is NULL."""
     text = _col(value).cast("string")
-    return F.when(
-        text.rlike(r"^[0-9.]+\z"), text.try_cast(f"decimal({precision},{scale})")
-    )
+    return F.when(text.rlike(_DECIMAL), text.try_cast(f"decimal({precision},{scale})"))
 
 
 def win_share(value: Column | str) -> Column:
     """``".667"`` or ``"1.000"`` as decimal(4,3); unreadable text is NULL."""
-    return F.trim(_col(value).cast("string")).try_cast("decimal(4,3)")
+    return guarded_decimal(F.trim(_col(value).cast("string")), 4, 3)
 
 
 def composite_key(*parts: Column | str, sep: str = "_") -> Column:
@@ -52,8 +55,12 @@ def innings(value: Column | str) -> Column:
     Missing or unreadable text counts as 0. Parts beyond the second are ignored.
     """
     shown = _col(value).cast("string")
-    full = F.substring_index(shown, ".", 1).try_cast("int")
-    outs = F.substring_index(F.substring_index(shown, ".", 2), ".", -1).try_cast("int")
+
+    def number(part: Column) -> Column:
+        return F.when(part.rlike(_INTEGER), part.try_cast("int"))
+
+    full = number(F.substring_index(shown, ".", 1))
+    outs = number(F.substring_index(F.substring_index(shown, ".", 2), ".", -1))
     thirds = F.when(F.contains(shown, F.lit(".")), outs / F.lit(3)).otherwise(F.lit(0.0))
     return F.coalesce(full + thirds, F.lit(0.0))
 
