@@ -50,13 +50,13 @@ def stg_schedule(raw: DataFrame) -> DataFrame:
         (F.col("run_id") if "run_id" in raw.columns else F.lit("")).alias("run_id"),
     )
     state = priority(F.col("game_status"), STATUS_PRIORITY, OTHER_STATUS_PRIORITY)
-    order = [state.asc(), F.col("run_id").desc_nulls_last(), *columns_as_order(typed, ["run_id"])]
+    order = [state.asc(), F.col("run_id").desc_nulls_last(), *columns_as_order(typed, ["run_id", "game_pk"])]
     return keep_first(typed, ["game_pk"], order).drop("run_id")
 
 
 def _most_games(typed: DataFrame) -> DataFrame:
     """One row per player: the most games, an unknown count before all others."""
-    order = [by("games", desc=True), *columns_as_order(typed)]
+    order = [by("games", desc=True), *columns_as_order(typed, ["games", "player_id"])]
     return keep_first(typed, ["player_id"], order)
 
 
@@ -121,7 +121,8 @@ def stg_game_events(
     Of several copies the latest end time wins. A stored play is never changed.
     """
     events = typed_events(raw).filter(F.col("event_id").isNotNull())
-    order = [F.col("end_time").desc_nulls_last(), *columns_as_order(events, ["end_time"])]
+    same = ["event_id", "game_pk", "at_bat_index", "end_time"]
+    order = [F.col("end_time").desc_nulls_last(), *columns_as_order(events, same)]
     single = keep_first(events, ["event_id"], order)
     if existing is None:
         return single
