@@ -6,6 +6,7 @@ from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.lookups import FINISHED, LIVE
 from ..operators import quality
@@ -21,7 +22,9 @@ from ..streaming.land import land_rows, land_stream, read_messages, write_messag
 from . import marts, predictions, staging, summaries
 
 EVENT_BLOCK = "game_block"
+EVENT_MARKS = "stg_game_events_marks"
 EVENT_TIME = "end_time"
+MARK_SCHEMA = schemas.record(source=schemas.TEXT, batch=schemas.TEXT)
 
 # Smallest accepted row counts.
 VOLUME_FLOORS = {
@@ -129,11 +132,7 @@ def build_staging(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """Staging tables, stored and read back: the marts and every check read them, and a
     stored table is deduplicated once. Plays are appended, the others replaced."""
     raw = {name: read_raw(spark, root, feed) for name, feed in FEEDS.items()}
-    known = read_if_there(spark, root, "stg_game_events")
-    fresh = staging.stg_game_events(raw["game_events"], known, EVENT_BLOCK)
-    if EVENT_BLOCK not in fresh.columns:
-        fresh = fresh.withColumn(EVENT_BLOCK, staging.game_block())
-    append_table(fresh, root, "stg_game_events", EVENT_BLOCK)
+    stage_events(spark, root, raw["game_events"])
     models = {
         "stg_teams": staging.stg_teams(raw["teams"]),
         "stg_standings": staging.stg_standings(raw["standings"]),
@@ -142,7 +141,39 @@ def build_staging(spark: SparkSession, root: str) -> dict[str, DataFrame]:
         "stg_pitching_stats": staging.stg_pitching_stats(raw["pitching_stats"]),
     }
     stored = store_models(spark, root, models)
-    return {**stored, "stg_game_events": read_table(spark, root, "stg_game_events")}
+    plays = read_table(spark, root, "stg_game_events", event_schema(raw["game_events"]))
+    return {**stored, "stg_game_events": plays}
+
+
+def event_schema(raw: DataFrame) -> StructType:
+    """Columns of the stored plays."""
+    return staging.typed_events(raw).withColumn(EVENT_BLOCK, staging.game_block()).schema
+
+
+def stage_events(spark: SparkSession, root: str, raw: DataFrame) -> None:
+    """Append the plays of the batches that landed since the last time.
+
+    The marks, the last batch seen of every source, are written after the plays. If they
+    are lost, the batches are read again and their keys found in the table, so nothing is
+    stored twice. Marks are one line per landing stream.
+    """
+    stored = read_if_there(spark, root, EVENT_MARKS, MARK_SCHEMA)
+    marks = {row["source"]: row["batch"] for row in stored.collect()} if stored is not None else {}
+    new = ~F.col("source").isin(list(marks)) if marks else F.lit(True)
+    for source, batch in marks.items():
+        new = new | ((F.col("source") == source) & (F.col("batch") > batch))
+    arrived = raw.filter(new)
+    latest = arrived.groupBy("source").agg(F.max("batch").alias("batch")).collect()
+    known = read_if_there(spark, root, "stg_game_events", event_schema(raw))
+    if known is not None and not latest:
+        return
+    fresh = staging.stg_game_events(arrived, known, EVENT_BLOCK)
+    if EVENT_BLOCK not in fresh.columns:
+        fresh = fresh.withColumn(EVENT_BLOCK, staging.game_block())
+    append_table(fresh, root, "stg_game_events", EVENT_BLOCK)
+    marks.update({row["source"]: row["batch"] for row in latest})
+    if marks:
+        replace_table(spark.createDataFrame(list(marks.items()), MARK_SCHEMA), root, EVENT_MARKS)
 
 
 def store_models(

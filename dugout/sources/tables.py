@@ -6,7 +6,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.dedup import latest_run
 from ..operators.ranking import nulls_last
 from .envelopes import FEEDS, Feed
 
@@ -40,9 +39,16 @@ def replace_table(df: DataFrame, root: str, name: str) -> None:
 
 
 def append_table(df: DataFrame, root: str, name: str, partition_by: str | None = None) -> None:
-    """Add rows to a stored model and keep what was there."""
-    writer = df.write.mode("append")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(table_path(root, name))
+    """Add rows to a stored model and keep what was there.
+
+    With ``partition_by`` the rows are rebalanced on that column first, so that a
+    partition gets a few files of decent size and not one from every task.
+    """
+    path = table_path(root, name)
+    if partition_by:
+        df.hint("rebalance", partition_by).write.mode("append").partitionBy(partition_by).parquet(path)
+    else:
+        df.write.mode("append").parquet(path)
 
 
 def save_model(df: DataFrame, name: str, materialized: str = "table") -> None:
@@ -54,16 +60,26 @@ def save_model(df: DataFrame, name: str, materialized: str = "table") -> None:
 
 
 def raw_schema(feed: Feed) -> StructType:
-    return StructType(list(feed.schema.fields)).add("run_id", "string")
+    """Columns of a raw table: the feed's, and where the row came from."""
+    schema = StructType(list(feed.schema.fields))
+    for name in ("run_id", "source", "batch"):
+        schema = schema.add(name, "string")
+    return schema
 
 
 def read_raw(spark: SparkSession, root: str, feed: Feed | str, history: bool = False) -> DataFrame:
-    """A raw table: the latest run's snapshot for replaced feeds, all rows for the others."""
+    """A raw table: the latest run's snapshot for replaced feeds, all rows for the others.
+
+    The latest run id is looked up first, so only its partitions are read afterwards.
+    """
     feed = FEEDS[feed] if isinstance(feed, str) else feed
     rows = read_if_there(spark, root, feed.table, raw_schema(feed))
     if rows is None:
         return spark.createDataFrame([], raw_schema(feed))
-    return latest_run(rows) if feed.replace and not history else rows
+    if not feed.replace or history:
+        return rows
+    latest = rows.agg(F.max("run_id")).first()[0]
+    return rows.filter(F.col("run_id") == F.lit(latest))
 
 
 def run_query(spark: SparkSession, sql: str, **args) -> DataFrame:

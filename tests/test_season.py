@@ -3,6 +3,8 @@ from datetime import date, datetime
 import pytest
 from conftest import listed, season_documents
 
+from pyspark.sql import functions as F
+
 from dugout.operators.quality import CheckFailed
 from dugout.plans import season, summaries
 from dugout.plans.season import CONTRACTS, Paths
@@ -59,6 +61,30 @@ def test_whole_run_twice(spark, paths):
     assert pages["players"].first()["player_id"] == 1050
 
 
+def test_events_are_staged_by_batch(spark, values, tmp_path):
+    from dugout.sources.envelopes import FEEDS, to_messages
+    from dugout.streaming.land import land_batch
+
+    root = str(tmp_path)
+
+    def stage(source, batch, *games):
+        if games:
+            rows = values("game_pk int, at_bat_index int, is_complete boolean, description string", *[(g, 0, True, batch) for g in games])
+            land_batch(to_messages(rows, FEEDS["game_events"], "r1", F.current_timestamp()), root, source, batch)
+        raw = read_raw(spark, root, "game_events")
+        season.stage_events(spark, root, raw)
+        from dugout.sources.tables import read_table
+
+        return listed(read_table(spark, root, "stg_game_events", season.event_schema(raw)), "event_id", "description")
+
+    assert stage("feed", "5") == []
+    assert stage("feed", "5", 1, 2) == [("1_0", "5"), ("2_0", "5")]
+    assert stage("feed", "6", 2, 3001) == [("1_0", "5"), ("2_0", "5"), ("3001_0", "6")]
+    # Another stream counts its batches from the start.
+    assert stage("other", "0", 1, 4)[-1] == ("4_0", "0")
+    assert len(stage("feed", "6")) == 4
+
+
 def test_direct_run(spark, paths, tmp_path):
     direct = Paths(paths.documents, paths.messages, str(tmp_path / "tables"), paths.checkpoints)
     report = season.run_direct(spark, direct, 2026, DAY, "2026-04-10T01")
