@@ -15,8 +15,8 @@ from ..session import settle
 from ..sources import feeds, schemas
 from ..sources.envelopes import FEEDS, to_messages
 from ..sources.tables import (
-    append_table, game_results_in_order, pitching_leaders_in_order, player_stats_in_order,
-    read_if_there, read_raw, read_table, replace_table, standings_in_order,
+    append_table, game_results_in_order, open_table, pitching_leaders_in_order,
+    player_stats_in_order, read_raw, read_table, replace_table, standings_in_order,
 )
 from ..streaming.land import land_rows, land_stream, read_messages, write_messages
 from . import marts, predictions, staging, summaries
@@ -141,8 +141,8 @@ def build_staging(spark: SparkSession, root: str) -> dict[str, DataFrame]:
         "stg_pitching_stats": staging.stg_pitching_stats(raw["pitching_stats"]),
     }
     stored = store_models(spark, root, models)
-    plays = read_table(spark, root, "stg_game_events", event_schema(raw["game_events"]))
-    return {**stored, "stg_game_events": plays}
+    plays = event_schema(raw["game_events"])
+    return {**stored, "stg_game_events": open_table(spark, root, "stg_game_events", plays, [EVENT_BLOCK])}
 
 
 def event_schema(raw: DataFrame) -> StructType:
@@ -157,23 +157,20 @@ def stage_events(spark: SparkSession, root: str, raw: DataFrame) -> None:
     are lost, the batches are read again and their keys found in the table, so nothing is
     stored twice. Marks are one line per landing stream.
     """
-    stored = read_if_there(spark, root, EVENT_MARKS, MARK_SCHEMA)
-    marks = {row["source"]: row["batch"] for row in stored.collect()} if stored is not None else {}
+    stored = open_table(spark, root, EVENT_MARKS, MARK_SCHEMA)
+    marks = {row["source"]: row["batch"] for row in stored.collect()}
     new = ~F.col("source").isin(list(marks)) if marks else F.lit(True)
     for source, batch in marks.items():
         new = new | ((F.col("source") == source) & (F.col("batch") > batch))
     arrived = raw.filter(new)
     latest = arrived.groupBy("source").agg(F.max("batch").alias("batch")).collect()
-    known = read_if_there(spark, root, "stg_game_events", event_schema(raw))
-    if known is not None and not latest:
+    if not latest:
         return
+    known = open_table(spark, root, "stg_game_events", event_schema(raw), [EVENT_BLOCK])
     fresh = staging.stg_game_events(arrived, known, EVENT_BLOCK)
-    if EVENT_BLOCK not in fresh.columns:
-        fresh = fresh.withColumn(EVENT_BLOCK, staging.game_block())
     append_table(fresh, root, "stg_game_events", EVENT_BLOCK)
     marks.update({row["source"]: row["batch"] for row in latest})
-    if marks:
-        replace_table(spark.createDataFrame(list(marks.items()), MARK_SCHEMA), root, EVENT_MARKS)
+    replace_table(spark.createDataFrame(list(marks.items()), MARK_SCHEMA), root, EVENT_MARKS)
 
 
 def store_models(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -10,6 +11,10 @@ from ..operators.ranking import nulls_last
 from .envelopes import FEEDS, Feed
 
 
+# Folder levels of a raw table.
+LANDED = ("source", "batch", "run_id")
+
+
 def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
@@ -21,16 +26,17 @@ def read_table(
     return reader.parquet(table_path(root, name))
 
 
-def read_if_there(
-    spark: SparkSession, root: str, name: str, schema: StructType | None = None
-) -> DataFrame | None:
-    """A stored table, or None before its first write."""
-    try:
-        return read_table(spark, root, name, schema)
-    except AnalysisException as problem:
-        if problem.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+def open_table(
+    spark: SparkSession,
+    root: str,
+    name: str,
+    schema: StructType,
+    partition_by: Sequence[str] = (),
+) -> DataFrame:
+    """A stored table that may not have been written yet; it is made empty then."""
+    empty = spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*partition_by)
+    empty.parquet(table_path(root, name))
+    return read_table(spark, root, name, schema)
 
 
 def replace_table(df: DataFrame, root: str, name: str) -> None:
@@ -62,7 +68,7 @@ def save_model(df: DataFrame, name: str, materialized: str = "table") -> None:
 def raw_schema(feed: Feed) -> StructType:
     """Columns of a raw table: the feed's, and where the row came from."""
     schema = StructType(list(feed.schema.fields))
-    for name in ("run_id", "source", "batch"):
+    for name in LANDED:
         schema = schema.add(name, "string")
     return schema
 
@@ -73,12 +79,10 @@ def read_raw(spark: SparkSession, root: str, feed: Feed | str, history: bool = F
     The latest run id is looked up first, so only its partitions are read afterwards.
     """
     feed = FEEDS[feed] if isinstance(feed, str) else feed
-    rows = read_if_there(spark, root, feed.table, raw_schema(feed))
-    if rows is None:
-        return spark.createDataFrame([], raw_schema(feed))
+    rows = open_table(spark, root, feed.table, raw_schema(feed), LANDED)
     if not feed.replace or history:
         return rows
-    latest = rows.agg(F.max("run_id")).first()[0]
+    latest = rows.agg(F.max("run_id")).first()[0]  # one value
     return rows.filter(F.col("run_id") == F.lit(latest))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.dedup import columns_as_order, keep_first, keep_unseen
 from ..operators.monitor import message_rate
-from ..sources.tables import append_table, read_if_there
+from ..sources.tables import append_table, open_table
 
 
 def append_unseen(
@@ -26,15 +26,12 @@ def append_unseen(
     batch reads the keys of the partitions it touches and not the whole history.
     """
 
+    levels = [prune_by] if prune_by else []
+
     def add(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
+        known = open_table(batch.sparkSession, root, table, batch.schema, levels)
         single = keep_first(batch, [key], columns_as_order(batch, [key]))
-        known = read_if_there(spark, root, table, batch.schema)
-        if known is None:
-            fresh = single.filter(F.col(key).isNotNull())
-        else:
-            fresh = keep_unseen(single, known, key, prune_by)
-        append_table(fresh, root, table, prune_by)
+        append_table(keep_unseen(single, known, key, prune_by), root, table, prune_by)
 
     return (
         stream.writeStream.foreachBatch(add)

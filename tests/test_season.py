@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from dugout.operators.quality import CheckFailed
 from dugout.plans import season, summaries
 from dugout.plans.season import CONTRACTS, Paths
-from dugout.sources.tables import read_raw
+from dugout.sources.tables import open_table, read_raw
 
 DAY = date(2026, 4, 10)
 
@@ -73,9 +73,7 @@ def test_events_are_staged_by_batch(spark, values, tmp_path):
             land_batch(to_messages(rows, FEEDS["game_events"], "r1", F.current_timestamp()), root, source, batch)
         raw = read_raw(spark, root, "game_events")
         season.stage_events(spark, root, raw)
-        from dugout.sources.tables import read_table
-
-        return listed(read_table(spark, root, "stg_game_events", season.event_schema(raw)), "event_id", "description")
+        return listed(open_table(spark, root, "stg_game_events", season.event_schema(raw), ["game_block"]), "event_id", "description")
 
     assert stage("feed", "5") == []
     assert stage("feed", "5", 1, 2) == [("1_0", "5"), ("2_0", "5")]
