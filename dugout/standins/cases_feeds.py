@@ -27,7 +27,7 @@ def _person(key: Column, name: Column) -> Column:
 
 @case("""
     SELECT s_suppkey AS team_id, s_name AS team_name, 'S' || s_nationkey AS abbreviation,
-           CASE WHEN s_acctbal >= 0 THEN s_nationkey END AS division_id,
+           CASE WHEN s_acctbal >= 0 THEN s_nationkey::BIGINT END AS division_id,
            CASE WHEN s_acctbal >= 0 THEN 'N' || s_nationkey END AS division_name, 2026 AS season
     FROM supplier
     UNION ALL
@@ -55,14 +55,14 @@ def flatten_teams(spark, folder):
 
 
 @case("""
-    SELECT c_custkey AS team_id, c_name AS team_name, 200 + c_nationkey % 8 AS division_id,
+    SELECT c_custkey AS team_id, c_name AS team_name, (200 + c_nationkey % 8)::BIGINT AS division_id,
            CASE c_nationkey % 8 WHEN 0 THEN 'AL West' WHEN 1 THEN 'AL East' WHEN 2 THEN 'AL Central'
                 WHEN 3 THEN 'NL West' WHEN 4 THEN 'NL East' WHEN 5 THEN 'NL Central'
                 ELSE (200 + c_nationkey % 8)::VARCHAR END AS division,
            CASE c_nationkey % 3 WHEN 0 THEN 'American League' WHEN 1 THEN 'National League'
                 ELSE '105' END AS league,
-           c_nationkey AS wins, c_nationkey + 1 AS losses, 0.5 AS win_pct, '1.5' AS games_back,
-           c_nationkey * 2 + 1 AS games_played
+           c_nationkey::BIGINT AS wins, c_nationkey::BIGINT + 1 AS losses, 0.5::DOUBLE AS win_pct,
+           '1.5' AS games_back, c_nationkey::BIGINT * 2 + 1 AS games_played
     FROM customer
     UNION ALL
     SELECT -1 - c_custkey, c_mktsegment, 200 + c_nationkey % 8,
@@ -192,8 +192,8 @@ def two_sided_unpivot(spark, folder):
 
 
 @case("""
-    SELECT c_custkey AS player_id, c_name AS player_name, c_nationkey AS team_id,
-           c_nationkey + 7 AS games, c_nationkey * 3 AS at_bats, '.250' AS batting_avg,
+    SELECT c_custkey AS player_id, c_name AS player_name, c_nationkey::BIGINT AS team_id,
+           c_nationkey::BIGINT + 7 AS games, c_nationkey::BIGINT * 3 AS at_bats, '.250' AS batting_avg,
            CASE WHEN c_acctbal >= 0 THEN '.777' END AS ops, 2026 AS season
     FROM customer""")
 def flatten_hitting(spark, folder):
@@ -217,8 +217,8 @@ def flatten_hitting(spark, folder):
 
 
 @case("""
-    SELECT s_suppkey AS player_id, s_name AS player_name, s_nationkey AS team_id,
-           s_nationkey + 7 AS games, s_nationkey AS games_started, s_nationkey || '.1' AS innings_pitched,
+    SELECT s_suppkey AS player_id, s_name AS player_name, s_nationkey::BIGINT AS team_id,
+           s_nationkey::BIGINT + 7 AS games, s_nationkey::BIGINT AS games_started, s_nationkey || '.1' AS innings_pitched,
            '-.--' AS era, 2026 AS season
     FROM supplier""")
 def flatten_pitching(spark, folder):

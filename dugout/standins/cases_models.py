@@ -151,7 +151,7 @@ def hitting_staging(spark, folder):
         FROM (SELECT l_suppkey::INT AS player_id, l_returnflag AS team_name, count(*)::INT AS games,
                      (count(*) // 3) || '.' || (count(*) % 3) AS innings_pitched,
                      floor(count(*) * 100 / 7) / 100 AS era,
-                     CASE WHEN count(*) < 100 THEN count(*) END AS whip
+                     CASE WHEN count(*) < 100 THEN count(*)::DOUBLE END AS whip
               FROM lineitem GROUP BY l_suppkey, l_returnflag) s) t WHERE rn = 1""")
 def pitching_staging(spark, folder):
     """The pitching staging model; a value too wide for its decimal is missing."""

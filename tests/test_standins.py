@@ -9,7 +9,7 @@ from conftest import plan
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "tools"))
 
 import __spark_entry__ as driver  # noqa: E402
-from compare import compare, oracle  # noqa: E402
+from compare import compare, oracle, type_differences  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 CASES = driver.queries()
@@ -37,6 +37,7 @@ def test_query_equals_sql(spark, db, name):
     df = CASES[name](spark, FOLDER)
     check_shape(plan(df))
     assert compare(db, driver.oracle_sql()[name], df.columns, df.collect()) == ""
+    assert type_differences(db, driver.oracle_sql()[name], df.dtypes) == {}
 
 
 def test_every_query_has_sql():
