@@ -45,7 +45,8 @@ def spaced_chunks(segment: str) -> list[str]:
     No token crosses from a visible character to white space, so the chunks' tokens are the
     segment's. The quick way is for texts whose words are one blank or line break apart.
     """
-    if not ("  " in segment or "\n\n" in segment or " \n" in segment or "\n " in segment):
+    odd = segment[0].isspace() or segment[-1].isspace() or "  " in segment or "\n\n" in segment
+    if not (odd or " \n" in segment or "\n " in segment):
         parts = segment.replace("\n", " \n").split(" ")
         if len(parts) == len(segment.split()):
             rest = [p if p[0] == "\n" else " " + p for p in parts[1:]]
