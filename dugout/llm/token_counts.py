@@ -33,7 +33,7 @@ def count_tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1)
-            counts = [0 if x is None else count_text(x, path) for x in map(pa.Scalar.as_py, texts)]
+            counts = [0 if x is None else count_text(x, path) for x in texts.to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(counts, pa.int64())],
                 ["key", "n_bytes", "n_tokens"],
