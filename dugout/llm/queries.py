@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import token_counts
+from . import packing, token_counts
 from .common import table
 
 
@@ -20,6 +20,11 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
-QUERIES = {f.__name__: f for f in (op5_token_counts,)}
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed into windows of 2048 tokens."""
+    return packing.pack(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op5_token_counts, op8_packing)}
 
 SQL: dict[str, str] = {}
