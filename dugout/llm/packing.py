@@ -162,7 +162,7 @@ def pack(
                         sequence[row], offset[row] = number, at
                         at += length
                 number += 1
-        frame["sequence_id"] = pd.Series(sequence, dtype="int64") + (frame["group"] << 32)
+        frame["sequence_id"] = pd.Series(sequence, dtype="int64") + frame["group"] * (1 << 32)
         frame["offset"] = pd.Series(offset, dtype="int64")
         return frame.drop(columns="group")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import packing, token_counts
+from . import packing, simhash, token_counts
 from .common import table
 
 
@@ -25,6 +25,11 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op5_token_counts, op8_packing)}
+def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints and near-duplicate groups of all documents."""
+    return simhash.simhash_classes(table(spark, folder, "documents"), words=3, max_bits=2)
+
+
+QUERIES = {f.__name__: f for f in (op5_token_counts, op8_packing, op10_simhash)}
 
 SQL: dict[str, str] = {}
