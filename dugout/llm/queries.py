@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import packing, simhash, token_counts
+from . import language, packing, simhash, token_counts
 from .common import table
 
 
@@ -20,6 +20,11 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Predicted languages of all documents, learned from three quarters of them."""
+    return language.fit_and_predict(table(spark, folder, "documents"))
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents packed into windows of 2048 tokens."""
     return packing.pack(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
@@ -30,6 +35,6 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_classes(table(spark, folder, "documents"), words=3, max_bits=2)
 
 
-QUERIES = {f.__name__: f for f in (op5_token_counts, op8_packing, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op5_token_counts, op6_language_id, op8_packing, op10_simhash)}
 
 SQL: dict[str, str] = {}
