@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language, packing, simhash, token_counts
+from . import language, packing, simhash, token_counts, urls
 from .common import table
 
 
@@ -14,6 +14,23 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+#: The rules of the contract.
+URL_RULES = (
+    urls.Rule("allow", "com", "/"),
+    urls.Rule("block", "example.com", "/en/"),
+    urls.Rule("allow", "www.example.com", "/en/"),
+    urls.Rule("block", "net", "/es/"),
+    urls.Rule("block", "net", "/fr/"),
+)
+
+
+def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdicts on all pages; a page is labelled by the document of its number."""
+    bad = ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("bad")
+    labels = table(spark, folder, "labels").select(F.col("doc_id").alias("page_id"), bad)
+    return urls.judge(table(spark, folder, "pages"), labels, URL_RULES)
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Token counts of all documents, and which are longer than a window of 512."""
     counts = token_counts.count_tokens(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
@@ -35,6 +52,6 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_classes(table(spark, folder, "documents"), words=3, max_bits=2)
 
 
-QUERIES = {f.__name__: f for f in (op5_token_counts, op6_language_id, op8_packing, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op2_url_filter, op5_token_counts, op6_language_id, op8_packing, op10_simhash)}
 
 SQL: dict[str, str] = {}
