@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language, packing, simhash, token_counts, urls
+from . import language, mixing, packing, pii, simhash, token_counts, urls
 from .common import table
 
 
@@ -14,6 +14,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents replicated so that sources weigh as the square roots of their sizes."""
+    return mixing.replicate(table(spark, folder, "documents"), seed=11, temperature=0.5)
+
+
 #: The rules of the contract.
 URL_RULES = (
     urls.Rule("allow", "com", "/"),
@@ -42,6 +47,18 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.fit_and_predict(table(spark, folder, "documents"))
 
 
+def surrogate_key(spark: SparkSession) -> bytes:
+    """The secret that surrogates depend on; the default is for proofs only."""
+    return spark.conf.get("dugout.pii.key", "proof").encode()
+
+
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with personal data replaced, and how much each type was found."""
+    replaced = pii.replace_pii(table(spark, folder, "documents"), surrogate_key(spark))
+    counts = [F.coalesce(F.col("pii_counts")[k], F.lit(0)).alias(f"n_{k}") for k in pii.TYPES]
+    return replaced.select("*", *counts).drop("pii_counts")
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents packed into windows of 2048 tokens."""
     return packing.pack(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
@@ -52,6 +69,31 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_classes(table(spark, folder, "documents"), words=3, max_bits=2)
 
 
-QUERIES = {f.__name__: f for f in (op2_url_filter, op5_token_counts, op6_language_id, op8_packing, op10_simhash)}
-
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_url_filter, op3_mixing, op5_token_counts, op6_language_id, op7_pii, op8_packing, op10_simhash)}
+
+SQL: dict[str, str] = {
+    "op3_mixing": """
+        WITH sources AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+        rates AS (
+            SELECT source, sqrt(n) * (sum(n) OVER () / sum(sqrt(n)) OVER ()) / n AS rate FROM sources
+        ),
+        parts AS (SELECT source, rate, greatest(1, ceil(rate / 64))::BIGINT AS parts FROM rates),
+        chances AS (
+            SELECT source, parts, k, exp(k * ln(rate / parts) - rate / parts - lgamma(k + 1)) AS chance
+            FROM parts, range(0, 200) AS t(k)
+        ),
+        cdf AS (
+            SELECT source, parts, list(c) AS cdf FROM (
+                SELECT source, parts, sum(chance) OVER (PARTITION BY source ORDER BY k) AS c FROM chances
+            ) GROUP BY source, parts
+        ),
+        numbered AS (
+            SELECT d.*, list_sum(list_transform(range(0, parts), lambda part: len(list_filter(cdf, lambda c:
+                c <= (('0x' || substr(md5('11:' || d.doc_id || ':' || part), 1, 13))::BIGINT + 0.5)
+                    / 4503599627370496.0)))) AS number
+            FROM documents d JOIN cdf ON d.source IS NOT DISTINCT FROM cdf.source
+        )
+        SELECT doc_id, text, lang, source, n_chars, unnest(range(1, number::BIGINT + 1))::INTEGER AS copy
+        FROM numbered
+    """,
+}
