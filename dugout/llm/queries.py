@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language, mixing, packing, pii, simhash, token_counts, urls
+from . import language, mixing, packing, pii, secrets, simhash, token_counts, urls
 from .common import table
 
 
@@ -36,6 +36,11 @@ def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(table(spark, folder, "pages"), labels, URL_RULES)
 
 
+def op4_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """All long strings of all documents with their probability of being a secret."""
+    return secrets.scan(table(spark, folder, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Token counts of all documents, and which are longer than a window of 512."""
     counts = token_counts.count_tokens(table(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"))
@@ -69,7 +74,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_classes(table(spark, folder, "documents"), words=3, max_bits=2)
 
 
-QUERIES = {f.__name__: f for f in (op2_url_filter, op3_mixing, op5_token_counts, op6_language_id, op7_pii, op8_packing, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op2_url_filter, op3_mixing, op4_secret_scan, op5_token_counts, op6_language_id, op7_pii, op8_packing, op10_simhash)}
 
 SQL: dict[str, str] = {
     "op3_mixing": """
