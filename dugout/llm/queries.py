@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language, mixing, packing, pii, secrets, simhash, token_counts, urls
+from . import language, mixing, packing, pii, secrets, simhash, token_counts, urls, vectors
 from .common import table
 
 
@@ -14,6 +14,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_near_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicates among all vectors of a label."""
+    return vectors.near_vectors(table(spark, folder, "embeddings"), least=0.93)
+
+
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents replicated so that sources weigh as the square roots of their sizes."""
     return mixing.replicate(table(spark, folder, "documents"), seed=11, temperature=0.5)
@@ -74,7 +79,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_classes(table(spark, folder, "documents"), words=3, max_bits=2)
 
 
-QUERIES = {f.__name__: f for f in (op2_url_filter, op3_mixing, op4_secret_scan, op5_token_counts, op6_language_id, op7_pii, op8_packing, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_near_vectors, op2_url_filter, op3_mixing, op4_secret_scan, op5_token_counts, op6_language_id, op7_pii, op8_packing, op10_simhash)}
 
 SQL: dict[str, str] = {
     "op3_mixing": """
