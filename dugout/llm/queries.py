@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language, mixing, packing, pii, secrets, simhash, token_counts, urls, vectors
+from . import language, mixing, packing, pii, secrets, simhash, token_counts, topk, urls, vectors
 from .common import table
 
 
@@ -74,14 +74,64 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op9_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector with all others."""
+    return topk.top_products(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints and near-duplicate groups of all documents."""
     return simhash.simhash_classes(table(spark, folder, "documents"), words=3, max_bits=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_near_vectors, op2_url_filter, op3_mixing, op4_secret_scan, op5_token_counts, op6_language_id, op7_pii, op8_packing, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_near_vectors, op2_url_filter, op3_mixing, op4_secret_scan, op5_token_counts, op6_language_id, op7_pii, op8_packing, op9_exact_topk, op10_simhash)}
 
 SQL: dict[str, str] = {
+    "op1_near_vectors": """
+        WITH RECURSIVE fine AS (
+            SELECT row_number() OVER () AS row, vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ),
+        links AS (
+            SELECT a.row AS a, b.row AS b FROM fine a JOIN fine b
+            ON a.label = b.label AND a.row <> b.row AND len(a.v) = len(b.v)
+            WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+        ),
+        reach AS (
+            SELECT a AS start, b AS there FROM links
+            UNION SELECT reach.start, links.b FROM reach JOIN links ON links.a = reach.there
+        ),
+        degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+        least AS (SELECT start, min(vec_id) AS least FROM reach JOIN fine ON fine.row = there GROUP BY start),
+        judged AS (
+            SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(least, vec_id)) AS component_id
+            FROM fine LEFT JOIN degrees ON a = row LEFT JOIN least ON start = row
+            UNION ALL
+            SELECT vec_id, 0::BIGINT, vec_id FROM embeddings
+            WHERE label IS NULL OR embedding IS NULL OR len(embedding) = 0
+               OR len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) > 0
+               OR len(list_filter(embedding, lambda x: x <> 0)) = 0
+        )
+        SELECT vec_id, n_links, component_id, coalesce(vec_id = component_id, false) AS kept FROM judged
+    """,
+    "op9_exact_topk": """
+        WITH whole AS (
+            SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+            FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)
+        ),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
     "op3_mixing": """
         WITH sources AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
         rates AS (
