@@ -192,7 +192,7 @@ def surrogate(kind: str, value: str, key: bytes, attempt: int = 0) -> str:
     part, *gender, script, name = value.split(" ")
     mixed = int.from_bytes(hashlib.blake2b(f"{tweak}|{value}".encode(), key=key, digest_size=8).digest(), "big")
     if part == "given":
-        first = _GIVEN.get((script, gender[0]), _GIVEN["latin", "n"])
+        first = [n for n in _GIVEN.get((script, gender[0]), _GIVEN["latin", "n"]) if not name.startswith(n.lower())]
         mixed, at = divmod(mixed, len(first))
         return f"given {gender[0]} {script} {first[at].lower()}{_spelled(mixed, script, 4 + attempt // 8)}"
     return f"family {script} {_spelled(mixed, script, 6 + attempt // 8)}"

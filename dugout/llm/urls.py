@@ -93,7 +93,7 @@ def mine(
     schema = "antecedent array<string>, support double, confidence double, anchor string"
     labelled = settle(labelled.select("__tokens", "bad"), "labelled")
     n = labelled.count()
-    if not n:
+    if n < min_count:
         return spark.createDataFrame([], schema)
     floor = max(min_support, min_count / n)
     common = (
