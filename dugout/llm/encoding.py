@@ -20,7 +20,7 @@ SEGMENT_CHARS = 1 << 20
 #: UTF-8 bytes given to the library at once.
 BATCH_BYTES = 1 << 18
 #: Characters of remembered chunks in a worker process, after which it starts afresh.
-MEMORY_CHARS = 8_000_000
+MEMORY_CHARS = 48_000_000
 
 
 def segments(text: str, size: int = SEGMENT_CHARS) -> Iterator[str]:
@@ -93,20 +93,66 @@ class ChunkEncoder:
             self.known = {"": self.value([])}
             self.held = 0
         known = self.known
-        unseen = {c for c in chunks if c not in known}
+        self._learn({c for c in chunks if c not in known})
+        return map(known.__getitem__, chunks)
+
+    def _learn(self, unseen: Iterable[str]) -> None:
         for batch in by_bytes(unseen):
             for chunk, code in zip(batch, self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)):
-                known[chunk] = self.value(code.ids)
-                self.held += len(chunk) + 24
-        return map(known.__getitem__, chunks)
+                self._keep(chunk, self.value(code.ids))
+
+    def _keep(self, chunk: str, value: object) -> None:
+        self.known[chunk] = value
+        self.held += len(chunk) + 24
+
+
+#: A Latin word and a full stop or comma, which word vocabularies split before they merge.
+_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+#: Characters that stand for bytes: printable ones for themselves, the others from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_HIDDEN = [b for b in range(256) if b not in _PRINTABLE]
+_BYTES = {b: chr(b) for b in _PRINTABLE} | {b: chr(256 + i) for i, b in enumerate(_HIDDEN)}
+
+
+class WordEncoder(ChunkEncoder):
+    """For vocabularies that lower-case and split words from punctuation before merging.
+
+    The merges of plain words are asked for directly, without the library's steps before
+    them, which leave such words as they are but for the case. A word serves all its
+    spellings, so values of joined ids must be sums of values.
+    """
+
+    def _learn(self, unseen: Iterable[str]) -> None:
+        other = []
+        for chunk in unseen:
+            plain = _WORD.fullmatch(chunk)
+            if plain is None or len(chunk) > 64:
+                other.append(chunk)
+                continue
+            word, mark = plain[1].lower(), plain[2]
+            if word not in self.known:
+                self._keep(word, self._merged(word))
+            if mark:
+                if mark not in self.known:
+                    self._keep(mark, self._merged(mark))
+                self._keep(chunk, self.known[word] + self.known[mark])
+            elif word != chunk:
+                self._keep(chunk, self.known[word])
+        super()._learn(other)
+
+    def _merged(self, word: str) -> object:
+        as_bytes = "".join(map(_BYTES.__getitem__, word.encode()))
+        return self.value([t.id for t in self.tokenizer.model.tokenize(as_bytes)])
 
 
 _ENCODERS: dict[tuple[str, str], ChunkEncoder] = {}
 
 
-def encoder(path: str, kind: str, value: Callable[[list[int]], object]) -> ChunkEncoder:
+def encoder(
+    path: str, kind: str, value: Callable[[list[int]], object], made: type[ChunkEncoder] = ChunkEncoder
+) -> ChunkEncoder:
     """The encoder of this worker process; tasks that follow each other share it."""
     key = (path, kind)
     if key not in _ENCODERS:
-        _ENCODERS[key] = ChunkEncoder(path, value)
+        _ENCODERS[key] = made(path, value)
     return _ENCODERS[key]

@@ -98,7 +98,7 @@ def _little(ids: list[int]) -> bytes:
 
 def document_ids(text: str | None, path: str, end: int) -> bytes:
     """A whole text's ids and the end id, as little-endian unsigned 32-bit numbers."""
-    codes = encoding.encoder(path, "ids", _little)
+    codes = encoding.encoder(path, "ids", _little, encoding.WordEncoder)
     parts = [b"".join(codes.values(encoding.plain_chunks(s))) for s in encoding.segments(text or "")]
     return b"".join([*parts, _little([end])])
 
