@@ -27,7 +27,7 @@ KEPT_ENTRIES = 10_000
 ORDERS = (5, 4, 3, 2, 1)
 SMOOTHING = 0.5
 #: Characters of remembered words in a worker process, after which it starts afresh.
-MEMORY_CHARS = 6_000_000
+MEMORY_CHARS = 40_000_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -50,17 +50,22 @@ class Model:
     languages: tuple[str, ...]
     entries: dict[tuple[int, str], int]
     scores: np.ndarray
-    unknown: dict[int, np.ndarray]
+    unknown: dict[int, int]
 
     def word(self, word: str) -> np.ndarray:
-        """Scores of one word: its own, or the mean of its longest n-grams that are known."""
-        own = self.entries.get((0, word))
+        """Scores of one word: its own, or the mean of its longest n-grams that are known.
+
+        ``unknown`` has the row of ``scores`` for an n-gram that is not known, by length.
+        """
+        get = self.entries.get
+        own = get((0, word))
         if own is not None:
             return self.scores[own]
         for n in ORDERS:
-            parts = [self.entries.get((n, g)) for g in grams(word, n)]
-            if any(p is not None for p in parts):
-                return np.mean([self.unknown[n] if p is None else self.scores[p] for p in parts], axis=0)
+            no = self.unknown[n]
+            rows = [get((n, g), no) for g in grams(word, n)]
+            if rows and rows.count(no) < len(rows):
+                return np.add.reduce(self.scores.take(rows, axis=0)) / len(rows)
         return np.zeros(len(self.languages))
 
 
@@ -74,18 +79,32 @@ class Scorer:
     def _reset(self) -> None:
         self.rows: dict[str, int] = {}
         self.table = np.zeros((1024, len(self.model.languages) + 1))
-        self.held = 0
+        self.filled = self.held = 0
 
-    def _learn(self, chunk: str) -> None:
-        at = len(self.rows)
+    def _row(self, words: list[str]) -> int:
+        at = self.filled
         if at == len(self.table):
             self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        words = words_of(chunk)
         for word in words:
             self.table[at, :-1] += self.model.word(word)
         self.table[at, -1] = len(words)
-        self.rows[chunk] = at
-        self.held += len(chunk) + 8 * self.table.shape[1]
+        self.filled += 1
+        self.held += 8 * self.table.shape[1]
+        return at
+
+    def _keep(self, chunk: str, row: int) -> None:
+        self.rows[chunk] = row
+        self.held += len(chunk) + 24
+
+    def _learn(self, chunk: str) -> None:
+        words = words_of(chunk)
+        if words == [chunk] or len(words) != 1:
+            self._keep(chunk, self._row(words))
+            return
+        word = words[0]  # all spellings of a word share its row
+        if word not in self.rows:
+            self._keep(word, self._row(words))
+        self._keep(chunk, self.rows[word])
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and its probability among the learned languages."""
@@ -95,7 +114,8 @@ class Scorer:
                 self._reset()
             chunks = segment.split()
             for chunk in {c for c in chunks if c not in self.rows}:
-                self._learn(chunk)
+                if chunk not in self.rows:
+                    self._learn(chunk)
             places = np.fromiter(map(self.rows.__getitem__, chunks), np.int64, len(chunks))
             total += self.table[places].sum(axis=0)
         if not total[-1] or not self.model.languages:
@@ -172,8 +192,8 @@ def fit(
     at = [rows[name] for name in zip(kept["order"].tolist(), kept["entry"].tolist())]
     scores[at, [column[l] for l in kept["lang"]]] += kept["n"].to_numpy()
     orders = np.array([order for order, _ in names], dtype=int)
-    scores = np.log(scores / total[orders]) if names else scores
-    return Model(languages, rows, scores, {n: np.log(SMOOTHING / total[n]) for n in (0, *ORDERS)})
+    scores = np.concatenate([scores / total[orders], SMOOTHING / total[list(ORDERS)]])
+    return Model(languages, rows, np.log(scores), {n: len(names) + i for i, n in enumerate(ORDERS)})
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

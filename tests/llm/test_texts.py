@@ -235,7 +235,8 @@ def test_word_scores_back_off_to_shorter_grams():
 
     entries = {(o, g): i for i, (_, o, g, _) in enumerate(counts)}
     scores = np.array([[-1.0, -9.0], [-2.0, -8.0], [-8.0, -2.0], [-7.0, -3.0]])
-    model = language.Model(("en", "de"), entries, scores, {n: np.array([-10.0, -10.0]) for n in (0, *language.ORDERS)})
+    scores = np.concatenate([scores, np.full((1, 2), -10.0)])
+    model = language.Model(("en", "de"), entries, scores, dict.fromkeys(language.ORDERS, 4))
     assert model.word("abc").tolist() == [-1.0, -9.0]
     assert model.word("xy")[1] > model.word("xy")[0]  # a known pair among unknown ones
     assert model.word("qz").tolist() == [-8.5, -6.5]  # only the single letter z is known
