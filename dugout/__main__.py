@@ -16,6 +16,7 @@ def main() -> None:
         parser.add_argument(f"--{folder}", required=True)
     parser.add_argument("--season", type=int, required=True)
     parser.add_argument("--day", type=date.fromisoformat, required=True)
+    parser.add_argument("--first-day", type=date.fromisoformat, help="first day of the season's games")
     parser.add_argument("--as-of", type=datetime.fromisoformat, required=True)
     parser.add_argument("--run-id", required=True, help="must sort after all earlier ones")
     parser.add_argument("--whole-files", action="store_true", help="one document per file")
@@ -31,9 +32,9 @@ def main() -> None:
         return
     tables = season.run(
         spark, paths, options.season, options.day, options.as_of, options.run_id,
-        not options.lenient, options.whole_files,
+        not options.lenient, options.whole_files, options.first_day,
     )
-    for report in ("contracts", "freshness", "volume"):
+    for report in ("published", "landed", "contracts", "freshness", "volume"):
         tables[report].show(100, truncate=False)
 
 

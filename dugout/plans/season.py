@@ -18,7 +18,9 @@ from ..sources.tables import (
     append_table, game_results_in_order, open_table, pitching_leaders_in_order,
     player_stats_in_order, read_raw, read_table, replace_table, standings_in_order,
 )
-from ..streaming.land import land_rows, land_stream, read_messages, write_messages
+from ..streaming.land import (
+    land_rows, land_stream, landing_counts, last_batch, read_messages, require_readable, write_messages,
+)
 from . import marts, predictions, staging, summaries
 
 EVENT_BLOCK = "game_block"
@@ -87,32 +89,61 @@ def playable_games(all_games: DataFrame, game_day: date, back: int = 7) -> DataF
     )
 
 
-def feed_rows(
-    spark: SparkSession, paths: Paths, season: int, game_day: date, whole_files: bool = False
+def feed_documents(
+    spark: SparkSession, paths: Paths, name: str, schema: StructType, whole_files: bool = False
+) -> DataFrame:
+    return feeds.read_documents(spark, paths.feed(name), schema, whole_files)
+
+
+def plain_feeds(
+    spark: SparkSession, paths: Paths, season: int, whole_files: bool = False
 ) -> dict[str, DataFrame]:
-    """Flattened rows of all six feeds for one run."""
+    """Teams, standings and statistics, which need no day."""
+    plain = {
+        "teams": (feeds.teams, "teams", schemas.TEAMS_DOC),
+        "standings": (feeds.standings, "standings", schemas.STANDINGS_DOC),
+        "hitting_stats": (feeds.hitting_stats, "hitting", schemas.HITTING_DOC),
+        "pitching_stats": (feeds.pitching_stats, "pitching", schemas.PITCHING_DOC),
+    }
+    return {
+        name: flatten(feed_documents(spark, paths, folder, schema, whole_files), season)
+        for name, (flatten, folder, schema) in plain.items()
+    }
 
-    def documents(name, schema):
-        return feeds.read_documents(spark, paths.feed(name), schema, whole_files)
 
-    schedule_documents = documents("schedule", schemas.SCHEDULE_DOC)
+def season_games(all_games: DataFrame, first_day: date, game_day: date, back: int = 7) -> DataFrame:
+    """Rows of the schedule table: the season's regular games so far, all games of the day,
+    and all games of the days that were walked back over for playable games."""
     today = F.lit(game_day.isoformat()).cast("date")
-    all_games = feeds.games(schedule_documents)
+    oldest = F.date_sub(today, back)
+    playable = playable_games(all_games, game_day, back).agg(F.min("game_day").alias("reached"))
+    # One row: the day the walk stopped at, its far end if no day had a playable game.
+    near = all_games.filter(F.col("game_day").between(oldest, today)).crossJoin(F.broadcast(playable))
+    walked = near.filter(F.col("game_day") >= F.coalesce("reached", oldest))
+    first = F.lit(first_day.isoformat()).cast("date")
+    regular = all_games.filter(F.col("game_day").between(first, today) & (F.col("game_type") == "R"))
+    return union_feeds([regular.select(*feeds.SCHEDULE_COLUMNS), walked.select(*feeds.SCHEDULE_COLUMNS)])
+
+
+def feed_rows(
+    spark: SparkSession,
+    paths: Paths,
+    season: int,
+    game_day: date,
+    whole_files: bool = False,
+    first_day: date | None = None,
+) -> dict[str, DataFrame]:
+    """Flattened rows of all six feeds for one run."""
+    first_day = feeds.first_game_day(season, first_day)
+    # Parsed once: the schedule, the walk back and the plays' games come from these rows.
+    all_games = settle(feeds.games(feed_documents(spark, paths, "schedule", schemas.SCHEDULE_DOC, whole_files)), "games")
     played = playable_games(all_games, game_day).select(F.col("game_pk").alias("gamePk"))
     # Written first, so that its size decides whether the documents must be shuffled.
     wanted = settle(played.distinct(), "played")
-    plays = documents("plays", schemas.PLAYS_DOC).join(wanted, "gamePk", "left_semi")
+    plays = feed_documents(spark, paths, "plays", schemas.PLAYS_DOC, whole_files).join(wanted, "gamePk", "left_semi")
     return {
-        "teams": feeds.teams(documents("teams", schemas.TEAMS_DOC), season),
-        "standings": feeds.standings(documents("standings", schemas.STANDINGS_DOC), season),
-        "schedule": union_feeds(
-            [
-                feeds.season_schedule(schedule_documents, today),
-                feeds.schedule(schedule_documents, today),
-            ]
-        ),
-        "hitting_stats": feeds.hitting_stats(documents("hitting", schemas.HITTING_DOC), season),
-        "pitching_stats": feeds.pitching_stats(documents("pitching", schemas.PITCHING_DOC), season),
+        **plain_feeds(spark, paths, season, whole_files),
+        "schedule": season_games(all_games, first_day, game_day),
         "game_events": feeds.game_events(plays),
     }
 
@@ -224,9 +255,7 @@ def predict_day(
     whole_files: bool = False,
 ) -> DataFrame:
     """Home-run leaderboard of one day's games."""
-    documents = feeds.read_documents(
-        spark, paths.feed("schedule"), schemas.SCHEDULE_DOC, whole_files
-    )
+    documents = feed_documents(spark, paths, "schedule", schemas.SCHEDULE_DOC, whole_files)
     sides = feeds.probable_pitchers(documents, F.lit(game_day.isoformat()).cast("date"))
     return predictions.hr_leaderboard(
         sides, tables["mart_player_stats"], tables["mart_pitching_leaders"]
@@ -237,11 +266,13 @@ def run_checks(
     tables: dict[str, DataFrame], as_of: datetime, strict: bool = True
 ) -> dict[str, DataFrame]:
     """Column rules, freshness of the plays, and volume. ``strict`` raises on failures."""
-    reports = {
+    found = {
         "contracts": quality.contracts(tables, CONTRACTS),
         "freshness": quality.freshness(tables["raw_game_events"], EVENT_TIME, as_of),
         "volume": quality.volume(tables, VOLUME_FLOORS),
     }
+    # Stored, so that looking at a report does not run its checks again.
+    reports = {name: settle(report, name) for name, report in found.items()}
     if strict:
         quality.require(
             reports["contracts"],
@@ -273,15 +304,31 @@ def run(
     run_id: str,
     strict: bool = True,
     whole_files: bool = False,
+    first_day: date | None = None,
+    max_files: int | None = 1000,
 ) -> dict[str, DataFrame]:
     """One scheduled run. Every run, also a repeated one, needs a run id that sorts after
-    the ones before it: the snapshot tables show the messages of the greatest id."""
-    publish(feed_rows(spark, paths, season, game_day, whole_files), paths.messages, run_id, as_of)
-    stream = read_messages(spark, paths.messages)
+    the ones before it: the snapshot tables show the messages of the greatest id.
+
+    ``first_day`` is the season's first day; only that of 2026 is known without it. Besides
+    the tables and reports the result has ``published`` and ``landed``, messages by topic.
+    A micro-batch takes ``max_files`` message files. With ``strict``, unreadable messages
+    raise after everything readable is stored, staged and counted, and only in the run that
+    landed them.
+    """
+    rows = feed_rows(spark, paths, season, game_day, whole_files, first_day)
+    sent = publish(rows, paths.messages, run_id, as_of)
+    before = last_batch(spark, paths.tables)
+    stream = read_messages(spark, paths.messages, max_files)
     land_stream(stream, paths.tables, f"{paths.checkpoints}/land").awaitTermination()
     staged = build_staging(spark, paths.tables)
     stored = build_marts(spark, paths.tables, staged)
     tables = all_tables(spark, paths.tables, staged, stored)
+    new = landing_counts(spark, paths.tables).filter((F.col("source") == "feed") & (F.col("batch") > before))
+    tables["published"] = spark.createDataFrame(sorted(sent.items()), "topic string, n_messages long")
+    tables["landed"] = new.groupBy("topic").agg(F.sum("n_messages").alias("n_messages"), F.sum("n_bad").alias("n_bad"))
+    if strict:
+        require_readable(spark, paths.tables, before)
     return {**tables, **run_checks(tables, as_of, strict)}
 
 
@@ -293,17 +340,18 @@ def run_direct(
     run_id: str,
     whole_files: bool = False,
 ) -> DataFrame:
-    """Teams, standings and the day's schedule without messages, each checked first."""
-    rows = feed_rows(spark, paths, season, game_day, whole_files)
+    """Teams, standings and the day's schedule without messages, each checked first.
+
+    Each of the three tables is replaced, the schedule too."""
+    rows = plain_feeds(spark, paths, season, whole_files)
     today = F.lit(game_day.isoformat()).cast("date")
-    documents = feeds.read_documents(
-        spark, paths.feed("schedule"), schemas.SCHEDULE_DOC, whole_files
-    )
+    documents = feed_documents(spark, paths, "schedule", schemas.SCHEDULE_DOC, whole_files)
     rows["schedule"] = feeds.schedule(documents, today)
     reports = []
     for name, required in REQUIRED.items():
-        reports.append(quality.input_report(rows[name], name, required))
-        land_rows(rows[name], paths.tables, FEEDS[name], run_id)
+        checked = settle(rows[name], name)
+        reports.append(quality.input_report(checked, name, required))
+        land_rows(checked, paths.tables, FEEDS[name], run_id)
     first, *rest = reports
     for report in rest:
         first = first.unionByName(report)

@@ -74,14 +74,19 @@ def to_messages(
 def decode(messages: DataFrame, schema: StructType) -> DataFrame:
     """Parse message values next to the envelope: ``row`` struct and ``is_bad`` flag.
 
-    Bad means missing or not JSON of the expected shape; a valid row of NULLs is not bad.
+    Good is exactly one JSON object of the expected shape; a valid row of NULLs is not bad.
+    Missing and blank text, other JSON values, and text behind the object are bad. A parser
+    stops behind the first value, so the text is put into an object of its own that ends with
+    the text's checksum: only if nothing follows the text's object is the checksum reached.
     """
-    marked = StructType(list(schema.fields)).add(CORRUPT, "string")
-    parsed = F.from_json(
-        "value", marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    )
-    return messages.withColumn("row", parsed).withColumn(
-        "is_bad", F.col("value").isNull() | F.col(f"row.{CORRUPT}").isNotNull()
+    whole = StructType().add("row", schema).add("end", "string").add(CORRUPT, "string")
+    end = F.md5("value")
+    wrapped = F.concat(F.lit('{"row":'), F.col("value"), F.lit(',"end":"'), end, F.lit('"}'))
+    parsed = F.from_json(wrapped, whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    read = messages.withColumn("__read", parsed)
+    good = F.col("__read.row").isNotNull() & F.col(f"__read.{CORRUPT}").isNull() & (F.col("__read.end") == end)
+    return read.select(
+        *messages.columns, F.col("__read.row").alias("row"), (~F.coalesce(good, F.lit(False))).alias("is_bad")
     )
 
 

@@ -6,6 +6,8 @@ flattener is a chain of explodes and field paths, so it runs inside the scan's t
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -14,7 +16,8 @@ from ..functions.lookups import DIVISIONS, LEAGUES, label_or_code
 from ..functions.parse import or_default, win_share
 from ..operators.reshape import sides
 
-FIRST_GAME_DAY = "2026-03-25"
+# Fixed value: first day of the regular season 2026. Other seasons name theirs.
+FIRST_GAME_DAYS = {2026: "2026-03-25"}
 
 
 def read_documents(
@@ -103,26 +106,37 @@ def games(documents: DataFrame) -> DataFrame:
     )
 
 
-_SCHEDULE_COLUMNS = [
+SCHEDULE_COLUMNS = [
     "game_pk", "game_date", "status", "home_team_id", "home_team",
     "away_team_id", "away_team", "home_score", "away_score", "venue",
 ]
 
 
-def schedule(documents: DataFrame, day: Column) -> DataFrame:
-    """All games of one day."""
-    return games(documents).filter(F.col("game_day") == day).select(*_SCHEDULE_COLUMNS)
+def schedule(documents: DataFrame, day: Column, since: Column | None = None) -> DataFrame:
+    """All games of one day, or of all days from ``since`` to it."""
+    days = F.col("game_day") == day if since is None else F.col("game_day").between(since, day)
+    return games(documents).filter(days).select(*SCHEDULE_COLUMNS)
+
+
+def first_game_day(season: int, given: date | None = None) -> date:
+    """The season's first day: as given, or the known one."""
+    if given is None and season not in FIRST_GAME_DAYS:
+        raise ValueError(f"the first game day of season {season} is not known, pass it")
+    return given or date.fromisoformat(FIRST_GAME_DAYS[season])
 
 
 def season_schedule(
     documents: DataFrame, end: Column, start: Column | None = None, game_type: str = "R"
 ) -> DataFrame:
-    """Regular-season games between two days, both included."""
-    start = F.lit(FIRST_GAME_DAY).cast("date") if start is None else start
+    """Regular-season games between two days, both included.
+
+    Without ``start`` it is the first day of 2026; ``first_game_day`` has that of a season.
+    """
+    start = F.lit(FIRST_GAME_DAYS[2026]).cast("date") if start is None else start
     return (
         games(documents)
         .filter(F.col("game_day").between(start, end) & (F.col("game_type") == game_type))
-        .select(*_SCHEDULE_COLUMNS)
+        .select(*SCHEDULE_COLUMNS)
     )
 
 

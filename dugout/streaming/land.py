@@ -12,13 +12,17 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.monitor import topic_counts
 from ..operators.quality import CheckFailed
+from ..session import settle
+from ..sources import schemas
 from ..sources.envelopes import FEEDS, Feed, bad_rows, decode, good_rows
 from ..sources.schemas import ENVELOPE
-from ..sources.tables import table_path
+from ..sources.tables import LANDED, open_table, table_path
 
 QUARANTINE = "quarantine"
+LANDING = "landing"
+# Topic of the counts of messages that no feed has asked for.
+UNKNOWN = "unknown"
 
 
 def read_messages(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
@@ -51,34 +55,35 @@ def land_batch(
     source: str,
     batch: str,
     feeds: Iterable[Feed] = tuple(FEEDS.values()),
-    strict: bool = False,
-) -> dict[str, int]:
-    """Route one batch of envelopes to its tables; returns messages per topic.
+) -> None:
+    """Route one batch of envelopes to its tables, and count its messages in ``landing``.
 
-    The bad messages of a topic are counted while its good ones are written, and only
-    read again, for the quarantine table, if there are any. With ``strict`` they raise,
-    after everything is stored.
+    Unreadable messages and messages of unknown topics go to the quarantine table. Every
+    table is written from the batch's own stored copy, so a topic's good rows are decoded
+    once. The counts are written last: a batch without counts did not end.
     """
     feeds = tuple(feeds)
-    subscribed = messages.filter(F.col("topic").isin([f.name for f in feeds])).persist()
-    try:
-        # One line per subscribed topic.
-        counts = {r["topic"]: r["n_messages"] for r in topic_counts(subscribed).collect()}
-        broken = 0
-        for feed in (f for f in feeds if f.name in counts):
-            seen = Observation()
-            decoded = decode(subscribed.filter(F.col("topic") == feed.name), feed.schema).observe(
-                seen, F.count_if("is_bad").alias("bad")
-            )
-            _store(good_rows(decoded, feed.schema), root, feed.table, source, batch)
-            if seen.get["bad"]:
-                broken += seen.get["bad"]
-                _store(bad_rows(decoded), root, QUARANTINE, f"{source}-{feed.name}", batch)
-        if broken and strict:
-            raise CheckFailed(f"batch {batch} of {source}: {broken} unreadable messages")
-        return counts
-    finally:
-        subscribed.unpersist()
+    known = F.col("topic").isin([f.name for f in feeds])
+    rows = settle(messages, "batch")
+    present = {r["topic"] for r in rows.filter(known).select("topic").distinct().collect()}  # of the feeds
+    lines = []
+    for feed in (f for f in feeds if f.name in present):
+        seen = Observation()
+        decoded = decode(rows.filter(F.col("topic") == feed.name), feed.schema).observe(
+            seen, F.count("*").alias("n"), F.count_if("is_bad").alias("bad")
+        )
+        _store(good_rows(decoded, feed.schema), root, feed.table, source, batch)
+        if seen.get["bad"]:
+            _store(bad_rows(decoded), root, QUARANTINE, f"{source}-{feed.name}", batch)
+        lines.append((feed.name, seen.get["n"], seen.get["bad"]))
+    unknown = rows.filter(~F.coalesce(known, F.lit(False)))
+    if not unknown.isEmpty():
+        seen = Observation()
+        _store(unknown.observe(seen, F.count("*").alias("n")), root, QUARANTINE, f"{source}-{UNKNOWN}", batch)
+        lines.append((UNKNOWN, seen.get["n"], seen.get["n"]))
+    counts = messages.sparkSession.createDataFrame(lines, "topic string, n_messages long, n_bad long")
+    path = f"{table_path(root, LANDING)}/source={source}/batch={batch}"
+    counts.coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def land_stream(
@@ -87,16 +92,17 @@ def land_stream(
     checkpoint: str,
     source: str = "feed",
     feeds: Iterable[Feed] = tuple(FEEDS.values()),
-    strict: bool = False,
 ) -> StreamingQuery:
     """Drain what has arrived since the last run, then stop.
 
     The checkpoint remembers the position; ``source`` belongs to the checkpoint and
-    keeps its batch folders apart from those of other streams.
+    keeps its batch folders apart from those of other streams. Unreadable messages never
+    fail a batch, which would come again for ever; ``require_readable`` looks at the counts
+    after the drain.
     """
 
     def route(batch: DataFrame, batch_id: int) -> None:
-        land_batch(batch, root, source, f"{batch_id:012d}", feeds, strict)
+        land_batch(batch, root, source, f"{batch_id:012d}", feeds)
 
     return (
         messages.writeStream.foreachBatch(route)
@@ -106,10 +112,34 @@ def land_stream(
     )
 
 
+def landing_counts(spark: SparkSession, root: str) -> DataFrame:
+    """Messages and bad messages of every landed batch by topic."""
+    schema = schemas.record(topic=schemas.TEXT, n_messages=schemas.INT, n_bad=schemas.INT, source=schemas.TEXT, batch=schemas.TEXT)
+    return open_table(spark, root, LANDING, schema, ["source", "batch"])
+
+
+def last_batch(spark: SparkSession, root: str, source: str = "feed") -> str:
+    """The newest counted batch of a stream, an empty text before the first."""
+    newest = landing_counts(spark, root).filter(F.col("source") == source).agg(F.max("batch")).first()[0]
+    return newest or ""
+
+
+def require_readable(spark: SparkSession, root: str, after: str, source: str = "feed") -> None:
+    """Raise if batches after ``after`` had unreadable messages. All of them are stored."""
+    new = landing_counts(spark, root).filter((F.col("source") == source) & (F.col("batch") > after))
+    bad = new.groupBy("topic").agg(F.sum("n_bad").alias("n")).filter("n > 0").orderBy("topic").collect()
+    if bad:  # a line per topic
+        raise CheckFailed("unreadable messages: " + ", ".join(f"{r['topic']} {r['n']}" for r in bad))
+
+
 def land_rows(rows: DataFrame, root: str, feed: Feed, run_id: str) -> None:
-    """Store flattened rows without a message log in between (one batch per run)."""
+    """Store flattened rows without a message log in between.
+
+    They replace whatever the table held, also where a run's messages are appended.
+    """
     typed = rows.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in feed.schema.fields],
         F.lit(run_id).alias("run_id"),
     )
-    _store(typed, root, feed.table, "direct", run_id)
+    whole = typed.withColumns({"source": F.lit("direct"), "batch": F.lit(run_id)})
+    whole.write.mode("overwrite").partitionBy(*LANDED).parquet(table_path(root, feed.table))

@@ -87,9 +87,10 @@ def test_decode_floats_nan_and_bad_text(values):
         "topic string, key string, value string, ts timestamp, run_id string",
         ("schedule", "1", '{"game_pk": 1, "home_score": 5.0, "away_score": NaN}', None, "r1"),
         ("schedule", "2", "not json", None, "r1"), ("schedule", "3", None, None, "r1"), ("schedule", "4", "{}", None, "r1"),
+        *[("schedule", f"b{i}", v, None, "r1") for i, v in enumerate(("", "  ", "null", "[]", '{"game_pk":1}{"game_pk":2}', '{"game_pk":1} x', '{"game_pk":1},"end":"1"} x', '{"game_pk":"x"}', "{"))],
     )
     decoded = decode(sent, schema)
-    assert listed(bad_rows(decoded), "key") == [("2",), ("3",)]
+    assert listed(bad_rows(decoded), "key") == [("2",), ("3",), *[(f"b{i}",) for i in range(9)]]
     assert listed(good_rows(decoded, schema), "game_pk", "home_score", F.isnan("away_score")) == [(None, None, False), (1.0, 5.0, True)]
 
 

@@ -29,7 +29,7 @@ def test_whole_run_twice(spark, paths):
     tables = run(spark, paths, "2026-04-10T01")
     assert [r["status"] for r in tables["contracts"].collect()] == ["pass"] * 52
     counts = {
-        "raw_teams": 30, "raw_schedule": 8, "stg_schedule": 6, "raw_hitting_stats": 91, "stg_hitting_stats": 90,
+        "raw_teams": 30, "raw_schedule": 12, "stg_schedule": 6, "raw_hitting_stats": 91, "stg_hitting_stats": 90,
         "mart_standings": 30, "mart_game_results": 3, "mart_player_stats": 85, "mart_pitching_leaders": 30,
         "raw_game_events": 75, "stg_game_events": 72,
     }
@@ -39,8 +39,11 @@ def test_whole_run_twice(spark, paths):
     assert tables["freshness"].first()["status"] == "pass"
     assert tables["mart_player_stats"].filter("player_id = 1050").first()["games"] == 40
 
+    assert listed(tables["published"]) == listed(tables["landed"], "topic", "n_messages")
+    assert tables["landed"].filter("n_bad > 0").count() == 0
+
     again = run(spark, paths, "2026-04-10T02", hours=30)
-    assert again["raw_schedule"].count() == 16
+    assert again["raw_schedule"].count() == 24
     assert again["freshness"].first()["status"] == "warn"
     for name in ("raw_teams", "stg_schedule", "stg_game_events", "mart_standings", "mart_player_stats"):
         assert again[name].count() == counts[name]
@@ -89,6 +92,38 @@ def test_direct_run(spark, paths, tmp_path):
     assert listed(report, "input_name", "n_rows", "n_columns", "status") == [("schedule", 2, 10, "ok"), ("standings", 30, 12, "ok"), ("teams", 30, 11, "ok")]
     season.run_direct(spark, direct, 2026, DAY, "2026-04-10T02")
     assert read_raw(spark, direct.tables, "teams").count() == 30
+    assert read_raw(spark, direct.tables, "schedule").count() == 2  # replaced, not appended
+
+
+def test_first_day_of_a_season(spark, paths):
+    assert season.feeds.first_game_day(2026) == date(2026, 3, 25)
+    assert season.feeds.first_game_day(2025, date(2025, 3, 18)) == date(2025, 3, 18)
+    with pytest.raises(ValueError, match="2025"):
+        season.feed_rows(spark, paths, 2025, date(2025, 10, 1))
+
+
+def test_bad_messages_fail_a_strict_run_once(spark, paths, tmp_path):
+    own = Paths(paths.documents, *(str(tmp_path / n) for n in ("messages", "tables", "checkpoints")))
+    (tmp_path / "messages").mkdir()
+    (tmp_path / "messages" / "bad.json").write_text('{"topic": "teams", "key": "1", "value": "{} x", "ts": "2026-04-01T00:00:00Z", "run_id": "2026-04-10T00"}')
+    with pytest.raises(CheckFailed, match="unreadable messages: teams 1"):
+        run(spark, own, "2026-04-10T01")
+    assert run(spark, own, "2026-04-10T02")["mart_standings"].count() == 30
+
+
+def test_days_walked_back_are_in_the_schedule(spark, values):
+    games = values(
+        "game_day string, game_type string, game_pk int, status string",
+        ("2026-04-05", "R", 1, "Final"), ("2026-04-06", "S", 2, "Final"), ("2026-04-07", "E", 3, "Postponed"),
+        ("2026-04-08", "S", 4, "Scheduled"), ("2026-03-20", "R", 5, "Final"), ("2026-03-26", "S", 6, "Final"),
+    ).withColumn("game_day", F.to_date("game_day"))
+    for column in set(season.feeds.SCHEDULE_COLUMNS) - set(games.columns):
+        games = games.withColumn(column, F.lit(None).cast("string"))
+    got = season.season_games(games, date(2026, 3, 25), date(2026, 4, 8)).select("game_pk").collect()
+    # Regular games so far, and everything since the day that had a finished game.
+    assert sorted(r[0] for r in got) == [1, 2, 3, 4]
+    got = season.season_games(games, date(2026, 3, 25), date(2026, 3, 24), back=3).select("game_pk").collect()
+    assert sorted(r[0] for r in got) == []
 
 
 def test_volume_failure_is_listed(spark, paths, tmp_path):

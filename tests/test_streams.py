@@ -21,9 +21,9 @@ def message(topic, key, run="r1", value=None):
     return {"topic": topic, "key": str(key), "value": value or json.dumps({"team_id": key, "game_pk": key}), "ts": "2026-04-01T00:00:00Z", "run_id": run}
 
 
-def drain(spark, tmp_path, strict=False, max_files=None):
+def drain(spark, tmp_path, max_files=None):
     stream = land.read_messages(spark, str(tmp_path / "messages"), max_files)
-    query = land.land_stream(stream, str(tmp_path / "tables"), str(tmp_path / "checkpoint"), strict=strict)
+    query = land.land_stream(stream, str(tmp_path / "tables"), str(tmp_path / "checkpoint"))
     query.awaitTermination()
 
 
@@ -45,8 +45,8 @@ def test_stream_routes_and_resumes(spark, tmp_path):
 def test_replayed_batch_lands_once(spark, tmp_path):
     sent = spark.createDataFrame([("teams", "1", '{"team_id": 1}', None, "r1")], "topic string, key string, value string, ts timestamp, run_id string")
     for _ in range(2):
-        counts = land.land_batch(sent, str(tmp_path), "feed", "000000000007")
-    assert counts == {"teams": 1}
+        land.land_batch(sent, str(tmp_path), "feed", "000000000007")
+    assert listed(land.landing_counts(spark, str(tmp_path)), "topic", "n_messages", "n_bad") == [("teams", 1, 0)]
     assert read_raw(spark, str(tmp_path), "teams", history=True).count() == 1
 
 
@@ -58,15 +58,22 @@ def test_bad_messages_are_set_aside(spark, tmp_path):
     assert listed(aside, "topic", "key") == [("schedule", "3"), ("teams", "2")]
 
 
-def test_strict_landing_fails_after_storing_the_good_ones(spark, tmp_path):
-    send(tmp_path / "messages", "m", message("teams", 1), message("teams", 2, value="not json"))
-    with pytest.raises(Exception, match="unreadable|CheckFailed") as failure:
-        drain(spark, tmp_path, strict=True)
-    assert failure.type is not AssertionError
-    assert read_raw(spark, str(tmp_path / "tables"), "teams").count() == 1
-    sent = spark.createDataFrame([("teams", "1", "x", None, "r1")], "topic string, key string, value string, ts timestamp, run_id string")
-    with pytest.raises(CheckFailed, match="1 unreadable"):
-        land.land_batch(sent, str(tmp_path / "direct"), "feed", "0", strict=True)
+def test_unreadable_messages_fail_the_run_that_landed_them(spark, tmp_path):
+    root = str(tmp_path / "tables")
+    send(tmp_path / "messages", "m", message("teams", 1), message("teams", 2, value="not json"), message("odd", 3))
+    before = land.last_batch(spark, root)
+    drain(spark, tmp_path)
+    with pytest.raises(CheckFailed, match="odd|teams 1, unknown 1"):
+        land.require_readable(spark, root, before)
+    assert read_raw(spark, root, "teams").count() == 1
+    aside = read_table(spark, root, land.QUARANTINE)
+    assert listed(aside, "topic", "key") == [("odd", "3"), ("teams", "2")]
+    # The batch is done with: later runs go on behind it.
+    send(tmp_path / "messages", "n", message("teams", 4))
+    before = land.last_batch(spark, root)
+    drain(spark, tmp_path)
+    land.require_readable(spark, root, before)
+    assert read_raw(spark, root, "teams").count() == 2
 
 
 def events(spark, folder, *batches):
