@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import settle
+
 _PICK = "__pick"
 
 
@@ -26,28 +28,27 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
 
 
 def keep_unseen(
-    new: DataFrame,
-    known: DataFrame,
-    key: str,
-    prune_by: str | None = None,
-    prune_limit: int = 1000,
+    new: DataFrame, known: DataFrame, key: str, prune_by: str | None = None
 ) -> DataFrame:
     """Rows of ``new`` whose non-NULL key does not occur in ``known``.
 
     NULL keys are dropped on both sides: a NULL in ``known`` excludes nothing, and a row
     without a key cannot be recognised later.
 
-    ``prune_by`` names a column that depends on the key and partitions ``known``. If the
-    new rows touch at most ``prune_limit`` of its values, only those partitions are read;
-    otherwise all of them are. The result is the same either way.
+    ``prune_by`` names a column that depends on the key and partitions ``known``. The new
+    rows are then written first, and only the partitions that they touch are read: those
+    outside their range never, those within it by Spark's dynamic partition pruning. Stored
+    rows without a ``prune_by`` value are always compared.
     """
     keyed = new.filter(F.col(key).isNotNull())
     seen = known.filter(F.col(key).isNotNull())
     if prune_by:
-        rows = keyed.select(prune_by).distinct().limit(prune_limit + 1).collect()
-        values = [row[0] for row in rows]
-        if len(values) <= prune_limit and None not in values:
-            seen = seen.filter(F.col(prune_by).isin(values))
+        keyed = settle(keyed, "keyed")
+        least, most = keyed.agg(F.min(prune_by), F.max(prune_by)).first()  # one row
+        near = F.col(prune_by).between(F.lit(least), F.lit(most))
+        touched = keyed.filter(near).select(prune_by).distinct()
+        inside = seen.filter(near).join(touched, prune_by, "left_semi")
+        seen = inside.select(key).unionByName(seen.filter(F.col(prune_by).isNull()).select(key))
     # Distinct before the shuffle: many stored copies of one key travel as one.
     return keyed.join(seen.select(key).distinct(), key, "left_anti")
 
@@ -61,13 +62,7 @@ def latest_run(df: DataFrame, run: str = "run_id") -> DataFrame:
     return df.join(F.broadcast(newest), run, "left_semi")
 
 
-def latest_run_per(
-    df: DataFrame, group: str, members: Sequence[str], run: str = "run_id"
-) -> DataFrame:
-    """As ``latest_run`` within each of the listed groups (topics); others are dropped.
-
-    ``members`` is a list in the code, which bounds the broadcast side by its length.
-    """
-    listed = df.filter(F.col(group).isin(list(members)))
-    newest = listed.groupBy(group).agg(F.max(run).alias(run))
-    return listed.join(F.broadcast(newest), [group, run], "left_semi")
+def latest_run_per(df: DataFrame, group: str, run: str = "run_id") -> DataFrame:
+    """As ``latest_run`` within each group (topic) that occurs; rows without a group go."""
+    newest = df.groupBy(group).agg(F.max(run).alias(run))
+    return df.join(newest, [group, run], "left_semi")

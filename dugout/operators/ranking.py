@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import scratch_root, settle
+from .dedup import columns_as_order
 
 _N, _AHEAD = "__n", "__ahead"
 
@@ -165,23 +166,16 @@ def leaders(
 
 
 def table_page(
-    df: DataFrame,
-    order: Sequence[Column],
-    page: int,
-    size: int,
-    where: Sequence[Column] = (),
-    near: int = 100_000,
+    df: DataFrame, order: Sequence[Column], page: int, size: int, where: Sequence[Column] = ()
 ) -> DataFrame:
     """Page ``page`` (from 0) of the rows that satisfy ``where``, in ``order``.
 
-    Early pages are a top-k. Past ``near`` rows a top-k would hold everything before the
-    page, so the rows are numbered in parallel and the page is cut out by number.
+    The remaining columns are appended to the order, so that pages neither share nor lose
+    rows. A top-k would hold everything before the page in every task; the rows are numbered
+    in parallel instead and the page is cut out by number, however deep it lies.
     """
     rows = reduce(lambda acc, condition: acc.filter(condition), where, df)
     start = page * size
-    if start + size <= near:
-        return rows.orderBy(*order).offset(start).limit(size)
-    numbered = with_position(rows, order, "__position")
-    return numbered.filter(
-        (F.col("__position") > start) & (F.col("__position") <= start + size)
-    ).drop("__position")
+    total = [*order, *columns_as_order(df)]
+    numbered = with_position(rows, total, "__position")
+    return numbered.filter(F.col("__position").between(start + 1, start + size)).drop("__position")

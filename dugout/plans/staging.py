@@ -112,18 +112,22 @@ def typed_events(raw: DataFrame) -> DataFrame:
     )
 
 
+def event_order(events: DataFrame) -> list[Column]:
+    """Which of several copies of a play stays: the latest end time, then a total order."""
+    same = ["event_id", "game_pk", "at_bat_index", "end_time"]
+    return [F.col("end_time").desc_nulls_last(), *columns_as_order(events, same)]
+
+
 def stg_game_events(
     raw: DataFrame, existing: DataFrame | None = None, prune_by: str | None = None
 ) -> DataFrame:
     """One row per play; with ``existing`` only the plays it does not hold yet.
 
     Rows are deduplicated before the anti join, so copies of one play are gone by then.
-    Of several copies the latest end time wins. A stored play is never changed.
+    A stored play is never changed.
     """
     events = typed_events(raw).filter(F.col("event_id").isNotNull())
-    same = ["event_id", "game_pk", "at_bat_index", "end_time"]
-    order = [F.col("end_time").desc_nulls_last(), *columns_as_order(events, same)]
-    single = keep_first(events, ["event_id"], order)
+    single = keep_first(events, ["event_id"], event_order(events))
     if existing is None:
         return single
     if prune_by and prune_by not in single.columns:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text
 from ..operators.ranking import Board, by, leaders, nulls_last, top_n
+from ..session import settle
 
 # The two leagues by label.
 LEAGUE_BOARDS = {"AL Leader": "American League", "NL Leader": "National League"}
@@ -26,13 +27,17 @@ def _figures(row: DataFrame, figures: Sequence[Column]) -> DataFrame:
 def league_leaders(
     standings: DataFrame, leagues: Mapping[str, str] = LEAGUE_BOARDS
 ) -> DataFrame:
-    """First-ranked team of each league with record and share of wins."""
+    """First-ranked team of each league with record and share of wins.
+
+    Of several first-ranked teams the first in the order of the standings page counts.
+    """
     boards = [
         Board(label, "league_rank", desc=False, where=F.col("league_name") == league)
         for label, league in leagues.items()
     ]
     keep = ["team_name", "wins", "losses", "win_pct", "season"]
-    best = leaders(standings, boards, keep, [F.col("team_name")])
+    tie = [F.col(c) for c in ("division_name", "division_rank", "team_name")]
+    best = leaders(standings, boards, keep, tie)
     return best.select(
         F.col("board").alias("figure"),
         F.col("team_name").alias("headline"),
@@ -191,19 +196,25 @@ def plays_per_game(events: DataFrame, game: str = "game_pk") -> DataFrame:
 
 
 def leaderboard_totals(board: DataFrame) -> DataFrame:
-    """One row: top candidate, matchups, best park, mean probability, rows."""
+    """One row: top candidate, matchups, best park, mean probability, rows.
+
+    The matchups are counted by an aggregate of their own: next to the others, a distinct
+    count would sort and exchange the whole board with all of their state.
+    """
     best = F.struct(
         (-F.col("hr_prob")).alias("p"), "batter_name", "game_pk", "pitcher", "team"
     )
     park = F.struct((-F.col("park_factor")).alias("f"), *best_fields())
     pick = F.struct("batter_name", "hr_prob_pct", "matchup")
-    return board.agg(
+    board = settle(board, "board")
+    games = board.filter("matchup is not null").select("matchup").distinct().agg(F.count("*").alias("games"))
+    totals = board.agg(
         F.min_by(pick, best).alias("pick"),
-        F.count_distinct("matchup").alias("games"),
         F.min_by(F.struct("venue", "park_factor"), park).alias("park"),
         F.avg("hr_prob").alias("avg_prob"),
         F.count("*").alias("n_rows"),
     )
+    return totals.crossJoin(games)  # one row each
 
 
 def best_fields() -> list[Column]:

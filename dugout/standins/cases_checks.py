@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators import monitor, quality
 from ..operators.dedup import latest_run_per
 from .registry import case, table
-from .roles import EVENT_TYPES
 
 _TABLES = ["region", "nation", "customer", "supplier", "orders", "lineitem"]
 
@@ -50,7 +49,8 @@ def null_rate_profile(spark, folder):
           UNION ALL SELECT 'home_team_id', count(*) - count(home_team_id) FROM {_GAPS_SQL}
           UNION ALL SELECT 'score', count(*) - count(score) FROM {_GAPS_SQL}) t
     UNION ALL
-    SELECT 'lineitem', 'not_null', 'l_orderkey', count(*) - count(l_orderkey), 'pass' FROM lineitem""")
+    SELECT 'lineitem', 'not_null', 'l_orderkey', count(*) - count(l_orderkey),
+           CASE WHEN count(*) = count(l_orderkey) THEN 'pass' ELSE 'fail' END FROM lineitem""")
 def dq_not_null(spark, folder):
     """Not-null rules over two tables."""
     return quality.contracts(
@@ -195,7 +195,7 @@ def snapshot_latest_run(spark, folder):
     runs = table(spark, folder, "events").select(
         "event_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("run_id")
     )
-    return latest_run_per(runs, "event_type", EVENT_TYPES).select("event_id", "event_type", "run_id")
+    return latest_run_per(runs, "event_type").select("event_id", "event_type", "run_id")
 
 
 @case("""
@@ -214,11 +214,15 @@ def volume_anomaly(spark, folder):
 
 
 @case("""
-    SELECT 'orders' AS input_name, count(*) AS n_rows, 4 AS n_columns,
-           sum((home_team_id IS NULL)::INT)::BIGINT > 0 AS has_nulls, 'nulls' AS status FROM """ + _GAPS_SQL)
+    SELECT 'orders' AS input_name, count(*) AS n_rows,
+           (SELECT count(*)::INTEGER FROM (DESCRIBE SELECT * FROM """ + _GAPS_SQL + """)) AS n_columns,
+           round(avg((game_pk IS NULL)::INT) * 100, 6) AS game_pk_pct,
+           round(avg((home_team_id IS NULL)::INT) * 100, 6) AS home_team_id_pct,
+           CASE WHEN count(*) = 0 THEN 'empty' WHEN count(game_pk) + count(home_team_id) < 2 * count(*) THEN 'nulls'
+                ELSE 'ok' END AS status FROM """ + _GAPS_SQL)
 def input_report(spark, folder):
     """Rows, columns and missing values of an input."""
-    report = quality.input_report(_with_gaps(spark, folder), "orders", ["game_pk", "home_team_id"])
-    return report.select(
-        "input_name", "n_rows", "n_columns", (F.size("null_pct") > 0).alias("has_nulls"), "status"
-    )
+    required = ["game_pk", "home_team_id"]
+    report = quality.input_report(_with_gaps(spark, folder), "orders", required)
+    shares = [F.round(F.coalesce(F.col("null_pct")[c], F.lit(0.0)), 6).alias(f"{c}_pct") for c in required]
+    return report.select("input_name", "n_rows", "n_columns", *shares, "status")

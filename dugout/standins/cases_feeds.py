@@ -26,12 +26,14 @@ def _person(key: Column, name: Column) -> Column:
 
 
 @case("""
-    SELECT s_suppkey AS team_id, s_name AS team_name, 'S' || s_nationkey AS abbreviation,
+    SELECT s_suppkey AS team_id, s_name AS team_name, 'S' || s_nationkey AS abbreviation, 'c' || s_suppkey AS team_code,
            CASE WHEN s_acctbal >= 0 THEN s_nationkey::BIGINT END AS division_id,
-           CASE WHEN s_acctbal >= 0 THEN 'N' || s_nationkey END AS division_name, 2026 AS season
+           CASE WHEN s_acctbal >= 0 THEN 'N' || s_nationkey END AS division_name,
+           s_suppkey % 2 AS league_id, 'L' || (s_suppkey % 2) AS league_name,
+           s_suppkey + 500 AS venue_id, 'at ' || s_name AS venue_name, 2026 AS season
     FROM supplier
     UNION ALL
-    SELECT -1 - s_suppkey, 'farm of ' || s_name, NULL, NULL, NULL, 2026 FROM supplier""")
+    SELECT -1 - s_suppkey, 'farm of ' || s_name, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 2026 FROM supplier""")
 def flatten_teams(spark, folder):
     """Two teams per document, the second without any of the optional objects."""
     rows = table(spark, folder, "supplier")
@@ -39,19 +41,22 @@ def flatten_teams(spark, folder):
     division = F.when(
         F.col("s_acctbal") >= 0, _ref(nation, F.concat(F.lit("N"), nation.cast("string")))
     )
+    text, ref = F.lit(None).cast("string"), F.lit(None).cast("struct<id: bigint, name: string>")
     team = F.struct(
         key.alias("id"), name.alias("name"),
         F.concat(F.lit("S"), nation.cast("string")).alias("abbreviation"),
+        F.concat(F.lit("c"), key.cast("string")).alias("teamCode"),
         division.alias("division"),
+        _ref(key % 2, F.concat(F.lit("L"), (key % 2).cast("string"))).alias("league"),
+        _ref(key + 500, F.concat(F.lit("at "), name)).alias("venue"),
     )
     farm = F.struct(
         (-1 - key).alias("id"), F.concat(F.lit("farm of "), name).alias("name"),
-        F.lit(None).cast("string").alias("abbreviation"),
-        F.lit(None).cast("struct<id: bigint, name: string>").alias("division"),
+        text.alias("abbreviation"), text.alias("teamCode"),
+        ref.alias("division"), ref.alias("league"), ref.alias("venue"),
     )
     documents = _documents(rows, teams=F.array(team, farm))
-    flat = feeds.teams(feeds.parse_documents(documents, "text", schemas.TEAMS_DOC), 2026)
-    return flat.select("team_id", "team_name", "abbreviation", "division_id", "division_name", "season")
+    return feeds.teams(feeds.parse_documents(documents, "text", schemas.TEAMS_DOC), 2026)
 
 
 @case("""
@@ -59,19 +64,21 @@ def flatten_teams(spark, folder):
            CASE c_nationkey % 8 WHEN 0 THEN 'AL West' WHEN 1 THEN 'AL East' WHEN 2 THEN 'AL Central'
                 WHEN 3 THEN 'NL West' WHEN 4 THEN 'NL East' WHEN 5 THEN 'NL Central'
                 ELSE (200 + c_nationkey % 8)::VARCHAR END AS division,
+           (103 + c_nationkey % 3)::BIGINT AS league_id,
            CASE c_nationkey % 3 WHEN 0 THEN 'American League' WHEN 1 THEN 'National League'
                 ELSE '105' END AS league,
            c_nationkey::BIGINT AS wins, c_nationkey::BIGINT + 1 AS losses, 0.5::DOUBLE AS win_pct,
-           '1.5' AS games_back, c_nationkey::BIGINT * 2 + 1 AS games_played
+           '1.5' AS games_back, c_nationkey::BIGINT * 2 + 1 AS games_played, 2026 AS season
     FROM customer
     UNION ALL
     SELECT -1 - c_custkey, c_mktsegment, 200 + c_nationkey % 8,
            CASE c_nationkey % 8 WHEN 0 THEN 'AL West' WHEN 1 THEN 'AL East' WHEN 2 THEN 'AL Central'
                 WHEN 3 THEN 'NL West' WHEN 4 THEN 'NL East' WHEN 5 THEN 'NL Central'
                 ELSE (200 + c_nationkey % 8)::VARCHAR END,
+           103 + c_nationkey % 3,
            CASE c_nationkey % 3 WHEN 0 THEN 'American League' WHEN 1 THEN 'National League'
                 ELSE '105' END,
-           0, 0, 0, '-', 0
+           0, 0, 0, '-', 0, 2026
     FROM customer""")
 def flatten_standings(spark, folder):
     """Two levels; division and league by code or code text; defaults for a bare record."""
@@ -96,14 +103,19 @@ def flatten_standings(spark, folder):
         F.struct((103 + nation % 3).alias("id")).alias("league"),
         F.array(full, bare).alias("teamRecords"),
     )
-    documents = _documents(rows, records=F.array(record))
+    empty = F.struct(
+        F.struct(F.lit(0).cast("bigint").alias("id")).alias("division"),
+        F.struct(F.lit(0).cast("bigint").alias("id")).alias("league"),
+        F.slice(F.array(full, bare), 1, 0).alias("teamRecords"),
+    )
+    documents = _documents(rows, records=F.array(empty, record))
     flat = feeds.standings(feeds.parse_documents(documents, "text", schemas.STANDINGS_DOC), 2026)
-    return flat.withColumn("win_pct", F.col("win_pct").cast("double")).drop("league_id", "season")
+    return flat.withColumn("win_pct", F.col("win_pct").cast("double"))
 
 
 def _schedule_documents(spark, folder) -> DataFrame:
-    """An order as a day with one game; no score while it is pending, and then no
-    probable pitcher on the home side either."""
+    """An order as a day with two games behind an empty day; no score while it is pending, and
+    then no probable pitcher on the home side either."""
     rows = table(spark, folder, "orders")
     key, customer, status = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus")
     visitor = key % 97
@@ -130,30 +142,39 @@ def _schedule_documents(spark, folder) -> DataFrame:
         ).alias("venue"),
         F.struct(home.alias("home"), away.alias("away")).alias("teams"),
     )
-    day = F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"), F.array(game).alias("games"))
-    return feeds.parse_documents(_documents(rows, dates=F.array(day)), "text", schemas.SCHEDULE_DOC)
+    games = F.array(game, game.withField("gamePk", -1 - key))
+    date = F.date_format("o_orderdate", "yyyy-MM-dd").alias("date")
+    off, day = F.struct(date, F.slice(games, 1, 0).alias("games")), F.struct(date, games.alias("games"))
+    return feeds.parse_documents(_documents(rows, dates=F.array(off, day)), "text", schemas.SCHEDULE_DOC)
 
 
-_GAME_SQL = """
-    SELECT o_orderkey AS game_pk, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS game_date,
+# Every order with the key of its own game and that of the day's second one.
+_TWO_GAMES = "(SELECT *, o_orderkey AS pk FROM orders UNION ALL SELECT *, -1 - o_orderkey FROM orders) orders"
+_GAME_COLUMNS = """
+    SELECT pk AS game_pk, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS game_date,
            CASE o_orderstatus WHEN 'F' THEN 'Final' WHEN 'O' THEN 'In Progress' ELSE 'Scheduled' END AS status,
            o_custkey AS home_team_id, 'club_' || o_custkey AS home_team,
            o_orderkey % 97 AS away_team_id, 'guest_' || (o_orderkey % 97) AS away_team,
            CASE WHEN o_orderstatus <> 'P' THEN o_custkey % 10 END AS home_score,
            CASE WHEN o_orderstatus <> 'P' THEN o_orderkey % 97 % 7 END AS away_score,
-           CASE WHEN o_orderpriority <> '2-HIGH' THEN o_orderpriority END AS venue
-    FROM orders"""
+           CASE WHEN o_orderpriority <> '2-HIGH' THEN o_orderpriority END AS venue"""
+_GAME_SQL = f"{_GAME_COLUMNS} FROM {_TWO_GAMES}"
 
 
-@case(f"""
-    SELECT *, strftime(o.o_orderdate, '%Y-%m-%d') AS game_day,
-           CASE o.o_orderpriority WHEN '5-LOW' THEN 'S' ELSE 'R' END AS game_type
-           FROM ({_GAME_SQL}) g JOIN (SELECT o_orderkey, o_orderdate, o_orderpriority FROM orders) o
-           ON g.game_pk = o.o_orderkey""".replace("SELECT *,", "SELECT g.*,"))
+@case(f"""{_GAME_COLUMNS}, strftime(o_orderdate, '%Y-%m-%d') AS game_day,
+           CASE o_orderpriority WHEN '5-LOW' THEN 'S' ELSE 'R' END AS game_type,
+           CASE WHEN o_orderstatus <> 'P' THEN o_custkey % 50 END AS home_pitcher_id,
+           CASE WHEN o_orderstatus <> 'P' THEN 'arm_' || (o_custkey % 50) END AS home_pitcher_name,
+           o_orderkey % 97 AS away_pitcher_id, 'arm_' || (o_orderkey % 97) AS away_pitcher_name
+    FROM {_TWO_GAMES}""")
 def flatten_schedule(spark, folder):
     """Days and games to rows, of all days and types."""
     flat = feeds.games(_schedule_documents(spark, folder))
-    return flat.drop("home_pitcher", "away_pitcher").withColumn(
+    pitchers = [
+        F.col(f"{side}_pitcher.{field}").alias(f"{side}_pitcher_{name}")
+        for side in ("home", "away") for field, name in (("id", "id"), ("fullName", "name"))
+    ]
+    return flat.select("*", *pitchers).drop("home_pitcher", "away_pitcher").withColumn(
         "game_day", F.date_format("game_day", "yyyy-MM-dd")
     )
 
@@ -177,99 +198,138 @@ def day_schedule(spark, folder):
 
 
 @case("""
-    WITH g AS (SELECT o_orderkey AS k, o_custkey AS c, o_orderkey % 97 AS v, o_orderstatus AS s,
+    WITH g AS (SELECT pk AS k, o_custkey AS c, o_orderkey % 97 AS v, o_orderstatus AS s,
                       CASE o_orderpriority WHEN '2-HIGH' THEN '' ELSE o_orderpriority END AS venue,
-                      'guest_' || (o_orderkey % 97) || ' @ club_' || o_custkey AS matchup FROM orders)
+                      'guest_' || (o_orderkey % 97) || ' @ club_' || o_custkey AS matchup,
+                      CASE o_orderstatus WHEN 'F' THEN 'Final' WHEN 'O' THEN 'In Progress' ELSE 'Scheduled' END AS state
+               FROM """ + _TWO_GAMES + """)
     SELECT k AS game_pk, venue, matchup, 'guest_' || v AS batting_team, v AS batting_team_id,
            CASE WHEN s <> 'P' THEN c % 50 END AS pitcher_id,
-           CASE WHEN s <> 'P' THEN 'arm_' || (c % 50) ELSE 'TBD' END AS pitcher_name FROM g
+           CASE WHEN s <> 'P' THEN 'arm_' || (c % 50) ELSE 'TBD' END AS pitcher_name, state AS game_status FROM g
     UNION ALL
-    SELECT k, venue, matchup, 'club_' || c, c, v, 'arm_' || v FROM g""")
+    SELECT k, venue, matchup, 'club_' || c, c, v, 'arm_' || v, state FROM g""")
 def two_sided_unpivot(spark, folder):
     """Each game as two batting sides against the other side's probable pitcher."""
-    flat = feeds.games(_schedule_documents(spark, folder))
-    return feeds.batting_sides(flat).drop("game_status")
+    return feeds.batting_sides(feeds.games(_schedule_documents(spark, folder)))
 
 
 @case("""
-    SELECT c_custkey AS player_id, c_name AS player_name, c_nationkey::BIGINT AS team_id,
-           c_nationkey::BIGINT + 7 AS games, c_nationkey::BIGINT * 3 AS at_bats, '.250' AS batting_avg,
-           CASE WHEN c_acctbal >= 0 THEN '.777' END AS ops, 2026 AS season
-    FROM customer""")
-def flatten_hitting(spark, folder):
+    WITH g AS (SELECT pk AS k, o_custkey AS c, o_orderkey % 97 AS v, o_orderstatus AS s, * FROM """ + _TWO_GAMES + """
+               WHERE o_orderdate = TIMESTAMP '1997-05-28' AND o_orderpriority <> '5-LOW')
+    SELECT k AS game_pk, 'guest_' || v AS batting_team, CASE WHEN s <> 'P' THEN c % 50 END AS pitcher_id FROM g
+    UNION ALL SELECT k, 'club_' || c, v FROM g""")
+def probable_pitchers(spark, folder):
+    """Batting sides of the regular-season games of one day."""
+    sides = feeds.probable_pitchers(_schedule_documents(spark, folder), F.lit("1997-05-28").cast("date"))
+    return sides.select("game_pk", "batting_team", "pitcher_id")
+
+
+_HITTING = {
+    "games": "gamesPlayed", "at_bats": "atBats", "plate_appearances": "plateAppearances", "hits": "hits",
+    "doubles": "doubles", "triples": "triples", "home_runs": "homeRuns", "rbi": "rbi", "walks": "baseOnBalls",
+    "strikeouts": "strikeOuts", "stolen_bases": "stolenBases",
+}
+_HITTING_RATES = {"batting_avg": "avg", "obp": "obp", "slg": "slg", "ops": "ops"}
+_PITCHING = {
+    "games": "gamesPlayed", "games_started": "gamesStarted", "wins": "wins", "losses": "losses", "saves": "saves",
+    "hits_allowed": "hits", "earned_runs": "earnedRuns", "walks_allowed": "baseOnBalls", "strikeouts": "strikeOuts",
+    "home_runs_allowed": "homeRuns",
+}
+_PITCHING_RATES = {
+    "innings_pitched": "inningsPitched", "era": "era", "whip": "whip", "k_per_9": "strikeoutsPer9Inn",
+    "bb_per_9": "walksPer9Inn",
+}
+
+
+def _stats_sql(key: str, name: str, nation: str, known: str, numbers, rates, of: str) -> str:
+    """Two splits per document: the row's, and one with a negative key and everything else alike."""
+    counts = ", ".join(f"{nation}::BIGINT + {i} AS {c}" for i, c in enumerate(numbers))
+    texts = ", ".join(f"CASE WHEN {known} THEN '.{i}' || {nation} END AS {c}" for i, c in enumerate(rates))
+    rest = f"{name} AS player_name, {nation}::BIGINT AS team_id, 'club' AS team_name, {counts}, {texts}, 2026 AS season"
+    return f"SELECT {key} AS player_id, {rest} FROM {of} UNION ALL SELECT -1 - {key}, {rest} FROM {of}"
+
+
+def _stats_documents(rows, key: Column, name: Column, nation: Column, known: Column, numbers, rates) -> DataFrame:
     """Only the first stats block counts; the second one repeats it and is ignored."""
-    rows = table(spark, folder, "customer")
-    nation = F.col("c_nationkey").cast("bigint")
-    split = F.struct(
-        _person(F.col("c_custkey"), F.col("c_name")).alias("player"),
-        _ref(nation, F.lit("club")).alias("team"),
-        F.struct(
-            (nation + 7).alias("gamesPlayed"), (nation * 3).alias("atBats"),
-            F.lit(".250").alias("avg"), F.when(F.col("c_acctbal") >= 0, ".777").alias("ops"),
-        ).alias("stat"),
-    )
-    block = F.struct(F.array(split).alias("splits"))
-    documents = _documents(rows, stats=F.array(block, block))
-    flat = feeds.hitting_stats(feeds.parse_documents(documents, "text", schemas.HITTING_DOC), 2026)
-    return flat.select(
-        "player_id", "player_name", "team_id", "games", "at_bats", "batting_avg", "ops", "season"
+    counts = [(nation + i).alias(field) for i, field in enumerate(numbers.values())]
+    texts = [
+        F.when(known, F.concat(F.lit(f".{i}"), nation.cast("string"))).alias(field)
+        for i, field in enumerate(rates.values())
+    ]
+    def split(player):
+        return F.struct(
+            _person(player, name).alias("player"), _ref(nation, F.lit("club")).alias("team"),
+            F.struct(*counts, *texts).alias("stat"),
+        )
+
+    block = F.struct(F.array(split(key), split(-1 - key)).alias("splits"))
+    return _documents(rows, stats=F.array(block, block))
+
+
+@case(_stats_sql("c_custkey", "c_name", "c_nationkey", "c_acctbal >= 0", _HITTING, _HITTING_RATES, "customer"))
+def flatten_hitting(spark, folder):
+    """Batting splits with all their columns; rates stay text, and some are missing."""
+    rows, nation = table(spark, folder, "customer"), F.col("c_nationkey").cast("bigint")
+    documents = _stats_documents(
+        rows, F.col("c_custkey"), F.col("c_name"), nation, F.col("c_acctbal") >= 0, _HITTING, _HITTING_RATES
     )
+    return feeds.hitting_stats(feeds.parse_documents(documents, "text", schemas.HITTING_DOC), 2026)
 
 
-@case("""
-    SELECT s_suppkey AS player_id, s_name AS player_name, s_nationkey::BIGINT AS team_id,
-           s_nationkey::BIGINT + 7 AS games, s_nationkey::BIGINT AS games_started, s_nationkey || '.1' AS innings_pitched,
-           '-.--' AS era, 2026 AS season
-    FROM supplier""")
+@case(_stats_sql("s_suppkey", "s_name", "s_nationkey", "s_acctbal >= 0", _PITCHING, _PITCHING_RATES, "supplier"))
 def flatten_pitching(spark, folder):
-    """Pitching splits; rates and innings stay text."""
-    rows = table(spark, folder, "supplier")
-    nation = F.col("s_nationkey").cast("bigint")
-    split = F.struct(
-        _person(F.col("s_suppkey"), F.col("s_name")).alias("player"),
-        _ref(nation, F.lit("club")).alias("team"),
-        F.struct(
-            (nation + 7).alias("gamesPlayed"), nation.alias("gamesStarted"),
-            F.concat(nation.cast("string"), F.lit(".1")).alias("inningsPitched"),
-            F.lit("-.--").alias("era"),
-        ).alias("stat"),
-    )
-    documents = _documents(rows, stats=F.array(F.struct(F.array(split).alias("splits"))))
-    flat = feeds.pitching_stats(feeds.parse_documents(documents, "text", schemas.PITCHING_DOC), 2026)
-    return flat.select(
-        "player_id", "player_name", "team_id", "games", "games_started", "innings_pitched", "era",
-        "season",
+    """Pitching splits with all their columns; rates and innings stay text."""
+    rows, nation = table(spark, folder, "supplier"), F.col("s_nationkey").cast("bigint")
+    documents = _stats_documents(
+        rows, F.col("s_suppkey"), F.col("s_name"), nation, F.col("s_acctbal") >= 0, _PITCHING, _PITCHING_RATES
     )
+    return feeds.pitching_stats(feeds.parse_documents(documents, "text", schemas.PITCHING_DOC), 2026)
 
 
-@case("""
-    SELECT l_orderkey AS game_pk, l_linenumber::BIGINT AS at_bat_index, l_quantity::BIGINT AS inning,
+_PLAY_SQL = """
+    SELECT l_orderkey AS game_pk, l_linenumber::BIGINT + {later} AS at_bat_index, l_quantity::BIGINT AS inning,
+           CASE l_linestatus WHEN 'F' THEN 'top' ELSE 'bottom' END AS half_inning,
+           strftime(l_shipdate, '%Y-%m-%d') AS start_time, strftime(l_shipdate, '%d.%m.%Y') AS end_time,
            coalesce(CASE WHEN l_returnflag <> 'N' THEN true END, false) AS is_complete,
-           false AS is_scoring, l_partkey AS batter_id, l_suppkey AS pitcher_id,
+           coalesce(CASE WHEN l_returnflag = 'A' THEN true END, false) AS is_scoring,
+           'Event ' || l_returnflag AS event_type, 'line ' || l_linenumber AS description,
+           l_partkey % 5 AS rbi, l_partkey % 11 AS home_score, l_suppkey % 13 AS away_score,
+           l_partkey AS batter_id, 'b' || l_partkey AS batter_name, l_suppkey AS pitcher_id,
            'p' || l_suppkey AS pitcher_name
-    FROM lineitem""")
+    FROM lineitem"""
+
+
+@case(f"{_PLAY_SQL.format(later=0)} UNION ALL {_PLAY_SQL.format(later=100)}")
 def flatten_plays(spark, folder):
-    """Play-by-play documents; missing flags count as false."""
+    """Play-by-play documents of two plays each; missing flags count as false."""
     rows = table(spark, folder, "lineitem")
-    supplier = F.col("l_suppkey")
-    play = F.struct(
-        F.struct(
-            F.col("l_linenumber").alias("atBatIndex"),
-            F.col("l_quantity").cast("bigint").alias("inning"),
-            F.when(F.col("l_returnflag") != "N", True).alias("isComplete"),
-        ).alias("about"),
-        F.struct(
-            F.struct(F.col("l_partkey").alias("id")).alias("batter"),
-            _person(supplier, F.concat(F.lit("p"), supplier.cast("string"))).alias("pitcher"),
-        ).alias("matchup"),
-    )
-    live = F.struct(F.struct(F.array(play).alias("allPlays")).alias("plays"))
+    supplier, part, flag = F.col("l_suppkey"), F.col("l_partkey"), F.col("l_returnflag")
+
+    def play(later):
+        return F.struct(
+            F.struct(
+                F.concat(F.lit("Event "), flag).alias("event"),
+                F.concat(F.lit("line "), F.col("l_linenumber").cast("string")).alias("description"),
+                (part % 5).alias("rbi"), (part % 11).alias("homeScore"), (supplier % 13).alias("awayScore"),
+            ).alias("result"),
+            F.struct(
+                (F.col("l_linenumber") + later).alias("atBatIndex"),
+                F.col("l_quantity").cast("bigint").alias("inning"),
+                F.when(F.col("l_linestatus") == "F", "top").otherwise("bottom").alias("halfInning"),
+                F.date_format("l_shipdate", "yyyy-MM-dd").alias("startTime"),
+                F.date_format("l_shipdate", "dd.MM.yyyy").alias("endTime"),
+                F.when(flag != "N", True).alias("isComplete"),
+                F.when(flag == "A", True).alias("isScoringPlay"),
+            ).alias("about"),
+            F.struct(
+                _person(part, F.concat(F.lit("b"), part.cast("string"))).alias("batter"),
+                _person(supplier, F.concat(F.lit("p"), supplier.cast("string"))).alias("pitcher"),
+            ).alias("matchup"),
+        )
+
+    live = F.struct(F.struct(F.array(play(0), play(100)).alias("allPlays")).alias("plays"))
     documents = _documents(rows, gamePk=F.col("l_orderkey"), liveData=live)
-    flat = feeds.game_events(feeds.parse_documents(documents, "text", schemas.PLAYS_DOC))
-    return flat.select(
-        "game_pk", "at_bat_index", "inning", "is_complete", "is_scoring", "batter_id",
-        "pitcher_id", "pitcher_name",
-    )
+    return feeds.game_events(feeds.parse_documents(documents, "text", schemas.PLAYS_DOC))
 
 
 EVENT_FEED = Feed(
@@ -304,17 +364,22 @@ def json_envelope_roundtrip(spark, folder):
 @case("""
     SELECT event_type AS topic, count(*) FILTER (NOT bad) AS good, count(*) FILTER (bad) AS broken,
            sum(CASE WHEN NOT bad THEN regexp_extract(props, '[0-9]+')::BIGINT END)::BIGINT AS total
-    FROM (SELECT *, CASE WHEN event_type IN ('signup', 'click') THEN value >= 50 ELSE value < 1 END AS bad
+    FROM (SELECT *, CASE WHEN event_type IN ('signup', 'click') THEN value >= 50 ELSE value < 5 END AS bad
           FROM events) t
     GROUP BY event_type""")
 def bad_message_quarantine(spark, folder):
-    """Truncated, empty and missing messages are set aside; the others stay."""
+    """Truncated, missing, empty, blank and doubled messages, and such with text behind them,
+    are set aside; the others stay."""
     events = table(spark, folder, "events")
     kind, value = F.col("event_type"), F.col("value")
     sent = (
         F.when(kind.isin("signup", "click") & (value >= 50), F.substring("props", 1, 5))
         .when(~kind.isin("signup", "click") & (value < 0.5), F.lit("not json"))
         .when(~kind.isin("signup", "click") & (value < 1), F.lit(None))
+        .when(~kind.isin("signup", "click") & (value < 2), F.lit(""))
+        .when(~kind.isin("signup", "click") & (value < 3), F.lit("  "))
+        .when(~kind.isin("signup", "click") & (value < 4), F.concat("props", "props"))
+        .when(~kind.isin("signup", "click") & (value < 5), F.concat("props", F.lit(" x")))
         .otherwise(F.col("props"))
     )
     messages = events.select(

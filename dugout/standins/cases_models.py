@@ -12,7 +12,7 @@ from ..plans import history, marts, predictions, staging, summaries
 from .registry import case, table
 from .roles import (
     LEADERBOARD_SQL, PARKS, PITCHERS_SQL, PLAYERS_SQL, PLAYS_SQL, RESULTS_SQL, STANDINGS_SQL,
-    TYPED_PLAYS_SQL, games, matchups, pitchers, players, raw_plays, standings,
+    TYPED_PLAYS_SQL, as_raw_plays, games, matchups, pitchers, players, raw_plays, standings,
 )
 
 _RATES = ("batting_avg", "obp", "slg", "ops")
@@ -86,9 +86,10 @@ def game_events_staging(spark, folder):
     SELECT * FROM plays WHERE event_id NOT IN (SELECT event_id FROM known)""")
 def game_events_increment(spark, folder):
     """The play staging model, later run: only plays whose key is not stored yet."""
-    raw = raw_plays(spark, folder)
-    known = staging.typed_events(raw.filter(F.col("start_time") < "1998-01-01"))
-    return staging.stg_game_events(raw, known)
+    lines = table(spark, folder, "lineitem")
+    stored = lines.filter(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
+    known = staging.typed_events(as_raw_plays(stored))
+    return staging.stg_game_events(as_raw_plays(lines), known)
 
 
 @case("""
@@ -296,11 +297,11 @@ def leaderboard_summary(spark, folder):
     SELECT 'AL Leader' AS figure, team_name AS headline,
            wins || '-' || losses || '  ·  ' || printf('%.3f', win_pct) AS detail
     FROM (SELECT * FROM ({STANDINGS_SQL}) s WHERE league_name = 'AMERICA'
-          ORDER BY wins DESC, losses, team_name LIMIT 1) a
+          ORDER BY wins DESC, losses, division_name, team_name LIMIT 1) a
     UNION ALL
     SELECT 'NL Leader', team_name, wins || '-' || losses || '  ·  ' || printf('%.3f', win_pct)
     FROM (SELECT * FROM ({STANDINGS_SQL}) s WHERE league_name = 'EUROPE'
-          ORDER BY wins DESC, losses, team_name LIMIT 1) a
+          ORDER BY wins DESC, losses, division_name, team_name LIMIT 1) a
     UNION ALL SELECT 'Total Teams', count(*)::VARCHAR, 'franchises' FROM customer
     UNION ALL SELECT 'Season', '2026', 'current season'""")
 def standings_summary(spark, folder):

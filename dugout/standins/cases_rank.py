@@ -65,5 +65,5 @@ def table_page_far(spark, folder):
     """A page far down a large table, cut out by position."""
     order = ["l_extendedprice", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     rows = table(spark, folder, "lineitem").select(*order)
-    page = table_page(rows, [F.col(c).asc() for c in order], 100, 30, near=1000)
+    page = table_page(rows, [F.col(c).asc() for c in order], 100, 30)
     return page.select("l_orderkey", "l_linenumber", "l_extendedprice")

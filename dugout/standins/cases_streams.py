@@ -8,13 +8,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.monitor import topic_counts
+from ..plans import staging
 from ..session import scratch_path
 from ..sources import schemas
 from ..sources.envelopes import Feed
 from ..sources.tables import raw_schema, read_table
 from ..streaming import land, live
 from .registry import case, table
-from .roles import EVENT_TYPES
+from .roles import EVENT_TYPES, PLAYS_SQL, as_raw_plays
 
 EVENT_FEEDS = tuple(
     Feed(kind, lambda: F.col("event_id").cast("string"), False, schemas.flat("event_id value"))
@@ -84,6 +85,35 @@ def stream_resume_no_repeat(spark, folder):
     return topic_counts(_landed(spark, f"{root}/tables"))
 
 
+@case(PLAYS_SQL)
+def stream_game_events(spark, folder):
+    """The play staging model on a stream in which every play comes twice, in two files each."""
+    root = scratch_path(spark, "plays")
+    lines = table(spark, folder, "lineitem")
+    lines.unionByName(lines).write.parquet(f"{root}/landed")
+    stream = spark.readStream.schema(lines.schema).parquet(f"{root}/landed")
+    live.stage_plays(as_raw_plays(stream), root, f"{root}/checkpoint").awaitTermination()
+    columns = staging.typed_events(as_raw_plays(lines)).schema
+    return read_table(spark, root, "stg_game_events", columns).drop("game_block")
+
+
+@case("""
+    SELECT event_type AS topic, count(*) AS n_messages, count_if(value < 10)::BIGINT AS n_bad FROM events
+    WHERE event_type <> 'signup' GROUP BY event_type
+    UNION ALL
+    SELECT 'unknown', count(*), count(*) FROM events WHERE event_type = 'signup' HAVING count(*) > 0""")
+def landing_counts(spark, folder):
+    """Landed and unreadable messages by topic; nobody has asked for one of the topics."""
+    root = scratch_path(spark, "counts")
+    sent = _messages(_event_stream(spark, folder))
+    low = F.get_json_object("value", "$.value").cast("double") < 10
+    sent = sent.withColumn("value", F.when(low, F.lit("{} x")).otherwise(F.col("value")))
+    known = tuple(feed for feed in EVENT_FEEDS if feed.name != "signup")
+    land.land_stream(sent, f"{root}/tables", f"{root}/checkpoint", feeds=known).awaitTermination()
+    counts = land.landing_counts(spark, f"{root}/tables").groupBy("topic")
+    return counts.agg(F.sum("n_messages").alias("n_messages"), F.sum("n_bad").alias("n_bad"))
+
+
 @case("SELECT event_id, event_type, value FROM events")
 def stream_dedup(spark, folder):
     """Every message sent twice, stored once."""

@@ -305,12 +305,17 @@ PLAY_RESULT_SQL = """CASE WHEN l_quantity >= 48 THEN 'Home Run' WHEN l_quantity
 
 
 def raw_plays(spark: SparkSession, folder: str) -> DataFrame:
+    """The lineitem table as landed plays."""
+    return as_raw_plays(table(spark, folder, "lineitem"))
+
+
+def as_raw_plays(lines: DataFrame) -> DataFrame:
     """Lineitems as landed plays: repeats of a key, text times, some keys missing."""
     quantity = F.col("l_quantity")
     iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
     start = F.col("l_shipdate").cast("timestamp")
     no_key = (F.col("l_returnflag") == "A") & (quantity == 13)
-    return table(spark, folder, "lineitem").select(
+    return lines.select(
         F.col("l_orderkey").cast("double").alias("game_pk"),
         F.when(~no_key, F.col("l_linenumber").cast("double")).alias("at_bat_index"),
         F.ceil(quantity / 6).cast("double").alias("inning"),

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..operators.dedup import columns_as_order, keep_first, keep_unseen
 from ..operators.monitor import message_rate
+from ..plans.staging import event_order, game_block, typed_events
 from ..sources.tables import append_table, open_table
 
 
@@ -18,9 +21,11 @@ def append_unseen(
     checkpoint: str,
     key: str,
     prune_by: str | None = None,
+    order: Callable[[DataFrame], Sequence[Column]] | None = None,
 ) -> StreamingQuery:
     """Add rows with new keys to a table; the first row stored for a key stays.
 
+    Of the copies in one batch the first in ``order`` stays, by default that of all columns.
     No watermark: a key is refused however late its copy comes. A replayed batch finds
     its keys in the table and adds nothing. ``prune_by`` partitions the table, so that a
     batch reads the keys of the partitions it touches and not the whole history.
@@ -30,7 +35,8 @@ def append_unseen(
 
     def add(batch: DataFrame, _: int) -> None:
         known = open_table(batch.sparkSession, root, table, batch.schema, levels)
-        single = keep_first(batch, [key], columns_as_order(batch, [key]))
+        first = order(batch) if order else columns_as_order(batch, [key])
+        single = keep_first(batch, [key], first)
         append_table(keep_unseen(single, known, key, prune_by), root, table, prune_by)
 
     return (
@@ -41,6 +47,16 @@ def append_unseen(
     )
 
 
+def stage_plays(raw: DataFrame, root: str, checkpoint: str, table: str = "stg_game_events") -> StreamingQuery:
+    """The play staging model on a stream of raw plays.
+
+    Types, keys and the choice among copies are those of ``staging.stg_game_events``; copies
+    that come in later batches are refused, as they are by its increments.
+    """
+    plays = typed_events(raw).filter(F.col("event_id").isNotNull()).withColumn("game_block", game_block())
+    return append_unseen(plays, root, table, checkpoint, "event_id", "game_block", event_order)
+
+
 def dedup_within(stream: DataFrame, key: str, time: str, delay: str) -> DataFrame:
     """First arrival per key with bounded state.
 
@@ -58,7 +74,10 @@ def rate_stream(
     slide: int | None = None,
     delay: str = "10 minutes",
 ) -> DataFrame:
-    """Windowed message rate on a stream; the watermark bounds the open windows."""
+    """Windowed message rate on a stream; the watermark bounds the open windows.
+
+    Messages that come more than ``delay`` behind the newest one are dropped.
+    """
     return message_rate(stream.withWatermark(time, delay), time, topic, width, slide)
 
 
