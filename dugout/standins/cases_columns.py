@@ -37,7 +37,8 @@ def typed_projection(spark, folder):
 @case("""
     SELECT s_suppkey::INT AS team_id, s_name AS team_name, s_nationkey::INT AS division_id,
            n_name AS division_name, r_regionkey::INT AS league_id, r_name AS league_name,
-           CASE WHEN s_acctbal >= 0 THEN s_suppkey::INT END AS venue_id, 2026 AS season
+           CASE WHEN s_acctbal >= 0 THEN s_suppkey::INT END AS venue_id, 2026 AS season,
+           'S' || s_nationkey AS abbreviation, 'c' || s_suppkey AS team_code, 'at ' || s_name AS venue_name
     FROM supplier JOIN nation ON s_nationkey = n_nationkey
     JOIN region ON n_regionkey = r_regionkey""")
 def teams_staging(spark, folder):
@@ -51,25 +52,26 @@ def teams_staging(spark, folder):
     raw = named.select(
         number("s_suppkey").alias("team_id"),
         F.col("s_name").alias("team_name"),
-        F.lit(None).cast("string").alias("abbreviation"),
-        F.lit(None).cast("string").alias("team_code"),
+        F.concat(F.lit("S"), F.col("s_nationkey").cast("string")).alias("abbreviation"),
+        F.concat(F.lit("c"), F.col("s_suppkey").cast("string")).alias("team_code"),
         number("s_nationkey").alias("division_id"),
         F.col("n_name").alias("division_name"),
         number("r_regionkey").alias("league_id"),
         F.col("r_name").alias("league_name"),
         F.when(F.col("s_acctbal") < 0, F.lit(float("nan"))).otherwise(number("s_suppkey")).alias("venue_id"),
-        F.lit(None).cast("string").alias("venue_name"),
+        F.concat(F.lit("at "), F.col("s_name")).alias("venue_name"),
         F.lit(2026.0).alias("season"),
     )
-    return stg_teams(raw).drop("abbreviation", "team_code", "venue_name")
+    return stg_teams(raw)
 
 
 @case("""
     SELECT c_custkey::INT AS team_id, c_name AS team_name, n_name AS division_name,
            r_name AS league_name, count(o_orderkey) FILTER (o_orderstatus = 'F')::INT AS wins,
            count(o_orderkey) FILTER (o_orderstatus = 'O')::INT AS losses,
-           round(CASE WHEN wins + losses > 0 THEN wins / (wins + losses) END, 3) AS win_pct,
-           count(o_orderkey)::INT AS games_played
+           round(CASE WHEN wins + losses > 0 THEN wins / (wins + losses) END, 3)::DECIMAL(4,3) AS win_pct,
+           count(o_orderkey)::INT AS games_played, (c_custkey % 25)::INT AS division_id,
+           (c_custkey % 5)::INT AS league_id, 'b' || (c_custkey % 7) AS games_back, 2026 AS season
     FROM customer JOIN nation ON c_nationkey = n_nationkey
     JOIN region ON n_regionkey = r_regionkey LEFT JOIN orders ON c_custkey = o_custkey
     GROUP BY c_custkey, c_name, n_name, r_name""")
@@ -78,19 +80,18 @@ def standings_staging(spark, folder):
     raw = standings(spark, folder).select(
         F.col("team_id").cast("double").alias("team_id"),
         "team_name",
-        F.lit(None).cast("double").alias("division_id"),
+        (F.col("team_id") % 25).cast("double").alias("division_id"),
         F.col("division_name").alias("division"),
-        F.lit(None).cast("double").alias("league_id"),
+        (F.col("team_id") % 5).cast("double").alias("league_id"),
         F.col("league_name").alias("league"),
         F.col("wins").cast("double").alias("wins"),
         F.col("losses").cast("double").alias("losses"),
         F.try_divide(F.col("wins"), F.col("wins") + F.col("losses")).alias("win_pct"),
-        F.lit("-").alias("games_back"),
+        F.concat(F.lit("b"), (F.col("team_id") % 7).cast("string")).alias("games_back"),
         F.col("games_played").cast("double").alias("games_played"),
         F.lit(2026.0).alias("season"),
     )
-    staged = stg_standings(raw).withColumn("win_pct", F.col("win_pct").cast("double"))
-    return staged.drop("division_id", "league_id", "games_back", "season")
+    return stg_standings(raw)
 
 
 @case("""

@@ -106,128 +106,157 @@ def incremental_antijoin(spark, folder):
     return keep_unseen(complete, target, "event_id").select("event_id", "ts", "event_type", "value")
 
 
-@case("""
-    SELECT player_id, team_id, games, at_bats, home_runs, batting_avg FROM (
-        SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY games DESC, team_id) AS rn
-        FROM (SELECT o_custkey::INT AS player_id,
-                     CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS team_id,
-                     count(*)::INT AS games, (count(*) * 3)::INT AS at_bats,
-                     count(*) FILTER (o_orderpriority = '1-URGENT')::INT AS home_runs,
-                     CASE WHEN count(*) < 3 THEN NULL
-                          ELSE (home_runs * 1000 // (count(*) * 3)) / 1000 END AS batting_avg
-              FROM orders GROUP BY o_custkey, o_orderstatus) s) t WHERE rn = 1""")
+def _stint_sql(columns: str, ties: str) -> str:
+    return f"""
+    SELECT * EXCLUDE (rn) FROM (
+        SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY games DESC, {ties}) AS rn
+        FROM ({columns}) s) t WHERE rn = 1"""
+
+
+# Statistics of a stint: what is added to the number of its rows.
+_HITTING = {
+    "at_bats": 50, "plate_appearances": 60, "hits": 1, "doubles": 2, "triples": 3, "home_runs": 4, "rbi": 5,
+    "walks": 6, "strikeouts": 7, "stolen_bases": 8,
+}
+_PITCHING = {
+    "games_started": 1, "wins": 2, "losses": 3, "saves": 4, "hits_allowed": 5, "earned_runs": 6,
+    "walks_allowed": 7, "strikeouts": 8, "home_runs_allowed": 9,
+}
+
+
+def _counts_sql(numbers: dict[str, int]) -> str:
+    return ", ".join(f"(count(*) + {n})::INT AS {c}" for c, n in numbers.items())
+
+
+def _counts(numbers: dict[str, int]):
+    return [(F.col("n") + n).cast("double").alias(c) for c, n in numbers.items()]
+
+
+@case(_stint_sql(f"""
+        SELECT o_custkey::INT AS player_id, 'p' || o_custkey AS player_name,
+               CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS team_id,
+               o_orderstatus AS team_name, count(*)::INT AS games, {_counts_sql(_HITTING)},
+               (CASE WHEN count(*) >= 3 THEN (200 + count(*)) / 1000 END)::DECIMAL(5,3) AS batting_avg,
+               ((300 + count(*)) / 1000)::DECIMAL(5,3) AS obp, ((400 + count(*)) / 1000)::DECIMAL(5,3) AS slg,
+               (CASE WHEN count(*) < 6 THEN (1000 + count(*)) / 1000 END)::DECIMAL(5,3) AS ops, 2026 AS season
+        FROM orders GROUP BY o_custkey, o_orderstatus""", "player_name, team_id"))
 def hitting_staging(spark, folder):
     """The hitting staging model: several stints per player, the longest one stays."""
-    status = F.col("o_orderstatus")
-    stints = table(spark, folder, "orders").groupBy("o_custkey", "o_orderstatus").agg(
-        F.count("*").alias("n"), F.count_if(F.col("o_orderpriority") == "1-URGENT").alias("hr")
-    )
-    thousandths = F.floor(F.col("hr") * 1000 / (F.col("n") * 3))
-    average = F.when(F.col("n") < 3, ".---").otherwise(
-        F.concat(F.lit("."), F.lpad(thousandths.cast("string"), 3, "0"))
-    )
-    nothing = F.lit(None).cast("double")
+    status, n = F.col("o_orderstatus"), F.col("n")
+    stints = table(spark, folder, "orders").groupBy("o_custkey", "o_orderstatus").agg(F.count("*").alias("n"))
+
+    def rate(thousands: int):
+        return F.concat(F.lit("."), (thousands + n).cast("string"))
+
     raw = stints.select(
         F.col("o_custkey").cast("double").alias("player_id"),
         F.concat(F.lit("p"), F.col("o_custkey").cast("string")).alias("player_name"),
         F.when(status == "F", 1.0).when(status == "O", 2.0).otherwise(3.0).alias("team_id"),
         status.alias("team_name"),
-        F.col("n").cast("double").alias("games"),
-        (F.col("n") * 3).cast("double").alias("at_bats"),
-        *[nothing.alias(c) for c in ("plate_appearances", "hits", "doubles", "triples")],
-        F.col("hr").cast("double").alias("home_runs"),
-        *[nothing.alias(c) for c in ("rbi", "walks", "strikeouts", "stolen_bases")],
-        average.alias("batting_avg"),
-        *[F.lit("-").alias(c) for c in ("obp", "slg", "ops")],
+        n.cast("double").alias("games"),
+        *_counts(_HITTING),
+        F.when(n < 3, ".---").otherwise(rate(200)).alias("batting_avg"),
+        rate(300).alias("obp"), rate(400).alias("slg"),
+        F.when(n < 6, F.concat(F.lit("1.00"), n.cast("string"))).otherwise("-").alias("ops"),
         F.lit(2026.0).alias("season"),
     )
-    return _doubles(staging.stg_hitting_stats(raw), "batting_avg").select(
-        "player_id", "team_id", "games", "at_bats", "home_runs", "batting_avg"
-    )
+    return staging.stg_hitting_stats(raw)
 
 
-@case("""
-    SELECT player_id, team_name, games, innings_pitched, era, whip FROM (
-        SELECT *, row_number() OVER (PARTITION BY player_id ORDER BY games DESC, team_name) AS rn
-        FROM (SELECT l_suppkey::INT AS player_id, l_returnflag AS team_name, count(*)::INT AS games,
-                     (count(*) // 3) || '.' || (count(*) % 3) AS innings_pitched,
-                     floor(count(*) * 100 / 7) / 100 AS era,
-                     CASE WHEN count(*) < 100 THEN count(*)::DOUBLE END AS whip
-              FROM lineitem GROUP BY l_suppkey, l_returnflag) s) t WHERE rn = 1""")
+@case(_stint_sql(f"""
+        SELECT l_suppkey::INT AS player_id, 'p' || l_suppkey AS player_name, 1 AS team_id, l_returnflag AS team_name,
+               count(*)::INT AS games, {_counts_sql(_PITCHING)},
+               (count(*) // 3) || '.' || (count(*) % 3) AS innings_pitched,
+               (floor(count(*) * 100 / 7) / 100)::DECIMAL(6,2) AS era,
+               CASE WHEN count(*) < 100 THEN count(*)::DECIMAL(5,3) END AS whip,
+               9.25::DECIMAL(5,2) AS k_per_9, NULL::DECIMAL(5,2) AS bb_per_9, 2026 AS season
+        FROM lineitem GROUP BY l_suppkey, l_returnflag""", "player_name, team_id, team_name"))
 def pitching_staging(spark, folder):
     """The pitching staging model; a value too wide for its decimal is missing."""
     n = F.col("n")
     stints = table(spark, folder, "lineitem").groupBy("l_suppkey", "l_returnflag").agg(F.count("*").alias("n"))
-    nothing = F.lit(None).cast("double")
     cents = F.floor(n * 100 / 7)
     raw = stints.select(
         F.col("l_suppkey").cast("double").alias("player_id"),
-        F.lit("p").alias("player_name"),
+        F.concat(F.lit("p"), F.col("l_suppkey").cast("string")).alias("player_name"),
         F.lit(1.0).alias("team_id"),
         F.col("l_returnflag").alias("team_name"),
         n.cast("double").alias("games"),
-        *[nothing.alias(c) for c in ("games_started", "wins", "losses", "saves")],
+        *_counts(_PITCHING),
         F.concat(F.floor(n / 3).cast("string"), F.lit("."), (n % 3).cast("string")).alias("innings_pitched"),
-        *[
-            nothing.alias(c)
-            for c in ("hits_allowed", "earned_runs", "walks_allowed", "strikeouts", "home_runs_allowed")
-        ],
         F.concat(
             F.floor(cents / 100).cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0")
         ).alias("era"),
         n.cast("string").alias("whip"),
-        F.lit("-.--").alias("k_per_9"),
+        F.lit("9.25").alias("k_per_9"),
         F.lit("-.--").alias("bb_per_9"),
         F.lit(2026.0).alias("season"),
     )
-    return _doubles(staging.stg_pitching_stats(raw), "era", "whip").select(
-        "player_id", "team_name", "games", "innings_pitched", "era", "whip"
-    )
+    return staging.stg_pitching_stats(raw)
 
 
 @case("""
-    SELECT game_pk, game_date, game_status, home_score, venue_name FROM (
+    SELECT * EXCLUDE (rn, run) FROM (
         SELECT *, row_number() OVER (PARTITION BY game_pk ORDER BY
             CASE game_status WHEN 'Final' THEN 1 WHEN 'In Progress' THEN 2 WHEN 'Warmup' THEN 3 ELSE 4 END,
-            game_date, home_score) AS rn
+            run DESC, game_date, game_status, home_team_id, home_team_name, away_team_id, away_team_name,
+            home_score, away_score, venue_name) AS rn
         FROM (SELECT l_orderkey AS game_pk, l_shipdate AS game_date,
                      CASE WHEN l_quantity > 45 THEN 'Final' WHEN l_quantity > 30 THEN 'In Progress'
                           WHEN l_quantity > 20 THEN 'Warmup' ELSE 'Manager Challenge' END AS game_status,
-                     l_quantity::INT AS home_score, 'v' AS venue_name FROM lineitem) s) t
+                     l_partkey::INT AS home_team_id, 'h' || l_partkey AS home_team_name,
+                     l_suppkey::INT AS away_team_id, 'a' || l_suppkey AS away_team_name,
+                     l_quantity::INT AS home_score, NULL::INT AS away_score, 'v' || l_linenumber AS venue_name,
+                     'r' || (l_linenumber % 3) AS run FROM lineitem) s) t
     WHERE rn = 1""")
 def schedule_staging(spark, folder):
-    """The schedule staging model on repeated fetches of each game."""
+    """The schedule staging model on repeated fetches of each game, in several runs."""
     quantity = F.col("l_quantity")
     status = (
         F.when(quantity > 45, "Final").when(quantity > 30, "In Progress")
         .when(quantity > 20, "Warmup").otherwise("Manager Challenge")
     )
-    nothing = F.lit(None).cast("double")
+
+    def named(word: str, column: str):
+        return F.concat(F.lit(word), F.col(column).cast("string"))
+
     raw = table(spark, folder, "lineitem").select(
         F.col("l_orderkey").cast("double").alias("game_pk"),
         F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("game_date"),
         status.alias("status"),
-        nothing.alias("home_team_id"), F.lit("h").alias("home_team"),
-        nothing.alias("away_team_id"), F.lit("a").alias("away_team"),
+        F.col("l_partkey").cast("double").alias("home_team_id"), named("h", "l_partkey").alias("home_team"),
+        F.col("l_suppkey").cast("double").alias("away_team_id"), named("a", "l_suppkey").alias("away_team"),
         quantity.alias("home_score"), F.lit(float("nan")).alias("away_score"),
-        F.lit("v").alias("venue"),
-    )
-    return staging.stg_schedule(raw).select(
-        "game_pk", "game_date", "game_status", "home_score", "venue_name"
+        named("v", "l_linenumber").alias("venue"),
+        F.concat(F.lit("r"), (F.col("l_linenumber") % 3).cast("string")).alias("run_id"),
     )
+    return staging.stg_schedule(raw)
 
 
 # ---- marts ----------------------------------------------------------------------------
 
 
 @case(f"""
-    SELECT *, rank() OVER (PARTITION BY division_name ORDER BY wins DESC, losses) AS division_rank,
+    SELECT *, 2026 AS season, rank() OVER (PARTITION BY division_name ORDER BY wins DESC, losses) AS division_rank,
            rank() OVER (PARTITION BY league_name ORDER BY wins DESC, losses) AS league_rank
     FROM ({STANDINGS_SQL}) s""")
 def mart_standings(spark, folder):
     """Standings with division and league ranks."""
     ranked = marts.mart_standings(standings(spark, folder))
-    return _doubles(ranked, "win_pct").drop("season")
+    return _doubles(ranked, "win_pct")
+
+
+@case(f"""
+    WITH r AS ({RESULTS_SQL})
+    SELECT 'Games' AS figure, count(*)::VARCHAR AS headline, 'completed' AS detail FROM r
+    UNION ALL SELECT 'Avg Runs', printf('%.1f', avg(coalesce(home_score, 0) + coalesce(away_score, 0))), 'per game' FROM r
+    UNION ALL (SELECT 'Biggest Win', run_differential || ' runs', winning_team FROM r
+               WHERE run_differential IS NOT NULL ORDER BY run_differential DESC, game_date DESC, game_pk LIMIT 1)
+    UNION ALL (SELECT 'Closest Game', run_differential || ' run', winning_team FROM r
+               WHERE run_differential IS NOT NULL ORDER BY run_differential, game_date DESC, game_pk LIMIT 1)""")
+def games_summary(spark, folder):
+    """Games, runs, widest and closest margin as display text."""
+    return summaries.games_summary(marts.mart_game_results(games(spark, folder)))
 
 
 @case(RESULTS_SQL)
@@ -236,10 +265,10 @@ def game_outcomes(spark, folder):
     return marts.mart_game_results(games(spark, folder))
 
 
-@case(f"SELECT * FROM ({PLAYERS_SQL}) p WHERE plate_appearances >= 20")
+@case(f"SELECT *, 2026 AS season FROM ({PLAYERS_SQL}) p WHERE plate_appearances >= 20")
 def qualified_leaders(spark, folder):
     """Batters with enough plate appearances."""
-    return _doubles(marts.mart_player_stats(players(spark, folder), 20), *_RATES).drop("season")
+    return _doubles(marts.mart_player_stats(players(spark, folder), 20), *_RATES)
 
 
 def _leaders(spark, folder):
@@ -421,13 +450,13 @@ _LINE_SQL = """count(*) AS plate_appearances,
 
 
 @case(f"""
-    SELECT pitcher_id, batter_id, {_LINE_SQL},
+    SELECT pitcher_id, batter_id, {_LINE_SQL}, max(pitcher_name) AS pitcher_name, max(batter_name) AS batter_name,
            round(CASE WHEN at_bats > 0 THEN hits / at_bats END, 6) AS batting_avg
     FROM ({PLAYS_SQL}) e GROUP BY pitcher_id, batter_id""")
 def pair_matchup_stats(spark, folder):
     """Every batter against every pitcher they met."""
     pairs = history.pitcher_matchups(staging.stg_game_events(raw_plays(spark, folder)))
-    return pairs.withColumn("batting_avg", F.round("batting_avg", 6)).drop("pitcher_name", "batter_name")
+    return pairs.withColumn("batting_avg", F.round("batting_avg", 6))
 
 
 @case(f"""
@@ -441,7 +470,8 @@ def event_rollup(spark, folder):
 
 
 @case(f"""
-    SELECT batter_id, strftime(day, '%Y-%m-%d') AS day, hits, at_bats,
+    SELECT batter_id, strftime(day, '%Y-%m-%d') AS day, plate_appearances, at_bats, hits, home_runs, walks,
+           strikeouts, rbi, round((sum(hits) OVER w) / nullif(sum(at_bats) OVER w, 0), 6) AS avg_to_date,
            sum(hits) OVER w::BIGINT AS hits_to_date, sum(at_bats) OVER w::BIGINT AS at_bats_to_date
     FROM (SELECT batter_id, date_trunc('day', start_time) AS day, {_LINE_SQL}
           FROM ({PLAYS_SQL}) e GROUP BY batter_id, date_trunc('day', start_time)) d
@@ -451,9 +481,8 @@ def event_rollup(spark, folder):
 def trend_cumulative(spark, folder):
     """A batter's days with totals to date."""
     trend = history.performance_over_time(staging.stg_game_events(raw_plays(spark, folder)))
-    return trend.select(
-        "batter_id", F.date_format("day", "yyyy-MM-dd").alias("day"), "hits", "at_bats",
-        "hits_to_date", "at_bats_to_date",
+    return trend.withColumns(
+        {"day": F.date_format("day", "yyyy-MM-dd"), "avg_to_date": F.round("avg_to_date", 6)}
     )
 
 

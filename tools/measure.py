@@ -21,7 +21,7 @@ def task_figures(folder: Path) -> dict[str, dict[str, int]]:
     """Sums and peaks of the task metrics by job group, read line by line."""
     groups: dict[int, str] = {}
     figures: dict[str, dict[str, int]] = defaultdict(lambda: defaultdict(int))
-    files = sorted(path for path in folder.rglob("*") if path.is_file() and "events" in path.name or path.name.startswith("local-"))
+    files = sorted(path for path in folder.rglob("*") if path.is_file() and ("events" in path.name or path.name.startswith("local-")))
     for file in files:
         for line in file.open():
             event = json.loads(line)
