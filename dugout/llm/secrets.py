@@ -1,7 +1,8 @@
 """Secret scan: candidate strings by pattern, false positives removed by a random forest.
 
-Only DataFrame functions and Spark's own learners are used. Text is scanned once for long
-unbroken strings; all else works on these candidates and their neighbourhood.
+Only DataFrame functions and Spark's own learners are used. Texts are scanned for long
+unbroken strings and for the words of the dictionary; all else works on these candidates
+and their neighbourhood.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ CANDIDATE = rf"[A-Za-z0-9_/+\-]{{{MIN_LENGTH},}}+"
 REACH = 80
 #: Labelled findings that the forest is fitted on, the smallest hashes of either label.
 FIT_ROWS = 10_000
-#: A word of the dictionary occurs in this many candidates or neighbourhoods at least.
+#: A word of the dictionary occurs this often in all texts.
 MIN_WORD_COUNT = 20
 #: Keywords that announce a secret, as a fixed value.
 KEYWORDS = ("token", "secret", "password", "passwd", "api_key", "apikey", "access_key", "auth", "bearer", "private")
@@ -79,11 +80,17 @@ def _words(of: Column) -> Column:
     return F.filter(F.split(F.lower(of), r"[^\p{L}]+"), lambda w: F.length(w) > 2)
 
 
-def features(found: DataFrame) -> DataFrame:
+def dictionary(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``run``: the words of three letters or more that are frequent in all whole texts."""
+    words = docs.select(F.explode(F.split(F.lower(F.col(text)), r"[^\p{L}]+")).alias("run"))
+    counts = words.filter(F.length("run") > 2).groupBy("run").agg(F.count("*").alias("n"))
+    return counts.filter(F.col("n") >= MIN_WORD_COUNT).select("run")
+
+
+def features(found: DataFrame, known: DataFrame) -> DataFrame:
     """``found`` with the numbers in ``_NUMERIC`` and ``neighbours``, the words around.
 
-    The dictionary is made of the candidates' own letter runs and of neighbouring words of
-    all documents that occur often; runs are looked up there by a join.
+    The letter runs of a candidate are looked up in the dictionary ``known`` by a join.
     """
     length = F.length("candidate").cast("double")
     c, before, behind = F.col("candidate"), F.col("before"), F.col("behind")
@@ -113,8 +120,6 @@ def features(found: DataFrame) -> DataFrame:
     )
     rows = settle(rows, "candidates")
     # Each different run of a candidate counts once, so a repeated finding is one look-up.
-    known = rows.select(F.explode(F.concat("runs", "neighbours")).alias("run")).groupBy("run").agg(F.count("*").alias("n"))
-    known = known.filter(F.col("n") >= MIN_WORD_COUNT).select("run")
     distinct = rows.select("candidate", "runs").distinct()
     covered = (
         distinct.select("candidate", F.explode("runs").alias("run")).join(known, "run", "left_semi")
@@ -170,7 +175,7 @@ def scan(
     candidate has that label's probability; without any label it is NULL and ``is_secret``
     false. An empty table gives an empty result. Other columns are not read.
     """
-    rows = settle(features(candidates(docs, key, text, path)), "features")
+    rows = settle(features(candidates(docs, key, text, path), dictionary(docs, text)), "features")
     if findings is None:
         labelled = weak_labels(rows)
     else:
