@@ -50,6 +50,28 @@ def backlog(landed: DataFrame, processed: DataFrame, key: str, topic: str) -> Da
     )
 
 
+def lag_by_partition(
+    landed: DataFrame, reached: DataFrame, offset: str = "offset", group: str = "group"
+) -> DataFrame:
+    """Messages behind by consumer group, topic and partition.
+
+    ``landed`` has a row per message with topic, partition and offset, ``reached`` the last
+    offset that each group has done. A group that has done nothing of a partition is behind
+    by all of it.
+    """
+    place = ["topic", "partition"]
+    ends = landed.groupBy(*place).agg(F.max(offset).alias("end"), F.min(offset).alias("begin"))
+    done = reached.groupBy(group, *place).agg(F.max(offset).alias("done"))
+    every = reached.select(group, "topic").distinct().join(ends, "topic")
+    behind = F.col("end") - F.coalesce("done", F.col("begin") - 1)
+    return every.join(done, [group, *place], "left").select(group, *place, behind.alias("behind"))
+
+
+def lag_by_group(lag: DataFrame, group: str = "group") -> DataFrame:
+    """Messages behind by consumer group and topic."""
+    return lag.groupBy(group, "topic").agg(F.sum("behind").alias("behind"))
+
+
 def topic_counts(messages: DataFrame, topic: str = "topic") -> DataFrame:
     """Messages per topic."""
     return messages.groupBy(topic).agg(F.count("*").alias("n_messages"))

@@ -78,9 +78,12 @@ def rank_within(
 
     A plain window would sort a whole partition (a league) in one task. Here the rows are
     first counted per distinct (partition, order) value, ranks are worked out on those
-    counts, and the rows look their rank up. The rank table is written out, so its
-    measured size decides between a broadcast and a shuffled join.
+    counts, and the rows look their rank up. The rows are written out first, since they are
+    read for the counts and for the look-up; the rank table is, so that its measured size
+    decides between a broadcast and a shuffled join. A window holds the distinct values of
+    one order column in a partition: few for wins and losses, many for a continuous metric.
     """
+    df = settle(df, "ranked")
     names = [name for name, _ in order]
     parts = [column for columns in ranks.values() for column in columns]
     keys = list(dict.fromkeys([*parts, *names]))

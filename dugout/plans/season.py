@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -23,6 +23,8 @@ from ..streaming.land import (
 )
 from . import marts, predictions, staging, summaries
 
+# Fixed value: days that a run looks back for playable games.
+BACK_DAYS = 7
 EVENT_BLOCK = "game_block"
 EVENT_MARKS = "stg_game_events_marks"
 EVENT_TIME = "end_time"
@@ -78,7 +80,7 @@ class Paths:
         return f"{self.documents.rstrip('/')}/{name}"
 
 
-def playable_games(all_games: DataFrame, game_day: date, back: int = 7) -> DataFrame:
+def playable_games(all_games: DataFrame, game_day: date, back: int = BACK_DAYS) -> DataFrame:
     """Finished or live games of the newest day that has any, at most ``back`` days ago."""
     return latest_day_with(
         all_games,
@@ -90,9 +92,14 @@ def playable_games(all_games: DataFrame, game_day: date, back: int = 7) -> DataF
 
 
 def feed_documents(
-    spark: SparkSession, paths: Paths, name: str, schema: StructType, whole_files: bool = False
+    spark: SparkSession,
+    paths: Paths,
+    name: str,
+    schema: StructType,
+    whole_files: bool = False,
+    days: tuple[date, date] | None = None,
 ) -> DataFrame:
-    return feeds.read_documents(spark, paths.feed(name), schema, whole_files)
+    return feeds.read_documents(spark, paths.feed(name), schema, whole_files, days)
 
 
 def plain_feeds(
@@ -111,15 +118,15 @@ def plain_feeds(
     }
 
 
-def season_games(all_games: DataFrame, first_day: date, game_day: date, back: int = 7) -> DataFrame:
+def season_games(all_games: DataFrame, first_day: date, game_day: date, back: int = BACK_DAYS) -> DataFrame:
     """Rows of the schedule table: the season's regular games so far, all games of the day,
     and all games of the days that were walked back over for playable games."""
     today = F.lit(game_day.isoformat()).cast("date")
     oldest = F.date_sub(today, back)
-    playable = playable_games(all_games, game_day, back).agg(F.min("game_day").alias("reached"))
-    # One row: the day the walk stopped at, its far end if no day had a playable game.
-    near = all_games.filter(F.col("game_day").between(oldest, today)).crossJoin(F.broadcast(playable))
-    walked = near.filter(F.col("game_day") >= F.coalesce("reached", oldest))
+    # The day the walk stopped at; its far end if no day had a playable game.
+    reached = playable_games(all_games, game_day, back).agg(F.min("game_day")).scalar()
+    near = all_games.filter(F.col("game_day").between(oldest, today))
+    walked = near.filter(F.col("game_day") >= F.coalesce(reached, oldest))
     first = F.lit(first_day.isoformat()).cast("date")
     regular = all_games.filter(F.col("game_day").between(first, today) & (F.col("game_type") == "R"))
     return union_feeds([regular.select(*feeds.SCHEDULE_COLUMNS), walked.select(*feeds.SCHEDULE_COLUMNS)])
@@ -135,12 +142,16 @@ def feed_rows(
 ) -> dict[str, DataFrame]:
     """Flattened rows of all six feeds for one run."""
     first_day = feeds.first_game_day(season, first_day)
+    oldest = game_day - timedelta(days=BACK_DAYS)
     # Parsed once: the schedule, the walk back and the plays' games come from these rows.
-    all_games = settle(feeds.games(feed_documents(spark, paths, "schedule", schemas.SCHEDULE_DOC, whole_files)), "games")
+    days = (min(first_day, oldest), game_day)
+    documents = feed_documents(spark, paths, "schedule", schemas.SCHEDULE_DOC, whole_files, days)
+    all_games = settle(feeds.games(documents), "games")
     played = playable_games(all_games, game_day).select(F.col("game_pk").alias("gamePk"))
     # Written first, so that its size decides whether the documents must be shuffled.
     wanted = settle(played.distinct(), "played")
-    plays = feed_documents(spark, paths, "plays", schemas.PLAYS_DOC, whole_files).join(wanted, "gamePk", "left_semi")
+    documents = feed_documents(spark, paths, "plays", schemas.PLAYS_DOC, whole_files, (oldest, game_day))
+    plays = documents.join(wanted, "gamePk", "left_semi")
     return {
         **plain_feeds(spark, paths, season, whole_files),
         "schedule": season_games(all_games, first_day, game_day),
@@ -255,7 +266,8 @@ def predict_day(
     whole_files: bool = False,
 ) -> DataFrame:
     """Home-run leaderboard of one day's games."""
-    documents = feed_documents(spark, paths, "schedule", schemas.SCHEDULE_DOC, whole_files)
+    days = (game_day, game_day)
+    documents = feed_documents(spark, paths, "schedule", schemas.SCHEDULE_DOC, whole_files, days)
     sides = feeds.probable_pitchers(documents, F.lit(game_day.isoformat()).cast("date"))
     return predictions.hr_leaderboard(
         sides, tables["mart_player_stats"], tables["mart_pitching_leaders"]
@@ -345,7 +357,8 @@ def run_direct(
     Each of the three tables is replaced, the schedule too."""
     rows = plain_feeds(spark, paths, season, whole_files)
     today = F.lit(game_day.isoformat()).cast("date")
-    documents = feed_documents(spark, paths, "schedule", schemas.SCHEDULE_DOC, whole_files)
+    days = (game_day, game_day)
+    documents = feed_documents(spark, paths, "schedule", schemas.SCHEDULE_DOC, whole_files, days)
     rows["schedule"] = feeds.schedule(documents, today)
     reports = []
     for name, required in REQUIRED.items():

@@ -214,7 +214,7 @@ def leaderboard_totals(board: DataFrame) -> DataFrame:
         F.avg("hr_prob").alias("avg_prob"),
         F.count("*").alias("n_rows"),
     )
-    return totals.crossJoin(games)  # one row each
+    return totals.withColumn("games", games.scalar())
 
 
 def best_fields() -> list[Column]:

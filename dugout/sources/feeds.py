@@ -9,7 +9,7 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
 from ..functions import text
 from ..functions.lookups import DIVISIONS, LEAGUES, label_or_code
@@ -21,11 +21,25 @@ FIRST_GAME_DAYS = {2026: "2026-03-25"}
 
 
 def read_documents(
-    spark: SparkSession, path: str, schema: StructType, whole_files: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    whole_files: bool = False,
+    days: tuple[date, date] | None = None,
 ) -> DataFrame:
-    """JSON documents: one per line (files can be split), or one per file."""
-    reader = spark.read.schema(schema)
-    return (reader.option("multiLine", True) if whole_files else reader).json(path)
+    """JSON documents: one per line (files can be split), or one per file.
+
+    Documents may lie in ``day=2026-04-10`` folders. With ``days``, only folders from the
+    first to the second day are opened, so that a run does not parse what earlier ones did;
+    documents outside of such folders are always read.
+    """
+    full = schema if days is None else StructType([*schema.fields, StructField("day", DateType())])
+    reader = spark.read.schema(full)
+    rows = (reader.option("multiLine", True) if whole_files else reader).json(path)
+    if days is None:
+        return rows
+    first, last = (F.lit(d.isoformat()).cast("date") for d in days)
+    return rows.filter(F.col("day").isNull() | F.col("day").between(first, last)).select(*schema.names)
 
 
 def parse_documents(documents: DataFrame, column: str, schema: StructType) -> DataFrame:

@@ -9,10 +9,14 @@ from pyspark.sql.types import StructType
 
 from ..operators.ranking import nulls_last
 from .envelopes import FEEDS, Feed
+from .schemas import TEXT, record
 
 
 # Folder levels of a raw table.
 LANDED = ("source", "batch", "run_id")
+# Table of the runs that landed batches have.
+RUNS = "runs"
+RUN_SCHEMA = record(run_id=TEXT, table=TEXT, source=TEXT, batch=TEXT)
 
 
 def table_path(root: str, name: str) -> str:
@@ -73,16 +77,24 @@ def raw_schema(feed: Feed) -> StructType:
     return schema
 
 
+def note_runs(spark: SparkSession, root: str, name: str, source: str, batch: str, path: str) -> None:
+    """Write down which runs a landed batch of a table has; a batch replaces its own note."""
+    runs = spark.read.schema(record(run_id=TEXT)).parquet(path).distinct().coalesce(1)  # of one batch
+    runs.write.mode("overwrite").parquet(f"{table_path(root, RUNS)}/table={name}/source={source}/batch={batch}")
+
+
 def read_raw(spark: SparkSession, root: str, feed: Feed | str, history: bool = False) -> DataFrame:
     """A raw table: the latest run's snapshot for replaced feeds, all rows for the others.
 
-    The latest run id is looked up first, so only its partitions are read afterwards.
+    The latest run id is looked up in the notes of the landed batches, one line each, so
+    only its partitions of the raw table are opened.
     """
     feed = FEEDS[feed] if isinstance(feed, str) else feed
     rows = open_table(spark, root, feed.table, raw_schema(feed), LANDED)
     if not feed.replace or history:
         return rows
-    latest = rows.agg(F.max("run_id")).first()[0]  # one value
+    noted = open_table(spark, root, RUNS, RUN_SCHEMA, ["table", "source", "batch"])
+    latest = noted.filter(F.col("table") == feed.table).agg(F.max("run_id")).first()[0]  # one value
     return rows.filter(F.col("run_id") == F.lit(latest))
 
 
@@ -91,24 +103,38 @@ def run_query(spark: SparkSession, sql: str, **args) -> DataFrame:
     return spark.sql(sql, args=args) if args else spark.sql(sql)
 
 
+def standings_order() -> list[Column]:
+    return [F.col(c).asc_nulls_last() for c in ("league_name", "division_name", "division_rank")]
+
+
+def player_stats_order() -> list[Column]:
+    return [nulls_last("ops", desc=True)]
+
+
+def game_results_order() -> list[Column]:
+    return [F.col("game_date").desc_nulls_first()]
+
+
+def pitching_leaders_order(starters_first: bool = False) -> list[Column]:
+    """By role name as the reports read it, or starters first as the mart is defined."""
+    role: Column = F.when(F.col("role") == "Starter", 1).otherwise(2) if starters_first else F.col("role")
+    return [role.asc_nulls_last(), nulls_last("era")]
+
+
 def standings_in_order(mart: DataFrame) -> DataFrame:
-    return mart.orderBy(
-        *[F.col(c).asc_nulls_last() for c in ("league_name", "division_name", "division_rank")]
-    )
+    return mart.orderBy(*standings_order())
 
 
 def player_stats_in_order(mart: DataFrame) -> DataFrame:
-    return mart.orderBy(nulls_last("ops", desc=True))
+    return mart.orderBy(*player_stats_order())
 
 
 def game_results_in_order(mart: DataFrame) -> DataFrame:
-    return mart.orderBy(F.col("game_date").desc_nulls_first())
+    return mart.orderBy(*game_results_order())
 
 
 def pitching_leaders_in_order(mart: DataFrame, starters_first: bool = False) -> DataFrame:
-    """By role name as the reports read it, or starters first as the mart is defined."""
-    role: Column = F.when(F.col("role") == "Starter", 1).otherwise(2) if starters_first else F.col("role")
-    return mart.orderBy(role.asc_nulls_last(), nulls_last("era"))
+    return mart.orderBy(*pitching_leaders_order(starters_first))
 
 
 def qualified(df: DataFrame, metric: str, floor: float, columns: list[str]) -> DataFrame:

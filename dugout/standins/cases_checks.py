@@ -186,6 +186,39 @@ def backlog_by_topic(spark, folder):
     return monitor.backlog(events, done, "event_id", "event_type")
 
 
+_OFFSETS_SQL = """(SELECT event_type AS topic, user_id % 4 AS partition, event_id AS "offset", value, event_id % 3 AS g
+    FROM events) m"""
+
+
+def _group_lag(spark, folder):
+    """Three groups, of which each has done low values of its own share of the messages."""
+    messages = table(spark, folder, "events").select(
+        F.col("event_type").alias("topic"), (F.col("user_id") % 4).alias("partition"),
+        F.col("event_id").alias("offset"), "value", (F.col("event_id") % 3).alias("group"),
+    )
+    return monitor.lag_by_partition(messages, messages.filter(F.col("value") < 5))
+
+
+_LAG_SQL = f"""
+    WITH ends AS (SELECT topic, partition, max("offset") AS e, min("offset") AS b FROM {_OFFSETS_SQL} GROUP BY ALL),
+    done AS (SELECT g, topic, partition, max("offset") AS d FROM {_OFFSETS_SQL} WHERE value < 5 GROUP BY ALL),
+    lag AS (SELECT t.g AS "group", ends.topic, ends.partition, e - coalesce(d, b - 1) AS behind
+            FROM (SELECT DISTINCT g, topic FROM done) t JOIN ends ON t.topic = ends.topic
+            LEFT JOIN done ON done.g = t.g AND done.topic = ends.topic AND done.partition = ends.partition)"""
+
+
+@case(f"{_LAG_SQL} SELECT * FROM lag")
+def backlog_by_partition(spark, folder):
+    """Messages behind by consumer group, topic and partition."""
+    return _group_lag(spark, folder)
+
+
+@case(f'{_LAG_SQL} SELECT "group", topic, sum(behind)::BIGINT AS behind FROM lag GROUP BY ALL')
+def backlog_by_group(spark, folder):
+    """Messages behind by consumer group and topic."""
+    return monitor.lag_by_group(_group_lag(spark, folder))
+
+
 @case("""
     SELECT event_id, event_type, strftime(ts, '%Y-%m-%d') AS run_id FROM events e
     WHERE strftime(ts, '%Y-%m-%d') = (SELECT max(strftime(ts, '%Y-%m-%d')) FROM events m

@@ -3,11 +3,14 @@ written as JSON text, parsed with the feed's schema and flattened."""
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.parse import wall_time, whole
 from ..operators.dedup import keep_first
 from ..operators.reshape import union_feeds
+from ..session import scratch_path
 from ..sources import feeds, schemas
 from ..sources.envelopes import Feed, bad_rows, decode, good_rows, to_messages
 from .registry import case, table
@@ -114,9 +117,13 @@ def flatten_standings(spark, folder):
 
 
 def _schedule_documents(spark, folder) -> DataFrame:
+    texts = _schedule_texts(table(spark, folder, "orders"))
+    return feeds.parse_documents(texts, "text", schemas.SCHEDULE_DOC)
+
+
+def _schedule_texts(rows: DataFrame, *carry: Column) -> DataFrame:
     """An order as a day with two games behind an empty day; no score while it is pending, and
     then no probable pitcher on the home side either."""
-    rows = table(spark, folder, "orders")
     key, customer, status = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus")
     visitor = key % 97
     name = lambda word, c: F.concat(F.lit(word), c.cast("string"))
@@ -143,9 +150,9 @@ def _schedule_documents(spark, folder) -> DataFrame:
         F.struct(home.alias("home"), away.alias("away")).alias("teams"),
     )
     games = F.array(game, game.withField("gamePk", -1 - key))
-    date = F.date_format("o_orderdate", "yyyy-MM-dd").alias("date")
-    off, day = F.struct(date, F.slice(games, 1, 0).alias("games")), F.struct(date, games.alias("games"))
-    return feeds.parse_documents(_documents(rows, dates=F.array(off, day)), "text", schemas.SCHEDULE_DOC)
+    played = F.date_format("o_orderdate", "yyyy-MM-dd").alias("date")
+    off, day = F.struct(played, F.slice(games, 1, 0).alias("games")), F.struct(played, games.alias("games"))
+    return rows.select(F.to_json(F.struct(F.array(off, day).alias("dates"))).alias("text"), *carry)
 
 
 # Every order with the key of its own game and that of the day's second one.
@@ -197,6 +204,18 @@ def day_schedule(spark, folder):
     return feeds.schedule(_schedule_documents(spark, folder), F.lit("1997-05-28").cast("date"))
 
 
+@case(f"{_GAME_SQL} WHERE o_orderdate >= TIMESTAMP '1997-05-01' AND o_orderdate < TIMESTAMP '1997-08-01'")
+def schedule_day_folders(spark, folder):
+    """Documents in folders by the first day of their month, of which three are opened."""
+    path = scratch_path(spark, "documents")
+    day = F.date_format(F.trunc("o_orderdate", "month"), "yyyy-MM-dd").alias("day")
+    texts = _schedule_texts(table(spark, folder, "orders"), day)
+    texts.repartition("day").write.partitionBy("day").text(path)
+    days = (date(1997, 5, 1), date(1997, 7, 31))
+    documents = feeds.read_documents(spark, path, schemas.SCHEDULE_DOC, days=days)
+    return feeds.games(documents).select(*feeds.SCHEDULE_COLUMNS)
+
+
 @case("""
     WITH g AS (SELECT pk AS k, o_custkey AS c, o_orderkey % 97 AS v, o_orderstatus AS s,
                       CASE o_orderpriority WHEN '2-HIGH' THEN '' ELSE o_orderpriority END AS venue,

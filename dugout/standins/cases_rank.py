@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.ranking import by, nulls_last, table_page, with_position
+from ..operators.ranking import by, nulls_last, table_page, top_n, with_position
 from ..plans import marts
+from ..sources import tables
 from .registry import case, table
-from .roles import PITCHERS_SQL, PLAYERS_SQL, pitchers, players
+from .roles import (
+    PITCHERS_SQL, PLAYERS_SQL, RESULTS_SQL, STANDINGS_SQL, games, pitchers, players, standings,
+)
 
 
 @case("""
@@ -67,3 +70,48 @@ def table_page_far(spark, folder):
     rows = table(spark, folder, "lineitem").select(*order)
     page = table_page(rows, [F.col(c).asc() for c in order], 100, 30)
     return page.select("l_orderkey", "l_linenumber", "l_extendedprice")
+
+
+@case(f"""
+    SELECT team_id, row_number() OVER (ORDER BY league_name, division_name, division_rank, team_id) AS position
+    FROM (SELECT *, rank() OVER (PARTITION BY division_name ORDER BY wins DESC, losses) AS division_rank
+          FROM ({STANDINGS_SQL}) s) r""")
+def standings_reading_order(spark, folder):
+    """The order of the standings reader, shown as a position."""
+    mart = marts.mart_standings(standings(spark, folder)).select("team_id", "league_name", "division_name", "division_rank")
+    return with_position(mart, [*tables.standings_order(), F.col("team_id").asc()]).select("team_id", "position")
+
+
+@case(f"""
+    SELECT player_id, row_number() OVER (ORDER BY ops DESC NULLS LAST, player_id) AS position FROM ({PLAYERS_SQL}) p""")
+def player_reading_order(spark, folder):
+    """The order of the batting reader, shown as a position."""
+    mart = players(spark, folder).select("player_id", "ops")
+    return with_position(mart, [*tables.player_stats_order(), F.col("player_id").asc()]).select("player_id", "position")
+
+
+@case(f"""
+    SELECT player_id, row_number() OVER (ORDER BY role, era, player_id) AS position FROM ({PITCHERS_SQL}) q""")
+def pitcher_reading_order(spark, folder):
+    """The order of the pitching reader, shown as a position."""
+    mart = marts.mart_pitching_leaders(pitchers(spark, folder)).select("player_id", "role", "era")
+    return with_position(mart, [*tables.pitching_leaders_order(), F.col("player_id").asc()]).select("player_id", "position")
+
+
+@case(f"""
+    SELECT game_pk, row_number() OVER (ORDER BY game_date DESC NULLS FIRST, game_pk) AS position FROM ({RESULTS_SQL}) r""")
+def result_reading_order(spark, folder):
+    """The order of the results reader, shown as a position."""
+    mart = marts.mart_game_results(games(spark, folder)).select("game_pk", "game_date")
+    return with_position(mart, [*tables.game_results_order(), F.col("game_pk").asc()]).select("game_pk", "position")
+
+
+@case(f"""
+    WITH top AS (SELECT player_id, player_name, home_runs FROM ({PLAYERS_SQL}) p
+                 ORDER BY home_runs DESC, ops DESC, player_id LIMIT 15)
+    SELECT player_id, row_number() OVER (ORDER BY home_runs, player_id) AS position FROM top""")
+def chart_order(spark, folder):
+    """The fifteen best, listed from the last to the first as a chart draws them."""
+    order = [nulls_last("home_runs", desc=True), nulls_last("ops", desc=True), F.col("player_id").asc()]
+    best = top_n(players(spark, folder), order, 15).select("player_id", "home_runs")
+    return with_position(best, [F.col("home_runs").asc(), F.col("player_id").asc()]).select("player_id", "position")

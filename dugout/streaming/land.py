@@ -17,7 +17,7 @@ from ..session import settle
 from ..sources import schemas
 from ..sources.envelopes import FEEDS, Feed, bad_rows, decode, good_rows
 from ..sources.schemas import ENVELOPE
-from ..sources.tables import LANDED, open_table, table_path
+from ..sources.tables import LANDED, note_runs, open_table, table_path
 
 QUARANTINE = "quarantine"
 LANDING = "landing"
@@ -49,6 +49,13 @@ def _store(rows: DataFrame, root: str, name: str, source: str, batch: str) -> No
     rows.write.mode("overwrite").partitionBy("run_id").parquet(path)
 
 
+def _land(rows: DataFrame, root: str, feed: Feed, source: str, batch: str) -> None:
+    """Store a batch of a raw table and note its runs."""
+    _store(rows, root, feed.table, source, batch)
+    path = f"{table_path(root, feed.table)}/source={source}/batch={batch}"
+    note_runs(rows.sparkSession, root, feed.table, source, batch, path)
+
+
 def land_batch(
     messages: DataFrame,
     root: str,
@@ -72,7 +79,7 @@ def land_batch(
         decoded = decode(rows.filter(F.col("topic") == feed.name), feed.schema).observe(
             seen, F.count("*").alias("n"), F.count_if("is_bad").alias("bad")
         )
-        _store(good_rows(decoded, feed.schema), root, feed.table, source, batch)
+        _land(good_rows(decoded, feed.schema), root, feed, source, batch)
         if seen.get["bad"]:
             _store(bad_rows(decoded), root, QUARANTINE, f"{source}-{feed.name}", batch)
         lines.append((feed.name, seen.get["n"], seen.get["bad"]))
@@ -143,3 +150,5 @@ def land_rows(rows: DataFrame, root: str, feed: Feed, run_id: str) -> None:
     )
     whole = typed.withColumns({"source": F.lit("direct"), "batch": F.lit(run_id)})
     whole.write.mode("overwrite").partitionBy(*LANDED).parquet(table_path(root, feed.table))
+    path = f"{table_path(root, feed.table)}/source=direct/batch={run_id}"
+    note_runs(rows.sparkSession, root, feed.table, "direct", run_id, path)

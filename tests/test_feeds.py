@@ -112,3 +112,19 @@ def test_snapshot_keeps_the_latest_run_and_absent_topics(spark, values, tmp_path
 def test_union_feeds_by_name(values):
     a, b = values("x int, y string", (1, "a")), values("y string, x int", ("b", 2))
     assert listed(union_feeds([a, b])) == [(1, "a"), (2, "b")]
+
+
+def test_documents_are_opened_by_day(spark, tmp_path):
+    from datetime import date
+
+    for day in ("2026-04-08", "2026-04-09", "2026-04-10"):
+        (tmp_path / "in" / f"day={day}").mkdir(parents=True)
+        (tmp_path / "in" / f"day={day}" / "d.json").write_text('{"dates": [{"date": "%s", "games": [{"gamePk": %s}]}]}' % (day, day[-2:].lstrip("0")))
+    rows = feeds.read_documents(spark, str(tmp_path / "in"), schemas.SCHEDULE_DOC, days=(date(2026, 4, 9), date(2026, 4, 10)))
+    assert listed(feeds.games(rows), "game_pk") == [(10,), (9,)]
+    text = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(isnull(day" in text and "day" not in rows.columns
+    (tmp_path / "flat").mkdir()
+    (tmp_path / "flat" / "d.json").write_text('{"dates": [{"date": "2026-04-01", "games": [{"gamePk": 1}]}]}')
+    flat = feeds.read_documents(spark, str(tmp_path / "flat"), schemas.SCHEDULE_DOC, days=(date(2026, 4, 9), date(2026, 4, 10)))
+    assert listed(feeds.games(flat), "game_pk") == [(1,)]
