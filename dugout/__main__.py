@@ -5,8 +5,10 @@ from __future__ import annotations
 import argparse
 from datetime import date, datetime
 
+from pyspark.sql import SparkSession
+
 from .plans import season
-from .session import build_session
+from .session import build_session, clear_scratch
 
 
 def main() -> None:
@@ -24,6 +26,13 @@ def main() -> None:
     options = parser.parse_args()
 
     spark = build_session("dugout")
+    try:
+        start(spark, options)
+    finally:
+        clear_scratch(spark)
+
+
+def start(spark: SparkSession, options: argparse.Namespace) -> None:
     paths = season.Paths(options.documents, options.messages, options.tables, options.checkpoints)
     if options.job == "direct":
         season.run_direct(

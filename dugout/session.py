@@ -50,9 +50,22 @@ def scratch_root(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def scratch_home(spark: SparkSession) -> str:
+    """This application's own folder below the scratch folder."""
+    return f"{scratch_root(spark)}/dugout-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path below the scratch folder that nobody else uses."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path in the application's scratch folder that nobody else uses."""
+    return f"{scratch_home(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove the intermediate tables of this application, at its end: tables that were read
+    from them can't be used any more. Other applications' folders stay."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(scratch_home(spark))
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame, label: str = "settled") -> DataFrame:

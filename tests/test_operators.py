@@ -180,3 +180,18 @@ def test_input_report(values):
 def test_schema_changes(values):
     old, new = values("a int, b string", (1, "x")).schema, values("a bigint, c int", (1, 2)).schema
     assert quality.schema_changes(old, new) == [("a", "retyped", "int -> bigint"), ("b", "removed", "string"), ("c", "added", "int")]
+
+
+def test_scratch_is_cleared(spark):
+    from pathlib import Path
+
+    from dugout.session import clear_scratch, scratch_home, settle
+
+    kept = settle(spark.range(3))
+    assert kept.count() == 3
+    home = Path(scratch_home(spark))
+    other = home.parent / "dugout-other"
+    other.mkdir()
+    clear_scratch(spark)
+    assert not home.exists() and other.exists()
+    assert settle(spark.range(2)).count() == 2
