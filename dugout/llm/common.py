@@ -2,11 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Hashable
+from typing import TypeVar
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import settle
 
-__all__ = ["settle", "table"]
+__all__ = ["in_worker", "settle", "table"]
+
+Made = TypeVar("Made")
+_HELD: dict[Hashable, object] = {}
+
+
+def in_worker(key: Hashable, make: Callable[[], Made]) -> Made:
+    """What ``make`` gives, kept in this worker process until another key is asked for.
+
+    Tasks of one operator that follow each other share it; an operator that comes later in
+    the same process does not find the memory taken.
+    """
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -11,6 +11,8 @@ import os
 import re
 from collections.abc import Callable, Iterable, Iterator
 
+from .common import in_worker
+
 #: Where a long text may be cut: behind a visible character, before plain white space.
 _CUT = re.compile(r"\S(?=[ \t\n\r])")
 #: White space and the word behind it. Unusual white space does not end a chunk.
@@ -20,7 +22,7 @@ SEGMENT_CHARS = 1 << 20
 #: UTF-8 bytes given to the library at once.
 BATCH_BYTES = 1 << 18
 #: Characters of remembered chunks in a worker process, after which it starts afresh.
-MEMORY_CHARS = 48_000_000
+MEMORY_CHARS = 32_000_000
 
 
 def segments(text: str, size: int = SEGMENT_CHARS) -> Iterator[str]:
@@ -145,14 +147,8 @@ class WordEncoder(ChunkEncoder):
         return self.value([t.id for t in self.tokenizer.model.tokenize(as_bytes)])
 
 
-_ENCODERS: dict[tuple[str, str], ChunkEncoder] = {}
-
-
 def encoder(
     path: str, kind: str, value: Callable[[list[int]], object], made: type[ChunkEncoder] = ChunkEncoder
 ) -> ChunkEncoder:
     """The encoder of this worker process; tasks that follow each other share it."""
-    key = (path, kind)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = made(path, value)
-    return _ENCODERS[key]
+    return in_worker((path, kind), lambda: made(path, value))

@@ -11,12 +11,11 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from . import encoding
-from .common import settle
+from .common import in_worker, settle
 
 UNDETERMINED = "und"
 #: Labelled documents per language that the model is fitted on, by the smallest key hashes.
@@ -27,7 +26,7 @@ KEPT_ENTRIES = 10_000
 ORDERS = (5, 4, 3, 2, 1)
 SMOOTHING = 0.5
 #: Characters of remembered words in a worker process, after which it starts afresh.
-MEMORY_CHARS = 40_000_000
+MEMORY_CHARS = 16_000_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -208,7 +207,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     at = docs.columns.index(text)
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = _scorer(name, shared)
+        scorer = in_worker(name, lambda: Scorer(shared.value))
         for batch in batches:
             found = [scorer.predict(t.as_py()) for t in batch.column(at)]
             langs = pa.array([l for l, _ in found], pa.string())
@@ -221,17 +220,6 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     return docs.mapInArrow(judged, schema)
 
 
-_SCORERS: dict[str, Scorer] = {}
-
-
-def _scorer(name: str, shared: Broadcast) -> Scorer:
-    """The scorer of this worker process; tasks with the same model share it."""
-    if name not in _SCORERS:
-        _SCORERS.clear()
-        _SCORERS[name] = Scorer(shared.value)
-    return _SCORERS[name]
-
-
 def remainder(key: str = "doc_id", of: int = 4) -> Column:
     """crc32 of the key as text, modulo ``of``; NULL without a key."""
     return F.crc32(F.col(key).cast("string")) % of
