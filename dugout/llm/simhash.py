@@ -201,6 +201,8 @@ def drop_near_copies(
 
     several = among(repeated, "repeated")
     kept = marked.join(among(dropped, "dropped"), ["__key", "__hash"], "left_anti")
+    if several.isEmpty():  # as a rule keys differ, and texts are joined once
+        return kept.select(*docs.columns)
     once = kept.join(several, ["__key", "__hash"], "left_anti")
     more = kept.join(several, ["__key", "__hash"], "left_semi")
     more = keep_first(more, ["__key", "__hash"], columns_as_order(docs))
