@@ -26,14 +26,14 @@ from .components import components
 FIT_VECTORS = 20_000
 #: Lists follow the square root of the number of vectors up to here.
 MOST_LISTS = 4096
-#: Lists that a vector looks into, the nearest ones among those that can hold a partner.
-PROBES = 16
 SUBSPACES = 8
 CODEWORDS = 256
 #: Members or visitors of a list that one task compares; longer lists are dealt in blocks.
 BLOCK = 4096
 #: Rows of a comparison at once.
 STEP = 256
+#: Visits that are handed on at once.
+VISITS = 16_384
 
 
 def usable(vector: Column) -> Column:
@@ -88,23 +88,26 @@ class Quantiser:
         back = np.concatenate([w[codes[:, m]] for m, w in enumerate(self.codewords)], axis=1)
         return codes.astype(np.uint8), np.sqrt(((residuals - back) ** 2).sum(1))
 
-    def probes(self, units: np.ndarray, reach: float, most: int) -> tuple[np.ndarray, np.ndarray]:
+    def probes(
+        self, units: np.ndarray, reach: float, most: int | None = None, own: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
         """Row numbers and lists: those of a row that can hold vectors within ``reach``.
 
         A list holds what is nearer to its centroid than to others. A vector within reach of
         ``u`` lies there only if ``u`` is at most ``reach`` beyond the border between its own
-        list and that one. Of these lists the nearest ``most`` are taken.
+        list and that one. A pair is looked for from its lower list, so higher ones suffice.
+        With ``most``, only so many of them are taken, the nearest ones.
         """
         square = distances(units, self.centroids)
-        own = square.argmin(1)
-        between = np.sqrt(distances(self.centroids[own], self.centroids))
+        own = square.argmin(1) if own is None else own
+        between = np.sqrt(distances(self.centroids, self.centroids))[own]
         beyond = square - square[np.arange(len(units)), own][:, None]
         possible = beyond <= 2 * reach * between + 1e-6
-        order = np.argsort(square, axis=1, kind="stable")[:, :most]
-        rows = np.repeat(np.arange(len(units)), order.shape[1])
-        lists = order.ravel()
-        kept = possible[rows, lists] & (lists >= own[rows])  # a pair is looked for from its lower list
-        return rows[kept], lists[kept]
+        possible &= np.arange(len(self.centroids)) >= own[:, None]
+        if most is not None and most < len(self.centroids):
+            order = np.argsort(np.where(possible, square, np.inf), axis=1, kind="stable")
+            np.put_along_axis(possible, order[:, most:], False, axis=1)
+        return np.nonzero(possible)
 
 
 def _units(vectors: np.ndarray) -> np.ndarray:
@@ -152,21 +155,25 @@ def _indexed(classes: DataFrame, quantiser: Quantiser, dimension: int) -> DataFr
     return classes.filter(F.size("vector") == dimension).mapInArrow(coded, schema)
 
 
-def _visits(index: DataFrame, quantiser: Quantiser, reach: float, probes: int) -> DataFrame:
-    """One row for every list that a vector looks into: ``id``, ``label``, ``rows``, ``vector``, ``list``."""
+def _visits(index: DataFrame, quantiser: Quantiser, reach: float, probes: int | None, span: int) -> DataFrame:
+    """One row for every group of ``span`` lists that a vector looks into, with its own ``list``."""
 
     def probing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows, lists = quantiser.probes(_units(_matrix(batch.column(3))), reach, probes)
-            taken = batch.take(pa.array(rows))
-            yield pa.RecordBatch.from_arrays(
-                [*taken.columns, pa.array(lists, pa.int32())], ["id", "label", "rows", "vector", "list"]
-            )
-
-    rows = index.select("id", "label", "rows", "vector")
-    return rows.mapInArrow(probing, StructType([*rows.schema.fields, StructField("list", IntegerType())]))
+            for start in range(0, batch.num_rows, STEP):
+                some = batch.slice(start, STEP)
+                own = some.column(4).to_numpy()
+                rows, lists = quantiser.probes(_units(_matrix(some.column(3))), reach, probes, own)
+                rows, groups = np.unique(np.stack([rows, lists // span]), axis=1)
+                for i in range(0, len(rows), VISITS):
+                    taken = some.take(pa.array(rows[i : i + VISITS]))
+                    yield pa.RecordBatch.from_arrays(
+                        [*taken.columns, pa.array(groups[i : i + VISITS], pa.int32())],
+                        ["id", "label", "rows", "vector", "list", "group"],
+                    )
+
+    rows = index.select("id", "label", "rows", "vector", "list")
+    return rows.mapInArrow(probing, StructType([*rows.schema.fields, StructField("group", IntegerType())]))
 
 
 def _near(
@@ -200,14 +207,19 @@ def _merge(roots: np.ndarray, one: int, others: np.ndarray) -> None:
         roots[np.isin(roots, found[1:])] = found[0]
 
 
-def _linked(index: DataFrame, visits: DataFrame, quantiser: Quantiser, least: float) -> DataFrame:
+def _linked(
+    index: DataFrame, quantiser: Quantiser, least: float, probes: int | None, span: int
+) -> DataFrame:
     """``id``, ``links`` (rows linked to it, found here) and ``root`` of linked classes.
 
-    Each list of a label is one task; long lists are dealt in blocks of members and visitors,
-    every block of one kind meeting every block of the other.
+    Each group of ``span`` lists of a label is one task; large ones are dealt in blocks of
+    members and visitors, every block of one kind meeting every block of the other. Inside,
+    a visitor is compared with the lists that it looks into.
     """
     reach = math.sqrt(max(0.0, 2 - 2 * least))
-    place = ["label", "list"]
+    index = index.withColumn("group", (F.col("list") / span).cast("int"))
+    visits = _visits(index, quantiser, reach, probes, span)
+    place = ["label", "group"]
     members = index.groupBy(*place).agg(F.count("*").alias("members"))
     visitors = visits.groupBy(*place).agg(F.count("*").alias("visitors"))
     sizes = settle(
@@ -220,40 +232,50 @@ def _linked(index: DataFrame, visits: DataFrame, quantiser: Quantiser, least: fl
     )
     salt = F.pmod(F.xxhash64("id"), F.lit(1 << 30))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    sides = [*place, "block", "turn", "id", "rows", "vector", "code", "error"]
+    sides = [*place, "block", "turn", "id", "rows", "vector", "list", "code", "error"]
     none = [F.lit(None).cast("binary").alias("code"), F.lit(None).cast("double").alias("error")]
     stored = index.join(sizes, place).withColumn("block", F.pmod(salt, "blocks").cast("int"))
     stored = stored.withColumn("turn", every("turns")).select(*sides)
     coming = visits.join(sizes, place).withColumn("turn", F.pmod(salt, "turns").cast("int"))
     coming = coming.withColumn("block", every("blocks")).select(
-        *place, "block", "turn", "id", "rows", "vector", *none
+        *place, "block", "turn", "id", "rows", "vector", "list", *none
     )
 
     def compared(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        ids, weights = table["id"].to_numpy(), table["rows"].to_numpy()
+        ids, weights, own = table["id"].to_numpy(), table["rows"].to_numpy(), table["list"].to_numpy()
         inside = table["code"].is_valid().to_numpy(zero_copy_only=False)
-        cell_no = table["list"][0].as_py()
         units = _units(_matrix(table["vector"].combine_chunks()))
-        coded = table.filter(pa.array(inside))
-        codes = np.frombuffer(b"".join(coded["code"].to_pylist()), np.uint8).reshape(coded.num_rows, -1)
-        errors = coded["error"].to_numpy().astype(np.float32)
         stay, come = np.flatnonzero(inside), np.flatnonzero(~inside)
-        cells = nearest(units[come], quantiser.centroids)
+        stay = stay[np.argsort(own[stay], kind="stable")]
+        coded = table.take(pa.array(stay))
+        codes = np.frombuffer(b"".join(coded["code"].to_pylist()), np.uint8).reshape(len(stay), -1)
+        errors = coded["error"].to_numpy().astype(np.float32)
         names, at = np.unique(ids, return_inverse=True)
         links, roots = np.zeros(len(names), np.int64), np.arange(len(names))
+        cells, firsts, numbers = np.unique(own[stay], return_index=True, return_counts=True)
+        looks = np.zeros((len(come), len(cells)), bool)
         for i in range(0, len(come), STEP):
-            rows = come[i : i + STEP]
-            near = _near(
-                units[rows], units[stay], codes, errors, quantiser.centroids[cell_no], quantiser, reach, least
-            )
-            # Two members of one list meet once: the one with the larger id is the visitor.
-            own = cells[i : i + STEP] == cell_no
-            near &= ~own[:, None] | (ids[rows][:, None] > ids[stay][None, :])
-            links[at[rows]] += near @ weights[stay]
-            np.add.at(links, at[stay], weights[rows] @ near)
-            for r in np.flatnonzero(near.any(1)):
-                _merge(roots, at[rows[r]], at[stay[near[r]]])
+            some = come[i : i + STEP]
+            rows, lists = quantiser.probes(units[some], reach, probes, own[some])
+            held = np.isin(lists, cells)
+            looks[rows[held] + i, np.searchsorted(cells, lists[held])] = True
+        for c, (cell, first, number) in enumerate(zip(cells, firsts, numbers)):
+            part = slice(first, first + number)
+            some = come[looks[:, c]]
+            step = max(STEP, STEP * BLOCK // (8 * number))
+            for i in range(0, len(some), step):
+                rows = some[i : i + step]
+                near = _near(
+                    units[rows], units[stay[part]], codes[part], errors[part],
+                    quantiser.centroids[cell], quantiser, reach, least,
+                )
+                # Two members of one list meet once: the one with the larger id is the visitor.
+                near &= (own[rows] != cell)[:, None] | (ids[rows][:, None] > ids[stay[part]][None, :])
+                links[at[rows]] += near @ weights[stay[part]]
+                np.add.at(links, at[stay[part]], weights[rows] @ near)
+                for r in np.flatnonzero(near.any(1)):
+                    _merge(roots, at[rows[r]], at[stay[part][near[r]]])
         found = np.flatnonzero(links > 0)
         return pa.table(
             {"id": names[found], "links": links[found], "root": names[roots[found]]},
@@ -270,7 +292,7 @@ def near_vectors(
     key: str = "vec_id",
     vector: str = "embedding",
     label: str = "label",
-    probes: int = PROBES,
+    probes: int | None = None,
 ) -> DataFrame:
     """``key``, ``n_links``, ``component_id`` and ``kept`` of every row.
 
@@ -280,7 +302,9 @@ def near_vectors(
 
     Equal vectors of a label are compared as one class that counts its rows, so copies cost
     nothing however many there are; other classes of a list are compared in blocks. No pair
-    is written out: tasks return counts and links to a smallest member.
+    is written out: tasks return counts and links to a smallest member. Every list that can
+    hold a partner is visited, so no link is lost; with ``probes``, only that many nearest
+    ones are, and links may be.
 
     Rows without a label, and vectors that are NULL, empty, zero or hold a NULL or non-finite
     component, have no links and are kept. Vectors of different lengths are not linked. A row
@@ -308,9 +332,10 @@ def near_vectors(
         directions = _units(_matrix(sample.select("vector").toArrow()["vector"].combine_chunks()))
         quantiser = fit(directions, count)
         index = settle(_indexed(shape, quantiser, dimension), "index")
-        reach = math.sqrt(max(0.0, 2 - 2 * least))
-        visits = _visits(index, quantiser, reach, probes)
-        found = found.unionByName(settle(_linked(index, visits, quantiser, least), "linked"))
+        # Lists are visited in groups: about a block of members of the largest label in each.
+        largest = index.groupBy("label").count().agg(F.max("count")).first()[0]
+        span = max(1, BLOCK * len(quantiser.centroids) // largest)
+        found = found.unionByName(settle(_linked(index, quantiser, least, probes, span), "linked"))
     roots = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     named = classes.join(links, "id", "left").join(roots.withColumnRenamed("node", "id"), "id", "left")

@@ -104,6 +104,18 @@ def test_recall_on_many_lists(spark):
     assert exact >= 2000 and 0.97 * exact <= found <= exact
 
 
+def test_no_link_of_a_dense_noisy_group_is_lost(spark):
+    rng = np.random.default_rng(11)
+    group = rng.normal(size=64) + rng.normal(size=(3400, 64)) * 0.27
+    points = np.float32(np.concatenate([rng.normal(size=(6800, 64)), group]))
+    rows = [(i, [float(x) for x in v], 0, 1, "x") for i, v in enumerate(points)]
+    got = vectors.near_vectors(spark.createDataFrame(rows, VECTORS), least=0.93)
+    units = vectors._units(points)
+    expected = [int((units[i : i + 1] @ units.T >= 0.93).sum()) - 1 for i in range(len(units))]
+    assert sum(expected) > 500_000
+    assert {r.vec_id: r.n_links for r in got.collect()} == dict(enumerate(expected))
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(1)
     links = [(i, i + 1) for i in range(100, 164)] + [(500, i) for i in range(501, 540)] + [(7, 7), (None, 3), (8, 9), (9, 8)]
