@@ -9,6 +9,7 @@ its next permutation; only these moves are a table, joined by the hash of the te
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
@@ -29,7 +30,14 @@ ATTEMPTS = 60
 TYPES = ("email", "card", "ip", "phone", "person")
 
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-_CARD = re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])")
+#: Runs of digits with single separators, which can hold a card among other numbers.
+_RUN = re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,}(?![0-9])")
+_GROUP = re.compile("[0-9]+")
+#: First digits and lengths of the large issuers' cards.
+_ISSUED = re.compile(
+    "4(?:[0-9]{12}|[0-9]{15}|[0-9]{18})|(?:5[1-5]|2[2-7])[0-9]{14}|3[47][0-9]{13}|3(?:0[0-5]|[689][0-9])[0-9]{11}"
+    "|(?:6[0245]|35)[0-9]{14}|6[2-9][0-9]{14,17}|5[06-8][0-9]{11,17}"
+)
 _IP = re.compile(rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.[0-9])")
 _PHONE = re.compile(
     r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,3}"
@@ -95,6 +103,32 @@ def _emails(text: str) -> Iterator[Found]:
         at = text.find("@", at + 1)
 
 
+def _cards(text: str) -> Iterator[Found]:
+    """Cards with a right check digit, also among other numbers such as expiry dates.
+
+    A card begins and ends where groups of digits do. Where several readings of a run are
+    right, those of known issuers go first, then longer ones, then earlier ones.
+    """
+    for run in _RUN.finditer(text):
+        groups = [g.span() for g in _GROUP.finditer(text, *run.span())]
+        right = []
+        for i, (start, _) in enumerate(groups):
+            value = ""
+            for a, end in groups[i : i + 19]:
+                value += text[a:end]
+                if len(value) > 19:
+                    break
+                if len(value) >= 13 and _luhn(value[:-1]) == int(value[-1]):
+                    right.append((_ISSUED.fullmatch(value) is None, -len(value), start, end, value))
+        taken: list[tuple[int, int]] = []
+        for _, _, start, end, value in sorted(right):
+            place = bisect.bisect(taken, (start, end))
+            before, behind = taken[place - 1 : place], taken[place : place + 1]
+            if (not before or before[0][1] <= start) and (not behind or end <= behind[0][0]):
+                taken.insert(place, (start, end))
+                yield Found(start, end, "card", value)
+
+
 def _numbers(text: str, pattern: re.Pattern[str], kind: str, fits: Callable[[str], bool]) -> Iterator[Found]:
     for m in pattern.finditer(text):
         value = m[0] if kind == "ip" else _digits(m[0])
@@ -127,7 +161,7 @@ def find(text: str) -> list[Found]:
 
     if "@" in text:
         add(_emails(text))
-    add(_numbers(text, _CARD, "card", lambda d: len(d) <= 19 and _luhn(d[:-1]) == int(d[-1])))
+    add(_cards(text))
     add(_numbers(text, _IP, "ip", lambda d: True))
     add(_numbers(text, _PHONE, "phone", lambda d: 7 <= len(d) <= 15))
     add(_persons(text))

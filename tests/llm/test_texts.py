@@ -276,6 +276,20 @@ def test_surrogates_keep_type_format_and_coreference(spark):
     assert pii.replace_pii(rows_of(spark, []), b"k").count() == 0
 
 
+def test_cards_among_other_numbers():
+    card = "4785 3805 9239 1139"
+    for text, shown in [
+        (f"{card} 09/27", [card]), ("4785380592391139 123", ["4785380592391139"]), (f"card 1 {card}", [card]),
+        (f"12 {card} 09 27 123", [card]), (f"{card} 4785-3805-9239-1139", [card, card.replace(" ", "-")]),
+        (f"{card} 1 2 3 4 5 6 7 8 9", [card]), ("1234567890123456 123", []), ("4" * 20, []),
+    ]:
+        found = [text[f.start : f.end] for f in pii.find(text) if f.kind == "card"]
+        assert [f for f in found if f.replace(" ", "").startswith("4785")] == shown, text
+        new = pii.replaced(text, b"k", {})[0]
+        assert all(s not in new for s in shown) and len(new) == len(text)
+        assert shown or not found
+
+
 def test_contested_surrogates_stay_distinct_and_unreal(spark):
     entities = [("email", f"{a}@{b}.com") for a in "abcdefghijklmnopqrst" for b in "abcdefghij"]
     made = pii.assign(spark.createDataFrame(entities, "kind string, value string"), b"k").collect()
