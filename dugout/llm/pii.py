@@ -51,9 +51,18 @@ _TITLES = {
     "Mrs": "f", "Ms": "f", "Miss": "f", "Frau": "f", "Madame": "f", "Mme": "f", "Señora": "f", "Sra": "f",
     "Signora": "f", "г-жа": "f", "госпожа": "f", "Dr": "n", "Prof": "n",
 }
-_PERSON = re.compile(
-    rf"(?<!\w)({'|'.join(sorted(_TITLES, key=len, reverse=True))})(\.? )([^\W\d_]+(?:-[^\W\d_]+)?)(?: ([^\W\d_]+(?:-[^\W\d_]+)?))?"
-)
+_TITLE = rf"(?:{'|'.join(sorted(_TITLES, key=len, reverse=True))})(?!\w)"
+#: Parts of a degree that may stand between titles and a name.
+_DEGREE = r"(?:med|phil|jur|iur|rer|nat|pol|oec|ing|Ing|habil|dent|vet|theol|h\.[ ]?c|dr|Dr|Prof)(?!\w)"
+_NAME = r"[^\W\d_]+(?:-[^\W\d_]+|['’](?![sS]\b)[^\W\d_]+)*"
+_PARTICLE = r"(?:(?:von|van|zu|de|del|della|der|den|du|di|da|la|le|ter)\s+)*"
+_ANNOUNCED = re.compile(rf"(?<!\w)({_TITLE}(?:(?:\.\s*|\s+|\.?-)(?:{_TITLE}|{_DEGREE}))*)(?:\.\s*|\s+){_PARTICLE}(?={_NAME})")
+_PART = re.compile(_NAME)
+#: An initial has its full stop, other parts only white space before the next part.
+_BETWEEN = re.compile(rf"(\.?\s*|\s+)({_PARTICLE})(?!{_TITLE})(?={_NAME})")
+_LETTERS = re.compile(r"[^\W\d_]+")
+#: Names behind a title, besides initials.
+MOST_NAMES = 3
 #: Given names by script and gender; other scripts use the Latin ones.
 _GIVEN = {
     ("latin", "m"): "Adam Bruno Carl David Erik Felix Georg Hugo Ivan Jonas Kevin Luis Marco Nils Oscar Paul".split(),
@@ -136,16 +145,76 @@ def _numbers(text: str, pattern: re.Pattern[str], kind: str, fits: Callable[[str
             yield Found(m.start(), m.end(), kind, value)
 
 
-def _persons(text: str) -> Iterator[Found]:
-    """Each name of a person is an entity of its own, so that "Mr X" and "Mr Y X" agree on X."""
-    for m in _PERSON.finditer(text):
-        names = [g for g in (3, 4) if m[g] and m[g][0].isupper()]
-        if not names or names[0] != 3:
+def _titled(text: str) -> Iterator[tuple[str, list[re.Match[str]]]]:
+    """Gender and the parts of each name behind titles, the family name last."""
+    for m in _ANNOUNCED.finditer(text):
+        part = _PART.match(text, m.end())
+        if not part[0][0].isupper():
             continue
-        gender = _TITLES[m[1]]
-        for place, g in enumerate(names):
-            part = "family" if place == len(names) - 1 else f"given {gender}"
-            yield Found(m.start(g), m.end(g), "person", f"{part} {_script(m[g])} {m[g].lower()}")
+        parts, full = [part], len(part[0]) > 1
+        while full < MOST_NAMES:
+            between = _BETWEEN.match(text, part.end())
+            if between is None:
+                break
+            initial, gap = len(part[0]) == 1, between[1]
+            part = _PART.match(text, between.end())
+            if not part[0][0].isupper() or (gap.strip() or not gap) and not (initial and gap):
+                break
+            if "\n" in gap and (gap.count("\n") > 1 or re.search(rf"\b{part[0].lower()}\b", text)):
+                break  # a word that begins the next line
+            parts.append(part)
+            full += len(part[0]) > 1
+            if full == MOST_NAMES:
+                break
+        genders = {_TITLES[t] for t in re.findall(_TITLE, m[1])} - {"n"}
+        yield genders.pop() if len(genders) == 1 else "n", parts
+
+
+def _settled(votes: Counter[str]) -> str:
+    """The gender that most mentions give, "n" if none does."""
+    return "n" if not votes["m"] and not votes["f"] else "m" if votes["m"] > votes["f"] else "f"
+
+
+def _persons(text: str) -> Iterator[Found]:
+    """Each name of a person is an entity of its own, so that "Mr X" and "Mr Y X" agree on X.
+
+    Names behind a title are also found where they stand alone, as whole words that begin
+    with a capital. A given name has the gender that its titles in the text say most often.
+    """
+    known: dict[str, set[str]] = {}
+    votes: dict[str, Counter[str]] = {}
+    roles: dict[int, tuple[int, str, str]] = {}
+    for gender, parts in _titled(text):
+        for part in parts:
+            role, name = "family" if part is parts[-1] else "given", part[0].lower()
+            roles[part.start()] = part.end(), role, name
+            if len(name) > 1:
+                known.setdefault(name, set()).add(role)
+            if role == "given":
+                votes.setdefault(name, Counter())[gender] += 1
+    if not roles:
+        return
+    others = [m for m in _PART.finditer(text) if m[0][0].isupper()]
+    spans = []
+    for m in others:
+        whole = m.start() in roles or m[0].lower() in known or "-" not in m[0]
+        spans += [m] if whole else [p for p in _LETTERS.finditer(text, *m.span()) if p[0][0].isupper()]
+    spans = [m for m in spans if m.start() in roles or m[0].lower() in known and _alone(text, m)]
+    for m, behind in zip(spans, [*spans[1:], None]):
+        end, role, name = roles.get(m.start(), (m.end(), "", m[0].lower()))
+        if not role:
+            # A given name where a family name follows, else a family name if it is one.
+            follows = behind is not None and "family" in known.get(behind[0].lower(), ())
+            follows = follows and text[m.end() : behind.start()].isspace()
+            given = "given" in known[name] and (follows or "family" not in known[name])
+            role = "given" if given else "family"
+        part = f"given {_settled(votes[name])}" if role == "given" else role
+        yield Found(m.start(), end, "person", f"{part} {_script(name)} {name}")
+
+
+def _alone(text: str, m: re.Match[str]) -> bool:
+    before, behind = text[m.start() - 1 : m.start()], text[m.end() : m.end() + 1]
+    return not (before == "_" or before.isalnum() or behind == "_" or behind.isalnum())
 
 
 def find(text: str) -> list[Found]:
@@ -247,18 +316,22 @@ def dressed(kind: str, made: str, shown: str) -> str:
         return "".join(next(digits) if "0" <= c <= "9" else c for c in shown)
     if kind == "person":
         name = made.rsplit(" ", 1)[1]
+        if len(shown) == 1:
+            return next(c for c in name if c != shown.lower()).upper()
         return name.upper() if len(shown) > 1 and shown.isupper() else name.capitalize()
     return made.upper() if kind == "email" and shown.isupper() else made
 
 
-def replaced(text: str, key: bytes, moves: dict[str, int]) -> tuple[str, Counter[str]]:
+def replaced(text: str, key: bytes, moves: dict[str, dict]) -> tuple[str, Counter[str]]:
     """``text`` with surrogates, and how many entities of each type it had.
 
-    ``moves`` has the attempts of entities that don't keep their first surrogate.
+    ``moves`` has ``value`` and ``attempt`` of entities that don't keep their first surrogate:
+    contested ones, and names whose gender the corpus settles in another way than the text.
     """
     parts, at, counts = [], 0, Counter()
     for f in find(text):
-        made = surrogate(f.kind, f.value, key, moves.get(f"{f.kind}|{f.value}", 0))
+        move = moves.get(f"{f.kind}|{f.value}") or {"value": f.value, "attempt": 0}
+        made = surrogate(f.kind, move["value"], key, move["attempt"])
         parts += [text[at : f.start], dressed(f.kind, made, text[f.start : f.end])]
         at = f.end
         counts[f.kind] += 1
@@ -320,12 +393,29 @@ def assign(entities: DataFrame, key: bytes) -> DataFrame:
     raise RuntimeError("some formats have no free surrogates left")
 
 
+def _one_gender(seen: DataFrame) -> DataFrame:
+    """``value`` and ``settled`` of given names that the corpus gives another gender than a text."""
+    part = lambda n: F.split("value", " ")[n]
+    given = seen.filter((F.col("kind") == "person") & F.col("value").startswith("given ")).select(
+        "value", part(1).alias("gender"), part(2).alias("script"), part(3).alias("name")
+    )
+    says = lambda g: F.count_if(F.col("gender") == g)
+    settled = given.groupBy("script", "name").agg(
+        F.when((says("m") == 0) & (says("f") == 0), "n").when(says("m") > says("f"), "m").otherwise("f").alias("most")
+    )
+    other = given.distinct().join(settled, ["script", "name"]).filter("gender <> most")
+    return other.select(
+        F.lit("person").alias("kind"), "value", F.concat_ws(" ", F.lit("given"), "most", "script", "name").alias("settled")
+    )
+
+
 def replace_pii(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     """``docs`` with its texts rewritten, and ``pii_counts``, a map from type to entities.
 
     E-mail addresses, payment cards with a right check digit, IP addresses, phone numbers and
-    names behind a title are replaced. A surrogate keeps type, format, length, script, top
-    domain and the gender that the title gives; the same entity has the same surrogate
+    names behind a title are replaced, the latter also where they stand without one in the
+    same text. A surrogate keeps type, format, length, script, top domain and the gender that
+    a name's titles give most often in the corpus; the same entity has the same surrogate
     everywhere and different entities have different ones. Whoever has the secret ``key``
     can tell which is which; runs with the same key agree but for contested surrogates.
 
@@ -335,11 +425,17 @@ def replace_pii(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     """
     docs = docs.drop("pii_counts")
     seen = settle(_occurrences(docs, text), "occurrences")
-    moved = assign(seen.select("kind", "value"), key).filter("attempt > 0")
-    name = F.concat_ws("|", "kind", "value").alias("name")
+    seen = seen.join(settle(_one_gender(seen), "genders"), ["kind", "value"], "left")
+    seen = seen.withColumn("settled", F.coalesce("settled", "value"))
+    given = assign(seen.select("kind", F.col("settled").alias("value")), key)
+    contested = given.filter("attempt > 0").select("kind", F.col("value").alias("settled"), "attempt")
+    moved = seen.join(contested, ["kind", "settled"], "left").filter("attempt is not null or settled <> value")
+    move = F.struct(F.col("settled").alias("value"), F.coalesce("attempt", F.lit(0)).alias("attempt"))
+    name = F.concat_ws("|", "kind", "value")
     moves = settle(
-        seen.join(moved.select("kind", "value", "attempt"), ["kind", "value"])
-        .groupBy("hash").agg(F.map_from_entries(F.collect_set(F.struct(name, "attempt"))).alias("moves")),
+        moved.groupBy("hash").agg(
+            F.map_from_entries(F.collect_set(F.struct(name.alias("name"), move.alias("move")))).alias("moves")
+        ),
         "moves",
     )
     others = [F.col(f"`{c}`") for c in docs.columns if c != text]

@@ -290,6 +290,34 @@ def test_cards_among_other_numbers():
         assert shown or not found
 
 
+def test_names_stay_replaced_without_their_title():
+    def new(text):
+        return pii.replaced(text, b"k", {})[0]
+
+    m = re.fullmatch(r"Mr\. (\w+) (\w+) left\. Later (\w+) and (\w+) (\w+) came, (\w+)'s smithy\.",
+                     new("Mr. John Smith left. Later Smith and John Smith came, Smith's smithy."))
+    assert m and m[2] == m[3] == m[5] == m[6] != "Smith" and m[1] == m[4] != "John"
+    for text, names in [
+        ("Mr. J. Smith and Mr. J. R. Smith", ["J.", "R.", "Smith"]), ("Mr. O'Neill came, O'Neill's dog", ["O'Neill"]),
+        ("Prof. Dr. Anna Schmidt", ["Anna", "Schmidt"]), ("Dr. med. Hans Meier", ["Hans", "Meier"]),
+        ("Mr.  John  Smith", ["John", "Smith"]), ("Frau\nAnna\nSchmidt", ["Anna", "Schmidt"]),
+        ("Herr von Braun", ["Braun"]), ("Señor Juan García López", ["Juan", "García", "López"]),
+    ]:
+        assert not [n for n in names if n in new(text)], (text, new(text))
+    assert new("Mr. Smith\nThe end of the day").endswith("\nThe end of the day")
+    assert new("Mr. Smith. The end of Smithville, the smith") .endswith(". The end of Smithville, the smith")
+    assert new("Mr. Lee Mrs. Roe").split()[2] == "Mrs."
+    a, b = new("Mrs Anna Smith and Dr Anna Smith").split(" and ")
+    assert a.split()[1:] == b.split()[1:]
+
+
+def test_a_name_has_one_surrogate_in_all_documents(spark):
+    texts = ["Mrs Anna Smith", "Dr Anna Smith", "Dr Anna Smith", "Ms Anna Smith"]
+    got = pii.replace_pii(rows_of(spark, [document(i, t) for i, t in enumerate(texts)]), b"k").collect()
+    names = {tuple(r.text.split()[1:]) for r in got}
+    assert len(names) == 1 and any(names.pop()[0].startswith(n) for n in pii._GIVEN["latin", "f"])
+
+
 def test_contested_surrogates_stay_distinct_and_unreal(spark):
     entities = [("email", f"{a}@{b}.com") for a in "abcdefghijklmnopqrst" for b in "abcdefghij"]
     made = pii.assign(spark.createDataFrame(entities, "kind string, value string"), b"k").collect()
