@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import ipaddress
 import math
 import re
 from collections import Counter
@@ -39,10 +40,25 @@ _ISSUED = re.compile(
     "|(?:6[0245]|35)[0-9]{14}|6[2-9][0-9]{14,17}|5[06-8][0-9]{11,17}"
 )
 _IP = re.compile(rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.[0-9])")
+#: Candidates of IPv6 addresses; the library decides.
+_IP6 = re.compile(r"(?<![\w:.])(?=[0-9A-Fa-f]*:[0-9A-Fa-f]*:)[0-9A-Fa-f:]{2,39}(?:(?<=:)[0-9]{1,3}(?:\.[0-9]{1,3}){3})?(?![\w:]|\.[0-9])")
 _PHONE = re.compile(
-    r"(?<![\w+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,3}"
-    r"|\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?[0-9]{4}|[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9])"
+    # International: + or 00 and a country, an area in brackets, groups.
+    r"(?<![\w+])(?:(?:\+|00)[1-9][0-9]{0,2}[ ./-]?(?:\([0-9]{1,5}\)[ ./-]?)?[0-9]{1,12}(?:[ ./-][0-9]{1,8}){0,7}"
+    # North American; a leading 1 may precede it.
+    r"|(?:1[ .-])?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}|\([0-9]{3}\)[ .-]?[0-9]{7}"
+    # National with a leading 0: pairs; an area and a number behind a separator.
+    r"|0[1-9]([ .-])[0-9]{2}(?:\1[0-9]{2}){3}"
+    r"|(?:\(0[1-9][0-9]{1,4}\) ?|0[1-9][0-9]{1,4}(?: ?[/-] ?| ))[0-9]{2,9}(?:[ -][0-9]{2,8}){0,3})(?![0-9])"
 )
+#: Any number behind a word that announces a phone.
+_PLAIN = re.compile(r"(?<![\w+.,])\(?[0-9](?:[ ./()-]{0,2}[0-9]){6,14}(?![0-9])")
+_PHONE_WORD = re.compile(
+    r"(?i)(?<!\w)(?:(?:tele)?phone|tel|call(?:ed|ing)?|mobile|cell|fax|whatsapp|sms|dial|ring|telefon(?:nummer)?|handy(?:nummer)?"
+    r"|mobil|rufnummer|ruf|anrufen|t[ée]l[ée]phone|t[ée]l|portable|appele[rz]|tel[ée]fono|m[óo]vil|celular|llam(?:ar|e|a))(?!\w)[^0-9\n]{0,20}$"
+)
+#: Characters before a number in which such a word is looked for.
+_NEAR = 40
 _LOCAL = re.compile(r"[\w.%+-]{1,64}\Z")
 _DOMAIN = re.compile(r"@(?:[\w-]{1,63}\.){1,8}[^\W\d_]{2,24}")
 #: Titles that announce a person, with the person's gender.
@@ -112,6 +128,25 @@ def _emails(text: str) -> Iterator[Found]:
         at = text.find("@", at + 1)
 
 
+def _addresses(text: str) -> Iterator[Found]:
+    """IPv6 addresses with a digit, so that the scope operator between words is none."""
+    for m in _IP6.finditer(text):
+        shown = m[0] if m[0].endswith("::") else m[0].rstrip(":")
+        try:
+            value = str(ipaddress.IPv6Address(shown))
+        except ValueError:
+            continue
+        if any(c.isdigit() for c in shown):
+            yield Found(m.start(), m.start() + len(shown), "ip", value)
+
+
+def _announced_phones(text: str) -> Iterator[Found]:
+    for m in _PLAIN.finditer(text):
+        digits = _digits(m[0])
+        if 7 <= len(digits) <= 15 and _PHONE_WORD.search(text[max(0, m.start() - _NEAR) : m.start()]):
+            yield Found(m.start(), m.end(), "phone", digits)
+
+
 def _cards(text: str) -> Iterator[Found]:
     """Cards with a right check digit, also among other numbers such as expiry dates.
 
@@ -231,8 +266,11 @@ def find(text: str) -> list[Found]:
     if "@" in text:
         add(_emails(text))
     add(_cards(text))
+    if ":" in text:
+        add(_addresses(text))
     add(_numbers(text, _IP, "ip", lambda d: True))
     add(_numbers(text, _PHONE, "phone", lambda d: 7 <= len(d) <= 15))
+    add(_announced_phones(text))
     add(_persons(text))
     return sorted(found, key=lambda f: f.start)
 
@@ -283,6 +321,8 @@ def surrogate(kind: str, value: str, key: bytes, attempt: int = 0) -> str:
         if first > 1:  # a number that does not begin with 0 or 1 goes to another one
             return value[:kept] + str(permuted(int(tail) - 2 * 10 ** (len(tail) - 1), 8 * 10 ** (len(tail) - 1), key, tweak) + 2 * 10 ** (len(tail) - 1))
         return value[:kept] + str(first) + _number(tail[1:], key, tweak)
+    if kind == "ip" and ":" in value:
+        return str(ipaddress.IPv6Address(permuted(int(ipaddress.IPv6Address(value)), 1 << 128, key, tweak)))
     if kind == "ip":
         a, b, c, d = map(int, value.split("."))
         n = permuted((a << 24) + (b << 16) + (c << 8) + d, 1 << 32, key, tweak)
@@ -412,7 +452,9 @@ def _one_gender(seen: DataFrame) -> DataFrame:
 def replace_pii(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     """``docs`` with its texts rewritten, and ``pii_counts``, a map from type to entities.
 
-    E-mail addresses, payment cards with a right check digit, IP addresses, phone numbers and
+    E-mail addresses, payment cards with a right check digit, IP addresses (4 and 6), phone
+    numbers (7 to 15 digits: behind + or 00, North American 3-3-4, national ones with a leading
+    0 and a separator behind the area, and any form right behind a word such as "phone") and
     names behind a title are replaced, the latter also where they stand without one in the
     same text. A surrogate keeps type, format, length, script, top domain and the gender that
     a name's titles give most often in the corpus; the same entity has the same surrogate
