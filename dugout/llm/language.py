@@ -245,7 +245,13 @@ def fit_and_predict(
 def keep_determined(
     docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", held_out: int = 2
 ) -> DataFrame:
-    """``docs`` without the rows whose language cannot be told, all columns as they were."""
+    """``docs`` without the rows whose language cannot be told, all columns as they were.
+
+    These are NULL texts and those without a letter. If the model knows no language, since no
+    row that it may learn from is labelled, all other texts are kept too.
+    """
     model = fit(docs, remainder(key) != held_out, key, text, lang)
+    if not model.languages:
+        return docs.filter(F.coalesce(F.rlike(text, F.lit(r"\p{L}")), F.lit(False)))
     rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
     return predict(rows, model).filter(F.col("lang_pred") != UNDETERMINED).select("row.*")

@@ -229,6 +229,12 @@ def test_languages(spark):
     assert language.fit_and_predict(rows_of(spark, [])).count() == 0
 
 
+def test_documents_stay_where_no_language_is_known(spark):
+    frame = rows_of(spark, [document(1, "the door", None), document(2, "дом", None), document(3, None, None),
+                            document(4, "12 % 3", None), document(None, "no key", "en")])
+    assert {r.text for r in language.keep_determined(frame).collect()} == {"the door", "дом", "no key"}
+
+
 def test_word_scores_back_off_to_shorter_grams():
     counts = [("en", 0, "abc", 5), ("en", 2, "ab", 4), ("de", 2, "xy", 4), ("de", 1, "z", 3)]
     import numpy as np
