@@ -10,12 +10,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import settle
 
-#: Tokens of one URL that take part in mining. A transaction of n items can have 2^n frequent
-#: combinations, so mining looks at so many of a URL's rarer tokens; matching looks at all.
+#: URLs with at most so many tokens are what brute force can try in a test; mining has no such bound.
 MINED_TOKENS = 10
 _CLASS = "class:block"
 
@@ -82,31 +81,45 @@ def _tokens() -> Column:
 
 def mine(
     labelled: DataFrame, min_support: float, min_confidence: float, min_count: int
-) -> DataFrame:
+) -> tuple[DataFrame, DataFrame]:
     """Rules ``antecedent``, ``support``, ``confidence`` and ``anchor`` for blocking.
 
     ``labelled`` has ``__tokens`` and ``bad``. A rule says that URLs with all tokens of its
     antecedent are bad; it is kept if its support and confidence reach the limits and the
     antecedent occurs ``min_count`` times. ``anchor`` is the antecedent's rarest token.
+
+    All tokens take part that are frequent enough among bad URLs; others are in no rule.
+    Tokens that occur in just the same labelled URLs are one item, since rules with any of
+    them hold equally; its rules fit URLs with any of them. So supports and
+    confidences are those of the whole sets of tokens.
     """
     spark = labelled.sparkSession
     schema = "antecedent array<string>, support double, confidence double, anchor string"
     labelled = settle(labelled.select("__tokens", "bad"), "labelled")
     n = labelled.count()
     if n < min_count:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], schema), spark.createDataFrame([], "token string, item string")
     floor = max(min_support, min_count / n)
+    sets = labelled.groupBy("__tokens", "bad").agg(F.count("*").alias("times"))
+    tokens = sets.select("bad", "times", F.xxhash64("__tokens", "bad").alias("set"), F.explode("__tokens").alias("token"))
+    # Two 64-bit sums over the sets that have a token tell whether tokens have the same ones.
     common = (
-        labelled.select(F.explode("__tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
-        .filter(F.col("n") >= F.lit(floor * n))
+        tokens.groupBy("token").agg(
+            F.sum("times").alias("n"),
+            F.sum(F.when(F.col("bad"), F.col("times"))).alias("bad_n"),
+            F.bit_xor("set").alias("one"), F.bit_xor(F.xxhash64(F.lit("two"), "set")).alias("two"),
+        )
+        .filter(F.col("bad_n") >= F.lit(floor * n * (1 - 1e-9)))
+        .withColumn("item", F.min("token").over(Window.partitionBy("n", "bad_n", "one", "two")))
     )
-    common = settle(common, "tokens")
-    # Frequent tokens of each set of tokens, the rarest first; equal sets are one row here.
-    sets = labelled.groupBy("__tokens", "bad").agg(F.count("*").alias("times"))
+    common = settle(common.select("token", "n", "item"), "tokens")
     kept = (
         sets.select("__tokens", "bad", "times", F.explode("__tokens").alias("token")).join(common, "token")
-        .groupBy("__tokens", "bad", "times").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("by_n"))
-        .withColumn("items", F.slice(F.col("by_n.token"), 1, MINED_TOKENS))
+        .groupBy("__tokens", "bad", "times").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    )
+    # URLs without such a token count in the shares too.
+    kept = sets.join(kept.select("__tokens", "bad", "items"), ["__tokens", "bad"], "left").withColumn(
+        "items", F.coalesce("items", F.array().cast("array<string>"))
     )
     marked = F.when(F.col("bad"), F.array_append("items", F.lit(_CLASS))).otherwise(F.col("items"))
     copies = F.explode(F.array_repeat(F.lit(1), F.col("times").cast("int")))
@@ -120,17 +133,21 @@ def mine(
         rules.select("*", F.explode("antecedent").alias("token")).join(common, "token")
         .groupBy("antecedent", "support", "confidence").agg(F.min_by("token", F.struct("n", "token")).alias("anchor"))
     )
-    return settle(rarest, "rules")
+    return settle(rarest, "rules"), common.select("token", "item")
 
 
-def match(sets: DataFrame, rules: DataFrame) -> DataFrame:
+def match(sets: DataFrame, rules: DataFrame, items: DataFrame) -> DataFrame:
     """The best rule of every set of tokens that has one, by an inverted index on anchors.
 
-    A set meets a rule only if it has the rule's rarest token; then the other tokens are
-    looked up in the set.
+    A set meets a rule only if it has the rule's rarest item; then the other items are
+    looked up in the set. ``items`` names the item of each token.
     """
-    met = sets.select("__tokens", F.explode("__tokens").alias("anchor")).join(rules, "anchor")
-    whole = met.filter(F.size(F.array_except("antecedent", "__tokens")) == 0)
+    named = (
+        sets.select("__tokens", F.explode("__tokens").alias("token")).join(items, "token")
+        .groupBy("__tokens").agg(F.collect_set("item").alias("held"))
+    )
+    met = named.select("__tokens", "held", F.explode("held").alias("anchor")).join(rules, "anchor")
+    whole = met.filter(F.size(F.array_except("antecedent", "held")) == 0)
     best = F.max(F.struct("confidence", "support", F.array_sort("antecedent").alias("antecedent")))
     return whole.groupBy("__tokens").agg(best.alias("best"))
 
@@ -149,7 +166,8 @@ def judge(
 
     ``labels`` has ``key`` and a boolean ``bad``. The longest fixed rule that fits decides;
     a URL without one is blocked if a mined rule fits, and allowed otherwise. ``mined`` has
-    the tokens of the most confident mined rule, NULL if none fits.
+    the tokens of the most confident mined rule, the first of those that always occur together;
+    it is NULL if none fits.
 
     A NULL URL or one without ``://`` has an empty host and path, no tokens, and is allowed.
     Repeated pages are judged alike and count as often as they occur in mining; a key with
@@ -161,9 +179,9 @@ def judge(
     )
     known = labels.filter("bad is not null").groupBy(key).agg(F.max("bad").alias("bad"))
     labelled = parsed.join(known.withColumnRenamed(key, "__page"), "__page")
-    mined = mine(labelled, min_support, min_confidence, min_count)
+    mined, items = mine(labelled, min_support, min_confidence, min_count)
     sets = parsed.select("__tokens").distinct()
-    found = settle(match(sets, mined), "matches")
+    found = settle(match(sets, mined, items), "matches")
     judged = parsed.join(found, "__tokens", "left")
     fits = F.col("best").isNotNull()
     return judged.select(

@@ -228,6 +228,23 @@ def test_mined_rules_against_brute_force(spark):
         assert (got[i].confidence is None) == (best is None) and (best is None or abs(got[i].confidence - best) < 1e-9)
 
 
+def test_rules_on_frequent_tokens_of_long_urls(spark):
+    rng = random.Random(4)
+    found, bad = [], {}
+    for i in range(400):
+        spam = i % 4 != 0
+        # The keys are rarer than the path that tells.
+        keys = "&".join(f"{k}=1" for k in ("abcdefghijk" if i % 2 else "lmnopqrstuv"))
+        found.append((i, f"http://www.news.org/{'casino' if spam else 'item'}{rng.choice(['/x', ''])}?{keys if spam or i % 8 == 0 else 'a=1'}"))
+        bad[i] = spam
+    found += [(1000, "http://other.net/casino"), (1001, "http://other.net/item")]
+    frame = pages_of(spark, found)
+    labels = spark.createDataFrame(list(bad.items()), "page_id long, bad boolean")
+    got = {r.page_id: r for r in urls.judge(frame, labels, (), min_support=0.02, min_confidence=0.9, min_count=10).collect()}
+    assert all((got[i].verdict == "block") == b for i, b in bad.items())
+    assert (got[1000].verdict, got[1000].confidence, got[1001].verdict) == ("block", 1.0, "allow")
+
+
 def test_url_filter_uses_no_python(spark):
     frame = pages_of(spark, [(1, "http://a.com/x")])
     labels = spark.createDataFrame([(1, True)], "page_id long, bad boolean")
