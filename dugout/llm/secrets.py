@@ -17,7 +17,8 @@ from .common import settle
 
 #: Candidates: unbroken strings of at least this many of the characters that keys are made of.
 MIN_LENGTH = 16
-CANDIDATE = rf"[A-Za-z0-9_/+\-]{{{MIN_LENGTH},}}+"
+#: Characters of candidates right behind a keyword, whatever they are but blanks.
+MIN_ASSIGNED = 6
 #: Characters before and behind a candidate that count as its neighbourhood.
 REACH = 80
 #: Labelled findings that the forest is fitted on, the smallest hashes of either label.
@@ -29,6 +30,20 @@ KEYWORDS = ("token", "secret", "password", "passwd", "api_key", "apikey", "acces
 #: Well-known forms of keys, as fixed values.
 KNOWN_FORMS = (r"AKIA[0-9A-Z]{16}", r"gh[pousr]_[A-Za-z0-9]{36}", r"xox[abprs]-[A-Za-z0-9\-]{10,}", r"sk_live_[A-Za-z0-9]{16,}")
 NEIGHBOUR_BUCKETS = 32
+#: Right behind an assignment to a keyword; the cheap look at the characters before comes first.
+_ASSIGNED = (
+    r"(?<=[=:>\s\"'])(?<=[=:]>?\s{0,2}[\"']?)"
+    rf"(?<=(?i:{'|'.join(KEYWORDS)})[\w\-]{{0,16}}[\"']?\s{{0,2}}[=:]{{1,2}}>?\s{{0,2}}[\"']?)"
+)
+_BEARER = r"(?<=\s)(?<=(?i:bearer)\s)"
+#: A whole value in quotes, or a run without blanks and quotes.
+_VALUE = (
+    rf"(?:(?<=\")[^\s\"]{{{MIN_ASSIGNED},}}+(?=\")|(?<=')[^\s']{{{MIN_ASSIGNED},}}+(?=')"
+    rf"|(?![=:>])[^\s\"']{{{MIN_ASSIGNED},}}+)"
+)
+#: The password of a URL's user, or a user that is a key.
+_USER = rf"(?<=:)(?<=://[^\s/:@]{{0,64}}:)[^\s/@]++(?=@)|(?<=://)[^\s/:@]{{{MIN_ASSIGNED},}}+(?=@)"
+CANDIDATE = rf"{_ASSIGNED}{_VALUE}|{_BEARER}{_VALUE}|{_USER}|[A-Za-z0-9_/+\-]{{{MIN_LENGTH},}}+"
 
 _NUMERIC = (
     "length", "digit_share", "upper_share", "hex_share", "switches", "case_switches", "distinct_share",
@@ -38,7 +53,9 @@ _NUMERIC = (
 
 
 def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
-    """One row per candidate: ``key``, ``path``, ``start`` (from 0), ``candidate``, ``before``, ``behind``.
+    """One row per candidate: unbroken strings of ``MIN_LENGTH`` characters of keys, runs of
+    ``MIN_ASSIGNED`` of any characters but blanks that are assigned to a keyword or follow
+    "bearer", and the user parts of URLs. Columns ``key``, ``path``, ``start`` (from 0), ``candidate``, ``before``, ``behind``.
 
     Candidates are found in one pass over the whole text. The texts between them give the
     neighbourhoods, so a neighbourhood never reaches into the next candidate.
@@ -46,7 +63,7 @@ def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text", path: s
     value = F.col("__text")
     rows = docs.select(F.col(key).alias("key"), F.col(path).alias("path"), F.col(text).alias("__text"))
     # Rows without a candidate are most of them; the filter reads on until it finds one.
-    rows = rows.filter(F.rlike(value, F.lit(rf"[A-Za-z0-9_/+\-]{{{MIN_LENGTH}}}")))
+    rows = rows.filter(F.rlike(value, F.lit(CANDIDATE)))
     found = F.regexp_extract_all(value, F.lit(CANDIDATE), F.lit(0))
     gaps = F.split(value, CANDIDATE, -1)
     rows = rows.select("key", "path", found.alias("found"), gaps.alias("gaps"))
@@ -138,8 +155,9 @@ def weak_labels(rows: DataFrame) -> DataFrame:
     """
     form = F.rlike("candidate", F.lit(f"^({'|'.join(KNOWN_FORMS)})$"))
     random = (F.col("digit_share") > 0.2) & (F.col("switches") > 0.1)
-    secret = form | ((F.col("announced") == 1) & (F.col("assigned") == 1) & random)
-    false = (F.col("announced") == 0) & ((F.col("digit_share") == 0) | (F.col("digit_share") == 1))
+    user = F.rlike("before", F.lit(r"://[^\s/:@]*:$"))
+    secret = form | (((F.col("announced") == 1) | user) & (F.col("assigned") == 1) & random)
+    false = (F.col("announced") == 0) & ~user & ((F.col("digit_share") == 0) | (F.col("digit_share") == 1))
     label = F.when(secret, 1.0).when(false & ~form, 0.0)
     return rows.withColumn("label", label).filter("label is not null")
 

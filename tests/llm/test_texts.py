@@ -418,6 +418,25 @@ def test_secret_scan(spark):
     assert empty.count() == 0
 
 
+def test_short_and_broken_secrets_are_candidates(spark):
+    rng = random.Random(8)
+    planted = {
+        1: ('password = "Tr0ub4dor&3x" there', "Tr0ub4dor&3x"), 2: ("api_key=ab12cd34ef56", "ab12cd34ef56"),
+        3: ("see postgres://user:p4s5w6d@host/db now", "p4s5w6d"), 4: ("{'secret_key': 'a1.b2~c3!d4$e5'}", "a1.b2~c3!d4$e5"),
+        5: ("Authorization: Bearer a1b2.c3d4.e5f6", "a1b2.c3d4.e5f6"), 6: ("the house http://host.org/a at 12:30 is old", None),
+    }
+    documents = [document(i, t) for i, (t, _) in planted.items()]
+    for i in range(100, 200):
+        key = "".join(rng.choice("0123456789abcdef") for _ in range(40))
+        documents.append(document(i, f'token = "{key}" and {"".join(rng.choice(["on", "er", "house"]) for _ in range(9))}'))
+    got = [r for r in secrets.scan(rows_of(spark, documents)).collect()]
+    found = {(r.doc_id, r.candidate) for r in got}
+    assert {(i, c) for i, (_, c) in planted.items() if c} <= found and not [c for i, c in found if i == 6]
+    assert {(1, "Tr0ub4dor&3x"), (2, "ab12cd34ef56")} <= {(r.doc_id, r.candidate) for r in got if r.is_secret}
+    texts = {d[0]: d[1] for d in documents}
+    assert all(texts[r.doc_id][r.start : r.start + r.length] == r.candidate for r in got)
+
+
 def test_secret_scan_uses_no_python(spark):
     frame = rows_of(spark, [document(1, "x" * 20)])
     plan = secrets.candidates(frame)._jdf.queryExecution().executedPlan().toString()
