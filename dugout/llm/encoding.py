@@ -114,6 +114,8 @@ _WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _HIDDEN = [b for b in range(256) if b not in _PRINTABLE]
 _BYTES = {b: chr(b) for b in _PRINTABLE} | {b: chr(256 + i) for i, b in enumerate(_HIDDEN)}
+#: The byte that a character stands for.
+byte_of = {c: b for b, c in _BYTES.items()}.get
 
 
 class WordEncoder(ChunkEncoder):

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language, mixing, packing, pii, secrets, simhash, token_counts, topk, urls, vectors
-from .common import table
+from . import alignment, byte_bpe, language, mixing, packing, pii, secrets, simhash, token_counts, topk, urls, vectors
+from .common import settle, table
 
 
 def vocabulary(name: str) -> str:
@@ -84,7 +84,29 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.simhash_classes(table(spark, folder, "documents"), words=3, max_bits=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_near_vectors, op2_url_filter, op3_mixing, op4_secret_scan, op5_token_counts, op6_language_id, op7_pii, op8_packing, op9_exact_topk, op10_simhash)}
+def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents encoded and decoded; digests of their ids and bytes."""
+    path = vocabulary("byte_bpe_50k.tiktoken")
+    decoded = byte_bpe.decode(byte_bpe.encode(table(spark, folder, "documents"), path), path)
+    shown = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(shown, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """The tokens of two vocabularies aligned in all documents, with corpus-wide pair counts."""
+    docs = table(spark, folder, "documents")
+    aligned = alignment.align(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+    digest = F.when(F.col("n_a") == 0, "").otherwise(F.sha2("groups", 256))
+    stored = settle(aligned.withColumn("groups_sha256", digest).drop("groups"), "aligned")
+    return alignment.score(stored)
+
+
+QUERIES = {f.__name__: f for f in (op1_near_vectors, op2_url_filter, op3_mixing, op4_secret_scan, op5_token_counts, op6_language_id, op7_pii, op8_packing, op9_exact_topk, op10_simhash, op11_byte_bpe, op13_alignment)}
 
 SQL: dict[str, str] = {
     "op1_near_vectors": """
