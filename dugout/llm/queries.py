@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import alignment, byte_bpe, language, mixing, packing, pii, secrets, simhash, token_counts, topk, urls, vectors
+from . import alignment, byte_bpe, language, mixing, packing, phrases, pii, secrets, simhash, token_counts, topk, urls, vectors
 from .common import settle, table
 
 
@@ -97,6 +97,11 @@ def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    """The 2000 strongest phrases of every language in all documents."""
+    return phrases.collocations(table(spark, folder, "documents"), most=2000, least=10)
+
+
 def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
     """The tokens of two vocabularies aligned in all documents, with corpus-wide pair counts."""
     docs = table(spark, folder, "documents")
@@ -106,7 +111,7 @@ def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.score(stored)
 
 
-QUERIES = {f.__name__: f for f in (op1_near_vectors, op2_url_filter, op3_mixing, op4_secret_scan, op5_token_counts, op6_language_id, op7_pii, op8_packing, op9_exact_topk, op10_simhash, op11_byte_bpe, op13_alignment)}
+QUERIES = {f.__name__: f for f in (op1_near_vectors, op2_url_filter, op3_mixing, op4_secret_scan, op5_token_counts, op6_language_id, op7_pii, op8_packing, op9_exact_topk, op10_simhash, op11_byte_bpe, op12_phrases, op13_alignment)}
 
 SQL: dict[str, str] = {
     "op1_near_vectors": """
@@ -154,6 +159,45 @@ SQL: dict[str, str] = {
         )
         SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op12_phrases": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents
+        ),
+        words AS (
+            SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces
+        ),
+        phrases AS (
+            SELECT lang, k, unnest(list_transform(
+                range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+            FROM words, (VALUES (1), (2), (3)) AS sizes(k)
+        ),
+        counts AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, count(*) AS a FROM phrases GROUP BY ALL),
+        totals AS (SELECT lang, sum(a)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+        frequent AS (SELECT * FROM counts WHERE k > 1 AND a >= 10),
+        cuts AS (
+            SELECT f.lang, f.phrase, f.a, c, l.a AS l, r.a AS r,
+                1000000::HUGEINT * f.a * f.a // (l.a::HUGEINT * r.a) AS score
+            FROM frequent f JOIN (VALUES (1), (2)) AS places(c) ON c < f.k
+            JOIN counts l ON l.lang = f.lang AND l.phrase = array_to_string(f.w[1:c], ' ')
+            JOIN counts r ON r.lang = f.lang AND r.phrase = array_to_string(f.w[c + 1:f.k], ' ')
+        ),
+        lowest AS (
+            SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1
+        ),
+        kept AS (
+            SELECT * FROM lowest s WHERE NOT EXISTS (
+                SELECT 1 FROM frequent f, (VALUES (1), (2)) AS places(c)
+                WHERE f.k = 3 AND f.lang = s.lang AND array_to_string(f.w[c:c + 1], ' ') = s.phrase AND 100 * f.a >= 50 * s.a
+            )
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+            phrase, a, l, r, n, score::BIGINT AS score
+        FROM kept JOIN totals USING (lang)
+        QUALIFY rank <= 2000
+    """,
     "op3_mixing": """
         WITH sources AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
         rates AS (

@@ -19,7 +19,7 @@ pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test table
 
 
 def test_one_query_per_operator():
-    assert [int(name.split("_")[0][2:]) for name in queries.QUERIES] == list(range(1, 11))
+    assert [int(name.split("_")[0][2:]) for name in queries.QUERIES] == list(range(1, 14))
     assert {*queries.QUERIES, "pipeline"} <= set(driver.queries())
 
 
