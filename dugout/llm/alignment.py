@@ -31,8 +31,8 @@ from .memory import Recent
 
 #: Characters of the texts of one block; a longer text is a block of its own.
 BLOCK_CHARS = 1 << 22
-#: Windows of more bytes of ids are not remembered.
-LONG_WINDOW = 256
+#: Windows with more bytes of either ids are not remembered.
+LONG_WINDOW = 128
 #: Bytes of remembered windows in a worker process.
 WINDOW_BYTES = 64_000_000
 _MARK = "▁"
@@ -64,7 +64,7 @@ class Pair:
         self.spaced = [np.array([t[:1] == b" " for t in x]) for x in self.bytes]
         self.shown = [f"{i}{mark}" for i in range(max(map(len, self.bytes))) for mark in ",|;"]
         self.windows: Recent[tuple[bytes, bytes], Window] = Recent(
-            lambda w: self._aligned([w])[0], WINDOW_BYTES, _weight
+            lambda unseen: dict(zip(unseen, self._aligned(unseen))), WINDOW_BYTES, _weight
         )
         # The same vocabulary in the library that is quicker; added names are no tokens of it.
         added = self.first.get_added_tokens_decoder()
@@ -75,16 +75,19 @@ class Pair:
         """Ids of the whole text by both vocabularies; none if they don't stand for its bytes."""
         said = " " + text
         if _OTHER.search(text) is None:
-            a = self.quick.encode_to_numpy(said, disallowed_special=())
+            a = self.quick.encode_to_numpy(said, disallowed_special=())  # all bytes, whatever they are
+            fine = True
         else:
             ids = self.first.encode_batch_fast([said], add_special_tokens=False)[0].ids
-            a = np.array(ids, np.uint32)
+            a, fine = np.array(ids, np.uint32), self._say(0, ids, said)
         b = self.second.encode(text)
-        for ids, tokens in zip((a.tolist(), b), self.bytes):
-            if b"".join(map(tokens.__getitem__, ids)) != said.encode():
-                return a[:0], a[:0]
+        if not (fine and self._say(1, b, said)):
+            return a[:0], a[:0]
         return a, np.array(b, np.uint32)
 
+    def _say(self, side: int, ids: list[int], text: str) -> bool:
+        return b"".join(map(self.bytes[side].__getitem__, ids)) == text.encode()
+
     def _groups(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """How many ids of either kind lie before the end of each group of ids."""
         ends = [np.cumsum(self.lengths[i][x]) for i, x in enumerate((a, b))]
@@ -143,33 +146,20 @@ class Pair:
         marked = [starts[i][self.spaced[i][ids[i]]] for i in (0, 1)]
         shared = np.intersect1d(*marked, assume_unique=True)
         cuts = [[*(4 * np.searchsorted(starts[i], shared)).tolist(), 4 * len(ids[i])] for i in (0, 1)]
-        first, second, known = a.tobytes(), b.tobytes(), self.windows
+        first, second = a.tobytes(), b.tobytes()
         windows = [
             (first[i:k], second[j:m]) for (i, k), (j, m) in zip(pairwise(cuts[0]), pairwise(cuts[1]))
         ]
-        found = list(map(known.get, windows))
-        unseen = {w for w, v in zip(windows, found) if v is None}
+        long = {i: w for i, w in enumerate(windows) if len(w[0]) > LONG_WINDOW or len(w[1]) > LONG_WINDOW}
         more: Counter[int] = Counter()
-        if unseen:
-            new: dict[tuple[bytes, bytes], Window] = {}
-            older = known.older.get
-            short = []
-            for w in unseen:
-                value = older(w)
-                if value is not None:
-                    new[w] = value
-                elif len(w[0]) + len(w[1]) <= LONG_WINDOW:
-                    short.append(w)
-            new.update(zip(short, self._aligned(short) if short else ()))
-            for w, value in new.items():
-                known.keep(w, value)
-            for i, w in enumerate(windows):
-                if found[i] is None:
-                    found[i] = new.get(w)
-                if found[i] is None:
-                    shown, links = self._long(w)
-                    found[i] = shown, b""
-                    more.update(links)
+        if long:
+            found = self.windows.values_of([w for i, w in enumerate(windows) if i not in long])
+            for i, w in long.items():
+                shown, links = self._long(w)
+                found.insert(i, (shown, b""))
+                more.update(links)
+        else:
+            found = self.windows.values_of(windows)
         pairs = np.frombuffer(b"".join([v[1] for v in found]), np.int64)
         times = np.ones(len(pairs), np.int64)
         if more:
@@ -181,9 +171,9 @@ class Pair:
         return "".join([v[0] for v in found])[:-1], pairs[firsts], np.add.reduceat(times, firsts)
 
 
-def _weight(window: tuple[bytes, bytes], value: Window) -> int:
-    """Bytes of a remembered window: two tuples, three byte strings and a string."""
-    return 310 + len(window[0]) + len(window[1]) + len(value[0]) + len(value[1])
+def _weight(new: dict[tuple[bytes, bytes], Window]) -> int:
+    """Bytes of remembered windows: two tuples, three byte strings and a string each."""
+    return sum([310 + len(a) + len(b) + len(v[0]) + len(v[1]) for (a, b), v in new.items()])
 
 
 def _level_bytes(name: str) -> bytes:

@@ -14,7 +14,7 @@ import base64
 import heapq
 from array import array
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property
 from itertools import pairwise
 
 import numpy as np
@@ -28,10 +28,10 @@ from .memory import Recent
 #: Fixed value: the pre-tokenisation that the scan stands for.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters that are scanned at once.
-SEGMENT_CHARS = 1 << 20
+SEGMENT_CHARS = 1 << 18
 #: Positions of a scan that are composed one after another, in all blocks at once.
 BLOCK = 128
-#: Pieces of more bytes are merged with a heap, and not remembered.
+#: Pieces of more bytes are merged with a heap.
 LONG_PIECE = 256
 
 #: Classes of characters; END stands between texts.
@@ -225,16 +225,17 @@ class Vocabulary:
         self.lengths = np.array([len(t) for t in tokens], np.int64)
         self.first = np.cumsum(self.lengths) - self.lengths
         self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
-        self.kinds = classes()
         self.pieces: Recent[bytes, bytes] = Recent(self._packed)
 
-    def _packed(self, piece: bytes) -> bytes:
-        return array("I", merged(piece, self.ranks)).tobytes()
+    @cached_property
+    def kinds(self) -> np.ndarray:
+        return classes()
+
+    def _packed(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+        return {p: array("I", merged(p, self.ranks)).tobytes() for p in pieces}
 
     def _ids(self, pieces: list[bytes]) -> np.ndarray:
-        known = self.pieces
-        packed = (known[p] if len(p) <= LONG_PIECE else self._packed(p) for p in pieces)
-        return np.frombuffer(b"".join(packed), np.uint32)
+        return np.frombuffer(b"".join(self.pieces.values_of(pieces)), np.uint32)
 
     def _cut(self, text: str) -> tuple[bytes, np.ndarray]:
         """Bytes of texts with ends between them, and the byte places where pieces start."""

@@ -9,9 +9,14 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
+from itertools import pairwise
+
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from .common import in_worker
+from .memory import BYTES, Recent
 
 #: Where a long text may be cut: behind a visible character, before plain white space.
 _CUT = re.compile(r"\S(?=[ \t\n\r])")
@@ -21,8 +26,6 @@ _CHUNK = re.compile(r"\s*\S+(?:[^\S \t\n\r]\s*\S+)*(?:[^\S \t\n\r]\s*\Z)?|\s+")
 SEGMENT_CHARS = 1 << 20
 #: UTF-8 bytes given to the library at once.
 BATCH_BYTES = 1 << 18
-#: Characters of remembered chunks in a worker process, after which it starts afresh.
-MEMORY_CHARS = 32_000_000
 
 
 def segments(text: str, size: int = SEGMENT_CHARS) -> Iterator[str]:
@@ -51,9 +54,7 @@ def spaced_chunks(segment: str) -> list[str]:
     if not (odd or " \n" in segment or "\n " in segment):
         parts = segment.replace("\n", " \n").split(" ")
         if len(parts) == len(segment.split()):
-            rest = [p if p[0] == "\n" else " " + p for p in parts[1:]]
-            rest.append(parts[0])
-            return rest
+            return [parts[0], *[p if p[0] == "\n" else " " + p for p in parts[1:]]]
     return _CHUNK.findall(segment)
 
 
@@ -65,47 +66,73 @@ def plain_chunks(segment: str) -> list[str]:
     return segment.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
 
 
-def by_bytes(texts: Iterable[str], size: int = BATCH_BYTES) -> Iterator[list[str]]:
-    """Batches of about ``size`` bytes each, whatever the length of the texts."""
+def by_bytes(texts: list[str], size: int = BATCH_BYTES) -> Iterator[list[str]]:
+    """Batches of nearly equal numbers of bytes, ``size`` at most unless one text has more."""
+    sizes = [len(t) if t.isascii() else len(t.encode("utf-8", "surrogatepass")) for t in texts]
+    even = sum(sizes) / max(1, -(-sum(sizes) // size))
     batch, held = [], 0
-    for text in texts:
-        batch.append(text)
-        held += len(text.encode("utf-8", "surrogatepass")) if not text.isascii() else len(text)
-        if held >= size:
+    for text, n in zip(texts, sizes):
+        if batch and held + n / 2 > even:
             yield batch
             batch, held = [], 0
+        batch.append(text)
+        held += n
     if batch:
         yield batch
 
 
+def groups(texts: pa.Array, size: int = SEGMENT_CHARS) -> Iterator[list[str | None]]:
+    """The texts of an Arrow batch, in groups of about ``size`` bytes; a longer text is alone."""
+    start, held = 0, 0
+    for at, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if at > start and held + n > size:
+            yield texts.slice(start, at - start).to_pylist()
+            start, held = at, 0
+        held += n
+    if start < len(texts):
+        yield texts.slice(start).to_pylist()
+
+
 class ChunkEncoder:
-    """Remembers ``value(ids)`` of every chunk it has seen, within a memory bound."""
+    """Remembers ``value(ids)`` of the chunks it has seen, within a memory bound."""
 
-    def __init__(self, path: str, value: Callable[[list[int]], object], memory: int = MEMORY_CHARS):
+    def __init__(self, path: str, value: Callable[[list[int]], object], size: int = BYTES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.value, self.memory = Tokenizer.from_file(path), value, memory
-        self.known: dict[str, object] = {"": value([])}
-        self.held = 0
-
-    def values(self, chunks: list[str]) -> Iterator[object]:
-        """The values of ``chunks`` in their order."""
-        if self.held > self.memory:
-            self.known = {"": self.value([])}
-            self.held = 0
-        known = self.known
-        self._learn({c for c in chunks if c not in known})
-        return map(known.__getitem__, chunks)
-
-    def _learn(self, unseen: Iterable[str]) -> None:
+        self.tokenizer, self.value = Tokenizer.from_file(path), value
+        self.known: Recent[str, object] = Recent(self._learnt, size)
+
+    def texts(
+        self, texts: list[str | None], chunks: Callable[[str], list[str]], joined: Callable[[list], object]
+    ) -> list[object]:
+        """``joined`` values of the chunks of each text. What no text of the group has shown
+        before is encoded together, in batches of equal bytes."""
+        found = []
+        several: list[str] = []
+        ends: list[int] = []
+        for text in texts:
+            if text is None or len(text) <= SEGMENT_CHARS:
+                if text:
+                    several += chunks(text)
+                ends.append(len(several))
+                continue
+            found += _cut(self.known.values_of(several), ends, joined)
+            several, ends = [], []
+            found.append(joined([joined(self.known.values_of(chunks(s))) for s in segments(text)]))
+        return found + _cut(self.known.values_of(several), ends, joined)
+
+    def _learnt(self, unseen: list[str]) -> dict[str, object]:
+        """Values of chunks that are not known."""
+        found = {}
         for batch in by_bytes(unseen):
             for chunk, code in zip(batch, self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)):
-                self._keep(chunk, self.value(code.ids))
+                found[chunk] = self.value(code.ids)
+        return found
+
 
-    def _keep(self, chunk: str, value: object) -> None:
-        self.known[chunk] = value
-        self.held += len(chunk) + 24
+def _cut(values: list, ends: list[int], joined: Callable[[list], object]) -> list[object]:
+    return [joined(values[a:b]) for a, b in pairwise([0, *ends])]
 
 
 #: A Latin word and a full stop or comma, which word vocabularies split before they merge.
@@ -126,23 +153,22 @@ class WordEncoder(ChunkEncoder):
     spellings, so values of joined ids must be sums of values.
     """
 
-    def _learn(self, unseen: Iterable[str]) -> None:
+    def _learnt(self, unseen: list[str]) -> dict[str, object]:
+        found: dict[str, object] = {}
         other = []
+        words: dict[str, object] = {}  # a word without its mark and case
         for chunk in unseen:
             plain = _WORD.fullmatch(chunk)
             if plain is None or len(chunk) > 64:
                 other.append(chunk)
                 continue
             word, mark = plain[1].lower(), plain[2]
-            if word not in self.known:
-                self._keep(word, self._merged(word))
-            if mark:
-                if mark not in self.known:
-                    self._keep(mark, self._merged(mark))
-                self._keep(chunk, self.known[word] + self.known[mark])
-            elif word != chunk:
-                self._keep(chunk, self.known[word])
-        super()._learn(other)
+            value = words.get(word)
+            if value is None:
+                value = self.known.get(word) if word != chunk else None
+                words[word] = value = self._merged(word) if value is None else value
+            found[chunk] = value + self._merged(mark) if mark else value
+        return found | super()._learnt(other)
 
     def _merged(self, word: str) -> object:
         as_bytes = "".join(map(_BYTES.__getitem__, word.encode()))

@@ -1,4 +1,9 @@
-"""Language of whole texts: known words first, shorter and shorter character n-grams else."""
+"""Language of whole texts: known words first, shorter and shorter character n-grams else.
+
+A model is a sorted array of entries, words and n-grams by their 64-bit hashes, each with the
+languages that have it and how often. What a language does not have costs nothing, so the size
+follows from the learned texts alone, not from the number of languages.
+"""
 
 from __future__ import annotations
 
@@ -7,33 +12,38 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from . import encoding
 from .common import in_worker, settle
+from .memory import Recent
 
 UNDETERMINED = "und"
 #: Labelled documents per language that the model is fitted on, by the smallest key hashes.
-FIT_DOCUMENTS = 5000
-#: Words, and n-grams of each length, that the model keeps per language, the most frequent ones.
-KEPT_ENTRIES = 10_000
-#: Lengths of the n-grams, in the order in which they are tried.
+FIT_DOCUMENTS = 1000
+#: Lengths of the n-grams, in the order in which they are tried; 0 stands for whole words.
 ORDERS = (5, 4, 3, 2, 1)
 SMOOTHING = 0.5
-#: Characters of remembered words in a worker process, after which it starts afresh.
-MEMORY_CHARS = 16_000_000
+#: Bytes of remembered words in a worker process.
+MEMORY_BYTES = 48_000_000
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+_RUN = re.compile(r"[^\W\d_]+")
+#: What adds to a text's sums: a language or, behind the languages, the order that decides a word.
+_PART = np.dtype([("at", "<i4"), ("weight", "<f8")])
 
 
 def words_of(text: str) -> list[str]:
-    """Lower-cased runs of letters."""
-    return _LETTERS.findall(text.lower())
+    """Lower-cased runs of letters. Numbers that are no digits, such as fractions, are none."""
+    runs = _RUN.findall(text.lower())
+    if all(map(str.isalpha, runs)):
+        return runs
+    return [w for r in runs for w in "".join(c if c.isalpha() else " " for c in r).split()]
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -42,86 +52,118 @@ def grams(word: str, n: int) -> list[str]:
     return [marked[i : i + n] for i in range(len(marked) - n + 1)]
 
 
+def entry_hash(order: int, entry: str) -> int:
+    """The hash of an entry, as Spark's ``xxhash64`` gives it for the two joined."""
+    from xxhash import xxh64_intdigest
+
+    return xxh64_intdigest(f"{order}{entry}", 42)
+
+
 @dataclass(frozen=True)
 class Model:
-    """Log frequencies per language. Rows of ``scores`` belong to entries; order 0 are words."""
-
-    languages: tuple[str, ...]
-    entries: dict[tuple[int, str], int]
-    scores: np.ndarray
-    unknown: dict[int, int]
+    """Counts of entries by language.
 
-    def word(self, word: str) -> np.ndarray:
-        """Scores of one word: its own, or the mean of its longest n-grams that are known.
+    The languages ``places[starts[i] : starts[i + 1]]`` have the entry with the hash ``keys[i]``
+    so often as ``counts`` says. ``floor`` has by order and language the log frequency of an
+    entry that the language has not.
+    """
 
-        ``unknown`` has the row of ``scores`` for an n-gram that is not known, by length.
+    languages: tuple[str, ...]
+    keys: np.ndarray
+    starts: np.ndarray
+    places: np.ndarray
+    counts: np.ndarray
+    floor: np.ndarray
+
+    def found(self, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of entries, -1 for unknown ones."""
+        if not len(self.keys):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        return np.where(self.keys[at] == hashes, at, -1)
+
+    def parts(self, words: list[str]) -> list[np.ndarray]:
+        """What each word adds, worked out for all of them at once.
+
+        A known word has its own log frequencies; another one the mean of those of its longest
+        n-grams of which one at least is known. Log frequencies are kept as the order's floor
+        and what the entry has above it.
         """
-        get = self.entries.get
-        own = get((0, word))
-        if own is not None:
-            return self.scores[own]
-        for n in ORDERS:
-            no = self.unknown[n]
-            rows = [get((n, g), no) for g in grams(word, n)]
-            if rows and rows.count(no) < len(rows):
-                return np.add.reduce(self.scores.take(rows, axis=0)) / len(rows)
-        return np.zeros(len(self.languages))
+        base, orders = len(self.languages), (0, *ORDERS)
+        decided = np.full(len(words), len(orders))
+        owner, at, weight = [], [], []
+        left = np.arange(len(words))
+        for place, n in enumerate(orders):
+            if not len(left):
+                break
+            shown = [[words[i]] if n == 0 else grams(words[i], n) for i in left.tolist()]
+            sizes = np.array([len(s) for s in shown])
+            hashes = np.fromiter((entry_hash(n, g) for s in shown for g in s), np.uint64, int(sizes.sum()))
+            entry = self.found(hashes)
+            which = np.repeat(np.arange(len(left)), sizes)
+            known = entry >= 0
+            sure = np.unique(which[known])
+            decided[left[sure]] = place
+            entry, which = entry[known], which[known]
+            many = self.starts[entry + 1] - self.starts[entry]
+            rows = np.repeat(self.starts[entry], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            which = np.repeat(which, many)
+            owner.append(left[which])
+            at.append(self.places[rows])
+            weight.append(np.log1p(self.counts[rows] / SMOOTHING) / sizes[which])
+            left = np.delete(left, sure)
+        owner = np.concatenate([np.arange(len(words)), *owner])
+        made = np.zeros(len(owner), _PART)
+        made["at"] = np.concatenate([base + decided, *at])
+        made["weight"] = np.concatenate([np.ones(len(words)), *weight])
+        order = np.argsort(owner, kind="stable")
+        made, ends = made[order], np.searchsorted(owner[order], np.arange(len(words) + 1))
+        return [made[a:b] for a, b in pairwise(ends.tolist())]
+
+    def sums(self, parts: np.ndarray) -> np.ndarray:
+        """By language what its entries are above the floor, and how many words each order decided."""
+        return np.bincount(parts["at"], parts["weight"], len(self.languages) + len(ORDERS) + 2)
 
 
 class Scorer:
-    """Sums a text's word scores; results of words between white space are remembered."""
-
-    def __init__(self, model: Model, memory: int = MEMORY_CHARS):
-        self.model, self.memory = model, memory
-        self._reset()
-
-    def _reset(self) -> None:
-        self.rows: dict[str, int] = {}
-        self.table = np.zeros((1024, len(self.model.languages) + 1))
-        self.filled = self.held = 0
-
-    def _row(self, words: list[str]) -> int:
-        at = self.filled
-        if at == len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        for word in words:
-            self.table[at, :-1] += self.model.word(word)
-        self.table[at, -1] = len(words)
-        self.filled += 1
-        self.held += 8 * self.table.shape[1]
-        return at
-
-    def _keep(self, chunk: str, row: int) -> None:
-        self.rows[chunk] = row
-        self.held += len(chunk) + 24
-
-    def _learn(self, chunk: str) -> None:
-        words = words_of(chunk)
-        if words == [chunk] or len(words) != 1:
-            self._keep(chunk, self._row(words))
-            return
-        word = words[0]  # all spellings of a word share its row
-        if word not in self.rows:
-            self._keep(word, self._row(words))
-        self._keep(chunk, self.rows[word])
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """Language and its probability among the learned languages."""
-        total = np.zeros(len(self.model.languages) + 1)
-        for segment in encoding.segments(text or ""):
-            if self.held > self.memory:
-                self._reset()
-            chunks = segment.split()
-            for chunk in {c for c in chunks if c not in self.rows}:
-                if chunk not in self.rows:
-                    self._learn(chunk)
-            places = np.fromiter(map(self.rows.__getitem__, chunks), np.int64, len(chunks))
-            total += self.table[places].sum(axis=0)
-        if not total[-1] or not self.model.languages:
-            return UNDETERMINED, 0.0
-        odds = np.exp(total[:-1] - total[:-1].max())
+    """Judges texts by their words; what runs between white space add is remembered."""
+
+    def __init__(self, model: Model, size: int = MEMORY_BYTES):
+        self.model = model
+        self.known: Recent[str, bytes] = Recent(self._learnt, size)
+
+    def _learnt(self, chunks: list[str]) -> dict[str, bytes]:
+        shown = [words_of(c) for c in chunks]
+        words = list({w for s in shown for w in s})
+        parts = {w: p.tobytes() for w, p in zip(words, self.model.parts(words))}
+        return {c: b"".join([parts[w] for w in s]) for c, s in zip(chunks, shown)}
+
+    def _sums(self, texts: list[str | None]) -> list[np.ndarray]:
+        shown: list[str] = []
+        ends = [0]
+        for text in texts:
+            shown += text.split() if text else ()
+            ends.append(len(shown))
+        parts = self.known.values_of(shown)
+        return [self.model.sums(np.frombuffer(b"".join(parts[a:b]), _PART)) for a, b in pairwise(ends)]
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float, int]]:
+        """Language of each text, its probability among the learned languages, and its words."""
+        if len(texts) == 1 and texts[0] and len(texts[0]) > encoding.SEGMENT_CHARS:
+            # A long text is read segment by segment.
+            return [self._judged(sum(self._sums([s])[0] for s in encoding.segments(texts[0])))]
+        return [self._judged(sums) for sums in self._sums(texts)]
+
+    def _judged(self, sums: np.ndarray) -> tuple[str, float, int]:
+        base = len(self.model.languages)
+        words = round(sums[base:].sum())
+        if not words or not base:
+            return UNDETERMINED, 0.0, words
+        # The last place counts words of which nothing is known; they speak for no language.
+        total = sums[:base] + sums[base:-1] @ self.model.floor
+        odds = np.exp(total - total.max())
         best = int(odds.argmax())
-        return self.model.languages[best], float(odds[best] / odds.sum())
+        return self.model.languages[best], float(odds[best] / odds.sum()), words
 
 
 def _sample(docs: DataFrame, learn_from: Column, key: str, text: str, lang: str, most: int) -> DataFrame:
@@ -161,14 +203,12 @@ def fit(
     text: str = "text",
     lang: str = "lang",
     most: int = FIT_DOCUMENTS,
-    entries: int = KEPT_ENTRIES,
 ) -> Model:
     """A model of the labelled rows where ``learn_from`` holds.
 
-    It is fitted on ``most`` documents a language and keeps ``entries`` words and n-grams of
-    each length a language, so its size is bounded by the number of languages alone. Rows
-    without a language or a text teach nothing. Without any labelled row the model knows no
-    language.
+    It is fitted on ``most`` whole documents a language, and keeps all words and n-grams of
+    them: twelve bytes for each and six more for each language that has it. Rows without a
+    language or a text teach nothing. Without any labelled row the model knows no language.
     """
     counts = (
         _sample(docs, learn_from, key, text, lang, most)
@@ -176,48 +216,52 @@ def fit(
         .groupBy("lang", "order", "entry").agg(F.sum("n").alias("n"))
     )
     counts = settle(counts, "entries")
-    place = F.row_number().over(Window.partitionBy("lang", "order").orderBy(F.desc("n"), "entry"))
-    kept = counts.withColumn("place", place).filter(f"place <= {entries}").drop("place").toPandas()
-    sums = counts.groupBy("lang", "order").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).toPandas()
-    languages = tuple(sorted(sums["lang"].unique()))
-    column = {l: i for i, l in enumerate(languages)}
-    total = np.ones((max(ORDERS) + 1, len(languages)))
-    for lang_, order, n, kinds in sums.itertuples(index=False):
-        total[order, column[lang_]] = n + SMOOTHING * (kinds + 1)
-    kept = kept.sort_values(["order", "entry", "lang"])
-    names = list(dict.fromkeys(zip(kept["order"].tolist(), kept["entry"].tolist())))
-    rows = {name: i for i, name in enumerate(names)}
-    scores = np.full((len(names), len(languages)), SMOOTHING)
-    at = [rows[name] for name in zip(kept["order"].tolist(), kept["entry"].tolist())]
-    scores[at, [column[l] for l in kept["lang"]]] += kept["n"].to_numpy()
-    orders = np.array([order for order, _ in names], dtype=int)
-    scores = np.concatenate([scores / total[orders], SMOOTHING / total[list(ORDERS)]])
-    return Model(languages, rows, np.log(scores), {n: len(names) + i for i, n in enumerate(ORDERS)})
-
-
-def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``; columns of these names are replaced.
-
-    A NULL text or one without a letter has the language ``und`` and score 0, and so has
-    every text if the model knows no language. Equal scores go to the first language by name.
-    Every row is judged by its own whole text; an empty table gives an empty result.
-    """
-    docs = docs.drop("lang_pred", "score")
+    sums = counts.groupBy("lang", "order").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).collect()
+    languages = tuple(sorted({r.lang for r in sums}))
+    total = np.ones((len(ORDERS) + 1, len(languages)))
+    for r in sums:
+        total[(0, *ORDERS).index(r.order), languages.index(r.lang)] = r.total + SMOOTHING * (r.kinds + 1)
+    numbers = docs.sparkSession.createDataFrame([*enumerate(languages)], "place int, lang string")
+    hashed = F.xxhash64(F.concat(F.col("order").cast("string"), "entry")).alias("key")
+    rows = counts.join(F.broadcast(numbers), "lang").select(hashed, F.col("place").cast("short"), F.col("n").cast("int"))
+    rows = rows.toArrow()  # numbers only, of the bounded sample
+    keys = rows["key"].to_numpy().view(np.uint64)
+    order = np.argsort(keys, kind="stable")
+    keys, first = np.unique(keys[order], return_index=True)
+    places, n = (rows[c].to_numpy()[order] for c in ("place", "n"))
+    return Model(languages, keys, np.append(first, len(order)).astype(np.int32), places, n, np.log(SMOOTHING / total))
+
+
+def _judged(docs: DataFrame, model: Model, text: str) -> DataFrame:
+    """``docs`` with ``lang_pred``, ``score`` and ``__words``, the number of words."""
     shared, name = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
     at = docs.columns.index(text)
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = in_worker(name, lambda: Scorer(shared.value))
         for batch in batches:
-            found = [scorer.predict(t.as_py()) for t in batch.column(at)]
-            langs = pa.array([l for l, _ in found], pa.string())
-            scores = pa.array([s for _, s in found], pa.float64())
-            yield batch.append_column("lang_pred", langs).append_column("score", scores)
+            found = [x for some in encoding.groups(batch.column(at)) for x in scorer.predict(some)]
+            langs, scores, words = zip(*found) if found else ((), (), ())
+            yield (
+                batch.append_column("lang_pred", pa.array(langs, pa.string()))
+                .append_column("score", pa.array(scores, pa.float64()))
+                .append_column("__words", pa.array(words, pa.int64()))
+            )
 
-    schema = StructType(
-        list(docs.schema.fields) + [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
-    )
-    return docs.mapInArrow(judged, schema)
+    more = [StructField("lang_pred", StringType()), StructField("score", DoubleType()), StructField("__words", LongType())]
+    return docs.mapInArrow(judged, StructType([*docs.schema.fields, *more]))
+
+
+def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score``; columns of these names are replaced.
+
+    A letter is what Unicode calls one. A NULL text or one without a letter has the language
+    ``und`` and score 0, and so has every text if the model knows no language. Equal scores go
+    to the first language by name. Every row is judged by its own whole text, repeated ones
+    alike; a very long text is judged as a whole, its words are held in memory. An empty table
+    gives an empty result.
+    """
+    return _judged(docs.drop("lang_pred", "score"), model, text).drop("__words")
 
 
 def remainder(key: str = "doc_id", of: int = 4) -> Column:
@@ -248,10 +292,9 @@ def keep_determined(
     """``docs`` without the rows whose language cannot be told, all columns as they were.
 
     These are NULL texts and those without a letter. If the model knows no language, since no
-    row that it may learn from is labelled, all other texts are kept too.
+    row that it may learn from is labelled, all other texts are kept too. Repeated rows are
+    kept or go together; an empty table gives an empty result.
     """
     model = fit(docs, remainder(key) != held_out, key, text, lang)
-    if not model.languages:
-        return docs.filter(F.coalesce(F.rlike(text, F.lit(r"\p{L}")), F.lit(False)))
     rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"))
-    return predict(rows, model).filter(F.col("lang_pred") != UNDETERMINED).select("row.*")
+    return _judged(rows, model, "text").filter("__words > 0").select("row.*")

@@ -96,22 +96,23 @@ def _little(ids: list[int]) -> bytes:
     return packed.tobytes()
 
 
-def document_ids(text: str | None, path: str, end: int) -> bytes:
-    """A whole text's ids and the end id, as little-endian unsigned 32-bit numbers."""
-    codes = encoding.encoder(path, "ids", _little, encoding.WordEncoder)
-    parts = [b"".join(codes.values(encoding.plain_chunks(s))) for s in encoding.segments(text or "")]
-    return b"".join([*parts, _little([end])])
+def document_ids(texts: list[str | None], path: str) -> list[bytes]:
+    """The ids of whole texts, as little-endian unsigned 32-bit numbers."""
+    return encoding.encoder(path, "ids", _little, encoding.WordEncoder).texts(texts, encoding.plain_chunks, b"".join)
 
 
 def pieces(docs: DataFrame, path: str, window: int, end: int, key: str, text: str) -> DataFrame:
     """One row per piece of a document; nothing is shuffled."""
     names = ["key", "start", "length", "ids_crc32", "doc_tokens"]
 
+    closing = _little([end])
+
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple[int, int, int, int, int]] = []
-            for i, value in enumerate(batch.column(1)):
-                ids = document_ids(value.as_py(), path, end)
+            every = (ids for some in encoding.groups(batch.column(1)) for ids in document_ids(some, path))
+            for i, ids in enumerate(every):
+                ids += closing
                 rows += [(i, *piece, len(ids) // 4) for piece in cut(ids, window)]
             columns = list(zip(*rows)) if rows else [()] * 5
             owner = batch.column(0).take(pa.array(columns[0], pa.int64()))

@@ -11,10 +11,9 @@ from pyspark.sql.types import LongType, StructField, StructType
 from . import encoding
 
 
-def count_text(text: str, path: str) -> int:
-    """Tokens of one whole text."""
-    codes = encoding.encoder(path, "count", len)
-    return sum(sum(codes.values(encoding.spaced_chunks(s))) for s in encoding.segments(text))
+def count_texts(texts: list[str | None], path: str) -> list[int]:
+    """Tokens of whole texts."""
+    return encoding.encoder(path, "count", len).texts(texts, encoding.spaced_chunks, sum)
 
 
 def count_tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -22,8 +21,11 @@ def count_tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
 
     ``path`` is a byte-level vocabulary file that every worker can open. Counts are those of
     encoding the whole text without added begin or end tokens; the name of a special token
-    inside a text counts as the library handles it by default. Nothing is shuffled and only
-    the lengths leave the workers.
+    inside a text counts as the library handles it by default. Texts of a group are cut into
+    chunks at safe boundaries; those that the worker does not know are encoded in batches of
+    equal bytes, filled across texts. A text of any length is counted segment by segment,
+    wherever it has white space; without any it is one chunk. Nothing is shuffled and only the
+    lengths leave the workers.
 
     A NULL text counts as an empty one: zero bytes, zero tokens. Repeated rows and rows
     without a key are counted like others, one result row each. An empty table gives an
@@ -32,8 +34,7 @@ def count_tokens(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1)
-            counts = [0 if x is None else count_text(x, path) for x in texts.to_pylist()]
+            counts = [n for some in encoding.groups(batch.column(1)) for n in count_texts(some, path)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(counts, pa.int64())],
                 ["key", "n_bytes", "n_tokens"],

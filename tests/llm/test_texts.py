@@ -1,13 +1,16 @@
 """Operators on texts against plain Python, with missing, empty, long and repeated rows."""
 
+import math
 import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from conftest import listed
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 from tokenizers import Tokenizer  # noqa: E402
@@ -54,11 +57,11 @@ ALPHABET = ["a", "Éa", "1", "'s", " ", "  ", "\n", "\n\n", "\xa0", "\x1c", "\x8
 def test_chunks_encode_like_whole_texts(text):
     whole = Tokenizer.from_file(BYTES) if not hasattr(test_chunks_encode_like_whole_texts, "t") else test_chunks_encode_like_whole_texts.t
     test_chunks_encode_like_whole_texts.t = whole
-    assert token_counts.count_text(text, BYTES) == len(whole.encode(text, add_special_tokens=False).ids)
+    assert token_counts.count_texts([None, text, text], BYTES) == [0] + 2 * [len(whole.encode(text, add_special_tokens=False).ids)]
     words = getattr(test_chunks_encode_like_whole_texts, "w", None) or Tokenizer.from_file(WORDS)
     test_chunks_encode_like_whole_texts.w = words
-    expected = packing._little([*words.encode(text, add_special_tokens=False).ids, 1])
-    assert packing.document_ids(text, WORDS, 1) == expected
+    expected = packing._little(words.encode(text, add_special_tokens=False).ids)
+    assert packing.document_ids([text, None, text], WORDS) == [expected, b"", expected]
 
 
 @given(st.text(alphabet="ab \n ", max_size=60), st.integers(1, 9))
@@ -78,6 +81,33 @@ def test_token_counts(spark):
     assert token_counts.count_tokens(rows_of(spark, []), BYTES).count() == 0
 
 
+def test_batches_have_equal_bytes_and_are_filled_across_texts(monkeypatch):
+    rng = random.Random(4)
+    chunks = ["é" * rng.randint(1, 30) for _ in range(5000)]
+    batches = list(encoding.by_bytes(chunks, 10_000))
+    sizes = [sum(len(c.encode()) for c in b) for b in batches]
+    assert [c for b in batches for c in b] == chunks and max(sizes) - min(sizes) <= 60 and max(sizes) <= 10_060
+    assert list(encoding.by_bytes(["x" * 50, "y"], 10)) == [["x" * 50], ["y"]] and list(encoding.by_bytes([])) == []
+    coder = encoding.ChunkEncoder(BYTES, len)
+    asked = []
+    monkeypatch.setattr(encoding, "by_bytes", lambda unseen: asked.append(len(unseen)) or iter([unseen]))
+    coder.texts([f"text{i} of{i}" for i in range(500)], encoding.spaced_chunks, sum)
+    assert asked == [1000]
+
+
+def test_encoders_with_little_memory(monkeypatch):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("Ab,c.dé") * rng.randint(1, 4) for _ in range(60)) + rng.choice(["", "\n", " x"]) for _ in range(60)]
+    monkeypatch.setattr(encoding, "SEGMENT_CHARS", 50)
+    for path, kind, value, chunks, joined in (
+        (BYTES, encoding.ChunkEncoder, len, encoding.spaced_chunks, sum),
+        (WORDS, encoding.WordEncoder, packing._little, encoding.plain_chunks, b"".join),
+    ):
+        whole = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
+        for size in (0, 2000, 10_000_000):
+            assert kind(path, value, size).texts(texts, chunks, joined) == [value(w.ids) for w in whole]
+
+
 def test_fullest_windows_use_every_piece_once():
     rng = random.Random(2)
     for pieces in (1, 7, 400):
@@ -235,18 +265,71 @@ def test_documents_stay_where_no_language_is_known(spark):
     assert {r.text for r in language.keep_determined(frame).collect()} == {"the door", "дом", "no key"}
 
 
-def test_word_scores_back_off_to_shorter_grams():
-    counts = [("en", 0, "abc", 5), ("en", 2, "ab", 4), ("de", 2, "xy", 4), ("de", 1, "z", 3)]
-    import numpy as np
-
-    entries = {(o, g): i for i, (_, o, g, _) in enumerate(counts)}
-    scores = np.array([[-1.0, -9.0], [-2.0, -8.0], [-8.0, -2.0], [-7.0, -3.0]])
-    scores = np.concatenate([scores, np.full((1, 2), -10.0)])
-    model = language.Model(("en", "de"), entries, scores, dict.fromkeys(language.ORDERS, 4))
-    assert model.word("abc").tolist() == [-1.0, -9.0]
-    assert model.word("xy")[1] > model.word("xy")[0]  # a known pair among unknown ones
-    assert model.word("qz").tolist() == [-8.5, -6.5]  # only the single letter z is known
-    assert model.word("qq").tolist() == [0.0, 0.0]
+def by_hand(learned, text):
+    """Every language's log likelihood of a text, from the plain definition."""
+    counts = {}
+    for lang, learned_text in learned:
+        for word in language.words_of(learned_text):
+            for order in (0, *language.ORDERS):
+                for gram in [word] if order == 0 else language.grams(word, order):
+                    entry = counts.setdefault((lang, order), Counter())
+                    entry[gram] += 1
+    languages = sorted({lang for lang, _ in learned})
+
+    def log(lang, order, gram):
+        own = counts.get((lang, order), Counter())
+        total = sum(own.values()) + language.SMOOTHING * (len(own) + 1) if own else 1
+        return math.log((own[gram] + language.SMOOTHING) / total)
+
+    sums = dict.fromkeys(languages, 0.0)
+    words = language.words_of(text or "")
+    for word in words:
+        for order in (0, *language.ORDERS):
+            grams = [word] if order == 0 else language.grams(word, order)
+            if any(counts.get((lang, order), {}).get(g) for lang in languages for g in grams):
+                for lang in languages:
+                    sums[lang] += sum(log(lang, order, g) for g in grams) / len(grams)
+                break
+    if not words:
+        return "und", 0.0
+    best = max(languages, key=lambda lang: (sums[lang], [-ord(c) for c in lang]))
+    return best, 1 / sum(math.exp(x - sums[best]) for x in sums.values())
+
+
+def test_predictions_against_the_definition(spark):
+    rng = random.Random(9)
+    learned = [("en", "the old door the house the river"), ("de", "die alte tür das haus der fluß"), ("fr", "la porte é"), ("xx", "q")]
+    docs = rows_of(spark, [document(i, t, l) for i, (l, t) in enumerate(learned)])
+    model = language.fit(docs, F.lit(True))
+    texts = [None, "", "½ ² 12", "Ⅷ", "½q", "THE door", "doors", "tür", "rivers flüsse portes", "zzzz", "zq zz", "İ"]
+    texts += ["".join(rng.choice("theodrivüßqz é1½") for _ in range(rng.randint(1, 40))) for _ in range(200)]
+    got = language.predict(rows_of(spark, [document(i, t) for i, t in enumerate(texts)]), model).collect()
+    for r in got:
+        lang, score = by_hand(learned, r.text)
+        assert r.lang_pred == lang and r.score == pytest.approx(score, abs=1e-9), r.text
+    assert {r.lang_pred for r in got if r.text in ("½ ² 12", "Ⅷ")} == {"und"}
+
+
+def test_long_texts_are_judged_by_all_their_words(monkeypatch):
+    model = language.Model((), *[np.zeros(0, np.int64)] * 4, np.zeros((6, 0)))
+    text = "ab c " * 500
+    whole = language.Scorer(model).predict([text])
+    monkeypatch.setattr(encoding, "SEGMENT_CHARS", 40)
+    assert language.Scorer(model).predict([text]) == whole == [("und", 0.0, 1000)]
+
+
+def test_two_hundred_languages_and_rare_words(spark):
+    """No entry is left out: a word behind ten thousand more frequent ones has its own frequency."""
+    name = lambda n: "".join(chr(ord("a") + n // 26**i % 26) for i in range(3))
+    rows = [document(i, f"{name(i)}x {name(i)}y {name(i)}z", f"l{i:03d}") for i in range(200)]
+    rows.append(document(900, " ".join(f"{name(i)}w {name(i)}w" for i in range(12_000)) + " rareword", "many"))
+    model = language.fit(rows_of(spark, rows), F.lit(True))
+    assert len(model.languages) == 201
+    at = model.found(np.array([language.entry_hash(0, "rareword")], np.uint64))[0]
+    assert at >= 0 and model.counts[model.starts[at] : model.starts[at + 1]].tolist() == [1]
+    got = language.predict(rows_of(spark, rows[:200]), model).collect()
+    assert all(r.lang_pred == r.lang for r in got)
+    assert model.keys.nbytes + model.starts.nbytes + model.places.nbytes + model.counts.nbytes < 3_000_000
 
 
 PRIVATE = (

@@ -43,10 +43,12 @@ def both():
 
 def test_memory_keeps_what_is_asked_for():
     made = []
-    memory = Recent(lambda k: made.append(k) or str(k), 60_000)
+    memory = Recent(lambda keys: made.extend(keys) or {k: str(k) for k in keys}, 60_000)
     for i in range(2000):
-        assert memory[i] == str(i) and memory[-1] == "-1"
-    assert made.count(-1) == 1 and len(memory) + len(memory.older) < 700
+        assert memory.values_of([i, -1, i]) == [str(i), "-1", str(i)]
+    assert made.count(-1) == 1 and len(made) == 2001 and len(memory) + len(memory.older) < 700
+    small = Recent(lambda keys: {k: "x" * 500 for k in keys}, 100)
+    assert small.values_of([1, 2]) == ["x" * 500] * 2 and not small
 
 
 def test_scan_is_closed_and_associative():
@@ -156,7 +158,7 @@ def test_quick_vocabulary_is_the_same(both):
 @pytest.mark.parametrize("longest", [256, 12])
 def test_windows_give_the_groups_of_the_whole_text(both, monkeypatch, longest):
     monkeypatch.setattr(alignment, "LONG_WINDOW", longest)
-    both.windows = Recent(lambda w: both._aligned([w])[0], 40_000)
+    both.windows = Recent(lambda unseen: dict(zip(unseen, both._aligned(unseen))), 40_000)
     for t in [*texts(400, 7), "x" * 3000, "中" * 400 + " word " + "-" * 100, "😀" * 90]:
         a, b = both.encode(t) if t else ([], [])
         if len(a):
