@@ -26,16 +26,20 @@ from pyspark.sql.types import StructField, StructType
 
 from .byte_bpe import PATTERN
 from .common import in_worker, settle
-from .encoding import byte_of
+from .encoding import byte_of, groups
 from .memory import Recent
 
 #: Characters of the texts of one block; a longer text is a block of its own.
 BLOCK_CHARS = 1 << 22
-#: Windows with more bytes of either ids are not remembered.
-LONG_WINDOW = 128
+#: Characters of texts that are aligned together; a longer text is alone.
+GROUP_CHARS = 1 << 18
+#: Windows with more ids of either kind are not remembered.
+LONG_WINDOW = 32
 #: Bytes of remembered windows in a worker process.
-WINDOW_BYTES = 64_000_000
+WINDOW_BYTES = 80_000_000
 _MARK = "▁"
+#: What stands between the ids of both kinds in a remembered window; no vocabulary has it.
+_BETWEEN = 0xFFFFFFFF
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 #: Characters whose class can differ between the libraries' versions of Unicode.
 _OTHER = re.compile("[^\x00-\u024f]")
@@ -63,9 +67,7 @@ class Pair:
         self.lengths = [np.array([len(t) for t in x], np.int64) for x in self.bytes]
         self.spaced = [np.array([t[:1] == b" " for t in x]) for x in self.bytes]
         self.shown = [f"{i}{mark}" for i in range(max(map(len, self.bytes))) for mark in ",|;"]
-        self.windows: Recent[tuple[bytes, bytes], Window] = Recent(
-            lambda unseen: dict(zip(unseen, self._aligned(unseen))), WINDOW_BYTES, _weight
-        )
+        self.windows: Recent[bytes, Window] = Recent(self._aligned, WINDOW_BYTES, _weight)
         # The same vocabulary in the library that is quicker; added names are no tokens of it.
         added = self.first.get_added_tokens_decoder()
         ranks = {_level_bytes(n): i for i, n in enumerate(names) if i not in added}
@@ -104,9 +106,15 @@ class Pair:
             marked[np.arange(len(ids)) + np.repeat(others, sizes)] = codes
         return list(map(self.shown.__getitem__, marked.tolist()))
 
-    def _aligned(self, windows: list[tuple[bytes, bytes]]) -> list[Window]:
+    def _aligned(self, windows: list[bytes]) -> dict[bytes, Window]:
         """Groups and links of each window, worked out for all of them at once."""
-        a, b = (np.frombuffer(b"".join([w[i] for w in windows]), np.uint32) for i in (0, 1))
+        ids = np.frombuffer(b"".join(windows), np.uint32)
+        ends = np.cumsum([len(w) // 4 for w in windows])
+        middle = np.flatnonzero(ids == _BETWEEN)
+        first = middle - np.append(0, ends[:-1])  # ids of either kind in each window
+        second = ends - middle - 1
+        sides = np.repeat(np.tile([0, 2, 1], len(windows)), np.stack([first, np.ones_like(first), second], 1).ravel())
+        a, b = ids[sides == 0], ids[sides == 1]
         to_a, to_b = self._groups(a, b)
         sizes = np.diff(to_a, prepend=0), np.diff(to_b, prepend=0)
         many = sizes[0] * sizes[1]
@@ -117,17 +125,18 @@ class Pair:
         right = b[(to_b - sizes[1])[group] + inside % sizes[1][group]]
         links = (left << 32 | right).tobytes()
         shown = self._texts(a, b, to_a, to_b)
-        counts = [np.cumsum([len(w[i]) // 4 for w in windows]) for i in (0, 1)]
-        texts = [0, *(counts[0] + counts[1]).tolist()]
-        places = [0, *(8 * to_links[np.searchsorted(to_a, counts[0])]).tolist()]
-        return [
-            ("".join(shown[i:k]), links[j:m])
-            for (i, k), (j, m) in zip(pairwise(texts), pairwise(places))
-        ]
-
-    def _long(self, window: tuple[bytes, bytes]) -> tuple[str, Counter[int]]:
+        texts = [0, *np.cumsum(first + second).tolist()]
+        places = [0, *(8 * to_links[np.searchsorted(to_a, np.cumsum(first))]).tolist()]
+        return {
+            w: ("".join(shown[i:k]), links[j:m])
+            for w, (i, k), (j, m) in zip(windows, pairwise(texts), pairwise(places))
+        }
+
+    def _long(self, window: bytes) -> tuple[str, Counter[int]]:
         """Groups and links of a long window; a group's ids are counted before they are linked."""
-        a, b = (np.frombuffer(w, np.uint32) for w in window)
+        ids = np.frombuffer(window, np.uint32)
+        middle = int(np.flatnonzero(ids == _BETWEEN)[0])
+        a, b = ids[:middle], ids[middle + 1 :]
         to_a, to_b = self._groups(a, b)
         links: Counter[int] = Counter()
         for (i, k), (j, m) in zip(pairwise([0, *to_a.tolist()]), pairwise([0, *to_b.tolist()])):
@@ -137,43 +146,67 @@ class Pair:
                     links[x << 32 | y] += n * times
         return "".join(self._texts(a, b, to_a, to_b)), links
 
-    def align(self, a: np.ndarray, b: np.ndarray) -> tuple[str, np.ndarray, np.ndarray]:
-        """Groups of a whole text as text, its linked pairs, and the links of each."""
+    def _windows(self, a: np.ndarray, b: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The windows of texts that follow each other, their places in ``a``, and their sizes.
+
+        They begin where tokens of both kinds that carry a blank start at the same byte.
+        """
         ids, starts = (a, b), []
         for i in (0, 1):
             lengths = self.lengths[i][ids[i]]
             starts.append(np.cumsum(lengths) - lengths)
         marked = [starts[i][self.spaced[i][ids[i]]] for i in (0, 1)]
         shared = np.intersect1d(*marked, assume_unique=True)
-        cuts = [[*(4 * np.searchsorted(starts[i], shared)).tolist(), 4 * len(ids[i])] for i in (0, 1)]
-        first, second = a.tobytes(), b.tobytes()
-        windows = [
-            (first[i:k], second[j:m]) for (i, k), (j, m) in zip(pairwise(cuts[0]), pairwise(cuts[1]))
-        ]
-        long = {i: w for i, w in enumerate(windows) if len(w[0]) > LONG_WINDOW or len(w[1]) > LONG_WINDOW}
-        more: Counter[int] = Counter()
+        first, second = (np.searchsorted(starts[i], shared) for i in (0, 1))
+        sizes = [np.diff(x, append=len(y)) for x, y in ((first, a), (second, b))]
+        # Window by window: ids of A, a word between, ids of B.
+        number = np.arange(len(shared))
+        laid = np.full(len(a) + len(b) + len(shared), _BETWEEN, np.uint32)
+        laid[np.arange(len(a)) + np.repeat(second + number, sizes[0])] = a
+        laid[np.arange(len(b)) + np.repeat(first + sizes[0] + number + 1, sizes[1])] = b
+        data = laid.tobytes()
+        cuts = [*(4 * (first + second + number)).tolist(), len(data)]
+        return [data[i:k] for i, k in pairwise(cuts)], first, np.maximum(*sizes)
+
+    def align(self, encoded: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[str, np.ndarray, np.ndarray]]:
+        """For each text that has tokens: groups as text, its linked pairs, and the links of each."""
+        a, b = (np.concatenate([x[i] for x in encoded]) for i in (0, 1))
+        windows, first, sizes = self._windows(a, b)
+        long = np.flatnonzero(sizes > LONG_WINDOW).tolist()
         if long:
-            found = self.windows.values_of([w for i, w in enumerate(windows) if i not in long])
-            for i, w in long.items():
-                shown, links = self._long(w)
-                found.insert(i, (shown, b""))
-                more.update(links)
+            skipped = set(long)
+            found = self.windows.values_of([w for i, w in enumerate(windows) if i not in skipped])
         else:
             found = self.windows.values_of(windows)
+        extra = []
+        for i in long:  # in order, so that places are right
+            shown, links = self._long(windows[i])
+            found.insert(i, (shown, b""))
+            extra.append(links)
+        # A text begins with a blank and so with a window.
+        behind = np.append(np.searchsorted(first, np.cumsum([0, *(len(x) for x, _ in encoded[:-1])])), len(windows))
         pairs = np.frombuffer(b"".join([v[1] for v in found]), np.int64)
+        text = np.repeat(np.arange(len(encoded)), np.diff(behind))
+        owner = np.repeat(text, [len(v[1]) >> 3 for v in found])
         times = np.ones(len(pairs), np.int64)
-        if more:
-            pairs = np.append(pairs, np.fromiter(more.keys(), np.int64, len(more)))
-            times = np.append(times, np.fromiter(more.values(), np.int64, len(more)))
-        order = np.argsort(pairs, kind="stable")
-        pairs, times = pairs[order], times[order]
-        firsts = np.flatnonzero(np.diff(pairs, prepend=-1))
-        return "".join([v[0] for v in found])[:-1], pairs[firsts], np.add.reduceat(times, firsts)
+        for i, links in zip(long, extra):
+            pairs = np.append(pairs, np.fromiter(links.keys(), np.int64, len(links)))
+            times = np.append(times, np.fromiter(links.values(), np.int64, len(links)))
+            owner = np.append(owner, np.full(len(links), text[i]))
+        order = np.lexsort((pairs, owner))
+        pairs, owner, times = pairs[order], owner[order], times[order]
+        firsts = np.flatnonzero((np.diff(pairs, prepend=-1) != 0) | (np.diff(owner, prepend=-1) != 0))
+        pairs, owner, times = pairs[firsts], owner[firsts], np.add.reduceat(times, firsts)
+        ends = np.searchsorted(owner, np.arange(len(encoded) + 1)).tolist()
+        return [
+            ("".join([v[0] for v in found[i:k]])[:-1], pairs[j:m], times[j:m])
+            for (i, k), (j, m) in zip(pairwise(behind.tolist()), pairwise(ends))
+        ]
 
 
-def _weight(new: dict[tuple[bytes, bytes], Window]) -> int:
-    """Bytes of remembered windows: two tuples, three byte strings and a string each."""
-    return sum([310 + len(a) + len(b) + len(v[0]) + len(v[1]) for (a, b), v in new.items()])
+def _weight(new: dict[bytes, Window]) -> int:
+    """Bytes of remembered windows: a tuple, two byte strings and a string each."""
+    return sum([174 + len(w) + len(v[0]) + len(v[1]) for w, v in new.items()])
 
 
 def _level_bytes(name: str) -> bytes:
@@ -200,15 +233,18 @@ class _Block:
     def __init__(self) -> None:
         self.facts, self.groups, self.pairs, self.times, self.chars = [], [], [], [], 0
 
-    def add(self, text: str | None, both: Pair) -> None:
-        none = np.zeros(0, np.int64)
-        a, b = both.encode(text) if text else (none, none)
-        groups, pairs, times = both.align(a, b) if len(a) else ("", none, none)
-        self.facts.append((len(a), len(b), groups.count("|"), int(times.sum())))
-        self.groups.append(groups)
-        self.pairs.append(pairs)
-        self.times.append(times)
-        self.chars += len(text or "")
+    def add(self, texts: list[str | None], both: Pair) -> None:
+        none = np.zeros(0, np.uint32)
+        encoded = [both.encode(t) if t else (none, none) for t in texts]
+        some = [e for e in encoded if len(e[0])]
+        aligned = iter(both.align(some) if some else ())
+        for a, b in encoded:
+            groups, pairs, times = next(aligned) if len(a) else ("", np.zeros(0, np.int64), np.zeros(0, np.int64))
+            self.facts.append((len(a), len(b), groups.count("|"), int(times.sum())))
+            self.groups.append(groups)
+            self.pairs.append(pairs)
+            self.times.append(times)
+        self.chars += sum(len(t) for t in texts if t)
 
     def columns(self, number: int) -> list[pa.Array]:
         rows = len(self.facts)
@@ -259,12 +295,13 @@ def align(
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
             block, at = _Block(), 0
-            for row, text in enumerate(batch.column(1)):
-                block.add(text.as_py(), both)
-                if block.chars >= BLOCK_CHARS or row == batch.num_rows - 1:
-                    columns = [batch.column(0).slice(at, row + 1 - at), *block.columns(number)]
+            for texts in groups(batch.column(1), GROUP_CHARS):
+                block.add(texts, both)
+                row = at + len(block.facts)
+                if block.chars >= BLOCK_CHARS or row == batch.num_rows:
+                    columns = [batch.column(0).slice(at, row - at), *block.columns(number)]
                     yield pa.RecordBatch.from_arrays(columns, schema.names)
-                    block, at, number = _Block(), row + 1, number + 1
+                    block, at, number = _Block(), row, number + 1
 
     schema = StructType([StructField("key", docs.schema[key].dataType), *StructType.fromDDL(_ALIGNED).fields])
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
