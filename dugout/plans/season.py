@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
@@ -15,12 +16,13 @@ from ..session import settle
 from ..sources import feeds, schemas
 from ..sources.envelopes import FEEDS, to_messages
 from ..sources.tables import (
-    append_table, game_results_in_order, open_table, pitching_leaders_in_order,
+    game_results_in_order, open_table, pitching_leaders_in_order,
     player_stats_in_order, read_raw, read_table, replace_table, standings_in_order,
 )
 from ..streaming.land import (
     land_rows, land_stream, landing_counts, last_batch, read_messages, require_readable, write_messages,
 )
+from ..streaming.live import PLAY_LEVELS, add_plays
 from . import marts, predictions, staging, summaries
 
 # Fixed value: days that a run looks back for playable games.
@@ -184,20 +186,21 @@ def build_staging(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     }
     stored = store_models(spark, root, models)
     plays = event_schema(raw["game_events"])
-    return {**stored, "stg_game_events": open_table(spark, root, "stg_game_events", plays, [EVENT_BLOCK])}
+    return {**stored, "stg_game_events": open_table(spark, root, "stg_game_events", plays, PLAY_LEVELS)}
 
 
 def event_schema(raw: DataFrame) -> StructType:
     """Columns of the stored plays."""
-    return staging.typed_events(raw).withColumn(EVENT_BLOCK, staging.game_block()).schema
+    levels = {EVENT_BLOCK: staging.game_block(), "batch": F.lit("")}
+    return staging.typed_events(raw).withColumns(levels).schema
 
 
 def stage_events(spark: SparkSession, root: str, raw: DataFrame) -> None:
-    """Append the plays of the batches that landed since the last time.
+    """Add the plays of the batches that landed since the last time.
 
-    The marks, the last batch seen of every source, are written after the plays. If they
-    are lost, the batches are read again and their keys found in the table, so nothing is
-    stored twice. Marks are one line per landing stream.
+    The marks, the last batch seen of every source, are written after the plays and name the
+    folder of the plays that come next. If they are lost, the batches are read again and the
+    folder is overwritten, so nothing is stored twice. Marks are one line per landing stream.
     """
     stored = open_table(spark, root, EVENT_MARKS, MARK_SCHEMA)
     marks = {row["source"]: row["batch"] for row in stored.collect()}
@@ -208,9 +211,8 @@ def stage_events(spark: SparkSession, root: str, raw: DataFrame) -> None:
     latest = arrived.groupBy("source").agg(F.max("batch").alias("batch")).collect()
     if not latest:
         return
-    known = open_table(spark, root, "stg_game_events", event_schema(raw), [EVENT_BLOCK])
-    fresh = staging.stg_game_events(arrived, known, EVENT_BLOCK)
-    append_table(fresh, root, "stg_game_events", EVENT_BLOCK)
+    said = "\n".join(f"{source} {batch}" for source, batch in sorted(marks.items()))
+    add_plays(arrived, root, hashlib.md5(said.encode()).hexdigest())
     marks.update({row["source"]: row["batch"] for row in latest})
     replace_table(spark.createDataFrame(list(marks.items()), MARK_SCHEMA), root, EVENT_MARKS)
 

@@ -10,24 +10,24 @@ from pyspark.sql.types import StructType
 from ..operators.ranking import nulls_last
 from .envelopes import FEEDS, Feed
 from .schemas import TEXT, record
+from .versions import live_path, live_version, new_version, publish, table_path, version_path
 
 
 # Folder levels of a raw table.
 LANDED = ("source", "batch", "run_id")
 # Table of the runs that landed batches have.
 RUNS = "runs"
-RUN_SCHEMA = record(run_id=TEXT, table=TEXT, source=TEXT, batch=TEXT)
-
-
-def table_path(root: str, name: str) -> str:
-    return f"{root.rstrip('/')}/{name}"
+RUN_SCHEMA = record(run_id=TEXT, table=TEXT, version=TEXT, source=TEXT, batch=TEXT)
+# Version of a table that was never replaced, in its notes.
+FIRST = "first"
 
 
 def read_table(
     spark: SparkSession, root: str, name: str, schema: StructType | None = None
 ) -> DataFrame:
+    """The current rows of a stored table."""
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(table_path(root, name))
+    return reader.parquet(live_path(spark, root, name))
 
 
 def open_table(
@@ -39,13 +39,17 @@ def open_table(
 ) -> DataFrame:
     """A stored table that may not have been written yet; it is made empty then."""
     empty = spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*partition_by)
-    empty.parquet(table_path(root, name))
-    return read_table(spark, root, name, schema)
+    path = live_path(spark, root, name)
+    empty.parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
-def replace_table(df: DataFrame, root: str, name: str) -> None:
-    """Store a model, replacing what was there."""
-    df.write.mode("overwrite").parquet(table_path(root, name))
+def replace_table(df: DataFrame, root: str, name: str, partition_by: Sequence[str] = ()) -> None:
+    """Store a model, replacing what was there, all at once: if the new rows can't be written,
+    the old ones stay."""
+    version = new_version()
+    df.write.partitionBy(*partition_by).parquet(version_path(root, name, version))
+    publish(df.sparkSession, root, name, version)
 
 
 def append_table(df: DataFrame, root: str, name: str, partition_by: str | None = None) -> None:
@@ -54,7 +58,7 @@ def append_table(df: DataFrame, root: str, name: str, partition_by: str | None =
     With ``partition_by`` the rows are rebalanced on that column first, so that a
     partition gets a few files of decent size and not one from every task.
     """
-    path = table_path(root, name)
+    path = live_path(df.sparkSession, root, name)
     if partition_by:
         df.hint("rebalance", partition_by).write.mode("append").partitionBy(partition_by).parquet(path)
     else:
@@ -77,24 +81,27 @@ def raw_schema(feed: Feed) -> StructType:
     return schema
 
 
-def note_runs(spark: SparkSession, root: str, name: str, source: str, batch: str, path: str) -> None:
-    """Write down which runs a landed batch of a table has; a batch replaces its own note."""
-    runs = spark.read.schema(record(run_id=TEXT)).parquet(path).distinct().coalesce(1)  # of one batch
-    runs.write.mode("overwrite").parquet(f"{table_path(root, RUNS)}/table={name}/source={source}/batch={batch}")
+def note_runs(runs: DataFrame, root: str, name: str, version: str, source: str, batch: str) -> None:
+    """Write down the run ids that a landed batch of a table's version has; a batch replaces its
+    own note. Notes of other versions count no more."""
+    path = f"{table_path(root, RUNS)}/table={name}/version={version or FIRST}/source={source}/batch={batch}"
+    runs.select("run_id").coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def read_raw(spark: SparkSession, root: str, feed: Feed | str, history: bool = False) -> DataFrame:
     """A raw table: the latest run's snapshot for replaced feeds, all rows for the others.
 
-    The latest run id is looked up in the notes of the landed batches, one line each, so
-    only its partitions of the raw table are opened.
+    The latest run id is looked up in the notes of the landed batches of the table's current
+    version, one line each, so only its partitions of the raw table are opened.
     """
     feed = FEEDS[feed] if isinstance(feed, str) else feed
+    version = live_version(spark, root, feed.table)
     rows = open_table(spark, root, feed.table, raw_schema(feed), LANDED)
     if not feed.replace or history:
         return rows
-    noted = open_table(spark, root, RUNS, RUN_SCHEMA, ["table", "source", "batch"])
-    latest = noted.filter(F.col("table") == feed.table).agg(F.max("run_id")).first()[0]  # one value
+    noted = open_table(spark, root, RUNS, RUN_SCHEMA, ["table", "version", "source", "batch"])
+    own = noted.filter((F.col("table") == feed.table) & (F.col("version") == (version or FIRST)))
+    latest = own.agg(F.max("run_id")).first()[0]  # one value
     return rows.filter(F.col("run_id") == F.lit(latest))
 
 

@@ -94,7 +94,7 @@ def stream_game_events(spark, folder):
     stream = spark.readStream.schema(lines.schema).parquet(f"{root}/landed")
     live.stage_plays(as_raw_plays(stream), root, f"{root}/checkpoint").awaitTermination()
     columns = staging.typed_events(as_raw_plays(lines)).schema
-    return read_table(spark, root, "stg_game_events", columns).drop("game_block")
+    return read_table(spark, root, "stg_game_events", columns).drop("game_block", "batch")
 
 
 @case("""

@@ -17,7 +17,8 @@ from ..session import settle
 from ..sources import schemas
 from ..sources.envelopes import FEEDS, Feed, bad_rows, decode, good_rows
 from ..sources.schemas import ENVELOPE
-from ..sources.tables import LANDED, note_runs, open_table, table_path
+from ..sources.tables import LANDED, note_runs, open_table
+from ..sources.versions import live_path, live_version, new_version, publish, table_path, version_path
 
 QUARANTINE = "quarantine"
 LANDING = "landing"
@@ -45,15 +46,8 @@ def write_messages(messages: DataFrame, path: str) -> int:
 
 
 def _store(rows: DataFrame, root: str, name: str, source: str, batch: str) -> None:
-    path = f"{table_path(root, name)}/source={source}/batch={batch}"
-    rows.write.mode("overwrite").partitionBy("run_id").parquet(path)
-
-
-def _land(rows: DataFrame, root: str, feed: Feed, source: str, batch: str) -> None:
-    """Store a batch of a raw table and note its runs."""
-    _store(rows, root, feed.table, source, batch)
-    path = f"{table_path(root, feed.table)}/source={source}/batch={batch}"
-    note_runs(rows.sparkSession, root, feed.table, source, batch, path)
+    path = live_path(rows.sparkSession, root, name)
+    rows.write.mode("overwrite").partitionBy("run_id").parquet(f"{path}/source={source}/batch={batch}")
 
 
 def land_batch(
@@ -69,17 +63,21 @@ def land_batch(
     table is written from the batch's own stored copy, so a topic's good rows are decoded
     once. The counts are written last: a batch without counts did not end.
     """
-    feeds = tuple(feeds)
+    spark, feeds = messages.sparkSession, tuple(feeds)
     known = F.col("topic").isin([f.name for f in feeds])
     rows = settle(messages, "batch")
     present = {r["topic"] for r in rows.filter(known).select("topic").distinct().collect()}  # of the feeds
     lines = []
     for feed in (f for f in feeds if f.name in present):
-        seen = Observation()
+        seen, stored = Observation(), Observation()
         decoded = decode(rows.filter(F.col("topic") == feed.name), feed.schema).observe(
             seen, F.count("*").alias("n"), F.count_if("is_bad").alias("bad")
         )
-        _land(good_rows(decoded, feed.schema), root, feed, source, batch)
+        # The runs are gathered while the rows are written, so that no row is read again.
+        good = good_rows(decoded, feed.schema).observe(stored, F.collect_set("run_id").alias("runs"))
+        _store(good, root, feed.table, source, batch)
+        runs = spark.createDataFrame([(run,) for run in stored.get["runs"]], "run_id string")  # of one batch
+        note_runs(runs, root, feed.table, live_version(spark, root, feed.table), source, batch)
         if seen.get["bad"]:
             _store(bad_rows(decoded), root, QUARANTINE, f"{source}-{feed.name}", batch)
         lines.append((feed.name, seen.get["n"], seen.get["bad"]))
@@ -88,7 +86,7 @@ def land_batch(
         seen = Observation()
         _store(unknown.observe(seen, F.count("*").alias("n")), root, QUARANTINE, f"{source}-{UNKNOWN}", batch)
         lines.append((UNKNOWN, seen.get["n"], seen.get["n"]))
-    counts = messages.sparkSession.createDataFrame(lines, "topic string, n_messages long, n_bad long")
+    counts = spark.createDataFrame(lines, "topic string, n_messages long, n_bad long")
     path = f"{table_path(root, LANDING)}/source={source}/batch={batch}"
     counts.coalesce(1).write.mode("overwrite").parquet(path)
 
@@ -142,13 +140,15 @@ def require_readable(spark: SparkSession, root: str, after: str, source: str = "
 def land_rows(rows: DataFrame, root: str, feed: Feed, run_id: str) -> None:
     """Store flattened rows without a message log in between.
 
-    They replace whatever the table held, also where a run's messages are appended.
+    They replace whatever the table held, also where a run's messages are appended, and
+    whatever its runs were called. A write that fails leaves the old rows.
     """
+    spark, version = rows.sparkSession, new_version()
     typed = rows.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in feed.schema.fields],
         F.lit(run_id).alias("run_id"),
     )
     whole = typed.withColumns({"source": F.lit("direct"), "batch": F.lit(run_id)})
-    whole.write.mode("overwrite").partitionBy(*LANDED).parquet(table_path(root, feed.table))
-    path = f"{table_path(root, feed.table)}/source=direct/batch={run_id}"
-    note_runs(rows.sparkSession, root, feed.table, "direct", run_id, path)
+    whole.write.partitionBy(*LANDED).parquet(version_path(root, feed.table, version))
+    note_runs(spark.createDataFrame([(run_id,)], "run_id string"), root, feed.table, version, "direct", run_id)
+    publish(spark, root, feed.table, version)

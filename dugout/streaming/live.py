@@ -6,12 +6,16 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BinaryType, StructType
 
+from ..operators.bitmaps import merge_bitmaps, seen_bitmaps
 from ..operators.dedup import columns_as_order, keep_first, keep_unseen
 from ..operators.monitor import message_rate
-from ..plans.staging import event_order, game_block, typed_events
+from ..plans.staging import game_block, typed_events, unseen_plays
+from ..session import settle
+from ..sources.schemas import INT, TEXT, record
 from ..sources.tables import append_table, open_table
+from ..sources.versions import live_path
 
 
 def append_unseen(
@@ -47,14 +51,46 @@ def append_unseen(
     )
 
 
+PLAY_LEVELS = ("batch", "game_block")
+SEEN_SCHEMA = record(game_pk=INT, bucket=INT, bits=BinaryType(), batch=TEXT, game_block=INT)
+
+
+def seen_table(table: str) -> str:
+    """Table of the bitmaps of the plays that ``table`` holds."""
+    return f"{table}_seen"
+
+
+def add_plays(raw: DataFrame, root: str, batch: str, table: str = "stg_game_events") -> None:
+    """Add the plays of a batch that the table does not hold yet.
+
+    What it holds is looked up in the bitmaps of the batches before, of the blocks of games
+    that occur in this one. Plays and then bitmaps are written to folders of the batch's own,
+    which a replay overwrites; it leaves out its own bitmaps and finds the same plays.
+    """
+    spark = raw.sparkSession
+    stored = open_table(spark, root, seen_table(table), SEEN_SCHEMA, PLAY_LEVELS)
+    arrived = settle(raw, "plays")
+    blocks = typed_events(arrived).select(game_block().alias("game_block")).distinct()
+    others = stored.filter(F.col("batch") != batch).join(blocks, "game_block", "left_semi")
+    fresh = settle(unseen_plays(arrived, merge_bitmaps(others, "game_pk")), "fresh")
+    parts = {table: fresh, seen_table(table): seen_bitmaps(fresh, "game_pk", "at_bat_index", ["game_block"])}
+    for name, rows in parts.items():
+        path = f"{live_path(spark, root, name)}/batch={batch}"
+        rows.hint("rebalance", "game_block").write.mode("overwrite").partitionBy("game_block").parquet(path)
+
+
 def stage_plays(raw: DataFrame, root: str, checkpoint: str, table: str = "stg_game_events") -> StreamingQuery:
     """The play staging model on a stream of raw plays.
 
     Types, keys and the choice among copies are those of ``staging.stg_game_events``; copies
-    that come in later batches are refused, as they are by its increments.
+    that come in later batches are refused, however late they are.
     """
-    plays = typed_events(raw).filter(F.col("event_id").isNotNull()).withColumn("game_block", game_block())
-    return append_unseen(plays, root, table, checkpoint, "event_id", "game_block", event_order)
+    return (
+        raw.writeStream.foreachBatch(lambda batch, number: add_plays(batch, root, f"{number:012d}", table))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
 
 
 def dedup_within(stream: DataFrame, key: str, time: str, delay: str) -> DataFrame:
