@@ -6,6 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
+from .series import asof
+
 
 def message_rate(
     messages: DataFrame,
@@ -68,10 +70,33 @@ def lag_by_partition(
 
 
 def lag_by_group(lag: DataFrame, group: str = "group") -> DataFrame:
+    """Messages behind by consumer group, over all its topics."""
+    return lag.groupBy(group).agg(F.sum("behind").alias("behind"))
+
+
+def lag_by_group_topic(lag: DataFrame, group: str = "group") -> DataFrame:
     """Messages behind by consumer group and topic."""
     return lag.groupBy(group, "topic").agg(F.sum("behind").alias("behind"))
 
 
+def lag_over_time(ends: DataFrame, commits: DataFrame, time: str = "ts", group: str = "group") -> DataFrame:
+    """Messages behind by consumer group, topic and partition at every time that the end of the
+    log was sampled.
+
+    ``ends`` has topic, partition, time and ``end``, the last offset then; ``commits`` has the
+    group besides, and ``done``, the last offset that it had worked off. A group is behind by
+    all that was sampled until its first commit. Groups follow the topics they commit to.
+    """
+    place = ["topic", "partition"]
+    sampled = ends.groupBy(*place, time).agg(F.max("end").alias("end"))
+    begin = sampled.groupBy(*place).agg(F.min("end").alias("begin"))
+    groups = commits.select(group, "topic").distinct()  # a few per topic
+    every = sampled.join(begin, place).join(groups, "topic")
+    found = asof(every, commits, [group, *place], time, ["done"])
+    behind = F.col("end") - F.coalesce("done", F.col("begin") - 1)
+    return found.select(group, *place, time, behind.alias("behind"))
+
+
 def topic_counts(messages: DataFrame, topic: str = "topic") -> DataFrame:
     """Messages per topic."""
     return messages.groupBy(topic).agg(F.count("*").alias("n_messages"))

@@ -4,7 +4,9 @@ Customers stand in for teams and batters, suppliers for pitchers, orders for gam
 lineitems for plays, events for messages.
 """
 
-from . import cases_checks, cases_columns, cases_feeds, cases_models, cases_rank, cases_streams  # noqa: F401
+from . import (  # noqa: F401
+    cases_checks, cases_columns, cases_feeds, cases_models, cases_rank, cases_series, cases_streams, cases_tables,
+)
 from .registry import CASES
 
 __all__ = ["CASES"]

@@ -213,12 +213,18 @@ def backlog_by_partition(spark, folder):
     return _group_lag(spark, folder)
 
 
-@case(f'{_LAG_SQL} SELECT "group", topic, sum(behind)::BIGINT AS behind FROM lag GROUP BY ALL')
+@case(f'{_LAG_SQL} SELECT "group", sum(behind)::BIGINT AS behind FROM lag GROUP BY ALL')
 def backlog_by_group(spark, folder):
-    """Messages behind by consumer group and topic."""
+    """Messages behind by consumer group."""
     return monitor.lag_by_group(_group_lag(spark, folder))
 
 
+@case(f'{_LAG_SQL} SELECT "group", topic, sum(behind)::BIGINT AS behind FROM lag GROUP BY ALL')
+def backlog_by_group_topic(spark, folder):
+    """Messages behind by consumer group and topic."""
+    return monitor.lag_by_group_topic(_group_lag(spark, folder))
+
+
 @case("""
     SELECT event_id, event_type, strftime(ts, '%Y-%m-%d') AS run_id FROM events e
     WHERE strftime(ts, '%Y-%m-%d') = (SELECT max(strftime(ts, '%Y-%m-%d')) FROM events m

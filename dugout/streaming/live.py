@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import BinaryType, StructType
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import BinaryType, DoubleType, LongType, StructField, StructType, TimestampType
 
 from ..operators.bitmaps import merge_bitmaps, seen_bitmaps
 from ..operators.dedup import columns_as_order, keep_first, keep_unseen
@@ -117,6 +119,57 @@ def rate_stream(
     return message_rate(stream.withWatermark(time, delay), time, topic, width, slide)
 
 
+def stream_increases(
+    samples: DataFrame, by: Sequence[str], time: str = "ts", value: str = "total", idle: str = "1 day"
+) -> DataFrame:
+    """``by``, ``since``, ``time`` and ``increase`` of counters, as ``counter_increases`` has them.
+
+    The state of a counter is its last sample. A timer removes it once the watermark, an
+    ``idle`` time behind the newest sample, has passed it; a counter that comes back later
+    begins anew. Samples that are not newer than the last one of their counter are left out.
+    ``time`` must be a zoned timestamp.
+    """
+    zoned = StructType([samples.schema[c] for c in by])
+    schema = StructType([*zoned.fields, StructField("since", TimestampType()), samples.schema[time], StructField("increase", DoubleType())])
+    last = StructType([StructField("at", LongType()), StructField("value", DoubleType())])
+
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        at, held = state.get if state.exists else (None, None)
+        rows = pd.concat(frames).groupby(time, as_index=False)[value].max().sort_values(time)
+        moments = rows[time].astype("int64") // (1000 if rows[time].dtype == "datetime64[ns]" else 1)
+        if at is not None:
+            rows, moments = rows[moments > at], moments[moments > at]
+        if not len(rows):
+            return
+        values = rows[value].astype(float)
+        before, since = values.shift(), rows[time].shift()
+        if at is not None:
+            before.iloc[0], since.iloc[0] = held, pd.Timestamp(at, unit="us")
+        increase = (values - before).where(values >= before, values)
+        made = pd.DataFrame({**dict(zip(by, key)), "since": since, time: rows[time], "increase": increase})
+        newest = int(moments.iloc[-1])
+        state.update((newest, float(values.iloc[-1])))
+        state.setTimeoutTimestamp(max(newest // 1000, state.getCurrentWatermarkMs()) + 1)
+        yield made[before.notna().to_numpy()]
+
+    fine = samples.filter(F.col(time).isNotNull() & F.col(value).isNotNull())
+    fine = fine.withWatermark(time, idle).select(*by, time, F.col(value).cast("double").alias(value))
+    return fine.groupBy(*by).applyInPandasWithState(step, schema, last, "append", GroupStateTimeout.EventTimeTimeout)
+
+
+def store_increases(increases: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Write increases as they come; a replayed batch overwrites its folder."""
+    return (
+        increases.writeStream.foreachBatch(lambda rows, number: rows.write.mode("overwrite").parquet(f"{path}/batch={number:012d}"))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def store_windows(rates: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Write windows as they change; ``latest_windows`` reads the last state of each.
 
