@@ -14,7 +14,7 @@ many costs a count that is dropped later; no phrase is missed, whatever the size
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -118,19 +118,21 @@ class Trie:
 
     def taken(self, firsts: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """Codes and counts of whole subtrees, which are removed."""
-        codes, counts = [], []
+        containers, bases = [], []
         for first in firsts:
             node, base = self.nodes.pop(first), first << _ID_BITS * (1 + self.deep)
-            containers = [(0, node)]
             if first in self.burst:
                 self.burst.discard(first)
-                containers = [(second << _ID_BITS, c) for second, c in node.items()]
-            for above, container in containers:
-                codes.append(np.fromiter(container.keys(), np.int64, len(container)) + (base + above))
-                counts.append(np.fromiter(container.values(), np.int64, len(container)))
+                containers += node.values()
+                bases += [base | second << _ID_BITS for second in node]
+            else:
+                containers.append(node)
+                bases.append(base)
             self.entries -= self.sizes.pop(first)
-        none = [np.zeros(0, np.int64)]
-        return np.concatenate(codes or none), np.concatenate(counts or none)
+        sizes = [len(c) for c in containers]
+        codes = np.fromiter(chain.from_iterable(containers), np.int64, sum(sizes))
+        counts = np.fromiter(chain.from_iterable([c.values() for c in containers]), np.int64, len(codes))
+        return codes + np.repeat(np.array(bases, np.int64), sizes), counts
 
 
 def _grouped(codes: np.ndarray, counts: np.ndarray, bits: int) -> Iterator[tuple[int, list[int], list[int]]]:
@@ -235,11 +237,15 @@ class Counter:
             return
         names = list(self.words)
         names[_NONE], names[_BREAK] = b"", b""
+        spelled = pa.array(names, pa.binary())
         order = np.empty(len(names), np.int64)
-        order[sorted(range(len(names)), key=names.__getitem__)] = np.arange(len(names))
+        order[pc.sort_indices(spelled).to_numpy()] = np.arange(len(names))
         ids = [codes >> _ID_BITS * i & _ID for i in reversed(range(self.longest))]
-        place = np.lexsort([order[i] for i in reversed(ids)])
-        spelled = pa.array(names, pa.binary()).cast(pa.string())
+        place = order[ids[0]]
+        for i in ids[1:]:
+            place = place << _ID_BITS | order[i]
+        place = np.argsort(place)
+        spelled = spelled.cast(pa.string())
         parts = [spelled.take(pa.array(i[place])) for i in ids]
         prefix = parts[0] if len(parts) == 2 else pc.binary_join_element_wise(*parts[:2], " ")
         yield _rows(lang, prefix, parts[-1], counts[place])
