@@ -180,14 +180,15 @@ class Pair:
             found = self.windows.values_of(windows)
         extra = []
         for i in long:  # in order, so that places are right
-            shown, links = self._long(windows[i])
-            found.insert(i, (shown, b""))
+            groups, links = self._long(windows[i])
+            found.insert(i, (groups, b""))
             extra.append(links)
         # A text begins with a blank and so with a window.
         behind = np.append(np.searchsorted(first, np.cumsum([0, *(len(x) for x, _ in encoded[:-1])])), len(windows))
-        pairs = np.frombuffer(b"".join([v[1] for v in found]), np.int64)
+        shown, linked = zip(*found)
+        pairs = np.frombuffer(b"".join(linked), np.int64)
         text = np.repeat(np.arange(len(encoded)), np.diff(behind))
-        owner = np.repeat(text, [len(v[1]) >> 3 for v in found])
+        owner = np.repeat(text, np.fromiter(map(len, linked), np.int64, len(linked)) >> 3)
         times = np.ones(len(pairs), np.int64)
         for i, links in zip(long, extra):
             pairs = np.append(pairs, np.fromiter(links.keys(), np.int64, len(links)))
@@ -199,14 +200,14 @@ class Pair:
         pairs, owner, times = pairs[firsts], owner[firsts], np.add.reduceat(times, firsts)
         ends = np.searchsorted(owner, np.arange(len(encoded) + 1)).tolist()
         return [
-            ("".join([v[0] for v in found[i:k]])[:-1], pairs[j:m], times[j:m])
+            ("".join(shown[i:k])[:-1], pairs[j:m], times[j:m])
             for (i, k), (j, m) in zip(pairwise(behind.tolist()), pairwise(ends))
         ]
 
 
 def _weight(new: dict[bytes, Window]) -> int:
     """Bytes of remembered windows: a tuple, two byte strings and a string each."""
-    return sum([174 + len(w) + len(v[0]) + len(v[1]) for w, v in new.items()])
+    return 174 * len(new) + sum(sum(map(len, x)) for x in (new, *zip(*new.values())))
 
 
 def _level_bytes(name: str) -> bytes:
