@@ -14,8 +14,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import settle
 
-#: URLs with at most so many tokens are what brute force can try in a test; mining has no such bound.
-MINED_TOKENS = 10
 _CLASS = "class:block"
 
 
@@ -92,11 +90,16 @@ def mine(
     Tokens that occur in just the same labelled URLs are one item, since rules with any of
     them hold equally; its rules fit URLs with any of them. So supports and
     confidences are those of the whole sets of tokens.
+
+    A token that is a rule by itself blocks whatever else stands with it, so combinations with
+    it decide nothing more: these rules come from the counts of single tokens, and only the
+    others are combined. That leaves few tokens of a spam URL with many keys. Where no token of
+    a URL is a rule alone, its n frequent items can still make 2^n combinations.
     """
     spark = labelled.sparkSession
     schema = "antecedent array<string>, support double, confidence double, anchor string"
     labelled = settle(labelled.select("__tokens", "bad"), "labelled")
-    n = labelled.count()
+    n, bad_n = labelled.agg(F.count("*"), F.count_if("bad")).first()
     if n < min_count:
         return spark.createDataFrame([], schema), spark.createDataFrame([], "token string, item string")
     floor = max(min_support, min_count / n)
@@ -112,9 +115,18 @@ def mine(
         .filter(F.col("bad_n") >= F.lit(floor * n * (1 - 1e-9)))
         .withColumn("item", F.min("token").over(Window.partitionBy("n", "bad_n", "one", "two")))
     )
-    common = settle(common.select("token", "n", "item"), "tokens")
+    share = F.col("bad_n") / F.col("n")
+    alone = (share >= min_confidence) & (share > bad_n / n)
+    common = settle(
+        common.select("token", "n", "item", (F.col("bad_n") / n).alias("support"), share.alias("confidence"), alone.alias("alone")),
+        "tokens",
+    )
+    single = common.filter("alone").select(
+        F.array("item").alias("antecedent"), "support", "confidence", F.col("item").alias("anchor")
+    ).distinct()
+    rest = common.filter("not alone").select("token", "item")
     kept = (
-        sets.select("__tokens", "bad", "times", F.explode("__tokens").alias("token")).join(common, "token")
+        sets.select("__tokens", "bad", "times", F.explode("__tokens").alias("token")).join(rest, "token")
         .groupBy("__tokens", "bad", "times").agg(F.array_sort(F.collect_set("item")).alias("items"))
     )
     # URLs without such a token count in the shares too.
@@ -130,10 +142,10 @@ def mine(
         (F.col("consequent")[0] == _CLASS) & (F.col("lift") > 1)
     ).select("antecedent", "support", "confidence")
     rarest = (
-        rules.select("*", F.explode("antecedent").alias("token")).join(common, "token")
+        rules.select("*", F.explode("antecedent").alias("token")).join(common.select("token", "n"), "token")
         .groupBy("antecedent", "support", "confidence").agg(F.min_by("token", F.struct("n", "token")).alias("anchor"))
     )
-    return settle(rarest, "rules"), common.select("token", "item")
+    return settle(single.unionByName(rarest), "rules"), common.select("token", "item")
 
 
 def match(sets: DataFrame, rules: DataFrame, items: DataFrame) -> DataFrame:
