@@ -28,8 +28,12 @@ from .common import settle
 #: Rounds in which contested surrogates are drawn anew.
 ATTEMPTS = 60
 #: Types of entities, in the order in which they are looked for.
-TYPES = ("email", "card", "ip", "phone", "person")
+TYPES = ("email", "iban", "card", "ip", "ssn", "phone", "person")
 
+#: Account numbers: a country, two check digits and 11 to 30 letters or digits, in groups of four or not.
+_IBAN = re.compile(r"(?<![\w])[A-Z]{2}[0-9]{2}(?:(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?|[A-Z0-9]{11,30})(?![\w])")
+#: Social security numbers of the United States; some areas, and groups and numbers of zeros, are never given out.
+_SSN = re.compile(r"(?<![\w-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![\w-])")
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: Runs of digits with single separators, which can hold a card among other numbers.
 _RUN = re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,}(?![0-9])")
@@ -118,6 +122,24 @@ def _script(word: str) -> str:
     return "cyrillic" if "Ѐ" <= word[0] <= "ӿ" else "latin"
 
 
+def _iban_check(country: str, account: str) -> str:
+    """The check digits of an account number."""
+    number = "".join(str(int(c, 36)) for c in f"{account}{country}00")
+    return f"{98 - int(number) % 97:02d}"
+
+
+def _accounts(text: str) -> Iterator[Found]:
+    """Account numbers with right check digits, without groups behind them that are not theirs."""
+    for m in _IBAN.finditer(text):
+        parts = m[0].split(" ")
+        for n in range(len(parts), 0, -1):
+            shown = " ".join(parts[:n])
+            value = shown.replace(" ", "")
+            if len(value) >= 15 and _iban_check(value[:2], value[4:]) == value[2:4]:
+                yield Found(m.start(), m.start() + len(shown), "iban", value)
+                break
+
+
 def _emails(text: str) -> Iterator[Found]:
     at = text.find("@")
     while at >= 0:
@@ -182,6 +204,7 @@ def _numbers(text: str, pattern: re.Pattern[str], kind: str, fits: Callable[[str
 
 def _titled(text: str) -> Iterator[tuple[str, list[re.Match[str]]]]:
     """Gender and the parts of each name behind titles, the family name last."""
+    words: set[str] | None = None
     for m in _ANNOUNCED.finditer(text):
         part = _PART.match(text, m.end())
         if not part[0][0].isupper():
@@ -195,8 +218,10 @@ def _titled(text: str) -> Iterator[tuple[str, list[re.Match[str]]]]:
             part = _PART.match(text, between.end())
             if not part[0][0].isupper() or (gap.strip() or not gap) and not (initial and gap):
                 break
-            if "\n" in gap and (gap.count("\n") > 1 or re.search(rf"\b{part[0].lower()}\b", text)):
-                break  # a word that begins the next line
+            if "\n" in gap:
+                words = {p[0] for p in _PART.finditer(text)} if words is None else words  # read once
+                if gap.count("\n") > 1 or part[0].lower() in words:
+                    break  # a word that begins the next line
             parts.append(part)
             full += len(part[0]) > 1
             if full == MOST_NAMES:
@@ -257,18 +282,28 @@ def find(text: str) -> list[Found]:
     found: list[Found] = []
 
     def add(more: Iterator[Found]) -> None:
+        """Keep the entities of a type and blank them out, all in one pass."""
         nonlocal text
-        new = list(more)
+        new = sorted(more, key=lambda f: f.start)
+        if not new:
+            return
         found.extend(new)
+        parts, at = [], 0
         for f in new:
-            text = text[: f.start] + "\0" * (f.end - f.start) + text[f.end :]
+            if f.end > at:
+                start = max(f.start, at)
+                parts += [text[at:start], "\0" * (f.end - start)]
+                at = f.end
+        text = "".join([*parts, text[at:]])
 
     if "@" in text:
         add(_emails(text))
+    add(_accounts(text))
     add(_cards(text))
     if ":" in text:
         add(_addresses(text))
     add(_numbers(text, _IP, "ip", lambda d: True))
+    add(_numbers(text, _SSN, "ssn", lambda d: True))
     add(_numbers(text, _PHONE, "phone", lambda d: 7 <= len(d) <= 15))
     add(_announced_phones(text))
     add(_persons(text))
@@ -314,6 +349,15 @@ def surrogate(kind: str, value: str, key: bytes, attempt: int = 0) -> str:
     if kind == "card":
         body = value[0] + _number(value[1:-1], key, tweak)
         return body + str(_luhn(body))
+    if kind == "iban":
+        made = _classes(value[4:].lower(), key, f"{tweak}|{value[:2]}").upper()
+        return value[:2] + _iban_check(value[:2], made) + made
+    if kind == "ssn":
+        made = value
+        while True:  # the next number of the same cycle that can be given out
+            made = _number(made, key, tweak)
+            if _SSN.fullmatch(f"{made[:3]}-{made[3:5]}-{made[5:]}"):
+                return made
     if kind == "phone":
         kept = max(0, len(value) - 10)
         tail = value[kept:]
@@ -351,7 +395,10 @@ def _spelled(number: int, script: str, parts: int) -> str:
 
 def dressed(kind: str, made: str, shown: str) -> str:
     """The surrogate in the spelling of the entity: separators, capitals."""
-    if kind in ("card", "phone"):
+    if kind == "iban":
+        signs = iter(made)
+        return "".join(c if c == " " else next(signs) for c in shown)
+    if kind in ("card", "phone", "ssn"):
         digits = iter(made)
         return "".join(next(digits) if "0" <= c <= "9" else c for c in shown)
     if kind == "person":
@@ -452,7 +499,8 @@ def _one_gender(seen: DataFrame) -> DataFrame:
 def replace_pii(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     """``docs`` with its texts rewritten, and ``pii_counts``, a map from type to entities.
 
-    E-mail addresses, payment cards with a right check digit, IP addresses (4 and 6), phone
+    E-mail addresses, account numbers (IBAN) and payment cards with right check digits, IP
+    addresses (4 and 6), social security numbers of the form 3-2-4, phone
     numbers (7 to 15 digits: behind + or 00, North American 3-3-4, national ones with a leading
     0 and a separator behind the area, and any form right behind a word such as "phone") and
     names behind a title are replaced, the latter also where they stand without one in the
@@ -461,6 +509,9 @@ def replace_pii(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     everywhere and different entities have different ones. Whoever has the secret ``key``
     can tell which is which; runs with the same key agree but for contested surrogates.
 
+    An initial gets another letter and nothing more: the letters are too few to be kept apart.
+    Work on a text grows in proportion to its length and its entities, however long it is.
+
     A NULL text stays NULL with an empty map; texts without entities are returned unchanged.
     Repeated rows are rewritten alike. An empty table gives an empty result. Other columns
     are passed through; one called ``pii_counts`` is replaced.
