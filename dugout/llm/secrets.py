@@ -11,7 +11,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import HashingTF, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .common import settle
 
@@ -76,17 +76,13 @@ def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text", path: s
             F.left(F.get("gaps", i + 1), F.lit(REACH)).alias("behind"),
         ),
     )
-    # The running end of the previous candidate gives the starts.
-    placed = F.aggregate(
-        near,
-        F.struct(F.lit(0).alias("end"), F.array().cast("array<int>").alias("starts")),
-        lambda made, n: F.struct(
-            (made["end"] + n["gap"] + F.length(n["candidate"])).alias("end"),
-            F.array_append(made["starts"], made["end"] + n["gap"]).alias("starts"),
-        ),
-    )["starts"]
-    rows = rows.select("key", "path", F.explode(F.arrays_zip(near.alias("near"), placed.alias("start"))).alias("one"))
-    return rows.select("key", "path", "one.start", "one.near.candidate", "one.near.before", "one.near.behind")
+    # The running end of the previous candidate gives the starts, in a window over the row's own
+    # candidates; growing an array of starts would take the square of their number.
+    rows = rows.select("key", "path", F.monotonically_increasing_id().alias("row"), near.alias("near"))
+    rows = rows.select("key", "path", "row", F.posexplode("near").alias("place", "one"))
+    ends = F.sum(F.col("one.gap") + F.length("one.candidate")).over(Window.partitionBy("row").orderBy("place"))
+    start = (ends - F.length("one.candidate")).cast("int").alias("start")
+    return rows.select("key", "path", start, "one.candidate", "one.before", "one.behind")
 
 
 def _count(pattern: str, of: Column | None = None) -> Column:

@@ -400,6 +400,51 @@ def test_forms_of_phones_and_addresses():
     assert a == b and not shown("std::vector a::b 12:30:45", "ip")
 
 
+def test_accounts_and_social_security_numbers():
+    replace = lambda text: pii.replaced(text, b"k", {})
+    for shown in ("DE89 3704 0044 0532 0130 00", "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "FR1420041010050500013M02606"):
+        for text in (shown, f"IBAN: {shown}, please", f"to {shown} 2024 AB12 now"):
+            new, counts = replace(text)
+            assert counts == {"iban": 1} and len(new) == len(text), text
+            at = text.index(shown)
+            made = new[at : at + len(shown)]
+            assert new[:at] == text[:at] and new[at + len(shown) :] == text[at + len(shown) :]
+            assert made != shown and made[:2] == shown[:2]
+            plain = made.replace(" ", "")
+            assert pii._iban_check(plain[:2], plain[4:]) == plain[2:4]
+            assert [c.isdigit() for c in made[4:]] == [c.isdigit() for c in shown[4:]]
+    wrong = "DE89 3704 0044 0532 0130 01"
+    assert not any(f.kind == "iban" for f in pii.find(wrong))
+    text = "SSN 078-05-1120, not 000-12-3456, 666-12-3456, 912-34-5678, 123-00-4567, 123-45-0000, 1123-45-6789"
+    new, counts = replace(text)
+    assert counts["ssn"] == 1 and pii._SSN.search(new)[0] != "078-05-1120" and new[15:] == text[15:]
+    many = [f"{a:03d}{g:02d}{n:04d}" for a in (1, 77, 665) for g in (1, 99) for n in range(1, 60)]
+    made = [pii.surrogate("ssn", v, b"k") for v in many]
+    assert len(set(made)) == len(many) and all(pii._SSN.fullmatch(f"{m[:3]}-{m[3:5]}-{m[5:]}") for m in made)
+
+
+def test_long_texts_with_many_entities_take_their_length():
+    import time
+
+    for one in ("a{i}@host{i}.example.com, ", "Mr Adam\nFelix{i} ", "call 555-010-{i:04d} or 1.2.{i}.4 "):
+        took = []
+        for n in (5_000, 40_000):
+            text = "".join(one.format(i=i % 250) for i in range(n))
+            began = time.process_time()
+            found = pii.find(text)
+            took.append(time.process_time() - began)
+            assert len(found) >= n
+        assert took[1] < 8 * 4 * took[0] + 1, one  # eight times the text; the square would be 64
+
+
+def test_many_candidates_of_one_text_are_placed(spark):
+    text = " ".join(f"key{i:05d}AbCdEf0123456789" for i in range(30_000))
+    rows = secrets.candidates(rows_of(spark, [document(1, text), document(1, text), document(2, "x" * 20)]))
+    got = [tuple(r) for r in rows.select("start", "candidate").collect()]
+    assert len(got) == 60_001 and all(text[a : a + len(c)] == c for a, c in got[:2000] if len(c) != 20 or c[0] != "x")
+    assert {a for a, c in got if c[0] == "k"} == {25 * i for i in range(30_000)}
+
+
 def test_names_stay_replaced_without_their_title():
     def new(text):
         return pii.replaced(text, b"k", {})[0]
