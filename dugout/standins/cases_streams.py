@@ -3,15 +3,17 @@ writes to the shared scratch folder and returns what was written."""
 
 from __future__ import annotations
 
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators import quality
 from ..operators.monitor import topic_counts
 from ..plans import staging
 from ..session import scratch_path
 from ..sources import schemas
-from ..sources.envelopes import Feed
+from ..sources.envelopes import Feed, to_messages
 from ..sources.tables import raw_schema, read_table
 from ..streaming import land, live
 from .registry import case, table
@@ -139,3 +141,52 @@ def stream_rate_5m(spark, folder):
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
         "event_type", "n", F.round("per_second", 6).alias("per_second"),
     )
+
+
+@case("""
+    SELECT 'early' AS feed, count_if(c_acctbal <= 0)::BIGINT AS published, count_if(c_acctbal <= 0)::BIGINT AS read FROM customer
+    UNION ALL SELECT 'late', count(*), count(*) FROM customer""")
+def publish_counts(spark, folder):
+    """Messages published per feed, as counted while they were written and as read again."""
+    root = scratch_path(spark, "published")
+    customers = table(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    rows = {"early": customers.filter("c_acctbal <= 0"), "late": customers}
+    key = lambda: F.col("c_custkey").cast("string")
+    sent = {
+        name: land.write_messages(to_messages(df, Feed(name, key, True, df.schema), "r1", F.lit(datetime(2026, 4, 1))), root)
+        for name, df in rows.items()
+    }
+    counted = spark.createDataFrame(sorted(sent.items()), "feed string, published long")
+    read = topic_counts(spark.read.schema(schemas.ENVELOPE).json(root)).select(F.col("topic").alias("feed"), F.col("n_messages").alias("read"))
+    return counted.join(read, "feed")
+
+
+@case("SELECT 4::BIGINT AS batches, count(*) AS n_messages, 1::BIGINT AS most_files FROM events")
+def micro_batch_size(spark, folder):
+    """Messages in four files, read one file a micro-batch."""
+    root = scratch_path(spark, "batches")
+    land.write_messages(_messages(table(spark, folder, "events")).repartition(4), f"{root}/messages")
+    stream = land.read_messages(spark, f"{root}/messages", max_files=1)
+    land.land_stream(stream, f"{root}/tables", f"{root}/checkpoint", feeds=EVENT_FEEDS).awaitTermination()
+    counts = land.landing_counts(spark, f"{root}/tables")
+    files = spark.read.schema(schemas.ENVELOPE).json(f"{root}/messages").select(F.input_file_name().alias("f")).distinct()
+    batches = F.count_distinct("batch").cast("bigint")
+    found = counts.agg(batches.alias("batches"), F.sum("n_messages").alias("n_messages"))
+    each = files.agg(F.count("*").alias("files"))
+    return found.crossJoin(each).select("batches", "n_messages", F.ceil(F.col("files") / F.col("batches")).alias("most_files"))
+
+
+@case("""
+    SELECT 'complete' AS input_name, count(*) AS n_rows, NULL AS missing FROM customer
+    UNION ALL SELECT 'short', NULL, 'short: missing expected columns [''c_phone'', ''nothing'']'""")
+def required_columns(spark, folder):
+    """An input with all required columns, and one without two of them, which is refused."""
+    customers = table(spark, folder, "customer")
+    report = quality.input_report(customers, "complete", ["c_custkey", "c_name"])
+    try:
+        quality.input_report(customers.select("c_custkey"), "short", ["c_custkey", "c_phone", "nothing"])
+        refused = None
+    except quality.CheckFailed as error:
+        refused = str(error)
+    lines = spark.createDataFrame([("short", None, refused)], "input_name string, n_rows long, missing string")
+    return report.select("input_name", "n_rows", F.lit(None).cast("string").alias("missing")).unionByName(lines)

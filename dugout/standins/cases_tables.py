@@ -1,15 +1,21 @@
-"""Stored tables: replaced as a whole, extended by unseen keys, refreshed where rows changed."""
+"""Stored tables: replaced as a whole, extended by unseen keys, refreshed where rows changed,
+checked from kept counts, and watched for changes of their fields."""
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators import quality
+from ..operators.drift import batch_fields, field_changes
 from ..plans import marts, staging
 from ..session import scratch_path
 from ..sources import schemas
 from ..sources.envelopes import Feed
 from ..sources.refresh import read_mart, refresh_mart
 from ..sources.tables import read_raw, read_table, replace_table
+from ..sources.tallies import kept_counts, kept_nulls, land_counted, read_tallies
 from ..streaming import land, live
 from .registry import case, table
 from .roles import PLAYS_SQL, RESULTS_SQL, TYPED_PLAYS_SQL, as_raw_plays, games
@@ -99,3 +105,60 @@ def mart_refresh(spark: SparkSession, folder: str) -> DataFrame:
     n = refresh_mart(staged.withColumn("home_score", score), root, "results", ["game_pk"], block, marts.mart_game_results)
     schema = marts.mart_game_results(staged).schema
     return read_mart(spark, root, "results", schema).withColumn("rewritten", F.lit(n).cast("bigint"))
+
+
+@case("""
+    SELECT 'volume' AS check_name, 'events' AS subject, count(*) AS amount,
+           CASE WHEN count(*) >= 50 THEN 'ok' ELSE 'FAIL' END AS status FROM events
+    UNION ALL SELECT 'nulls', 'value', count_if(value IS NULL OR value < 10)::BIGINT, NULL FROM events
+    UNION ALL SELECT 'nulls', 'user_id', count_if(user_id IS NULL)::BIGINT, NULL FROM events
+    UNION ALL SELECT 'freshness', 'ts', trunc(epoch(TIMESTAMP '2024-02-01 12:00:00' - max(ts)))::BIGINT,
+           CASE WHEN TIMESTAMP '2024-02-01 12:00:00' - max(ts) > INTERVAL 48 HOUR THEN 'error'
+                WHEN TIMESTAMP '2024-02-01 12:00:00' - max(ts) > INTERVAL 24 HOUR THEN 'warn' ELSE 'pass' END FROM events""")
+def checks_from_tallies(spark: SparkSession, folder: str) -> DataFrame:
+    """Volume, null and freshness checks of a table that landed in three batches, one of them
+    twice, from the lines that the batches left; the table is not read."""
+    root = scratch_path(spark, "tallies")
+    low = F.when(F.col("value") >= 10, F.col("value"))
+    events = table(spark, folder, "events").select("event_id", "ts", "user_id", low.alias("value"))
+    day = F.dayofmonth("ts")
+    for batch, part in (("1", day <= 10), ("2", (day > 10) & (day <= 20)), ("3", (day > 20) | day.isNull()), ("2", (day > 10) & (day <= 20))):
+        land_counted(events.filter(part), root, "events", batch, ["value", "user_id"], "ts")
+    lines = read_tallies(spark, root, "events")
+    volume = kept_counts(lines).select(
+        F.lit("volume").alias("check_name"), F.col("table_name").alias("subject"), F.col("n_rows").alias("amount"),
+        F.when(F.col("n_rows") >= 50, "ok").otherwise("FAIL").alias("status"),
+    )
+    nulls = kept_nulls(lines).select(F.lit("nulls"), "column", "n_nulls", F.lit(None).cast("string"))
+    fresh = quality.freshness(lines, "newest", datetime(2024, 2, 1, 12))
+    fresh = fresh.select(F.lit("freshness"), F.lit("ts"), F.round(F.col("age_hours") * 3600).cast("bigint"), "status")
+    return volume.union(nulls).union(fresh)
+
+
+_PERIOD_SQL = "CASE WHEN day(ts) <= 10 THEN '1' WHEN day(ts) <= 20 THEN '2' ELSE '3' END"
+
+
+@case(f"""
+    WITH m AS (SELECT {_PERIOD_SQL} AS batch, event_id, user_id FROM events),
+    fields AS (
+        SELECT batch, 'id' AS field, 'number' AS kind FROM m
+        UNION SELECT batch, 'user', CASE batch WHEN '3' THEN 'text' ELSE 'number' END FROM m
+        UNION SELECT batch, 'early', 'number' FROM m WHERE batch = '1'
+        UNION SELECT batch, 'late', 'number' FROM m WHERE batch <> '1'),
+    pairs AS (SELECT DISTINCT batch, lag(batch) OVER (ORDER BY batch) AS earlier FROM (SELECT DISTINCT batch FROM m) b),
+    b AS (SELECT p.batch, f.field, f.kind FROM pairs p JOIN fields f ON f.batch = p.earlier),
+    a AS (SELECT p.batch, f.field, f.kind FROM pairs p JOIN fields f ON f.batch = p.batch WHERE earlier IS NOT NULL)
+    SELECT batch, field, CASE WHEN b.kind IS NULL THEN 'added' WHEN a.kind IS NULL THEN 'removed' ELSE 'retyped' END AS change
+    FROM b FULL JOIN a USING (batch, field) WHERE b.kind IS DISTINCT FROM a.kind""")
+def schema_drift(spark: SparkSession, folder: str) -> DataFrame:
+    """Fields that messages of three periods gained, lost and changed the type of."""
+    day = F.dayofmonth("ts")
+    period = F.when(day <= 10, "1").when(day <= 20, "2").otherwise("3")
+    number = F.concat(F.lit('"user":'), F.coalesce("user_id", F.lit(0)))
+    fields = F.concat_ws(
+        ",", F.concat(F.lit('"id":'), "event_id"),
+        F.when(period == "3", F.regexp_replace(number, "([0-9]+)", '"$1"')).otherwise(number),
+        F.when(period == "1", F.lit('"early":1')).otherwise(F.lit('"late":2')),
+    )
+    messages = table(spark, folder, "events").select(period.alias("batch"), F.concat(F.lit("{"), fields, F.lit("}")).alias("value"))
+    return field_changes(batch_fields(messages, "batch", "value")).select("batch", "field", "change")
