@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text
 from ..operators.ranking import Board, by, leaders, nulls_last, top_n
-from ..session import settle
 
 # The two leagues by label.
 LEAGUE_BOARDS = {"AL Leader": "American League", "NL Leader": "National League"}
@@ -198,23 +197,25 @@ def plays_per_game(events: DataFrame, game: str = "game_pk") -> DataFrame:
 def leaderboard_totals(board: DataFrame) -> DataFrame:
     """One row: top candidate, matchups, best park, mean probability, rows.
 
-    The matchups are counted by an aggregate of their own: next to the others, a distinct
-    count would sort and exchange the whole board with all of their state.
+    The board is aggregated by matchup first, where tasks send a line per matchup, and these
+    lines once more: that counts the matchups on the way.
     """
-    best = F.struct(
-        (-F.col("hr_prob")).alias("p"), "batter_name", "game_pk", "pitcher", "team"
-    )
-    park = F.struct((-F.col("park_factor")).alias("f"), *best_fields())
     pick = F.struct("batter_name", "hr_prob_pct", "matchup")
-    board = settle(board, "board")
-    games = board.filter("matchup is not null").select("matchup").distinct().agg(F.count("*").alias("games"))
-    totals = board.agg(
-        F.min_by(pick, best).alias("pick"),
-        F.min_by(F.struct("venue", "park_factor"), park).alias("park"),
-        F.avg("hr_prob").alias("avg_prob"),
+    park = F.struct((-F.col("park_factor")).alias("f"), *best_fields())
+    lines = board.groupBy("matchup").agg(
+        F.min(F.struct(F.struct(*best_fields()).alias("key"), pick.alias("row"))).alias("pick"),
+        F.min(F.struct(park.alias("key"), F.struct("venue", "park_factor").alias("row"))).alias("park"),
+        F.sum("hr_prob").alias("prob"),
+        F.count("hr_prob").alias("probs"),
         F.count("*").alias("n_rows"),
     )
-    return totals.withColumn("games", games.scalar())
+    return lines.agg(
+        F.min("pick")["row"].alias("pick"),
+        F.min("park")["row"].alias("park"),
+        F.try_divide(F.sum("prob"), F.sum("probs")).alias("avg_prob"),
+        F.sum("n_rows").alias("n_rows"),
+        F.count("matchup").alias("games"),
+    )
 
 
 def best_fields() -> list[Column]:
