@@ -19,10 +19,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from xxhash import xxh64_intdigest
 
 from . import encoding
 from .common import in_worker, settle
-from .memory import Recent
+from .memory import BYTES, Recent
 
 UNDETERMINED = "und"
 #: Labelled documents per language that the model is fitted on, by the smallest key hashes.
@@ -30,8 +31,6 @@ FIT_DOCUMENTS = 1000
 #: Lengths of the n-grams, in the order in which they are tried; 0 stands for whole words.
 ORDERS = (5, 4, 3, 2, 1)
 SMOOTHING = 0.5
-#: Bytes of remembered words in a worker process.
-MEMORY_BYTES = 48_000_000
 
 _RUN = re.compile(r"[^\W\d_]+")
 #: What adds to a text's sums: a language or, behind the languages, the order that decides a word.
@@ -40,7 +39,10 @@ _PART = np.dtype([("at", "<i4"), ("weight", "<f8")])
 
 def words_of(text: str) -> list[str]:
     """Lower-cased runs of letters. Numbers that are no digits, such as fractions, are none."""
-    runs = _RUN.findall(text.lower())
+    text = text.lower()
+    if text.isalpha():
+        return [text]
+    runs = _RUN.findall(text)
     if all(map(str.isalpha, runs)):
         return runs
     return [w for r in runs for w in "".join(c if c.isalpha() else " " for c in r).split()]
@@ -54,8 +56,6 @@ def grams(word: str, n: int) -> list[str]:
 
 def entry_hash(order: int, entry: str) -> int:
     """The hash of an entry, as Spark's ``xxhash64`` gives it for the two joined."""
-    from xxhash import xxh64_intdigest
-
     return xxh64_intdigest(f"{order}{entry}", 42)
 
 
@@ -96,9 +96,11 @@ class Model:
         for place, n in enumerate(orders):
             if not len(left):
                 break
+            prefix = str(n)
             shown = [[words[i]] if n == 0 else grams(words[i], n) for i in left.tolist()]
             sizes = np.array([len(s) for s in shown])
-            hashes = np.fromiter((entry_hash(n, g) for s in shown for g in s), np.uint64, int(sizes.sum()))
+            hashes = [xxh64_intdigest(prefix + g, 42) for s in shown for g in s]  # entry_hash, of very many
+            hashes = np.array(hashes, np.uint64)
             entry = self.found(hashes)
             which = np.repeat(np.arange(len(left)), sizes)
             known = entry >= 0
@@ -128,7 +130,7 @@ class Model:
 class Scorer:
     """Judges texts by their words; what runs between white space add is remembered."""
 
-    def __init__(self, model: Model, size: int = MEMORY_BYTES):
+    def __init__(self, model: Model, size: int = BYTES):
         self.model = model
         self.known: Recent[str, bytes] = Recent(self._learnt, size)
 
