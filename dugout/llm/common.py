@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Hashable
 from typing import TypeVar
 
+import pyarrow as pa
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import settle
@@ -22,10 +26,21 @@ def in_worker(key: Hashable, make: Callable[[], Made]) -> Made:
     the same process does not find the memory taken.
     """
     if key not in _HELD:
-        _HELD.clear()
+        if _HELD:
+            _HELD.clear()
+            _give_back()
         _HELD[key] = make()
     return _HELD[key]
 
 
+def _give_back() -> None:
+    """Return freed memory to the system, which allocators keep for later else."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+    if trim is not None:
+        trim(0)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")

@@ -10,7 +10,7 @@ Key = TypeVar("Key", bound=Hashable)
 Value = TypeVar("Value")
 
 #: Bytes that one memory may take.
-BYTES = 96_000_000
+BYTES = 48_000_000
 #: Bytes of an entry besides its key and value: its share of the hash table as that grows.
 SLOT = 104
 
