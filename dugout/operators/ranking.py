@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..session import scratch_root, settle
 from .dedup import columns_as_order
 
-_N, _AHEAD = "__n", "__ahead"
+_N, _AHEAD, _RANGE, _SET = "__n", "__ahead", "__range", "__set"
+# Cuts tried per look at a column, and rows before a page that may be sorted with it.
+_CUTS, _NEAR = 63, 10_000
 
 
 def by(name: str, desc: bool = False) -> Column:
@@ -40,30 +42,30 @@ def _join_same(
     return left.join(renamed, same, how).drop(*[f"__right_{k}" for k in keys])
 
 
-def _rows_ahead(
-    tally: DataFrame, part: list[str], order: Sequence[tuple[str, bool]]
-) -> DataFrame:
-    """Per distinct order value of a partition, how many rows sort before it.
+def _ahead(tally: DataFrame, part: Sequence[str], order: Sequence[tuple[str, bool]]) -> DataFrame:
+    """Per row of a tally, how many rows of its partition sort before it.
 
-    One level per order column: rows with a better first value, plus rows with the same
-    first value and a better rest. Each window then holds the distinct values of a single
-    column, never the rows themselves.
+    The tally is dealt by ranges of partition and order, so that a partition with many values
+    lies in many tasks. A window holds the values of one partition within one range. What lies
+    in earlier ranges comes from one total per partition and range.
     """
-    (name, desc), rest = order[0], order[1:]
-    level = tally.groupBy(*part, name).agg(F.sum(_N).alias(_N))
-    before = (
-        Window.partitionBy(*part)
-        .orderBy(by(name, desc))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    level = level.select(
-        *part, name, F.coalesce(F.sum(_N).over(before), F.lit(0)).alias(_AHEAD)
+    sorting = [by(name, desc) for name, desc in order]
+    ranged = tally.repartitionByRange(*[by(c) for c in part], *sorting)
+    ranged = settle(ranged.withColumn(_RANGE, F.spark_partition_id()), "ranges")
+    inside = Window.partitionBy(_RANGE, *part).orderBy(*sorting)
+    placed = ranged.withColumn(
+        _AHEAD, F.coalesce(F.sum(_N).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     )
-    if not rest:
-        return level
-    inner = _rows_ahead(tally, [*part, name], rest).withColumnRenamed(_AHEAD, "__inner")
-    joined = _join_same(inner, level, [*part, name])
-    return joined.withColumn(_AHEAD, F.col(_AHEAD) + F.col("__inner")).drop("__inner")
+    # A border between ranges divides one partition at most, so there are fewer than two of
+    # these rows per range, whatever the table's size.
+    earlier = Window.partitionBy(*part).orderBy(_RANGE)
+    totals = ranged.groupBy(*part, _RANGE).agg(F.sum(_N).alias("__total"))
+    starts = totals.select(
+        *part, _RANGE, F.sum("__total").over(earlier.rowsBetween(Window.unboundedPreceding, -1)).alias("__start")
+    ).filter(F.col("__start").isNotNull())
+    joined = _join_same(placed, F.broadcast(starts), [*part, _RANGE], "left")
+    ahead = F.col(_AHEAD) + F.coalesce(F.col("__start"), F.lit(0))
+    return joined.withColumn(_AHEAD, ahead).drop("__start", _RANGE)
 
 
 def rank_within(
@@ -77,23 +79,27 @@ def rank_within(
     share a rank and leave a gap behind them.
 
     A plain window would sort a whole partition (a league) in one task. Here the rows are
-    first counted per distinct (partition, order) value, ranks are worked out on those
-    counts, and the rows look their rank up. The rows are written out first, since they are
-    read for the counts and for the look-up; the rank table is, so that its measured size
-    decides between a broadcast and a shuffled join. A window holds the distinct values of
-    one order column in a partition: few for wins and losses, many for a continuous metric.
+    counted per distinct (partition, order) value, for all ranks in one aggregation; ranks are
+    worked out on the counts, by ranges of values, and the rows look their rank up. So a value
+    that many rows share is one row of the count, and a partition with many values is many
+    tasks. The counts and the ranks are written, not the rows: these are read once for the
+    counts and once for the look-up, and must be the same both times.
     """
-    df = settle(df, "ranked")
     names = [name for name, _ in order]
-    parts = [column for columns in ranks.values() for column in columns]
-    keys = list(dict.fromkeys([*parts, *names]))
-    tally = settle(df.groupBy(*keys).agg(F.count("*").alias(_N)), "tally")
-    table = tally.drop(_N)
+    sets = list(dict.fromkeys(tuple(dict.fromkeys(columns)) for columns in ranks.values()))
+    keys = list(dict.fromkeys([*(column for part in sets for column in part), *names]))
+    tally = df.groupingSets([[F.col(c) for c in dict.fromkeys([*part, *names])] for part in sets], *keys).agg(
+        F.count("*").alias(_N), F.grouping_id().cast("bigint").alias(_SET)
+    )
+    spread = list(dict.fromkeys([_SET, *(column for part in sets for column in part)]))
+    table = settle(_ahead(tally, spread, order).drop(_N), "ranks")
     for new, part in ranks.items():
-        ahead = _rows_ahead(tally, list(part), order)
-        places = ahead.select(*part, *names, (F.col(_AHEAD) + 1).cast("bigint").alias(new))
-        table = _join_same(table, places, [*part, *names])
-    return _join_same(df, settle(table, "ranks"), keys, "left")
+        own = list(dict.fromkeys([*part, *names]))
+        # grouping_id() has a bit, the first key's being the highest, per key that is left out.
+        number = sum(1 << (len(keys) - 1 - i) for i, key in enumerate(keys) if key not in own)
+        places = table.filter(F.col(_SET) == number)
+        df = _join_same(df, places.select(*own, (F.col(_AHEAD) + 1).cast("bigint").alias(new)), own, "left")
+    return df
 
 
 def with_position(df: DataFrame, order: Sequence[Column], name: str = "position") -> DataFrame:
@@ -168,6 +174,77 @@ def leaders(
     )
 
 
+def _cuts(rows: DataFrame, name: str) -> list[Column]:
+    """Some different values of a column, as literals of its type; none if all are missing."""
+    kind = rows.schema[name].dataType
+    some = rows.select(F.col(name).alias("v")).filter("v IS NOT NULL").orderBy(F.rand(17)).limit(_CUTS)
+    texts = some.select(F.col("v").cast("string")).distinct().collect()  # 63 values at most
+    return [F.lit(text).cast(kind) for text, in texts]
+
+
+def seek_page(
+    df: DataFrame, order: Sequence[tuple[str, bool]], page: int, size: int, where: Sequence[Column] = ()
+) -> DataFrame:
+    """Page ``page`` (from 0) of the rows that satisfy ``where``, in ``order``.
+
+    ``order`` lists ``(column, descending)``, missing values come last in both directions; the
+    remaining columns are appended ascending, so that pages neither share nor lose rows. Columns
+    are numbers, text, dates, timestamps or booleans.
+
+    The place where the page begins is sought, nothing is numbered, sorted or written as a whole:
+    a scan counts the rows before each of 63 values taken from the column; the next one does the
+    same between the two values around the page, or on the next column if the page begins among
+    the rows of one value. As soon as less than 10,000 rows lie between a known place and the
+    page, a top-k of that many rows from there gives it. Each scan reads the order columns only,
+    and its range reaches the file reader. The table must be the same in all scans.
+    """
+    rows = reduce(lambda acc, condition: acc.filter(condition), where, df)
+    named = {name for name, _ in order}
+    total = [*order, *((c, False) for c in df.columns if c not in named)]
+    sorting = [nulls_last(name, desc) for name, desc in total]
+    skip = page * size  # rows of the part sought in that come before the page
+    same = F.lit(True)  # columns whose value is found
+    start = F.lit(True)  # rows from the known place on
+    for name, desc in total:
+        column = F.col(name)
+        low = high = None  # the page begins behind `low` and before `high`
+        while skip >= _NEAR:
+            part = rows.filter(same & column.isNotNull())
+            for bound in (low, high):
+                part = part if bound is None else part.filter(bound)
+            cuts = _cuts(part, name)
+            ahead = [column > v if desc else column < v for v in cuts]
+            upto = [column >= v if desc else column <= v for v in cuts]
+            counts = part.agg(F.count("*"), *[F.count_if(c) for c in (*ahead, *upto)]).first()
+            places = sorted(zip(counts[1 : len(cuts) + 1], counts[len(cuts) + 1 :], range(len(cuts))))
+            rest = [i for before, _, i in places if before > skip]
+            done = [(before, through, i) for before, through, i in places if before <= skip]
+            if skip >= counts[0] and low is None and high is None:  # among the missing values
+                skip -= counts[0]
+                start, same = start & (~same | column.isNull()), same & column.isNull()
+                break
+            if done and skip < done[-1][1]:  # among the rows of one value
+                before, _, i = done[-1]
+                skip -= before
+                start = start & (~same | column.isNull() | ~ahead[i])
+                same = same & column.eqNullSafe(cuts[i])
+                break
+            if done:  # behind a value
+                _, through, i = done[-1]
+                skip -= through
+                low = ~upto[i]
+                start = start & (~same | column.isNull() | low)
+            if rest:
+                high = ahead[rest[0]]
+        if skip < _NEAR:
+            return rows.filter(start).orderBy(*sorting).offset(skip).limit(size)
+    # More than 10,000 rows before the page are equal to its first one, which any of them can be.
+    equal = rows.filter(same)
+    left = max(0, equal.count() - skip)
+    behind = rows.filter(start & ~same).orderBy(*sorting).limit(max(0, size - left))
+    return equal.limit(min(left, size)).unionByName(behind)
+
+
 def table_page(
     df: DataFrame, order: Sequence[Column], page: int, size: int, where: Sequence[Column] = ()
 ) -> DataFrame:

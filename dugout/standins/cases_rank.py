@@ -1,10 +1,11 @@
-"""Orders, positions and pages."""
+"""Orders, positions, ranks, filter texts and pages."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.ranking import by, nulls_last, table_page, top_n, with_position
+from ..operators.filters import column_filters
+from ..operators.ranking import by, nulls_last, rank_within, seek_page, table_page, top_n, with_position
 from ..plans import marts
 from ..sources import tables
 from .registry import case, table
@@ -72,6 +73,70 @@ def table_page_far(spark, folder):
     return page.select("l_orderkey", "l_linenumber", "l_extendedprice")
 
 
+_LINE = "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"
+
+
+@case(f"""
+    SELECT l_extendedprice, {", ".join(_LINE)} FROM lineitem
+    ORDER BY l_extendedprice DESC NULLS LAST, {", ".join(_LINE)} LIMIT 30 OFFSET 36000""")
+def table_page_sought(spark, folder):
+    """A page far down a large table, sought by counts of a column's ranges."""
+    rows = table(spark, folder, "lineitem").select("l_extendedprice", *_LINE)
+    return seek_page(rows, [("l_extendedprice", True)], 1200, 30)
+
+
+@case(f"""
+    SELECT metric, l_shipdate, {", ".join(_LINE)}
+    FROM (SELECT *, CASE WHEN l_returnflag <> 'N' THEN l_returnflag END AS metric FROM lineitem) t
+    ORDER BY metric NULLS LAST, l_shipdate DESC NULLS LAST, {", ".join(_LINE)} LIMIT 50 OFFSET 45000""")
+def table_page_among_ties(spark, folder):
+    """A page among rows that share a missing first value and many days."""
+    metric = F.when(F.col("l_returnflag") != "N", F.col("l_returnflag"))
+    rows = table(spark, folder, "lineitem").select(metric.alias("metric"), "l_shipdate", *_LINE)
+    return seek_page(rows, [("metric", False), ("l_shipdate", True)], 900, 50)
+
+
+@case("""
+    SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders
+    WHERE o_totalprice > 150000.5 AND contains(lower(o_orderpriority), 'urgent') AND o_orderstatus <> 'P'
+      AND o_custkey <= 1200 AND o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1998-01-01'""")
+def table_filter_text(spark, folder):
+    """The filter row of a table: one text per column, of every kind."""
+    rows = table(spark, folder, "orders")
+    texts = {
+        "o_totalprice": "> 150000.5", "o_orderpriority": "icontains urgent", "o_orderstatus": "!= P",
+        "o_custkey": "lt 1200.5", "o_orderdate": "1997", "o_orderkey": " ",
+    }
+    for condition in column_filters(rows, texts):
+        rows = rows.filter(condition)
+    return rows.select("o_orderkey", "o_orderpriority", "o_totalprice")
+
+
+@case("""
+    SELECT l_orderkey, l_linenumber, l_extendedprice, l_shipdate FROM lineitem
+    WHERE l_quantity >= 3 AND contains(l_returnflag, 'N') AND l_shipdate >= TIMESTAMP '1996-06-01'
+    ORDER BY l_shipdate, l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 25 OFFSET 500""")
+def table_filtered_page(spark, folder):
+    """A page of a table that is filtered by texts and sorted by two columns."""
+    rows = table(spark, folder, "lineitem")
+    where = column_filters(rows, {"l_quantity": "ge 3", "l_returnflag": "N", "l_shipdate": ">= 1996-06-01"})
+    order = [("l_shipdate", False), ("l_extendedprice", True), *((c, False) for c in _LINE)]
+    page = seek_page(rows, order, 20, 25, where)
+    return page.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_shipdate")
+
+
+@case("""
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus, l_extendedprice, l_discount,
+           rank() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC, l_discount) AS flag_rank,
+           rank() OVER (PARTITION BY l_linestatus ORDER BY l_extendedprice DESC, l_discount) AS status_rank
+    FROM lineitem""")
+def rank_of_prices(spark, folder):
+    """Ranks over a column with nearly as many values as rows, in partitions with a third of them."""
+    rows = table(spark, folder, "lineitem").select(*_LINE, "l_returnflag", "l_linestatus", "l_extendedprice", "l_discount")
+    ranks = {"flag_rank": ["l_returnflag"], "status_rank": ["l_linestatus"]}
+    return rank_within(rows, ranks, [("l_extendedprice", True), ("l_discount", False)])
+
+
 @case(f"""
     SELECT team_id, row_number() OVER (ORDER BY league_name, division_name, division_rank, team_id) AS position
     FROM (SELECT *, rank() OVER (PARTITION BY division_name ORDER BY wins DESC, losses) AS division_rank

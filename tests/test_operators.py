@@ -7,7 +7,9 @@ from pyspark.sql import Window, functions as F
 
 from dugout.operators import monitor, quality
 from dugout.operators.dedup import columns_as_order, keep_first, keep_unseen, latest_run, latest_run_per
-from dugout.operators.ranking import Board, by, leaders, rank_within, table_page, top_n, with_position
+from dugout.operators import ranking
+from dugout.operators.filters import column_filter, column_filters
+from dugout.operators.ranking import Board, by, leaders, nulls_last, rank_within, seek_page, table_page, top_n, with_position
 from dugout.operators.reshape import latest_day_with
 
 
@@ -105,6 +107,103 @@ def test_pages_of_a_partial_order_share_and_lose_nothing(spark):
     assert sorted(pages) == list(range(60))
 
 
+@pytest.mark.parametrize("desc", [False, True])
+def test_sought_pages_are_slices_of_the_sorted_table(spark, monkeypatch, desc):
+    monkeypatch.setattr(ranking, "_NEAR", 5)
+    monkeypatch.setattr(ranking, "_CUTS", 4)
+    a = F.when(F.col("id") % 3 > 0, F.col("id") % 4)
+    b = F.when(F.col("id") % 5 > 0, F.concat(F.lit("é'"), (F.col("id") % 7).cast("string")))
+    df = spark.range(0, 600, 1, 5).select(a.alias("a"), b.alias("b"), (F.col("id") / 300).cast("int").alias("c"))
+    every = [tuple(r) for r in df.orderBy(nulls_last("a", desc), nulls_last("b"), "c").collect()]
+    for page in (0, 3, 17, 29, 38, 39, 46):
+        got = [tuple(r) for r in seek_page(df, [("a", desc)], page, 13).collect()]
+        assert sorted(got, key=every.index) == every[page * 13 : page * 13 + 13]
+
+
+@pytest.mark.parametrize("kind", ["double", "decimal(9,3)", "date", "timestamp", "timestamp_ntz", "boolean", "string"])
+def test_sought_pages_of_every_type(spark, monkeypatch, kind):
+    monkeypatch.setattr(ranking, "_NEAR", 3)
+    value = {
+        "double": F.col("id") / 7, "decimal(9,3)": F.col("id") / 7, "boolean": F.col("id") % 2 == 0, "string": F.sha1(F.col("id").cast("string")),
+    }.get(kind, F.timestamp_micros(F.col("id") * 40_000_000_001))
+    df = spark.range(90).select(value.cast(kind).alias("v"), "id").unionByName(spark.sql(f"SELECT CAST(NULL AS {kind}) v, 100L id"))
+    if kind == "double":
+        df = df.unionByName(spark.sql("SELECT double('NaN') v, 101L id UNION ALL SELECT double('-Infinity'), 102L"))
+    every = [r["id"] for r in df.orderBy(nulls_last("v", True), "id").collect()]
+    for page in (0, 5, 9, 50):
+        assert [r["id"] for r in seek_page(df, [("v", True)], page, 10).collect()] == every[page * 10 : page * 10 + 10]
+
+
+def test_pages_of_an_empty_table(spark):
+    assert seek_page(spark.range(0), [("id", False)], 4000, 10).collect() == []
+
+
+def test_a_sought_page_neither_sorts_nor_writes_the_table(spark, tmp_path):
+    spark.range(0, 40_000, 1, 4).select((F.col("id") * 7919 % 40_009).alias("v"), "id").write.parquet(str(tmp_path / "t"))
+    page = seek_page(spark.read.parquet(str(tmp_path / "t")), [("v", False)], 3000, 10)
+    text = plan(page)
+    assert "TakeOrderedAndProject" in text and "Exchange" not in text and "Scan ExistingRDD" not in text
+    assert "GreaterThanOrEqual(v," in text or "GreaterThan(v," in text
+
+
+def test_ranks_of_many_values_lie_in_many_tasks(spark, monkeypatch):
+    found = []
+    real = ranking.settle
+    monkeypatch.setattr(ranking, "settle", lambda df, label: found.append((label, real(df, label))) or found[-1][1])
+    df = spark.range(0, 1_000_000, 1, 8).select("id", F.when(F.col("id") % 20 > 0, "big").otherwise(F.col("id").cast("string")).alias("p"), (F.col("id") * 7919 % 1_000_003).alias("v"))
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+    try:
+        ranked = rank_within(df, {"r": ["p"]}, [("v", True)])
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    ranges = dict(found)["ranges"]
+    sizes = [r["count"] for r in ranges.filter("p = 'big'").groupBy("__range").count().collect()]
+    assert len(sizes) >= 4 and max(sizes) < 400_000
+    expected = df.withColumn("r", F.rank().over(Window.partitionBy("p").orderBy(by("v", desc=True))).cast("bigint"))
+    difference = ranked.join(expected, ["id", "p", "v", "r"], "anti").count()
+    assert difference == 0 and ranked.count() == 1_000_000
+
+
+@pytest.mark.parametrize(
+    "column, text, expected",
+    [
+        ("n", "> 2.5", [3, 4]), ("n", "<2.5", [1, 2]), ("n", "= 2.5", []), ("n", "ne 2.5", [1, 2, 3, 4, None]), ("n", "2", [2]),
+        ("n", "!= 2", [1, 3, 4, None]), ("n", "< 1e30", [1, 2, 3, 4]), ("n", "> 1e30", []), ("n", ">= -1e30", [1, 2, 3, 4]), ("n", "<= -1e30", []),
+        ("n", "contains 3", [3]), ("d", ">= 1.005", [2, 3, 4]), ("d", "= 1.01", [2]), ("d", "< 99999999", [1, 2, 3, 4]), ("x", "> 1.5", [3, 4]),
+        ("s", "lph", [1]), ("s", "contains a", [1, 2, 3]), ("s", "icontains A", [1, 2, 3, 4]), ("s", "= beta", [2]), ("s", "i= BETA", [2]),
+        ("s", 's= "BETA"', []), ("s", "equal", []), ("s", "> alpha", [2, 3]), ("s", "= ", []),
+        ("t", "2024-02", [2, 3]), ("t", "datestartswith 2024", [1, 2, 3]), ("t", "> 2024-02-29 10:00", [3, 4]), ("t", "datestartswith 2024-02-29 10", [2]),
+        ("y", "= 2024-02-29", [2, 3]), ("y", "< 2024-02-29 05:00", [1, 2, 3]), ("y", "2024-01", [1]), ("b", "true", [1, 3]), ("b", "!= true", [2, 4, None]),
+        ("t", "9999", []),
+    ],
+)
+def test_filter_texts(values, column, text, expected):
+    moments = ["2024-01-31 23:59:59", "2024-02-29 10:00:00", "2024-02-29 11:30:00", "2025-01-01 00:00:00", None]
+    raw = [(1, 1.0, "alpha"), (2, 1.01, "beta"), (3, 2.0, "gamma"), (4, 3.5, "A"), (None, None, None)]
+    df = values("n bigint, x double, s string, t string", *[(n, x, s, t) for (n, x, s), t in zip(raw, moments)])
+    df = df.select("n", "x", "s", F.col("x").cast("decimal(6,2)").alias("d"), F.col("t").cast("timestamp_ntz").alias("t"),
+                   F.col("t").cast("timestamp").cast("date").alias("y"), (F.col("n") % 2 == 1).alias("b"))
+    got = [r["n"] for r in df.filter(column_filter(df, column, text)).collect()]
+    assert sorted(got, key=lambda v: (v is None, v)) == expected
+
+
+@pytest.mark.parametrize("column, text", [("n", "> abc"), ("n", "= NaN"), ("n", "datestartswith 2"), ("t", "> soon"), ("t", "2024-13"), ("b", "> true")])
+def test_filter_texts_that_do_not_fit(spark, column, text):
+    df = spark.sql("SELECT 1L n, TIMESTAMP '2024-01-01' t, true b")
+    with pytest.raises(ValueError):
+        column_filter(df, column, text)
+
+
+def test_blank_filters_and_the_scan(spark, tmp_path):
+    spark.range(10).select(F.col("id").cast("int").alias("a.b"), "id").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    assert column_filters(df, {"a.b": None, "id": "  "}) == []
+    for condition in column_filters(df, {"a.b": "> 3.5", "id": "<= 8"}):
+        df = df.filter(condition)
+    assert "GreaterThan(`a.b`,3)" in plan(df) and "LessThanOrEqual(id,8)" in plan(df) and df.count() == 5
+
+
 def test_leaders(values):
     df = values(
         "n string, role string, era double, k int",
