@@ -52,10 +52,13 @@ class Words(dict[bytes, int]):
         from xxhash import xxh64_intdigest
 
         super().__init__({b"": _NONE, b"\n": _BREAK})
+        # What is behind a phrase, and a break, are spelled by nothing.
+        self.spelled = [b"", b""]
         self.hash, self.hashes, self.size = xxh64_intdigest, [0, 0], 0
 
     def __missing__(self, word: bytes) -> int:
         number = self[word] = len(self)
+        self.spelled.append(word)
         self.hashes.append(self.hash(word))
         self.size += len(word)
         return number
@@ -169,15 +172,24 @@ class Counter:
         self.totals: dict[str, int] = {}
 
     def _ids(self, data: bytes) -> Iterator[np.ndarray]:
-        """Numbers of the words of ``data``, segment by segment, breaks among them."""
+        """Numbers of the words of ``data``, segment by segment, breaks among them.
+
+        Arrow finds the different words of a segment, so that each is looked up once.
+        """
         at, size = 0, len(data)
         while at < size:
             end = at + SEGMENT_BYTES
             if end < size:
                 stops = [x for x in (data.find(b" ", end), data.find(b"\n", end)) if x >= 0]
                 end = min(stops, default=size)
-            words = data[at:end].replace(b"\n", b" \n ").split(b" ")
-            ids = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+            segment = data[at:end].replace(b"\n", b" \n ") + b" "
+            ends = np.flatnonzero(np.frombuffer(segment, np.uint8) == 0x20) + 1
+            offsets = np.concatenate([[0], ends]).astype(np.int32)
+            words = pa.Array.from_buffers(
+                pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(segment)]
+            ).dictionary_encode()
+            known = np.array([self.words[word[:-1]] for word in words.dictionary.to_pylist()], np.int64)
+            ids = known[words.indices.to_numpy()]
             yield ids[ids != _NONE]
             at = end
 
@@ -235,17 +247,21 @@ class Counter:
         """A run of subtrees in the order of their words. What is behind a first word alone is empty."""
         if not len(codes):
             return
-        names = list(self.words)
-        names[_NONE], names[_BREAK] = b"", b""
-        spelled = pa.array(names, pa.binary())
-        order = np.empty(len(names), np.int64)
-        order[pc.sort_indices(spelled).to_numpy()] = np.arange(len(names))
         ids = [codes >> _ID_BITS * i & _ID for i in reversed(range(self.longest))]
-        place = order[ids[0]]
+        held = np.zeros(len(self.words), bool)
+        for i in ids:
+            held[i] = True
+        held = np.flatnonzero(held)
+        spelled = pa.array([self.words.spelled[i] for i in held.tolist()], pa.binary())
+        by_bytes = pc.sort_indices(spelled)
+        order = np.zeros(len(self.words), np.int64)
+        order[held[by_bytes.to_numpy()]] = np.arange(len(held))
+        spelled = spelled.take(by_bytes).cast(pa.string())
+        ids = [order[i] for i in ids]
+        place = ids[0]
         for i in ids[1:]:
-            place = place << _ID_BITS | order[i]
+            place = place << _ID_BITS | i
         place = np.argsort(place)
-        spelled = spelled.cast(pa.string())
         parts = [spelled.take(pa.array(i[place])) for i in ids]
         prefix = parts[0] if len(parts) == 2 else pc.binary_join_element_wise(*parts[:2], " ")
         yield _rows(lang, prefix, parts[-1], counts[place])
