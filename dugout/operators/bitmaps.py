@@ -1,8 +1,9 @@
-"""Exact membership of numbered keys from one bitmap per group.
+"""Exact membership of numbered keys from short bitmaps per group.
 
 A key is a group (a game) and a whole number in it (a play). The numbers that are known of a
-group lie in bitmaps of 32,768 numbers, four kilobytes at most and only as long as the greatest
-number asks for, so an increment reads a few bytes for a group where it would read all its rows.
+group lie in bitmaps of 64 numbers, eight bytes at most and only as long as the greatest number
+asks for, so an increment reads a few bytes for a group where it would read all its rows. They
+are whole numbers while they are aggregated, so a group never takes more memory than that.
 """
 
 from __future__ import annotations
@@ -15,8 +16,14 @@ BUCKET, BITS = "bucket", "bits"
 _AT = "__at"
 
 
-def _place(number: str | Column) -> tuple[Column, Column]:
-    return F.bitmap_bucket_number(number), F.bitmap_bit_position(number)
+def _place(number: Column) -> tuple[Column, Column]:
+    """Bucket of a number, 1 being that of 0, and its bit there."""
+    return F.shiftright(number, 6) + 1, number.bitwiseAND(F.lit(63)).cast("int")
+
+
+def _packed(bits: Column) -> Column:
+    """The bytes of a bitmap, the highest first, without empty ones before them."""
+    return F.unhex(F.hex(bits))
 
 
 def seen_bitmaps(rows: DataFrame, group: str, number: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -28,29 +35,29 @@ def seen_bitmaps(rows: DataFrame, group: str, number: str, keep: Sequence[str] =
     bucket, at = _place(F.col(number).cast("long"))
     placed = rows.filter(F.col(group).isNotNull() & F.col(number).isNotNull())
     placed = placed.select(group, *keep, bucket.alias(BUCKET), at.alias(_AT))
-    made = placed.groupBy(group, *keep, BUCKET).agg(
-        F.bitmap_construct_agg(_AT).alias(BITS), F.max(_AT).alias(_AT)
-    )
-    size = F.floor(F.col(_AT) / 8 + 1).cast("int")
-    return made.select(group, *keep, BUCKET, F.substring(BITS, F.lit(1), size).alias(BITS))
+    mark = F.call_function("shiftleft", F.lit(1).cast("long"), F.col(_AT))
+    made = placed.groupBy(group, *keep, BUCKET).agg(F.bit_or(mark).alias(BITS))
+    return made.withColumn(BITS, _packed(F.col(BITS)))
 
 
 def merge_bitmaps(bitmaps: DataFrame, group: str, keep: Sequence[str] = ()) -> DataFrame:
     """One bitmap per group and bucket from those of many batches."""
-    return bitmaps.groupBy(group, *keep, BUCKET).agg(F.bitmap_or_agg(BITS).alias(BITS))
+    whole = F.conv(F.hex(BITS), 16, -10).cast("long")  # the highest bit is the sign
+    made = bitmaps.groupBy(group, *keep, BUCKET).agg(F.bit_or(whole).alias(BITS))
+    return made.withColumn(BITS, _packed(F.col(BITS)))
 
 
 def keep_unmarked(new: DataFrame, bitmaps: DataFrame, group: str, number: str) -> DataFrame:
     """Rows of ``new`` whose group and number no bitmap has; rows without either go.
 
     ``bitmaps`` has one row per group and bucket, so the join keeps the number of rows, and
-    a group with many new rows is split by the adaptive skew join.
+    a group with many new rows is split by the adaptive skew join. They grow with what is
+    stored and are small in files only, so they are never broadcast.
     """
     bucket, at = _place(F.col(number).cast("long"))
     fine = new.filter(F.col(group).isNotNull() & F.col(number).isNotNull())
     placed = fine.withColumns({BUCKET: bucket, _AT: at})
-    met = placed.join(bitmaps.select(group, BUCKET, BITS), [group, BUCKET], "left")
-    byte = F.substring(BITS, (F.floor(F.col(_AT) / 8) + 1).cast("int"), F.lit(1))
-    held = F.coalesce(F.conv(F.hex(byte), 16, 10).cast("int"), F.lit(0))  # nothing behind the end
-    bit = F.call_function("shiftright", held, F.pmod(F.col(_AT), F.lit(8)).cast("int")).bitwiseAND(F.lit(1))
+    met = placed.join(bitmaps.select(group, BUCKET, BITS).hint("merge"), [group, BUCKET], "left")
+    held = F.coalesce(F.conv(F.hex(BITS), 16, -10).cast("long"), F.lit(0))
+    bit = F.call_function("shiftright", held, F.col(_AT)).bitwiseAND(F.lit(1))
     return met.filter(bit == 0).select(*new.columns)

@@ -2,7 +2,7 @@
 
 import os
 
-from conftest import listed
+from conftest import listed, plan
 from pyspark.sql import functions as F
 
 from dugout.operators.bitmaps import keep_unmarked, merge_bitmaps, seen_bitmaps
@@ -83,3 +83,13 @@ def test_bitmaps_are_exact(spark, values):
     new = values("g long, n int", *asked, (None, 1), (1, None), (5, 0))
     held = {*known, *more}
     assert listed(keep_unmarked(new, bits, "g", "n")) == sorted([(*x,) for x in [*asked, (5, 0)] if x not in held], key=lambda r: tuple((v is not None, str(v)) for v in r))
+
+
+def test_bitmaps_take_eight_bytes_and_are_not_broadcast(spark, values):
+    numbers = [0, 5, 63, 64, 127, 32767, 2**53 + 1, -1]
+    bits = merge_bitmaps(seen_bitmaps(values("g long, n long", *[(1, n) for n in numbers]), "g", "n"), "g")
+    assert max(len(r.bits) for r in bits.collect()) <= 8
+    asked = {*numbers, *(n + 1 for n in numbers)}
+    unmarked = keep_unmarked(values("g long, n long", *[(1, n) for n in sorted(asked)]), bits, "g", "n")
+    assert listed(unmarked, "n") == sorted([(n,) for n in asked - set(numbers)], key=str)
+    assert "Broadcast" not in plan(unmarked)
