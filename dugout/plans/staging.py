@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.lookups import OTHER_STATUS_PRIORITY, STATUS_PRIORITY, priority
 from ..functions.parse import composite_key, guarded_decimal, wall_time, whole
-from ..operators.bitmaps import keep_unmarked
 from ..operators.dedup import columns_as_order, keep_first, keep_unseen
 from ..operators.ranking import by
 
@@ -136,14 +135,11 @@ def stg_game_events(
     return keep_unseen(single, existing, "event_id", prune_by)
 
 
-def unseen_plays(raw: DataFrame, seen: DataFrame) -> DataFrame:
-    """One row per play that no bitmap in ``seen`` has (one per game and bucket of numbers),
-    with its ``game_block``. The stored plays themselves are not read."""
-    events = typed_events(raw).filter(F.col("event_id").isNotNull())
-    single = keep_first(events, ["event_id"], event_order(events)).withColumn("game_block", game_block())
-    return keep_unmarked(single, seen, "game_pk", "at_bat_index")
+def single_plays(raw: DataFrame) -> DataFrame:
+    """One row per play of a batch, with its ``game_block``."""
+    return stg_game_events(raw).withColumn("game_block", game_block())
 
 
 def game_block(size: int = 1000) -> Column:
-    """Partition value of stored plays: neighbouring game ids, so neighbouring days."""
+    """What stored plays are sorted by: neighbouring game ids, so neighbouring days."""
     return F.floor(F.col("game_pk") / size).cast("bigint")

@@ -10,10 +10,10 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import BinaryType, DoubleType, LongType, StructField, StructType, TimestampType
 
-from ..operators.bitmaps import merge_bitmaps, seen_bitmaps
+from ..operators.bitmaps import keep_unmarked, merge_bitmaps, seen_bitmaps
 from ..operators.dedup import columns_as_order, keep_first, keep_unseen
 from ..operators.monitor import message_rate
-from ..plans.staging import game_block, typed_events, unseen_plays
+from ..plans.staging import single_plays
 from ..session import settle
 from ..sources.schemas import INT, TEXT, record
 from ..sources.tables import append_table, open_table
@@ -53,8 +53,8 @@ def append_unseen(
     )
 
 
-PLAY_LEVELS = ("batch", "game_block")
-SEEN_SCHEMA = record(game_pk=INT, bucket=INT, bits=BinaryType(), batch=TEXT, game_block=INT)
+PLAY_LEVELS = ("batch",)
+SEEN_SCHEMA = record(game_pk=INT, game_block=INT, bucket=INT, bits=BinaryType(), batch=TEXT)
 
 
 def seen_table(table: str) -> str:
@@ -65,20 +65,27 @@ def seen_table(table: str) -> str:
 def add_plays(raw: DataFrame, root: str, batch: str, table: str = "stg_game_events") -> None:
     """Add the plays of a batch that the table does not hold yet.
 
-    What it holds is looked up in the bitmaps of the batches before, of the blocks of games
-    that occur in this one. Plays and then bitmaps are written to folders of the batch's own,
-    which a replay overwrites; it leaves out its own bitmaps and finds the same plays.
+    The copies within the batch go first, and what remains is written, so the raw plays are read
+    once. What the table holds is looked up in the bitmaps of the batches before, of the blocks
+    of games that occur in this one. Plays and then bitmaps are written to folders of the batch's
+    own, which a replay overwrites; it leaves out its own bitmaps and finds the same plays. Files
+    are sorted by block: their statistics tell where one lies, and there are as many as the rows
+    fill, however many blocks a batch has.
     """
     spark = raw.sparkSession
     stored = open_table(spark, root, seen_table(table), SEEN_SCHEMA, PLAY_LEVELS)
-    arrived = settle(raw, "plays")
-    blocks = typed_events(arrived).select(game_block().alias("game_block")).distinct()
-    others = stored.filter(F.col("batch") != batch).join(blocks, "game_block", "left_semi")
-    fresh = settle(unseen_plays(arrived, merge_bitmaps(others, "game_pk")), "fresh")
-    parts = {table: fresh, seen_table(table): seen_bitmaps(fresh, "game_pk", "at_bat_index", ["game_block"])}
-    for name, rows in parts.items():
-        path = f"{live_path(spark, root, name)}/batch={batch}"
-        rows.hint("rebalance", "game_block").write.mode("overwrite").partitionBy("game_block").parquet(path)
+    arrived = settle(single_plays(raw), "plays")
+    least, most = arrived.agg(F.min("game_block"), F.max("game_block")).first()  # one row
+    others = stored.filter((F.col("batch") != batch) & F.col("game_block").between(F.lit(least), F.lit(most)))
+    fresh = arrived
+    if not others.isEmpty():
+        known = others.join(arrived.select("game_block").distinct(), "game_block", "left_semi")
+        fresh = keep_unmarked(arrived, merge_bitmaps(known, "game_pk"), "game_pk", "at_bat_index")
+    path, seen = (f"{live_path(spark, root, name)}/batch={batch}" for name in (table, seen_table(table)))
+    fresh.sortWithinPartitions("game_block").write.mode("overwrite").parquet(path)
+    written = spark.read.schema(fresh.schema).parquet(path)
+    bitmaps = seen_bitmaps(written, "game_pk", "at_bat_index", ["game_block"])
+    bitmaps.repartitionByRange("game_block").sortWithinPartitions("game_block").write.mode("overwrite").parquet(seen)
 
 
 def stage_plays(raw: DataFrame, root: str, checkpoint: str, table: str = "stg_game_events") -> StreamingQuery:

@@ -9,6 +9,7 @@ from dugout.operators.bitmaps import keep_unmarked, merge_bitmaps, seen_bitmaps
 from dugout.plans import marts
 from dugout.sources.refresh import read_mart, refresh_mart
 from dugout.standins.roles import games, standings
+from dugout.streaming import live
 
 SF = "/root/testdata/sf0.001"
 
@@ -93,3 +94,17 @@ def test_bitmaps_take_eight_bytes_and_are_not_broadcast(spark, values):
     unmarked = keep_unmarked(values("g long, n long", *[(1, n) for n in sorted(asked)]), bits, "g", "n")
     assert listed(unmarked, "n") == sorted([(n,) for n in asked - set(numbers)], key=str)
     assert "Broadcast" not in plan(unmarked)
+
+
+def test_plays_of_many_blocks_lie_in_few_files(spark, tmp_path):
+    flags = [F.lit(True).alias("is_complete"), F.lit(False).alias("is_scoring")]
+    texts = [F.lit(None).cast("string").alias(c) for c in ("half_inning", "start_time", "end_time", "event_type", "description", "batter_name", "pitcher_name")]
+    empty = [F.lit(None).cast("double").alias(c) for c in ("inning", "rbi", "home_score", "away_score", "batter_id", "pitcher_id")]
+    raw = spark.range(0, 200, 1, 4).select((F.col("id") * 1000).alias("game_pk"), F.lit(3).alias("at_bat_index"), *flags, *texts, *empty)
+    root = str(tmp_path)
+    for batch, rows in (("1", raw.filter("game_pk < 150000")), ("2", raw), ("2", raw)):
+        live.add_plays(rows, root, batch)
+    counts = spark.read.parquet(f"{root}/stg_game_events").groupBy("batch").count()
+    assert listed(counts.select(F.col("batch").cast("string"), "count")) == [("1", 150), ("2", 50)]
+    for table in ("stg_game_events", live.seen_table("stg_game_events")):
+        assert len(list((tmp_path / table).rglob("*.parquet"))) < 50
