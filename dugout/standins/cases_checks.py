@@ -213,9 +213,15 @@ def backlog_by_partition(spark, folder):
     return _group_lag(spark, folder)
 
 
-@case(f'{_LAG_SQL} SELECT "group", sum(behind)::BIGINT AS behind FROM lag GROUP BY ALL')
+@case(f'{_LAG_SQL} SELECT "group", topic, sum(behind)::BIGINT AS behind FROM lag GROUP BY ALL')
 def backlog_by_group(spark, folder):
-    """Messages behind by consumer group."""
+    """Messages behind by consumer group and topic."""
+    return monitor.lag_by_group_topic(_group_lag(spark, folder))
+
+
+@case(f'{_LAG_SQL} SELECT "group", sum(behind)::BIGINT AS behind FROM lag GROUP BY ALL')
+def backlog_group_total(spark, folder):
+    """Messages behind by consumer group, over all its topics."""
     return monitor.lag_by_group(_group_lag(spark, folder))
 
 

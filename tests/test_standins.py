@@ -58,3 +58,11 @@ def test_filters_reach_the_scan(spark):
     text = plan(CASES["param_scan"](spark, FOLDER))
     assert "GreaterThanOrEqual(o_totalprice,250000.0)" in text
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double>" in text
+
+
+def test_backlog_by_group_keeps_the_topics(spark):
+    lag = CASES["backlog_by_group"](spark, FOLDER)
+    assert lag.columns == ["group", "topic", "behind"]
+    totals = {row["group"]: row["sum(behind)"] for row in lag.groupBy("group").sum("behind").collect()}
+    assert totals == {row["group"]: row["behind"] for row in CASES["backlog_group_total"](spark, FOLDER).collect()}
+    assert lag.count() > len(totals)
