@@ -66,3 +66,8 @@ def test_backlog_by_group_keeps_the_topics(spark):
     totals = {row["group"]: row["sum(behind)"] for row in lag.groupBy("group").sum("behind").collect()}
     assert totals == {row["group"]: row["behind"] for row in CASES["backlog_group_total"](spark, FOLDER).collect()}
     assert lag.count() > len(totals)
+
+
+def test_play_documents_make_common_parts_once(spark):
+    text = plan(CASES["flatten_plays"](spark, FOLDER))
+    assert text.count("date_format(") == 2 and text.count("from_json(") == 1
