@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import scratch_root, settle
 from .dedup import columns_as_order
@@ -42,20 +46,54 @@ def _join_same(
     return left.join(renamed, same, how).drop(*[f"__right_{k}" for k in keys])
 
 
+def _count_ahead(part: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Over the sorted rows of one task: the sum of counts before each row, of its partition."""
+
+    def coded(batch: pa.RecordBatch) -> np.ndarray:
+        # A number per row, the same for the same values; missing and not-a-number are values.
+        codes = np.zeros(batch.num_rows, dtype=np.int64)
+        for name in part:
+            own = pc.dictionary_encode(batch.column(name), null_encoding="encode").indices.to_numpy()
+            _, codes = np.unique(codes * (int(own.max()) + 1) + own, return_inverse=True)
+        return codes
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: dict[tuple, int] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            codes = coded(batch)
+            counts = batch.column(_N).to_numpy()
+            grouped = np.argsort(codes, kind="stable")
+            firsts = np.flatnonzero(np.r_[True, np.diff(codes[grouped]) > 0])
+            sizes = np.diff(np.r_[firsts, len(grouped)])
+            before = np.cumsum(counts[grouped]) - counts[grouped]
+            ends = np.r_[before[firsts[1:]], before[-1] + counts[grouped[-1]]]
+            heads = batch.take(pa.array(grouped[firsts]))
+            # Values as they are printed: those that are not a number are the same, too.
+            keys = list(zip(*[[repr(v) for v in heads.column(name).to_pylist()] for name in part]))
+            held = np.array([totals.get(key, 0) for key in keys], dtype=np.int64)
+            totals.update(zip(keys, (held + ends - before[firsts]).tolist()))
+            ahead = np.empty(len(grouped), dtype=np.int64)
+            ahead[grouped] = before + np.repeat(held - before[firsts], sizes)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ahead)], [*batch.schema.names, _AHEAD])
+
+    return run
+
+
 def _ahead(tally: DataFrame, part: Sequence[str], order: Sequence[tuple[str, bool]]) -> DataFrame:
     """Per row of a tally, how many rows of its partition sort before it.
 
     The tally is dealt by ranges of partition and order, so that a partition with many values
-    lies in many tasks. A window holds the values of one partition within one range. What lies
-    in earlier ranges comes from one total per partition and range.
+    lies in many tasks. A task sorts its range by order alone, which has more values than the
+    partitions that meet there, and adds the counts of each partition up; what lies in earlier
+    ranges comes from one total per partition and range.
     """
     sorting = [by(name, desc) for name, desc in order]
-    ranged = tally.repartitionByRange(*[by(c) for c in part], *sorting)
-    ranged = settle(ranged.withColumn(_RANGE, F.spark_partition_id()), "ranges")
-    inside = Window.partitionBy(_RANGE, *part).orderBy(*sorting)
-    placed = ranged.withColumn(
-        _AHEAD, F.coalesce(F.sum(_N).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    )
+    ranged = tally.repartitionByRange(*[by(c) for c in part], *sorting).sortWithinPartitions(*sorting)
+    ranged = ranged.withColumn(_RANGE, F.spark_partition_id())
+    counted = StructType([*ranged.schema.fields, StructField(_AHEAD, LongType())])
+    ranged = settle(ranged.mapInArrow(_count_ahead(part), counted), "ranges")
     # A border between ranges divides one partition at most, so there are fewer than two of
     # these rows per range, whatever the table's size.
     earlier = Window.partitionBy(*part).orderBy(_RANGE)
@@ -63,7 +101,7 @@ def _ahead(tally: DataFrame, part: Sequence[str], order: Sequence[tuple[str, boo
     starts = totals.select(
         *part, _RANGE, F.sum("__total").over(earlier.rowsBetween(Window.unboundedPreceding, -1)).alias("__start")
     ).filter(F.col("__start").isNotNull())
-    joined = _join_same(placed, F.broadcast(starts), [*part, _RANGE], "left")
+    joined = _join_same(ranged, F.broadcast(starts), [*part, _RANGE], "left")
     ahead = F.col(_AHEAD) + F.coalesce(F.col("__start"), F.lit(0))
     return joined.withColumn(_AHEAD, ahead).drop("__start", _RANGE)
 
@@ -94,7 +132,7 @@ def rank_within(
     spread = list(dict.fromkeys([_SET, *(column for part in sets for column in part)]))
     table = settle(_ahead(tally, spread, order).drop(_N), "ranks")
     for new, part in ranks.items():
-        own = list(dict.fromkeys([*part, *names]))
+        own = list(dict.fromkeys([*names, *part]))  # the join sorts by the column with most values first
         # grouping_id() has a bit, the first key's being the highest, per key that is left out.
         number = sum(1 << (len(keys) - 1 - i) for i, key in enumerate(keys) if key not in own)
         places = table.filter(F.col(_SET) == number)

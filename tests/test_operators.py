@@ -294,3 +294,19 @@ def test_scratch_is_cleared(spark):
     clear_scratch(spark)
     assert not home.exists() and other.exists()
     assert settle(spark.range(2)).count() == 2
+
+
+def test_rank_counts_along_sorted_ranges(spark, monkeypatch):
+    found = []
+    real = ranking.settle
+    monkeypatch.setattr(ranking, "settle", lambda df, label: found.append((label, plan(df), real(df, label))) or found[-1][2])
+    # Partitions that are missing, not a number, shared by many rows or by one, over several Arrow batches.
+    part = F.when(F.col("id") % 5 == 0, None).when(F.col("id") % 7 == 0, float("nan")).when(F.col("id") % 3 == 0, 1.5).otherwise((F.col("id") % 9000).cast("double"))
+    df = spark.range(0, 60_000, 1, 8).select("id", part.alias("p"), (F.col("id") * 7919 % 60_013).alias("v"))
+    ranked = rank_within(df, {"r": ["p"], "all": []}, [("v", True)])
+    expected = df.select("id", F.rank().over(Window.partitionBy("p").orderBy(by("v", desc=True))).cast("bigint").alias("r"))
+    expected = expected.join(df.select("id", F.rank().over(Window.orderBy(by("v", desc=True))).cast("bigint").alias("all")), "id")
+    assert ranked.count() == 60_000
+    assert ranked.select("id", "r", "all").exceptAll(expected.select("id", "r", "all")).count() == 0
+    settled = {label: text for label, text, _ in found}
+    assert "rangepartitioning" in settled["ranges"] and "MapInArrow" in settled["ranges"]
