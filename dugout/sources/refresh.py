@@ -19,6 +19,7 @@ from .schemas import INT, TEXT, record
 from .tables import open_table, replace_table
 from .versions import live_path, remove_folders
 
+_LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 _DIGESTS = record(key=TEXT, part=TEXT, digest=DecimalType(30, 0), times=INT)
 
 
@@ -66,7 +67,9 @@ def refresh_mart(
         made = build(rows.drop("part"))
         fresh = settle(made.withColumn("part", level), "fresh")
         path = live_path(spark, root, name)
-        fresh.hint("rebalance", "part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part").parquet(path)
+        writer = fresh.hint("rebalance", "part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        # Tasks move their files to the staging folder themselves; partitions are still replaced at the end.
+        writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("part").parquet(path)
         # Partitions that have no rows any more; as a rule none.
         left = parts.join(fresh.select("part").distinct(), "part", "left_anti")
         remove_folders(spark, [f"{path}/part={_escaped(spark, row['part'])}" for row in left.toLocalIterator()])
@@ -82,4 +85,10 @@ def _escaped(spark, value: str) -> str:
 def read_mart(spark, root: str, name: str, schema: StructType) -> DataFrame:
     """The rows of a refreshed mart without their partition."""
     whole = StructType([*schema.fields, record(part=TEXT).fields[0]])
-    return open_table(spark, root, name, whole, ["part"]).drop("part")
+    # A task lists many folders: one for each of them takes the scheduler longer than the listing.
+    before = spark.conf.get(_LISTING)
+    spark.conf.set(_LISTING, str(max(1, spark.sparkContext.defaultParallelism) * 4))
+    try:
+        return open_table(spark, root, name, whole, ["part"]).drop("part")
+    finally:
+        spark.conf.set(_LISTING, before)

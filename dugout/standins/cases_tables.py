@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import quality
 from ..operators.drift import batch_fields, field_changes
 from ..plans import marts, staging
-from ..session import scratch_path
+from ..session import scratch_path, settle
 from ..sources import schemas
 from ..sources.envelopes import Feed
 from ..sources.refresh import read_mart, refresh_mart
@@ -98,7 +98,8 @@ def plays_by_bitmap(spark: SparkSession, folder: str) -> DataFrame:
 def mart_refresh(spark: SparkSession, folder: str) -> DataFrame:
     """The game results after one game's score was changed, and how many of the mart's
     partitions were rewritten for it."""
-    root, staged, block = scratch_path(spark, "refresh"), games(spark, folder), F.floor(F.col("game_pk") / 1000)
+    root, block = scratch_path(spark, "refresh"), F.floor(F.col("game_pk") / 1000)
+    staged = settle(games(spark, folder), "staged")  # a stored table, read several times
     refresh_mart(staged, root, "results", ["game_pk"], block, marts.mart_game_results)
     changed = marts.mart_game_results(staged).agg(F.min("game_pk")).first()[0]
     score = F.when(F.col("game_pk") == changed, F.col("away_score") + 7).otherwise(F.col("home_score"))

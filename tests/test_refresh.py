@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from dugout.operators.bitmaps import keep_unmarked, merge_bitmaps, seen_bitmaps
 from dugout.plans import marts
+from dugout.session import settle
+from dugout.sources import refresh
 from dugout.sources.refresh import read_mart, refresh_mart
+from dugout.standins import cases_tables
 from dugout.standins.roles import games, standings
 from dugout.streaming import live
 
@@ -108,3 +111,19 @@ def test_plays_of_many_blocks_lie_in_few_files(spark, tmp_path):
     assert listed(counts.select(F.col("batch").cast("string"), "count")) == [("1", 150), ("2", 50)]
     for table in ("stg_game_events", live.seen_table("stg_game_events")):
         assert len(list((tmp_path / table).rglob("*.parquet"))) < 50
+
+
+def test_refreshed_mart_is_listed_by_few_tasks(spark, tmp_path, monkeypatch):
+    root, staged = str(tmp_path), games(spark, SF)
+    refresh_mart(staged, root, "results", ["game_pk"], F.floor(F.col("game_pk") / 100), marts.mart_game_results)
+    seen, real, before = [], refresh.open_table, spark.conf.get(refresh._LISTING)
+    monkeypatch.setattr(refresh, "open_table", lambda *args: seen.append(spark.conf.get(refresh._LISTING)) or real(*args))
+    assert listed(read_mart(spark, root, "results", marts.mart_game_results(staged).schema)) == listed(marts.mart_game_results(staged))
+    assert [int(n) <= 4 * spark.sparkContext.defaultParallelism for n in seen] == [True]
+    assert spark.conf.get(refresh._LISTING) == before
+
+
+def test_games_are_built_once_for_both_refreshes(spark, monkeypatch):
+    built = []
+    monkeypatch.setattr(cases_tables, "settle", lambda df, label: built.append(label) or settle(df, label))
+    assert "Join" not in plan(cases_tables.mart_refresh(spark, SF)) and built == ["staged"]
