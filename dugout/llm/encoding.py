@@ -2,7 +2,8 @@
 
 A text is cut where no token of the vocabulary file can cross, and the result of every
 chunk is remembered, since most chunks of a corpus are frequent words. The library itself
-encodes every chunk, so results equal those of encoding the whole text.
+encodes every chunk, so results equal those of encoding the whole text. For vocabularies of
+words, the plain chunks of a group of texts are merged together instead, each once.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import re
 from collections.abc import Callable, Iterator
 from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
@@ -81,16 +83,21 @@ def by_bytes(texts: list[str], size: int = BATCH_BYTES) -> Iterator[list[str]]:
         yield batch
 
 
-def groups(texts: pa.Array, size: int = SEGMENT_CHARS) -> Iterator[list[str | None]]:
-    """The texts of an Arrow batch, in groups of about ``size`` bytes; a longer text is alone."""
+def slices(texts: pa.Array, size: int = SEGMENT_CHARS) -> Iterator[pa.Array]:
+    """An Arrow batch's texts in slices of about ``size`` bytes; a longer text is alone."""
     start, held = 0, 0
     for at, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
         if at > start and held + n > size:
-            yield texts.slice(start, at - start).to_pylist()
+            yield texts.slice(start, at - start)
             start, held = at, 0
         held += n
     if start < len(texts):
-        yield texts.slice(start).to_pylist()
+        yield texts.slice(start)
+
+
+def groups(texts: pa.Array, size: int = SEGMENT_CHARS) -> Iterator[list[str | None]]:
+    """The texts of an Arrow batch, in groups of about ``size`` bytes; a longer text is alone."""
+    return (some.to_pylist() for some in slices(texts, size))
 
 
 class ChunkEncoder:
@@ -135,8 +142,13 @@ def _cut(values: list, ends: list[int], joined: Callable[[list], object]) -> lis
     return [joined(values[a:b]) for a, b in pairwise([0, *ends])]
 
 
-#: A Latin word and a full stop or comma, which word vocabularies split before they merge.
-_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
+#: Chunks of Latin letters, digits and marks that are no part of a special token or an ending,
+#: and the parts that word vocabularies cut them into.
+_PLAIN = r"^[A-Za-zÀ-ÖØ-öø-ÿ0-9!-&(-/:;=-@\[-`{-~]+$"
+_PART = r"([a-zß-öø-ÿ]+|[0-9]|[!-&(-/:;=-@\[-`{-~]+)"
+#: Bytes of the longest chunks that are merged with others.
+PLAIN_BYTES = 256
+_END = "</w>"
 #: Characters that stand for bytes: printable ones for themselves, the others from 256 on.
 _PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _HIDDEN = [b for b in range(256) if b not in _PRINTABLE]
@@ -146,33 +158,68 @@ byte_of = {c: b for b, c in _BYTES.items()}.get
 
 
 class WordEncoder(ChunkEncoder):
-    """For vocabularies that lower-case and split words from punctuation before merging.
+    """For vocabularies that lower-case, cut words from marks, and know a word's end.
 
-    The merges of plain words are asked for directly, without the library's steps before
-    them, which leave such words as they are but for the case. A word serves all its
-    spellings, so values of joined ids must be sums of values.
+    The merges of plain chunks are made by ``tiktoken`` for all of them at once, with the same
+    vocabulary and a blank for the end of a word: the end is joined to the last byte first.
+    Other chunks are left to the file's own library.
     """
 
+    def __init__(self, path: str, value: Callable[[list[int]], object], size: int = BYTES):
+        super().__init__(path, value, size)
+        from tiktoken import Encoding
+
+        added = self.tokenizer.get_added_tokens_decoder()
+        ranks = {_word_bytes(name): i for name, i in self.tokenizer.get_vocab().items() if i not in added}
+        self.quick = Encoding("words", pat_str="[^ ]+ ", mergeable_ranks=ranks, special_tokens={})
+        self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.last[[i for token, i in ranks.items() if len(token) > 1 and token.endswith(b" ")]] = True
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and where each text's begin and the last end.
+
+        For values that are a chunk's ids as 32-bit numbers. Every different chunk of the texts
+        is encoded once; Arrow puts the ids in the places of all its occurrences.
+        """
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = split.flatten().dictionary_encode()
+        plain = _is_plain(coded.dictionary)
+        ids, ends = self._merged(coded.dictionary.filter(plain))
+        values = self.known.values_of(coded.dictionary.filter(pc.invert(plain)).to_pylist())
+        ends = np.append(ends, len(ids) + np.cumsum([len(v) // 4 for v in values], dtype=np.int64))
+        ids = np.append(ids, np.frombuffer(b"".join(values), np.uint32))
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        place = np.empty(len(is_plain), np.int32)
+        place[np.append(np.flatnonzero(is_plain), np.flatnonzero(~is_plain))] = np.arange(len(place))
+        different = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids)
+        placed = different.take(pa.array(place[coded.indices.to_numpy()]))
+        behind = placed.offsets.to_numpy()[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        return placed.flatten().to_numpy(), behind
+
     def _learnt(self, unseen: list[str]) -> dict[str, object]:
-        found: dict[str, object] = {}
-        other = []
-        words: dict[str, object] = {}  # a word without its mark and case
-        for chunk in unseen:
-            plain = _WORD.fullmatch(chunk)
-            if plain is None or len(chunk) > 64:
-                other.append(chunk)
-                continue
-            word, mark = plain[1].lower(), plain[2]
-            value = words.get(word)
-            if value is None:
-                value = self.known.get(word) if word != chunk else None
-                words[word] = value = self._merged(word) if value is None else value
-            found[chunk] = value + self._merged(mark) if mark else value
-        return found | super()._learnt(other)
-
-    def _merged(self, word: str) -> object:
-        as_bytes = "".join(map(_BYTES.__getitem__, word.encode()))
-        return self.value([t.id for t in self.tokenizer.model.tokenize(as_bytes)])
+        chunks = pa.array(unseen, pa.string())
+        plain = _is_plain(chunks)
+        ids, ends = self._merged(chunks.filter(plain))
+        ids = ids.tolist()
+        found = {c: self.value(ids[i:k]) for c, (i, k) in zip(chunks.filter(plain).to_pylist(), pairwise(ends.tolist()))}
+        return found | super()._learnt(chunks.filter(pc.invert(plain)).to_pylist())
+
+    def _merged(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain chunks one after another, and where each chunk's begin and the last end."""
+        ended = pc.replace_substring_regex(pc.utf8_lower(chunks), _PART, r"\1 ")
+        ids = self.quick.encode_to_numpy("".join(ended.to_numpy(zero_copy_only=False)), disallowed_special=())
+        stops = np.append(0, np.flatnonzero(self.last[ids]) + 1)
+        return ids, stops[np.cumsum(np.append(0, pc.count_substring(ended, " ").to_numpy()))]
+
+
+def _is_plain(chunks: pa.Array) -> pa.BooleanArray:
+    return pc.and_(pc.match_substring_regex(chunks, _PLAIN), pc.less_equal(pc.binary_length(chunks), PLAIN_BYTES))
+
+
+def _word_bytes(name: str) -> bytes:
+    """An entry's bytes, with a blank for the end of a word."""
+    word = name.removesuffix(_END)
+    return bytes(map(byte_of, word)) + b" " * (word != name)
 
 
 def encoder(

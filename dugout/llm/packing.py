@@ -11,6 +11,7 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import pairwise
 
 import pandas as pd
 import pyarrow as pa
@@ -22,6 +23,8 @@ from .common import settle
 
 #: Pieces that are packed together; the memory of a packing task follows from it.
 GROUP_PIECES = 2048
+#: Bytes of texts that are encoded together.
+GROUP_BYTES = 1 << 22
 
 
 def _padding(total: int, window: int) -> int:
@@ -96,9 +99,19 @@ def _little(ids: list[int]) -> bytes:
     return packed.tobytes()
 
 
-def document_ids(texts: list[str | None], path: str) -> list[bytes]:
-    """The ids of whole texts, as little-endian unsigned 32-bit numbers."""
-    return encoding.encoder(path, "ids", _little, encoding.WordEncoder).texts(texts, encoding.plain_chunks, b"".join)
+def document_ids(texts: list[str | None] | pa.Array, path: str) -> list[bytes]:
+    """The ids of whole texts, as little-endian unsigned 32-bit numbers.
+
+    The texts are worked on together; a long one is best alone, and is cut into segments.
+    """
+    coder = encoding.encoder(path, "ids", _little, encoding.WordEncoder)
+    texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+    if len(texts) == 1 and texts[0].is_valid and len(text := texts[0].as_py()) > encoding.SEGMENT_CHARS:
+        parts = (pa.array([part], pa.string()) for part in encoding.segments(text))
+        return [b"".join(coder.ids(part)[0].tobytes() for part in parts)]
+    ids, ends = coder.ids(texts)
+    whole = ids.tobytes()
+    return [whole[4 * i : 4 * k] for i, k in pairwise(ends.tolist())]
 
 
 def pieces(docs: DataFrame, path: str, window: int, end: int, key: str, text: str) -> DataFrame:
@@ -110,7 +123,7 @@ def pieces(docs: DataFrame, path: str, window: int, end: int, key: str, text: st
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple[int, int, int, int, int]] = []
-            every = (ids for some in encoding.groups(batch.column(1)) for ids in document_ids(some, path))
+            every = (ids for some in encoding.slices(batch.column(1), GROUP_BYTES) for ids in document_ids(some, path))
             for i, ids in enumerate(every):
                 ids += closing
                 rows += [(i, *piece, len(ids) // 4) for piece in cut(ids, window)]

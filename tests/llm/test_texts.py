@@ -1,12 +1,15 @@
 """Operators on texts against plain Python, with missing, empty, long and repeated rows."""
 
+import json
 import math
 import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from itertools import pairwise
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import listed
 from hypothesis import given, settings, strategies as st
@@ -108,6 +111,43 @@ def test_encoders_with_little_memory(monkeypatch):
             assert kind(path, value, size).texts(texts, chunks, joined) == [value(w.ids) for w in whole]
 
 
+def test_word_merges_are_the_librarys():
+    """Every entry comes from merging its own text, in the order of the ids."""
+    coder = encoding.WordEncoder(WORDS, packing._little)
+    added = coder.tokenizer.get_added_tokens_decoder()
+    ended = 0
+    for name, number in coder.tokenizer.get_vocab().items():
+        if name.endswith("</w>"):
+            ended += 1
+            assert [t.id for t in coder.tokenizer.model.tokenize(name.removesuffix("</w>"))] == [number]
+        assert number in added or len(name.removesuffix("</w>")) > 1 or number < 512
+        assert number in added or coder.quick.decode_single_token_bytes(number) == encoding._word_bytes(name)
+    assert ended > 20_000
+    model = json.loads(coder.tokenizer.to_str())["model"]
+    assert [model["vocab"][a + b] for a, b in model["merges"]] == list(range(512, 512 + len(model["merges"])))
+
+
+def test_different_words_of_a_group_are_merged_once_and_together(monkeypatch):
+    rng = random.Random(8)
+    letters = "abcdefgxyzABCÀÖØÞßàöøÿµªº×÷²½éÉœĀ0189'<>!._-|&$~`^"
+    chunks = ["".join(rng.choices(letters, k=rng.randint(1, 9))) for _ in range(3000)]
+    chunks += ["it's", "x" * 256, "y" * 300, "<|endoftext|>", "a<|startoftext|>b", "(202)", "ab\x0bcd\x0cef", "İΣ", "e\u0301"]
+    texts = [rng.choice(["", " ", "\n"]).join(["", *rng.choices(chunks, k=200)]) for _ in range(50)]
+    texts += [" ".join(rng.choices(chunks, k=300)) for _ in range(50)] + ["", " \n", None, *chunks]
+    coder = encoding.WordEncoder(WORDS, packing._little)
+    asked = []
+    merge = coder.quick.encode_to_numpy
+    monkeypatch.setattr(coder.quick, "encode_to_numpy", lambda text, **more: asked.append(text) or merge(text, **more))
+    for part in (pa.array(texts), pa.array(["x", *texts, "y"]).slice(1, len(texts))):
+        ids, ends = coder.ids(part)
+        whole = coder.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
+        assert [ids[i:k].tolist() for i, k in pairwise(ends.tolist())] == [w.ids for w in whole]
+    assert len(asked) <= 4  # for the plain ones of a group, and of other chunks that are new
+    repeated = " word other" * 50_000
+    asked.clear()
+    assert len(coder.ids(pa.array([repeated]))[0]) == 100_000 and asked == ["word other "]
+
+
 def test_fullest_windows_use_every_piece_once():
     rng = random.Random(2)
     for pieces in (1, 7, 400):
