@@ -1,9 +1,13 @@
 """Alignment of two tokenizers' tokens over the same texts.
 
-Both vocabularies encode the whole text. Where tokens of both that carry a leading space start
-at the same byte, both have ended before it: these verified ends split the text into windows of
-token ids, mostly of a word each. What a window's tokens have in common depends on its ids
-alone, so it is worked out once and remembered by the two tuples of ids.
+Where tokens of both vocabularies that carry a leading space start at the same byte, both have
+ended before it: these verified ends split the text into windows of token ids, mostly of a word
+each. What a window's tokens have in common depends on its ids alone.
+
+Texts with single blanks between their words can be cut before each blank, since no token of
+either kind reaches over it: a word with its blank is a window. The different words of a block
+of texts are encoded and aligned once. Other texts are encoded as a whole, and their windows are
+remembered by their ids.
 
 Corpus-wide counts of linked ids are gathered by blocks of texts: a block has each linked pair
 once, and its texts refer to the pair's place. So the join with the counts has a row per pair
@@ -20,6 +24,7 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructField, StructType
@@ -29,10 +34,14 @@ from .common import in_worker, settle
 from .encoding import byte_of, groups
 from .memory import Recent
 
-#: Characters of the texts of one block; a longer text is a block of its own.
+#: Bytes of the texts of one block; a longer text is a block of its own.
 BLOCK_CHARS = 1 << 22
-#: Characters of texts that are aligned together; a longer text is alone.
+#: Bytes of texts whose windows are sought together; a longer text is alone.
 GROUP_CHARS = 1 << 18
+#: Characters of words that are encoded together.
+ENCODED_CHARS = 1 << 16
+#: Links of words that are put in their places together, and the most that one word may have.
+PLACED_LINKS, WORD_LINKS = 1 << 21, 128
 #: Windows with more ids of either kind are not remembered.
 LONG_WINDOW = 32
 #: Bytes of remembered windows in a worker process.
@@ -43,10 +52,15 @@ _BETWEEN = 0xFFFFFFFF
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 #: Characters whose class can differ between the libraries' versions of Unicode.
 _OTHER = re.compile("[^\x00-\u024f]")
+#: What keeps a text from being cut before each blank: tokens could reach over the cut.
+_ODD = re.compile(r"\A | \Z| \s|[^\x00-\u024f]")
 
 #: What a window's ids have in common: its groups as text, with a mark behind the last one too,
 #: and its links one after another, the first id times 2^32 plus the second, as bytes.
 Window = tuple[str, bytes]
+#: What is found of a text: how many ids of either kind it has, its groups as text, its
+#: different linked pairs, and how often each is linked.
+Found = tuple[int, int, str, np.ndarray, np.ndarray]
 
 
 class Pair:
@@ -68,6 +82,9 @@ class Pair:
         self.spaced = [np.array([t[:1] == b" " for t in x]) for x in self.bytes]
         self.shown = [f"{i}{mark}" for i in range(max(map(len, self.bytes))) for mark in ",|;"]
         self.windows: Recent[bytes, Window] = Recent(self._aligned, WINDOW_BYTES, _weight)
+        # No piece reaches from another character to a blank, so words' pieces are the text's.
+        self.cuttable = not any(_MARK in name.lstrip(_MARK) for name in shown)
+        self.marked = pa.array(self.shown)
         # The same vocabulary in the library that is quicker; added names are no tokens of it.
         added = self.first.get_added_tokens_decoder()
         ranks = {_level_bytes(n): i for i, n in enumerate(names) if i not in added}
@@ -96,15 +113,31 @@ class Pair:
         shared = np.intersect1d(*ends, assume_unique=True)
         return np.searchsorted(ends[0], shared) + 1, np.searchsorted(ends[1], shared) + 1
 
-    def _texts(self, a: np.ndarray, b: np.ndarray, to_a: np.ndarray, to_b: np.ndarray) -> list[str]:
-        """Decimal ids group by group, each with the mark behind it."""
+    def _marked(self, a: np.ndarray, b: np.ndarray, to_a: np.ndarray, to_b: np.ndarray) -> np.ndarray:
+        """Group by group, which of the decimal ids with the mark behind it."""
         marked = np.zeros(len(a) + len(b), np.int64)
         for ids, ends, others, mark in ((a, to_a, np.append(0, to_b[:-1]), 1), (b, to_b, to_a, 2)):
             sizes = np.diff(ends, prepend=0)
             codes = ids.astype(np.int64) * 3
             codes[ends - 1] += mark
             marked[np.arange(len(ids)) + np.repeat(others, sizes)] = codes
-        return list(map(self.shown.__getitem__, marked.tolist()))
+        return marked
+
+    def _texts(self, a: np.ndarray, b: np.ndarray, to_a: np.ndarray, to_b: np.ndarray) -> list[str]:
+        """Decimal ids group by group, each with the mark behind it."""
+        return list(map(self.shown.__getitem__, self._marked(a, b, to_a, to_b).tolist()))
+
+    @staticmethod
+    def _links(a: np.ndarray, b: np.ndarray, to_a: np.ndarray, to_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The links of all groups, and how many lie before the end of each group."""
+        sizes = np.diff(to_a, prepend=0), np.diff(to_b, prepend=0)
+        many = sizes[0] * sizes[1]
+        to_links = np.cumsum(many)
+        group = np.repeat(np.arange(len(many)), many)
+        inside = np.arange(len(group)) - (to_links - many)[group]
+        left = a[(to_a - sizes[0])[group] + inside // sizes[1][group]].astype(np.int64)
+        right = b[(to_b - sizes[1])[group] + inside % sizes[1][group]]
+        return left << 32 | right, to_links
 
     def _aligned(self, windows: list[bytes]) -> dict[bytes, Window]:
         """Groups and links of each window, worked out for all of them at once."""
@@ -116,14 +149,8 @@ class Pair:
         sides = np.repeat(np.tile([0, 2, 1], len(windows)), np.stack([first, np.ones_like(first), second], 1).ravel())
         a, b = ids[sides == 0], ids[sides == 1]
         to_a, to_b = self._groups(a, b)
-        sizes = np.diff(to_a, prepend=0), np.diff(to_b, prepend=0)
-        many = sizes[0] * sizes[1]
-        to_links = np.cumsum(many)
-        group = np.repeat(np.arange(len(many)), many)
-        inside = np.arange(len(group)) - (to_links - many)[group]
-        left = a[(to_a - sizes[0])[group] + inside // sizes[1][group]].astype(np.int64)
-        right = b[(to_b - sizes[1])[group] + inside % sizes[1][group]]
-        links = (left << 32 | right).tobytes()
+        linked, to_links = self._links(a, b, to_a, to_b)
+        links = linked.tobytes()
         shown = self._texts(a, b, to_a, to_b)
         texts = [0, *np.cumsum(first + second).tolist()]
         places = [0, *(8 * to_links[np.searchsorted(to_a, np.cumsum(first))]).tolist()]
@@ -146,8 +173,8 @@ class Pair:
                     links[x << 32 | y] += n * times
         return "".join(self._texts(a, b, to_a, to_b)), links
 
-    def _windows(self, a: np.ndarray, b: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        """The windows of texts that follow each other, their places in ``a``, and their sizes.
+    def _starts(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """Where the windows of texts that follow each other begin in ``a`` and ``b``, and their sizes.
 
         They begin where tokens of both kinds that carry a blank start at the same byte.
         """
@@ -158,10 +185,14 @@ class Pair:
         marked = [starts[i][self.spaced[i][ids[i]]] for i in (0, 1)]
         shared = np.intersect1d(*marked, assume_unique=True)
         first, second = (np.searchsorted(starts[i], shared) for i in (0, 1))
-        sizes = [np.diff(x, append=len(y)) for x, y in ((first, a), (second, b))]
+        return first, second, [np.diff(x, append=len(y)) for x, y in ((first, a), (second, b))]
+
+    def _windows(self, a: np.ndarray, b: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """The windows of texts that follow each other, their places in ``a``, and their sizes."""
+        first, second, sizes = self._starts(a, b)
         # Window by window: ids of A, a word between, ids of B.
-        number = np.arange(len(shared))
-        laid = np.full(len(a) + len(b) + len(shared), _BETWEEN, np.uint32)
+        number = np.arange(len(first))
+        laid = np.full(len(a) + len(b) + len(first), _BETWEEN, np.uint32)
         laid[np.arange(len(a)) + np.repeat(second + number, sizes[0])] = a
         laid[np.arange(len(b)) + np.repeat(first + sizes[0] + number + 1, sizes[1])] = b
         data = laid.tobytes()
@@ -205,6 +236,99 @@ class Pair:
         ]
 
 
+    def by_words(self, texts: list[str]) -> list[Found | None]:
+        """What is found of texts that can be cut before each blank; None for the others.
+
+        Every different word of the texts is encoded and aligned once, with the blank before it:
+        it is a window. Arrow puts what is found in the places of all its occurrences.
+        """
+        found: list[Found | None] = [None] * len(texts)
+        fit = [i for i, t in enumerate(texts) if _ODD.search(t) is None] if self.cuttable else []
+        if not fit:
+            return found
+        split = pc.split_pattern(pa.array([texts[i] for i in fit], pa.string()), " ")
+        coded = split.flatten().dictionary_encode()
+        encoded = [self.encode(" ".join(words)) for words in _portions(coded.dictionary)]
+        if not all(len(a) for a, _ in encoded):
+            return found
+        a, b = (np.concatenate([x[i] for x in encoded]) for i in (0, 1))
+        _, _, sizes = self._starts(a, b)
+        if len(sizes[0]) != len(coded.dictionary):
+            return found
+        # Long words, and those with many links, are left out, and so are the texts that have them.
+        long = np.maximum(*sizes) > LONG_WINDOW
+        for last in (False, True):
+            own = [np.where(long, 0, n) for n in sizes]
+            ids = [x[np.repeat(~long, n)] for x, n in zip((a, b), sizes)]
+            if not len(ids[0]):
+                return found
+            to_ids = self._groups(*ids)
+            before = np.append(0, np.cumsum(np.prod([np.diff(t, prepend=0) for t in to_ids], axis=0)))
+            n_links = np.diff(before[np.searchsorted(to_ids[0], np.cumsum(own[0]), "right")], prepend=0)
+            more = n_links > WORD_LINKS
+            if last or not more.any():
+                break
+            long |= more
+        at = split.offsets.to_numpy()
+        index = coded.indices.to_numpy()
+        crossed = np.diff(np.append(0, np.cumsum(long[index]))[at]).tolist()
+        counts = [np.diff(np.append(0, np.cumsum(n[index]))[at]).tolist() for n in own]
+        shown = self.marked.take(pa.array(self._marked(*ids, *to_ids)))
+        shown = _joined(shown, np.append(0, np.cumsum(own[0] + own[1]))).take(coded.indices)
+        shown = _joined(shown, at).to_pylist()
+        linked = _placed(self._links(*ids, *to_ids)[0], n_links, index, at)
+        for i, cross, n_a, n_b, groups, (pairs, times) in zip(fit, crossed, *counts, shown, linked):
+            found[i] = None if cross else (n_a, n_b, groups[:-1], pairs, times)
+        return found
+
+
+def _placed(
+    links: np.ndarray, n_links: np.ndarray, index: np.ndarray, at: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The different pairs of each text and how often it has them.
+
+    ``links`` are those of the different words, ``n_links`` of each; ``index`` has the words of
+    the texts, ``at`` where each text's begin and the last end.
+    """
+    different, place = np.unique(links, return_inverse=True)
+    words = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n_links)), pa.int32()), pa.array(place, pa.int32()))
+    before = np.append(0, np.cumsum(n_links[index]))[at]
+    start = 0
+    while start < len(at) - 1:
+        stop = max(start + 1, int(np.searchsorted(before, before[start] + PLACED_LINKS, "right")) - 1)
+        own = index[at[start] : at[stop]]
+        if stop == start + 1:  # maybe a long text: its words are counted before they are linked
+            weights = np.repeat(np.bincount(own, minlength=len(n_links)), n_links)
+            times = np.bincount(place, weights, len(different)).astype(np.int64)
+            placed = np.flatnonzero(times)
+            yield different[placed], times[placed]
+        else:
+            owner = np.repeat(np.arange(stop - start), np.diff(before[start : stop + 1]))
+            keys = np.sort(owner * len(different) + words.take(pa.array(own)).flatten().to_numpy())
+            firsts = np.flatnonzero(np.diff(keys, prepend=-1))
+            times = np.diff(firsts, append=len(keys))
+            owner, placed = np.divmod(keys[firsts], len(different))
+            cuts = np.searchsorted(owner, np.arange(stop - start + 1)).tolist()
+            pairs = different[placed]
+            yield from ((pairs[i:k], times[i:k]) for i, k in pairwise(cuts))
+        start = stop
+
+
+def _portions(words: pa.Array) -> Iterator[list[str]]:
+    """Words that are encoded together."""
+    number = np.cumsum(pc.add(pc.binary_length(words), 1).to_numpy()) // ENCODED_CHARS
+    cuts = np.flatnonzero(np.diff(number, prepend=-1)).tolist()
+    every = words.to_numpy(zero_copy_only=False)
+    return (every[i:k].tolist() for i, k in pairwise([*cuts, len(every)]))
+
+
+def _joined(texts: pa.Array, ends: np.ndarray) -> pa.Array:
+    """Neighbouring texts as one: ``ends`` says how many lie before each, and the last end."""
+    _, offsets, data = texts.buffers()
+    places = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    return pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(np.ascontiguousarray(places[ends])), data)
+
+
 def _weight(new: dict[bytes, Window]) -> int:
     """Bytes of remembered windows: a tuple, two byte strings and a string each."""
     return 174 * len(new) + sum(sum(map(len, x)) for x in (new, *zip(*new.values())))
@@ -229,26 +353,28 @@ _ALIGNED = (
 
 
 class _Block:
-    """The texts that are aligned since the last block was handed on."""
-
-    def __init__(self) -> None:
-        self.facts, self.groups, self.pairs, self.times, self.chars = [], [], [], [], 0
-
-    def add(self, texts: list[str | None], both: Pair) -> None:
-        none = np.zeros(0, np.uint32)
-        encoded = [both.encode(t) if t else (none, none) for t in texts]
-        some = [e for e in encoded if len(e[0])]
-        aligned = iter(both.align(some) if some else ())
-        for a, b in encoded:
-            groups, pairs, times = next(aligned) if len(a) else ("", np.zeros(0, np.int64), np.zeros(0, np.int64))
-            self.facts.append((len(a), len(b), groups.count("|"), int(times.sum())))
-            self.groups.append(groups)
-            self.pairs.append(pairs)
-            self.times.append(times)
-        self.chars += sum(len(t) for t in texts if t)
+    """The texts of a block, aligned."""
+
+    def __init__(self, texts: list[str | None], both: Pair) -> None:
+        none = np.zeros(0, np.int64)
+        some = [i for i, t in enumerate(texts) if t]
+        found: list[Found | None] = [(0, 0, "", none, none)] * len(texts)
+        for i, own in zip(some, both.by_words([texts[i] for i in some])):
+            found[i] = own
+        rest = [i for i, own in enumerate(found) if own is None]
+        for group in groups(pa.array([texts[i] for i in rest], pa.string()), GROUP_CHARS):
+            places, rest = rest[: len(group)], rest[len(group) :]
+            encoded = [both.encode(t) for t in group]
+            fine = [e for e in encoded if len(e[0])]
+            aligned = iter(both.align(fine) if fine else ())
+            for i, (a, b) in zip(places, encoded):
+                found[i] = len(a), len(b), *(next(aligned) if len(a) else ("", none, none))
+        n_a, n_b, self.groups, self.pairs, self.times = zip(*found)
+        n_groups, n_links = [g.count("|") for g in self.groups], [int(t.sum()) for t in self.times]
+        self.facts = n_a, n_b, n_groups, n_links
 
     def columns(self, number: int) -> list[pa.Array]:
-        rows = len(self.facts)
+        rows = len(self.groups)
         different, place, docs = np.unique(np.concatenate(self.pairs), return_inverse=True, return_counts=True)
         behind = np.cumsum([0, *map(len, self.pairs)])
         links = pa.StructArray.from_arrays(
@@ -265,7 +391,7 @@ class _Block:
         # The block's pairs stand in its first row.
         at = pa.array([0] + [len(different)] * rows, pa.int32())
         pairs = pa.ListArray.from_arrays(at, pairs, mask=pa.array([False] + [True] * (rows - 1)))
-        facts = [pa.array(f, pa.int64()) for f in zip(*self.facts)]
+        facts = [pa.array(f, pa.int64()) for f in self.facts]
         return [
             *facts, pa.array(self.groups, pa.string()), pa.array([number] * rows, pa.int64()),
             pa.ListArray.from_arrays(pa.array(behind, pa.int32()), links), pairs,
@@ -286,8 +412,8 @@ def align(
 
     Names of special tokens inside texts are ordinary text. A NULL or empty text, or one whose
     tokens don't stand for its bytes, has no tokens, no groups and no links. Repeated rows and
-    rows without a key are aligned like others. A text of any length is encoded as a whole; it
-    is held in memory with its ids. An empty table gives an empty result. Other columns are not
+    rows without a key are aligned like others. A text of any length is held in memory with its
+    ids. An empty table gives an empty result. Other columns are not
     read.
     """
 
@@ -295,14 +421,11 @@ def align(
         both = in_worker(("alignment", byte_level, pieces), lambda: Pair(byte_level, pieces))
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
-            block, at = _Block(), 0
-            for texts in groups(batch.column(1), GROUP_CHARS):
-                block.add(texts, both)
-                row = at + len(block.facts)
-                if block.chars >= BLOCK_CHARS or row == batch.num_rows:
-                    columns = [batch.column(0).slice(at, row - at), *block.columns(number)]
-                    yield pa.RecordBatch.from_arrays(columns, schema.names)
-                    block, at, number = _Block(), row, number + 1
+            at = 0
+            for texts in groups(batch.column(1), BLOCK_CHARS):
+                columns = [batch.column(0).slice(at, len(texts)), *_Block(texts, both).columns(number)]
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
+                at, number = at + len(texts), number + 1
 
     schema = StructType([StructField("key", docs.schema[key].dataType), *StructType.fromDDL(_ALIGNED).fields])
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))

@@ -170,6 +170,50 @@ def test_windows_give_the_groups_of_the_whole_text(both, monkeypatch, longest):
             assert {(p >> 32, p & 0xFFFFFFFF): n for p, n in zip(pairs.tolist(), times.tolist())} == links
 
 
+@pytest.mark.parametrize("longest, links, placed, encoded", [(32, 128, 1 << 21, 1 << 16), (6, 128, 50, 40), (32, 4, 300, 1)])
+def test_words_give_the_groups_of_whole_texts(both, monkeypatch, longest, links, placed, encoded):
+    """Texts cut before each blank, and others that tokens could reach over."""
+    for name, value in (("LONG_WINDOW", longest), ("WORD_LINKS", links), ("PLACED_LINKS", placed), ("ENCODED_CHARS", encoded)):
+        monkeypatch.setattr(alignment, name, value)
+    rng = random.Random(9)
+    parts = [*[p for p in PARTS if p not in (" ", "  ", "the ", "word ")], "\xa0", "the", "word", "-" * 40, "zqx" * 30, "\r\n", "<0x20>", "º¹½", "Word.\n\n"]
+    words = ["".join(rng.choices(parts, k=rng.randint(1, 4))) for _ in range(400)]
+    rows = [" ".join(rng.choices(words, k=rng.randint(1, 30))) for _ in range(400)]
+    latin = [w for w in words if max(w) < "\u0250" and not w[0].isspace()]
+    rows += [" ".join(rng.choices(latin, k=rng.randint(1, 30))) for _ in range(400)]
+    rows += [" a", "a ", "a  b", "a \nb", "a\n b", "a\t  b", "a \x85b", "a\xa0 b", " ", "\n", "x" * 3000 + " a", "a", "\x1c a \x1c"]
+    found = both.by_words(rows)
+    assert sum(f is not None for f in found) > (100 if longest == 32 and links == 128 else 10)
+    assert all(f is None for f, t in zip(found, rows) if alignment._ODD.search(t))
+    for f, t in zip(found, rows):
+        if f is not None:
+            a, b = by_library(both, t)
+            groups, linked = by_hand(both, a, b)
+            assert f[:3] == (len(a), len(b), groups), repr(t)
+            assert {(p >> 32, p & 0xFFFFFFFF): n for p, n in zip(f[3].tolist(), f[4].tolist())} == linked
+    block = alignment._Block([None, *rows, ""], both)
+    want = [both.encode(t) for t in rows]
+    assert [list(f) for f in block.facts[:2]] == [[0, *(len(w[i]) for w in want), 0] for i in (0, 1)]
+    assert list(block.groups) == ["", *(by_hand(both, a.tolist(), b.tolist())[0] for a, b in want), ""]
+
+
+def test_different_words_of_a_block_are_encoded_once(both, monkeypatch):
+    rng = random.Random(10)
+    rows = [" ".join(rng.choices(["the", "words", "of", "été"], k=500)) for _ in range(40)]
+    asked = []
+    encode = both.encode
+    monkeypatch.setattr(both, "encode", lambda text: asked.append(text) or encode(text))
+    alignment._Block(rows, both)
+    assert len(asked) == 1 and sorted(asked[0].split()) == ["of", "the", "words", "été"]
+
+
+def test_vocabularies_that_reach_over_blanks_are_not_cut(both, monkeypatch):
+    assert both.cuttable
+    monkeypatch.setattr(both, "cuttable", False)
+    assert both.by_words(["a b", "c"]) == [None, None]
+    assert alignment._Block(["a b", "c"], both).groups == tuple(by_hand(both, *by_library(both, t))[0] for t in ("a b", "c"))
+
+
 @pytest.mark.parametrize("chars", [1 << 22, 60])
 def test_alignment_query_against_brute_force(spark, both, monkeypatch, tmp_path, chars):
     monkeypatch.setattr(alignment, "BLOCK_CHARS", chars)
