@@ -41,7 +41,7 @@ GROUP_CHARS = 1 << 18
 #: Characters of words that are encoded together.
 ENCODED_CHARS = 1 << 16
 #: Links of words that are put in their places together, and the most that one word may have.
-PLACED_LINKS, WORD_LINKS = 1 << 21, 128
+PLACED_LINKS, WORD_LINKS = 1 << 18, 128
 #: Windows with more ids of either kind are not remembered.
 LONG_WINDOW = 32
 #: Bytes of remembered windows in a worker process.
