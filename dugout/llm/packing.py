@@ -24,7 +24,7 @@ from .common import settle
 #: Pieces that are packed together; the memory of a packing task follows from it.
 GROUP_PIECES = 2048
 #: Bytes of texts that are encoded together.
-GROUP_BYTES = 1 << 22
+GROUP_BYTES = 1 << 20
 
 
 def _padding(total: int, window: int) -> int:
