@@ -30,15 +30,15 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructField, StructType
 
 from .byte_bpe import PATTERN
-from .common import in_worker, settle
+from .common import give_back, in_worker, settle
 from .encoding import byte_of, groups
 from .memory import Recent
 
 #: Bytes of the texts of one block; a longer text is a block of its own.
-BLOCK_CHARS = 1 << 22
+BLOCK_CHARS = 1 << 21
 #: Bytes of texts whose windows are sought together; a longer text is alone.
 GROUP_CHARS = 1 << 18
-#: Characters of words that are encoded together.
+#: Characters of words that are encoded and aligned together.
 ENCODED_CHARS = 1 << 16
 #: Links of words that are put in their places together, and the most that one word may have.
 PLACED_LINKS, WORD_LINKS = 1 << 18, 128
@@ -116,7 +116,7 @@ class Pair:
     def _marked(self, a: np.ndarray, b: np.ndarray, to_a: np.ndarray, to_b: np.ndarray) -> np.ndarray:
         """Group by group, which of the decimal ids with the mark behind it."""
         marked = np.zeros(len(a) + len(b), np.int64)
-        for ids, ends, others, mark in ((a, to_a, np.append(0, to_b[:-1]), 1), (b, to_b, to_a, 2)):
+        for ids, ends, others, mark in ((a, to_a, np.append(0, to_b)[:-1], 1), (b, to_b, to_a, 2)):
             sizes = np.diff(ends, prepend=0)
             codes = ids.astype(np.int64) * 3
             codes[ends - 1] += mark
@@ -240,7 +240,8 @@ class Pair:
         """What is found of texts that can be cut before each blank; None for the others.
 
         Every different word of the texts is encoded and aligned once, with the blank before it:
-        it is a window. Arrow puts what is found in the places of all its occurrences.
+        it is a window. Words are aligned in portions, so that a block takes little more memory
+        than what is found of it. Arrow puts that in the places of all its occurrences.
         """
         found: list[Found | None] = [None] * len(texts)
         fit = [i for i, t in enumerate(texts) if _ODD.search(t) is None] if self.cuttable else []
@@ -248,20 +249,42 @@ class Pair:
             return found
         split = pc.split_pattern(pa.array([texts[i] for i in fit], pa.string()), " ")
         coded = split.flatten().dictionary_encode()
-        encoded = [self.encode(" ".join(words)) for words in _portions(coded.dictionary)]
-        if not all(len(a) for a, _ in encoded):
-            return found
-        a, b = (np.concatenate([x[i] for x in encoded]) for i in (0, 1))
+        parts = []
+        for words in _portions(coded.dictionary):
+            part = self._words(words)
+            if part is None:
+                return found
+            parts.append(part)
+        *numbers, shown = zip(*parts)
+        long, n_a, n_b, n_links, links = map(np.concatenate, numbers)
+        shown = pa.concat_arrays(shown)
+        del parts, numbers
+        at = split.offsets.to_numpy()
+        index = coded.indices.to_numpy()
+        crossed, *counts = (np.diff(np.append(0, np.cumsum(n[index]))[at]).tolist() for n in (long, n_a, n_b))
+        shown = _joined(shown.take(coded.indices), at)
+        linked = _placed(links, n_links, index, at)
+        for i, cross, a, b, groups, (pairs, times) in zip(fit, crossed, *counts, shown, linked):
+            found[i] = None if cross else (a, b, groups.as_py()[:-1], pairs, times)
+        return found
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray | pa.Array, ...] | None:
+        """What is found of words that are encoded together; None if they are not windows.
+
+        Which of them are left out, and so are the texts that have them, for they are long or
+        have many links; how many ids of either kind and links each of the others has; their
+        links one after another; and the groups of each as text.
+        """
+        a, b = self.encode(" ".join(words))
+        if not len(a):
+            return None
         _, _, sizes = self._starts(a, b)
-        if len(sizes[0]) != len(coded.dictionary):
-            return found
-        # Long words, and those with many links, are left out, and so are the texts that have them.
+        if len(sizes[0]) != len(words):
+            return None
         long = np.maximum(*sizes) > LONG_WINDOW
         for last in (False, True):
             own = [np.where(long, 0, n) for n in sizes]
             ids = [x[np.repeat(~long, n)] for x, n in zip((a, b), sizes)]
-            if not len(ids[0]):
-                return found
             to_ids = self._groups(*ids)
             before = np.append(0, np.cumsum(np.prod([np.diff(t, prepend=0) for t in to_ids], axis=0)))
             n_links = np.diff(before[np.searchsorted(to_ids[0], np.cumsum(own[0]), "right")], prepend=0)
@@ -269,17 +292,9 @@ class Pair:
             if last or not more.any():
                 break
             long |= more
-        at = split.offsets.to_numpy()
-        index = coded.indices.to_numpy()
-        crossed = np.diff(np.append(0, np.cumsum(long[index]))[at]).tolist()
-        counts = [np.diff(np.append(0, np.cumsum(n[index]))[at]).tolist() for n in own]
         shown = self.marked.take(pa.array(self._marked(*ids, *to_ids)))
-        shown = _joined(shown, np.append(0, np.cumsum(own[0] + own[1]))).take(coded.indices)
-        shown = _joined(shown, at).to_pylist()
-        linked = _placed(self._links(*ids, *to_ids)[0], n_links, index, at)
-        for i, cross, n_a, n_b, groups, (pairs, times) in zip(fit, crossed, *counts, shown, linked):
-            found[i] = None if cross else (n_a, n_b, groups[:-1], pairs, times)
-        return found
+        shown = _joined(shown, np.append(0, np.cumsum(own[0] + own[1])))
+        return long, *own, n_links, self._links(*ids, *to_ids)[0], shown
 
 
 def _placed(
@@ -290,7 +305,7 @@ def _placed(
     ``links`` are those of the different words, ``n_links`` of each; ``index`` has the words of
     the texts, ``at`` where each text's begin and the last end.
     """
-    different, place = np.unique(links, return_inverse=True)
+    different, place = _coded(links)
     words = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n_links)), pa.int32()), pa.array(place, pa.int32()))
     before = np.append(0, np.cumsum(n_links[index]))[at]
     start = 0
@@ -318,8 +333,17 @@ def _portions(words: pa.Array) -> Iterator[list[str]]:
     """Words that are encoded together."""
     number = np.cumsum(pc.add(pc.binary_length(words), 1).to_numpy()) // ENCODED_CHARS
     cuts = np.flatnonzero(np.diff(number, prepend=-1)).tolist()
-    every = words.to_numpy(zero_copy_only=False)
-    return (every[i:k].tolist() for i, k in pairwise([*cuts, len(every)]))
+    return (words.slice(i, k - i).to_pylist() for i, k in pairwise([*cuts, len(words)]))
+
+
+def _coded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values in order, and the place of each value among them."""
+    coded = pa.array(values).dictionary_encode()
+    different = coded.dictionary.to_numpy()
+    order = np.argsort(different)
+    rank = np.empty(len(order), np.int32)
+    rank[order] = np.arange(len(order))
+    return different[order], rank[coded.indices.to_numpy()]
 
 
 def _joined(texts: pa.Array, ends: np.ndarray) -> pa.Array:
@@ -375,10 +399,11 @@ class _Block:
 
     def columns(self, number: int) -> list[pa.Array]:
         rows = len(self.groups)
-        different, place, docs = np.unique(np.concatenate(self.pairs), return_inverse=True, return_counts=True)
+        different, place = _coded(np.concatenate(self.pairs))
+        docs = np.bincount(place, minlength=len(different))
         behind = np.cumsum([0, *map(len, self.pairs)])
         links = pa.StructArray.from_arrays(
-            [pa.array(place.ravel(), pa.int32()), pa.array(np.concatenate(self.times), pa.int64())], ["place", "times"]
+            [pa.array(place, pa.int32()), pa.array(np.concatenate(self.times), pa.int64())], ["place", "times"]
         )
         pairs = pa.StructArray.from_arrays(
             [
@@ -423,8 +448,10 @@ def align(
         for batch in batches:
             at = 0
             for texts in groups(batch.column(1), BLOCK_CHARS):
-                columns = [batch.column(0).slice(at, len(texts)), *_Block(texts, both).columns(number)]
-                yield pa.RecordBatch.from_arrays(columns, schema.names)
+                keys = batch.column(0).slice(at, len(texts))
+                # No name holds what a block has left when the next one is worked on.
+                yield pa.RecordBatch.from_arrays([keys, *_Block(texts, both).columns(number)], schema.names)
+                give_back()
                 at, number = at + len(texts), number + 1
 
     schema = StructType([StructField("key", docs.schema[key].dataType), *StructType.fromDDL(_ALIGNED).fields])

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import settle
 
-__all__ = ["in_worker", "settle", "table"]
+__all__ = ["give_back", "in_worker", "settle", "table"]
 
 Made = TypeVar("Made")
 _HELD: dict[Hashable, object] = {}
@@ -28,14 +28,14 @@ def in_worker(key: Hashable, make: Callable[[], Made]) -> Made:
     if key not in _HELD:
         if _HELD:
             _HELD.clear()
-            _give_back()
+            gc.collect()
+            give_back()
         _HELD[key] = make()
     return _HELD[key]
 
 
-def _give_back() -> None:
+def give_back() -> None:
     """Return freed memory to the system, which allocators keep for later else."""
-    gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
     if trim is not None:

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -207,6 +208,42 @@ def test_different_words_of_a_block_are_encoded_once(both, monkeypatch):
     assert len(asked) == 1 and sorted(asked[0].split()) == ["of", "the", "words", "été"]
 
 
+def test_words_of_a_block_are_aligned_in_portions(both, monkeypatch):
+    """So the memory for it does not grow with a block's different words."""
+    monkeypatch.setattr(alignment, "ENCODED_CHARS", 400)
+    rng = random.Random(11)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(1, 9))) for _ in range(600)]
+    words[200:230] = ["qz" * 60 + str(i) for i in range(30)]  # all words of some portions are left out
+    rows = [" ".join(words)] + [" ".join(rng.sample(words, 12)) for _ in range(300)]
+    most = []
+    groups = both._groups
+    monkeypatch.setattr(both, "_groups", lambda a, b: most.append(len(a) + len(b)) or groups(a, b))
+    found = both.by_words(rows)
+    assert max(most) <= 2 * (400 + 130) and min(most) == 0
+    monkeypatch.undo()
+    assert found[0] is None and sum(f is not None for f in found) > 100
+    for f, t in zip(found, rows):
+        assert (f is None) == ("qz" * 60 in t)
+        if f is not None:
+            a, b = by_library(both, t)
+            groups, linked = by_hand(both, a, b)
+            assert f[:3] == (len(a), len(b), groups)
+            assert {(p >> 32, p & 0xFFFFFFFF): n for p, n in zip(f[3].tolist(), f[4].tolist())} == linked
+
+
+def test_a_block_takes_little_more_memory_than_its_result(both):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=rng.randint(4, 12)))
+    rows = [" ".join(word() for _ in range(200)) for _ in range(500)]
+    both.by_words(rows[:2])
+    tracemalloc.start()
+    block = alignment._Block(rows, both)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    result = sum(map(len, block.groups)) + sum(x.nbytes for x in (*block.pairs, *block.times))
+    assert peak < 4 * result
+
+
 def test_vocabularies_that_reach_over_blanks_are_not_cut(both, monkeypatch):
     assert both.cuttable
     monkeypatch.setattr(both, "cuttable", False)
