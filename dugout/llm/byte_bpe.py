@@ -5,7 +5,7 @@ its class and what follows it; a symbol is a function from the state before the
 the state behind it. Functions of that kind are composed associatively, so the states of a
 million characters come from a blocked scan over whole arrays. A piece is merged once by its
 ranks and remembered; token lengths by id give the offsets, and a decoder puts every token's
-bytes at its offset.
+bytes at its offset. Both can run one after the other in the same pass over the rows.
 """
 
 from __future__ import annotations
@@ -19,10 +19,12 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-from .common import in_worker
+from .common import give_back, in_worker
+from .encoding import groups
 from .memory import Recent
 
 #: Fixed value: the pre-tokenisation that the scan stands for.
@@ -229,7 +231,9 @@ class Vocabulary:
 
     @cached_property
     def kinds(self) -> np.ndarray:
-        return classes()
+        found = classes()
+        give_back()  # asking the library takes more memory than the answer
+        return found
 
     def _packed(self, pieces: list[bytes]) -> dict[bytes, bytes]:
         return {p: array("I", merged(p, self.ranks)).tobytes() for p in pieces}
@@ -311,30 +315,13 @@ def _vocabulary(path: str) -> Vocabulary:
     return in_worker(("byte_bpe", path), lambda: Vocabulary(path))
 
 
-def encode(
-    docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", pattern: str = PATTERN
-) -> DataFrame:
-    """``key``, ``ids`` and ``ends`` of every row: the ids of the whole text, and the byte place
-    behind each of them in the UTF-8 text.
-
-    ``path`` is a file of ranks that every worker can open. Ids are those that the library
-    gives without special tokens, whose names inside texts are ordinary text. Only the
-    ``pattern`` that the scan stands for is accepted. Nothing is shuffled. Long texts are
-    scanned in segments; a single piece of many megabytes is merged as one and takes about a
-    hundred bytes of memory for each of its own.
-
-    A NULL or empty text has no ids. Repeated rows and rows without a key are encoded like
-    others, one result row each. An empty table gives an empty result. Other columns are not
-    read, whatever their names are.
-    """
-    if pattern != PATTERN:
-        raise ValueError("the scan stands for another pattern")
-
-    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _vocabulary(path)
-        for batch in batches:
-            at = 0
-            for ids, sizes in words.encode(batch.column(1).to_pylist()):
+def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    """Batches of keys and texts as batches of keys, ids and ends, a group of texts each."""
+    words = _vocabulary(path)
+    for batch in batches:
+        at = 0
+        for texts in groups(batch.column(1), SEGMENT_CHARS):
+            for ids, sizes in words.encode(texts):
                 behind = np.concatenate([[0], np.cumsum(sizes)])
                 total = np.cumsum(words.lengths[ids])
                 base = np.concatenate([[0], total])[behind[:-1]]
@@ -347,6 +334,34 @@ def encode(
                 yield pa.RecordBatch.from_arrays([owner, *lists], ["key", "ids", "ends"])
                 at += len(sizes)
 
+
+def _portions(batch: pa.RecordBatch, ids: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, in portions of about as many ids as a segment has characters."""
+    sizes = pc.fill_null(pc.list_value_length(batch.column(ids)), 0).to_numpy().astype(np.int64)
+    starts = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // SEGMENT_CHARS, prepend=-1))
+    for a, b in pairwise([*starts.tolist(), len(sizes)]):
+        yield batch.slice(a, b - a)
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], path: str, ids: int, ends: int) -> Iterator[pa.RecordBatch]:
+    """Batches with the bytes of their ids behind the other columns."""
+    words = _vocabulary(path)
+    for batch in batches:
+        for some in _portions(batch, ids):
+            found = [
+                None if not a.is_valid else words.decode(
+                    a.values.to_numpy(zero_copy_only=False).astype(np.int64),
+                    b.values.to_numpy(zero_copy_only=False).astype(np.int64),
+                )
+                for a, b in zip(some.column(ids), some.column(ends))
+            ]
+            yield some.append_column("decoded", pa.array(found, pa.binary()))
+
+
+def _rows(docs: DataFrame, key: str, text: str, pattern: str) -> tuple[DataFrame, StructType]:
+    """Keys and texts, and the schema of their ids."""
+    if pattern != PATTERN:
+        raise ValueError("the scan stands for another pattern")
     schema = StructType(
         [
             StructField("key", docs.schema[key].dataType),
@@ -354,8 +369,27 @@ def encode(
             StructField("ends", ArrayType(IntegerType())),
         ]
     )
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return rows.mapInArrow(encoded, schema).withColumnRenamed("key", key)
+    return docs.select(F.col(key).alias("key"), F.col(text).alias("text")), schema
+
+
+def encode(
+    docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", pattern: str = PATTERN
+) -> DataFrame:
+    """``key``, ``ids`` and ``ends`` of every row: the ids of the whole text, and the byte place
+    behind each of them in the UTF-8 text.
+
+    ``path`` is a file of ranks that every worker can open. Ids are those that the library
+    gives without special tokens, whose names inside texts are ordinary text. Only the
+    ``pattern`` that the scan stands for is accepted. Nothing is shuffled. Long texts are
+    scanned in segments; a single piece of many megabytes is merged as one and takes about a
+    hundred bytes of memory for each of its own.
+
+    A NULL or empty text has no ids. Repeated rows and rows without a key are encoded like
+    others, one result row each. An empty table gives an empty result. Other columns are not
+    read, whatever their names are.
+    """
+    rows, schema = _rows(docs, key, text, pattern)
+    return rows.mapInArrow(lambda batches: _encoded(batches, path), schema).withColumnRenamed("key", key)
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", ends: str = "ends") -> DataFrame:
@@ -368,17 +402,22 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", ends: str = "ends")
     encoded = encoded.drop("decoded")
     i, e = encoded.columns.index(ids), encoded.columns.index(ends)
 
-    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _vocabulary(path)
-        for batch in batches:
-            found = [
-                None if not a.is_valid else words.decode(
-                    a.values.to_numpy(zero_copy_only=False).astype(np.int64),
-                    b.values.to_numpy(zero_copy_only=False).astype(np.int64),
-                )
-                for a, b in zip(batch.column(i), batch.column(e))
-            ]
-            yield batch.append_column("decoded", pa.array(found, pa.binary()))
-
     schema = StructType([*encoded.schema.fields, StructField("decoded", BinaryType())])
-    return encoded.mapInArrow(decoded, schema)
+    return encoded.mapInArrow(lambda batches: _decoded(batches, path, i, e), schema)
+
+
+def round_trip(
+    docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", pattern: str = PATTERN
+) -> DataFrame:
+    """The rows of ``decode(encode(docs))``: every text is encoded, and what that gives is decoded.
+
+    Both steps run in one worker process, a group of texts after the other, so the ids and ends
+    of a whole batch of rows are never held, neither there nor on the way to another worker.
+    """
+    rows, schema = _rows(docs, key, text, pattern)
+    schema = StructType([*schema.fields, StructField("decoded", BinaryType())])
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _decoded(_encoded(batches, path), path, ids=1, ends=2)
+
+    return rows.mapInArrow(both, schema).withColumnRenamed("key", key)

@@ -87,7 +87,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 def op11_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """All documents encoded and decoded; digests of their ids and bytes."""
     path = vocabulary("byte_bpe_50k.tiktoken")
-    decoded = byte_bpe.decode(byte_bpe.encode(table(spark, folder, "documents"), path), path)
+    decoded = byte_bpe.round_trip(table(spark, folder, "documents"), path)
     shown = F.array_join(F.col("ids").cast("array<string>"), " ")
     return decoded.select(
         "doc_id",

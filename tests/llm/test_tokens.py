@@ -7,7 +7,10 @@ import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
+from conftest import plan
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
@@ -116,6 +119,40 @@ def test_decode_refuses_foreign_offsets(spark):
         byte_bpe.encode(spark.createDataFrame([(1, "a")], "doc_id long, text string"), RANKS, pattern=r"\w+")
 
 
+def test_round_trip_is_decode_of_encode_in_one_pass(spark):
+    rows = [(i, t) for i, t in enumerate(texts(300, 9))] + [(7, None), (None, ""), (7, "again"), (7, "again")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 ids", "2 ends", "3 decoded")
+    got = byte_bpe.round_trip(docs, RANKS)
+    want = byte_bpe.decode(byte_bpe.encode(docs, RANKS), RANKS)
+    assert got.schema == want.schema
+    assert Counter(map(repr, got.collect())) == Counter(map(repr, want.collect()))
+    assert byte_bpe.round_trip(docs.limit(0), RANKS).collect() == []
+    with pytest.raises(ValueError):
+        byte_bpe.round_trip(docs, RANKS, pattern=r"\w+")
+    # A second worker for each task would hold the ids and offsets of a whole batch.
+    assert plan(queries.op11_byte_bpe(spark, "/root/testdata/sf0.001")).count("MapInArrow") == 1
+
+
+def test_batches_are_encoded_and_decoded_in_portions(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "SEGMENT_CHARS", 200)
+    rows = [*texts(400, 10), None, "", "word " * 300, None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(rows))), pa.array(rows, pa.string())], ["key", "text"])
+    encoded = list(byte_bpe._encoded(iter([batch]), RANKS))
+    assert all(b.num_rows == 1 or len(b.column(1).values) <= 200 for b in encoded)
+    whole = pa.Table.from_batches(encoded).combine_chunks().to_batches()
+    assert len(whole) == 1
+    # Rows without ids stay rows.
+    ids, ends = (pa.array([*c.to_pylist(), None, None], c.type) for c in whole[0].columns[1:])
+    with_none = pa.RecordBatch.from_arrays([pa.array(range(len(ids))), ids, ends], ["key", "ids", "ends"])
+    decoded = list(byte_bpe._decoded(iter([with_none.slice(0, 0), with_none]), RANKS, 1, 2))
+    longest = max(map(len, whole[0].column(1).to_pylist()))
+    assert len(decoded) > 5
+    assert all((pc.sum(pc.list_value_length(b.column(1))).as_py() or 0) < 200 + longest for b in decoded)
+    got = pa.Table.from_batches(decoded)
+    assert got["key"].to_pylist() == [*range(len(ids))]
+    assert got["decoded"].to_pylist() == [*((t or "").encode() for t in rows), None, None]
+
+
 def by_library(both, text):
     """Both libraries on the whole text; nothing if the tokens don't stand for it."""
     a = both.first.encode(" " + text, add_special_tokens=False).ids
